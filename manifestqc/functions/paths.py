@@ -14,8 +14,9 @@ DEFAULT_FOLDER = "sra_submission"
 
 
 def basename(c) -> Column:
-    """Text after the last ``/`` (``''`` for a path ending in ``/``)."""
-    return F.regexp_extract(as_col(c), r"([^/]*)$", 1)
+    """Text after the last ``/`` (``''`` for a path ending in ``/``).  A plain
+    string function, not a regex, so it stays cheap when Catalyst inlines it."""
+    return F.substring_index(as_col(c), "/", -1)
 
 
 def resolve_path(c, base=None, strip: bool = True) -> Column:
@@ -50,10 +51,10 @@ def expected_mate(c) -> Column:
     ``_forward``, ``_f.``."""
     n = as_col(c)
     return (
-        F.when(n.rlike(r"_R1[._]"), F.regexp_replace(n, r"_R1([._])", "_R2$1"))
-        .when(n.rlike(r"_1\."), F.regexp_replace(n, r"_1\.", "_2."))
-        .when(n.contains("_forward"), F.regexp_replace(n, r"_forward", "_reverse"))
-        .when(n.rlike(r"_f\."), F.regexp_replace(n, r"_f\.", "_r."))
+        F.when(n.contains("_R1.") | n.contains("_R1_"), F.regexp_replace(n, r"_R1([._])", "_R2$1"))
+        .when(n.contains("_1."), F.replace(n, F.lit("_1."), F.lit("_2.")))
+        .when(n.contains("_forward"), F.replace(n, F.lit("_forward"), F.lit("_reverse")))
+        .when(n.contains("_f."), F.replace(n, F.lit("_f."), F.lit("_r.")))
         .otherwise(null_str())
     )
 

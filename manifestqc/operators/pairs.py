@@ -23,16 +23,22 @@ PAIR_SCHEMA = "file1 string, file2 string"
 
 
 def detect_pairs(files: DataFrame, path_col: str = "path") -> DataFrame:
-    """``(file1, file2)``: pairs, then singles with ``file2`` null."""
+    """``(file1, file2)``: pairs, then singles with ``file2`` null.
+
+    One aggregate does the matching: a read-1 file is keyed by the mate name
+    it expects, any other file by its own base name; per key the smallest
+    read-1 path and the smallest other path form the pair.  Partial
+    aggregation keeps a hot name cheap and no pairs within a group are made."""
     f = files.select(F.col(path_col).alias("path")).filter(F.col("path").isNotNull()).distinct()
-    f = f.withColumn("name", basename(F.col("path"))).withColumn("expected", expected_mate(F.col("name")))
-    r1 = f.filter(F.col("expected").isNotNull())
-    others = f.filter(F.col("expected").isNull())
-    r1_best = r1.groupBy("expected").agg(F.min("path").alias("file1"))
-    r2_best = others.groupBy(F.col("name").alias("expected")).agg(F.min("path").alias("file2"))
-    pairs = r1_best.join(r2_best, "expected").select("file1", "file2")
+    name = basename(F.col("path"))
+    tagged = f.select("path", name.alias("name"), expected_mate(name).alias("expected"))
+    is_r1 = F.col("expected").isNotNull()
+    groups = tagged.groupBy(F.coalesce("expected", "name").alias("_k")).agg(
+        F.min(F.when(is_r1, F.col("path"))).alias("file1"),
+        F.min(F.when(~is_r1, F.col("path"))).alias("file2"))
+    pairs = groups.filter(F.col("file1").isNotNull() & F.col("file2").isNotNull()).select("file1", "file2")
     used = pairs.select(F.col("file1").alias("path")).unionByName(pairs.select(F.col("file2").alias("path")))
-    singles = f.select("path").join(used, "path", "left_anti") \
+    singles = f.join(used, "path", "left_anti") \
                .select(F.col("path").alias("file1"), F.lit(None).cast("string").alias("file2"))
     return pairs.unionByName(singles)
 

@@ -58,31 +58,43 @@ def range_buckets(df: DataFrame, order_col: str, n_buckets: int | None = None,
     n = n_buckets or _default_buckets(df)
     if n <= 1:
         return F.lit(0)
-    dtype = dict(df.dtypes)[order_col]
-    src = df.select(F.col(order_col).cast("double").alias("_q"))
-    if dtype in ("date", "timestamp", "timestamp_ntz"):
-        src = df.select(F.unix_micros(F.col(order_col).cast("timestamp")).cast("double").alias("_q"))
+    v = _as_double(df, order_col)
     probs = [i / n for i in range(1, n)]
     err = relative_error if relative_error is not None else 1.0 / (4 * n)
-    bounds = sorted(set(src.approxQuantile("_q", probs, err)))
+    bounds = sorted(set(df.select(v.alias("_q")).approxQuantile("_q", probs, err)))
     if not bounds:
         return F.lit(0)
-    v = F.col(order_col).cast("double")
-    if dtype in ("date", "timestamp", "timestamp_ntz"):
-        v = F.unix_micros(F.col(order_col).cast("timestamp")).cast("double")
     return _bucket_expr(v, bounds)
 
 
-def dense_number(df: DataFrame, order_col: str, name: str = "_row", start: int = 0,
+def _as_double(df: DataFrame, col: str) -> Column:
+    """A monotone double image of an orderable column."""
+    dtype = dict(df.dtypes)[col]
+    c = F.col(col)
+    if dtype == "date":
+        return F.unix_date(c).cast("double")
+    if dtype == "timestamp":
+        return F.unix_micros(c).cast("double")
+    if dtype == "timestamp_ntz":
+        return F.unix_micros(c.cast("timestamp")).cast("double")
+    return c.cast("double")
+
+
+def dense_number(df: DataFrame, order_col: str | Sequence[str], name: str = "_row", start: int = 0,
                  n_buckets: int | None = None, bucket: Column | None = None,
-                 within: str | None = None) -> DataFrame:
-    """Add ``name`` = start, start+1, ... in ascending ``order_col``.
-
-    ``bucket`` may be given instead of quantile ranges: any Column that is
-    monotone in the order (e.g. the input split of a text file); ``within``
-    then names the order column inside a bucket (default ``order_col``)."""
-    within = within or order_col
-    b = bucket if bucket is not None else range_buckets(df, order_col, n_buckets)
+                 within: str | Sequence[str] | None = None) -> DataFrame:
+    """Add ``name`` = start, start+1, ... in ascending order of ``order_col``
+    (one column or several; the columns together must be unique).
+
+    Ranges are cut on the first order column, so rows that tie on it share a
+    range and the remaining columns order them inside it.  ``bucket`` may be
+    given instead of quantile ranges: any Column monotone in the order (e.g.
+    the input split of a text file); ``within`` then names the order inside a
+    bucket (default: the order columns)."""
+    order = [order_col] if isinstance(order_col, str) else list(order_col)
+    within = within or order
+    within = [within] if isinstance(within, str) else list(within)
+    b = bucket if bucket is not None else range_buckets(df, order[0], n_buckets)
     tagged = df.withColumn(BUCKET, b)
     counts = tagged.groupBy(BUCKET).agg(F.count(F.lit(1)).alias("_nb_n"))
     # Offsets over the small per-bucket table (<= B rows): an unpartitioned
@@ -92,7 +104,7 @@ def dense_number(df: DataFrame, order_col: str, name: str = "_row", start: int =
         (F.sum("_nb_n").over(Window.orderBy(BUCKET).rowsBetween(Window.unboundedPreceding, -1)))
         .alias("_nb_off"),
     ).fillna({"_nb_off": 0})
-    w = Window.partitionBy(BUCKET).orderBy(within)
+    w = Window.partitionBy(BUCKET).orderBy(*within)
     return (
         tagged.join(F.broadcast(offsets), BUCKET)
         .withColumn(name, (F.row_number().over(w) + F.col("_nb_off") + F.lit(start - 1)).cast("long"))
