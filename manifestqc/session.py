@@ -48,3 +48,11 @@ def materialize(df: DataFrame) -> DataFrame:
     (survives executor loss, unlike a cache or a local checkpoint)."""
     ensure_checkpoint_dir(df.sparkSession)
     return df.checkpoint(eager=True)
+
+
+def scratch_path(spark: SparkSession, name: str) -> str:
+    """A fresh folder name under the shared checkpoint folder (never a
+    machine-local temporary folder on a cluster)."""
+    import uuid
+    base = ensure_checkpoint_dir(spark).rstrip("/")
+    return f"{base}/manifestqc-scratch/{name}-{uuid.uuid4().hex}"

@@ -33,9 +33,9 @@ def check_format(path: str) -> None:
     base = path.rstrip("/")
     if os.path.isdir(base) or "*" in base:
         return
-    ext = os.path.splitext(base)[1].lower()
-    if ext in ACCEPTED_SUFFIXES:
-        return
+    ext = os.path.splitext(base.rsplit("/", 1)[-1])[1].lower()
+    if ext in ACCEPTED_SUFFIXES or ext == "":
+        return  # a named text file, or a folder written by a job (no suffix)
     if ext in (".xls", ".xlsx"):
         raise UnsupportedFormat(f"spreadsheet input is not read here, convert to tab-delimited text: {path}")
     raise UnsupportedFormat(f"unsupported manifest format {ext or '(none)'}: {path}")
