@@ -19,6 +19,7 @@ from manifestqc.functions.vocab import (
 )
 from manifestqc.operators import rules as U
 from manifestqc.operators.rows import trim_tail
+from manifestqc.operators.sorts import preview
 from manifestqc.sources.config import overlay_frames
 
 OC = D.DUCK_OC
@@ -381,9 +382,8 @@ SELECT _row, (SELECT CAST(count(*) AS BIGINT) FROM B) AS n_blank FROM B ORDER BY
 def q_blank_date_rows(spark, sf):
     p = D.project_manifest(spark, sf)
     blanks = U.blank_date_issues(p, "project").select(F.col("row").alias("_row"))
-    n = blanks.agg(F.count(F.lit(1)).cast("long").alias("n_blank"))
     # The report lists the first 10 rows (a preview is the feature) and the whole count.
-    return blanks.orderBy("_row").limit(10).crossJoin(n)
+    return preview(blanks, ["_row"], 10, total_name="n_blank")
 
 
 REQUIRED = ["sample_name", "library_ID", "filename", "filename2", "filepath"]

@@ -50,7 +50,7 @@ def _files(spark, sf):
 
 def _batches(spark, sf):
     f = _files(spark, sf).withColumn("_ord", F.col("first_row") * 64 + F.col("first_pos"))
-    return assign_batches(f, "_ord", BATCH).drop("_ord")
+    return assign_batches(f, "_ord", BATCH, materialize_input=True).drop("_ord")
 
 
 def _attempts(spark, sf, batches):
@@ -99,10 +99,9 @@ FROM OLD FULL OUTER JOIN NEW ON OLD.path = NEW.path""")
 def q_ledger_merge(spark, sf):
     b = _batches(spark, sf)
     att = _attempts(spark, sf, b)
-    mid = D.table(spark, sf, "events").agg((F.max("event_id") / 2).cast("long").alias("_m"))
-    att = att.crossJoin(F.broadcast(mid))  # one row
-    old = L.reduce_attempts(att.filter("attempt_no < _m").drop("_m"), b)
-    new = L.reduce_attempts(att.filter("attempt_no >= _m").drop("_m"), b)
+    mid = D.table(spark, sf, "events").agg((F.max("event_id") / 2).cast("long")).scalar()
+    old = L.reduce_attempts(att.filter(F.col("attempt_no") < mid), b)
+    new = L.reduce_attempts(att.filter(F.col("attempt_no") >= mid), b)
     from manifestqc.sources.ledger_store import empty_ledger
     old_ledger = L.merge_ledger(empty_ledger(spark), old, FOLDER, "2024-01-01 00:00:00")
     return L.merge_ledger(old_ledger, new, FOLDER, "2024-02-01 00:00:00").select("folder", "path", "status")

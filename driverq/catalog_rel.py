@@ -252,3 +252,10 @@ def q_preview(spark, sf):
 def q_preview_per_group(spark, sf):
     return preview_per_group(_missing(spark, sf).select("key", "path"), "key", ["path"], 5) \
         .select("key", "path", "n_more")
+
+
+@query("distinct_files", f"""{W} SELECT path, min(_row * 64 + col_pos) // 64 AS first_row,
+  CAST(min(_row * 64 + col_pos) % 64 AS INTEGER) AS first_pos FROM FR GROUP BY path""")
+def q_distinct_files(spark, sf):
+    from manifestqc.operators.ledger import distinct_files
+    return distinct_files(_refs(spark, sf))

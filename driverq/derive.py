@@ -188,8 +188,8 @@ def orders_numbered(spark: SparkSession, sf_dir: str) -> DataFrame:
     o = table(spark, sf_dir, "orders")
     c = table(spark, sf_dir, "customer").select("c_custkey", "c_mktsegment", "c_acctbal")
     numbered = dense_number(o, "o_orderkey", name="_row", start=0)
-    n = o.agg(F.count(F.lit(1)).alias("_n"))
-    return (numbered.crossJoin(F.broadcast(n))  # one row
+    n = o.agg(F.count(F.lit(1))).scalar()
+    return (numbered.withColumn("_n", n)
             .join(c, numbered.o_custkey == c.c_custkey, "left")
             .withColumn("_ac", F.expr("CAST(round(c_acctbal * 100) AS BIGINT)"))
             .withColumn("_tp", F.expr("CAST(round(o_totalprice * 100) AS BIGINT) % 1800000")))

@@ -32,8 +32,9 @@ def pending_files(files: DataFrame, ledger: DataFrame, path_col: str = "path") -
 
 
 def plan_batches(pending: DataFrame, order_col: str, batch_size: int) -> DataFrame:
-    """Pending files in order, cut into batches of ``batch_size``."""
-    return assign_batches(pending, order_col, batch_size)
+    """Pending files in order, cut into batches of ``batch_size``.  The
+    pending set (an anti-join) is checkpointed once before numbering."""
+    return assign_batches(pending, order_col, batch_size, materialize_input=True)
 
 
 def attempt_members(attempts: DataFrame, batches: DataFrame) -> DataFrame:
@@ -76,10 +77,10 @@ def upload_summary(files: DataFrame, ledger: DataFrame, path_col: str = "path")
     f = files.select(F.col(path_col).alias("path")).distinct()
     status = ledger.select("path", "status").distinct()
     j = f.join(status.filter(F.col("status") == UPLOADED).select("path", F.lit(True).alias("_u")), "path", "left")
+    n_failed = status.agg(F.count_if(F.col("status") == FAILED).cast("long")).scalar()
     total = j.agg(F.count(F.lit(1)).cast("long").alias("n_total"),
                   F.count_if(F.col("_u").isNotNull()).cast("long").alias("n_uploaded"))
-    failed = status.agg(F.count_if(F.col("status") == FAILED).cast("long").alias("n_failed"))
-    return total.crossJoin(failed).withColumn(
+    return total.withColumn("n_failed", n_failed).withColumn(
         "all_uploaded", (F.col("n_uploaded") == F.col("n_total")) & (F.col("n_failed") == 0))
 
 

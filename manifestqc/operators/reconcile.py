@@ -17,7 +17,7 @@ from manifestqc.functions.blank import is_blank, is_blank_trimmed, not_blank, st
 from manifestqc.functions.paths import basename, resolve_path
 from manifestqc.functions.vocab import FILE_COLUMNS
 from manifestqc.operators.issues import empty_issues, issues
-from manifestqc.operators.rows import first_per_key, last_valid_row
+from manifestqc.operators.rows import first_per_key, tail_rows
 
 ROW = "_row"
 HELPER_COLUMNS = ("_row", "_width", "_fixed", "file_number")
@@ -248,8 +248,7 @@ def tail_cells(df: DataFrame, key: str = "sample_name") -> DataFrame:
     cols = _data_columns(df, key)
     if key not in df.columns or not cols:
         return df.sparkSession.createDataFrame([], "col string, _row long, value string")
-    last = last_valid_row(df, key)
-    tail = df.crossJoin(F.broadcast(last)).filter(F.col("_last").isNotNull() & (F.col(ROW) > F.col("_last")))
+    tail = tail_rows(df, key)
     long = tail.select(ROW, *[F.col(c).cast("string") for c in cols]).unpivot([ROW], cols, "col", "value")
     return long.filter(not_blank(F.col("value")))
 
@@ -287,10 +286,12 @@ def change_counts(before: DataFrame, after: DataFrame, columns: Sequence[str], r
 
 
 def count_parity(a: DataFrame, b: DataFrame) -> DataFrame:
-    """One row ``(n_a, n_b, equal)`` from two global counts (1 row each)."""
-    ca = a.agg(F.count(F.lit(1)).cast("long").alias("n_a"))
-    cb = b.agg(F.count(F.lit(1)).cast("long").alias("n_b"))
-    return ca.crossJoin(cb).withColumn("equal", F.col("n_a") == F.col("n_b"))
+    """One row ``(n_a, n_b, equal)`` from two global counts (the second as a
+    scalar subquery)."""
+    nb = b.agg(F.count(F.lit(1)).cast("long")).scalar()
+    return (a.agg(F.count(F.lit(1)).cast("long").alias("n_a"))
+            .select("n_a", nb.alias("n_b"))
+            .withColumn("equal", F.col("n_a") == F.col("n_b")))
 
 
 def common_fields(a: DataFrame, b: DataFrame, exclude: Sequence[str] = HELPER_COLUMNS) -> DataFrame:

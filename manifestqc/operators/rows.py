@@ -82,7 +82,7 @@ def _as_double(df: DataFrame, col: str) -> Column:
 
 def dense_number(df: DataFrame, order_col: str | Sequence[str], name: str = "_row", start: int = 0,
                  n_buckets: int | None = None, bucket: Column | None = None,
-                 within: str | Sequence[str] | None = None) -> DataFrame:
+                 within: str | Sequence[str] | None = None, materialize_input: bool = False) -> DataFrame:
     """Add ``name`` = start, start+1, ... in ascending order of ``order_col``
     (one column or several; the columns together must be unique).
 
@@ -90,7 +90,14 @@ def dense_number(df: DataFrame, order_col: str | Sequence[str], name: str = "_ro
     range and the remaining columns order them inside it.  ``bucket`` may be
     given instead of quantile ranges: any Column monotone in the order (e.g.
     the input split of a text file); ``within`` then names the order inside a
-    bucket (default: the order columns)."""
+    bucket (default: the order columns).
+
+    The input is evaluated three times (quantiles, range counts, numbering);
+    ``materialize_input`` checkpoints an expensive input first (reliable
+    checkpoint in the shared checkpoint folder)."""
+    if materialize_input:
+        from manifestqc.session import materialize
+        df = materialize(df)
     order = [order_col] if isinstance(order_col, str) else list(order_col)
     within = within or order
     within = [within] if isinstance(within, str) else list(within)
@@ -134,40 +141,33 @@ def first_per_key(df: DataFrame, key: str, order_col: str = "_row") -> DataFrame
     )
 
 
-def last_valid_row(df: DataFrame, key: str, order_col: str = "_row") -> DataFrame:
-    """One-row DataFrame ``(_last)``: position of the last row with a non-blank key
-    (null when none).  A global aggregate: partial per task, one final row."""
-    return df.agg(F.max(F.when(not_blank(F.col(key)), F.col(order_col))).alias("_last"))
+def last_valid_row(df: DataFrame, key: str, order_col: str = "_row") -> Column:
+    """Scalar subquery: position of the last row with a non-blank key (null
+    when none).  A global aggregate (partial per task, one final row) that the
+    planner runs once and uses as a literal: no join."""
+    return df.agg(F.max(F.when(not_blank(F.col(key)), F.col(order_col))).alias("_last")).scalar()
 
 
 def trim_tail(df: DataFrame, key: str, order_col: str = "_row") -> DataFrame:
     """Keep rows up to the last row with a non-blank key; interior blank-key
     rows stay; when no key is valid everything is kept."""
     last = last_valid_row(df, key, order_col)
-    return (
-        df.crossJoin(F.broadcast(last))  # exactly one row
-        .filter(F.col("_last").isNull() | (F.col(order_col) <= F.col("_last")))
-        .drop("_last")
-    )
+    return df.filter(last.isNull() | (F.col(order_col) <= last))
 
 
 def tail_rows(df: DataFrame, key: str, order_col: str = "_row") -> DataFrame:
     """Rows after the last row with a non-blank key."""
     last = last_valid_row(df, key, order_col)
-    return (
-        df.crossJoin(F.broadcast(last))
-        .filter(F.col("_last").isNotNull() & (F.col(order_col) > F.col("_last")))
-        .drop("_last")
-    )
+    return df.filter(last.isNotNull() & (F.col(order_col) > last))
 
 
 def assign_batches(df: DataFrame, order_col: str, batch_size: int, name: str = "batch",
-                   seq_name: str = "seq") -> DataFrame:
+                   seq_name: str = "seq", materialize_input: bool = False) -> DataFrame:
     """Chunks of ``batch_size`` rows in ``order_col`` order: ``seq`` 1..N and
     ``batch`` = floor((seq-1)/size)+1, so there are ceil(N/size) batches."""
     if batch_size < 1:
         raise ValueError("batch_size must be >= 1")
-    numbered = dense_number(df, order_col, name=seq_name, start=1)
+    numbered = dense_number(df, order_col, name=seq_name, start=1, materialize_input=materialize_input)
     return numbered.withColumn(name, (F.floor((F.col(seq_name) - 1) / F.lit(batch_size)) + 1).cast("long"))
 
 

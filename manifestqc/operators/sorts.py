@@ -14,8 +14,8 @@ from pyspark.sql import functions as F
 
 def preview(df: DataFrame, order: Sequence[str], n: int = 10, total_name: str = "n_total") -> DataFrame:
     """First ``n`` rows by ``order`` with the total row count as a column."""
-    total = df.agg(F.count(F.lit(1)).cast("long").alias(total_name))
-    return df.orderBy(*order).limit(n).crossJoin(total)
+    total = df.agg(F.count(F.lit(1)).cast("long")).scalar()
+    return df.orderBy(*order).limit(n).withColumn(total_name, total)
 
 
 def preview_per_group(df: DataFrame, key: str, order: Sequence[str], n: int = 5,

@@ -22,11 +22,16 @@ from manifestqc.operators import reconcile as R
 from manifestqc.operators import rules as U
 from manifestqc.operators.issues import driver_issues, empty_issues, issues, strict_gate, union_issues
 from manifestqc.operators.rows import number_if_absent, trim_tail
+from manifestqc.session import materialize
 from manifestqc.sources.config import effective_defaults
 
 ROW = "_row"
 
 
+class MissingFiles(RuntimeError):
+    """Raised by ``validate_pair(on_missing='fail')``."""
+
+
 def validate_samples(df: DataFrame, config: Mapping | None = None, key: str = "sample_name",
                      options: Mapping[str, Iterable[str]] = VALID_OPTIONS, tbl: str = "sample"):
     defaults = effective_defaults(config)
@@ -76,17 +81,23 @@ def validate_pair(project: DataFrame, sample: DataFrame, config: Mapping | None
     """Validate and reconcile both tables: ``(project, sample, issues)``.
 
     ``on_missing``: ``report`` keeps samples with missing files, ``drop``
-    removes them from both tables.  Strictness is applied by the caller with
-    ``strict_gate(issues)`` before anything is written."""
-    if on_missing not in ("report", "drop"):
-        raise ValueError("on_missing must be 'report' or 'drop'")
+    removes them from both tables, ``fail`` raises ``MissingFiles`` when any
+    referenced file is missing (one short existence job).  Strictness is
+    applied by the caller with ``strict_gate(issues)`` before anything is
+    written."""
+    if on_missing not in ("report", "drop", "fail"):
+        raise ValueError("on_missing must be 'report', 'drop' or 'fail'")
     found = []
-    project = drop_blank_keys(project, key)
-    sample = drop_blank_keys(sample, key)
+    # Each table feeds about ten rule branches: checkpoint it once (reliable,
+    # shared checkpoint folder) instead of recomputing its lineage per branch.
+    project = materialize(drop_blank_keys(project, key))
+    sample = materialize(drop_blank_keys(sample, key))
     if inventory is not None:
         refs = R.file_refs(sample, key, file_columns, base)
         missing = R.missing_files(refs, inventory)
         found.append(R.missing_file_issues(missing, "sample"))
+        if on_missing == "fail" and not missing.isEmpty():
+            raise MissingFiles("referenced files are missing; see missing_files()")
         if on_missing == "drop":
             bad = missing.select("key").distinct()
             sample = R.remove_samples(sample, bad, key)

@@ -80,3 +80,11 @@ def test_prepare_and_template(spark):
     assert r["x"].contact_name == "n" and r["x"].design_description == "Metagenomic sequencing"
     t = project_template(spark, {"default_values": {"collection_date": "2020"}}).first()
     assert len(t) == 20 and t.collection_date == "2020" and t.host == ""
+
+
+def test_validate_pair_fail_policy(spark):
+    import pytest
+    from manifestqc.plans.validate import MissingFiles
+    s, p, inv = _f6(spark)
+    with pytest.raises(MissingFiles):
+        validate_pair(p, s, {"default_values": {}}, inventory=inv, base="/d", on_missing="fail")
