@@ -7,6 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+CLEARED = "cleared"
 LEDGER_SCHEMA = T.StructType([
     T.StructField("folder", T.StringType(), False),
     T.StructField("path", T.StringType(), False),
@@ -25,7 +26,7 @@ def read_ledger(spark: SparkSession, location: str, folder: str) -> DataFrame:
         df = spark.read.schema(LEDGER_SCHEMA).parquet(location)
     except Exception:
         return empty_ledger(spark)
-    return df.filter(F.col("folder") == F.lit(folder))
+    return df.filter((F.col("folder") == F.lit(folder)) & (F.col("status") != F.lit(CLEARED)))
 
 
 def write_ledger(ledger: DataFrame, location: str) -> None:
@@ -40,6 +41,7 @@ def write_ledger(ledger: DataFrame, location: str) -> None:
 
 
 def clear_ledger(spark: SparkSession, location: str, folder: str) -> None:
-    """Drop one folder's progress by writing an empty version of its partition."""
-    marker = spark.createDataFrame([(folder, "", "cleared", None)], LEDGER_SCHEMA)
-    write_ledger(marker.filter(F.col("path") != ""), location)
+    """Drop one folder's progress: its partition is replaced by a one-row
+    tombstone version (an empty frame would overwrite no partition)."""
+    marker = spark.createDataFrame([(folder, "", CLEARED, None)], LEDGER_SCHEMA)
+    write_ledger(marker, location)
