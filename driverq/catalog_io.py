@@ -84,7 +84,11 @@ def q_row_width(spark, sf):
 
 @query("list_files")
 def q_list_files(spark, sf):
-    return list_files(spark, _ragged(spark, sf), glob="*.txt")
+    """List a folder whose file count grows with the data (500 lines per file)."""
+    out = scratch_path(spark, "listing")
+    o = D.table(spark, sf, "orders").select(F.col("o_orderkey").cast("string").alias("value"))
+    o.write.option("maxRecordsPerFile", 500).mode("overwrite").text(out)
+    return list_files(spark, out, glob="*.txt")
 
 
 @query("ledger_read", f"{WP} SELECT '{FOLDER}' AS folder, path, status FROM OUTC")

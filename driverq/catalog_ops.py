@@ -44,13 +44,18 @@ MID AS (SELECT max(event_id) // 2 AS m FROM events)"""
 WP = f"{W}, {_PLAN}"
 
 
-def _files(spark, sf):
-    return collect_files(D.sample_manifest(spark, sf), D.inventory(spark, sf), BASE, file_columns=FILES)
+def _files(spark, sf, materialized: bool = False):
+    f = collect_files(D.sample_manifest(spark, sf), D.inventory(spark, sf), BASE, file_columns=FILES)
+    if materialized:  # read several times below: cut the lineage once
+        from manifestqc.session import materialize
+        f = materialize(f)
+    return f
 
 
-def _batches(spark, sf):
-    f = _files(spark, sf).withColumn("_ord", F.col("first_row") * 64 + F.col("first_pos"))
-    return assign_batches(f, "_ord", BATCH, materialize_input=True).drop("_ord")
+def _batches(spark, sf, files=None):
+    f = (files if files is not None else _files(spark, sf, materialized=True))
+    f = f.withColumn("_ord", F.col("first_row") * 64 + F.col("first_pos"))
+    return assign_batches(f, "_ord", BATCH).drop("_ord")
 
 
 def _attempts(spark, sf, batches):
@@ -64,14 +69,14 @@ def _attempts(spark, sf, batches):
     return whole.unionByName(per_file)
 
 
-def _outcomes(spark, sf):
-    b = _batches(spark, sf)
+def _outcomes(spark, sf, files=None):
+    b = _batches(spark, sf, files)
     return L.reduce_attempts(_attempts(spark, sf, b), b)
 
 
-def _ledger(spark, sf):
+def _ledger(spark, sf, files=None):
     from manifestqc.sources.ledger_store import empty_ledger
-    return L.merge_ledger(empty_ledger(spark), _outcomes(spark, sf), FOLDER, "2024-01-01 00:00:00")
+    return L.merge_ledger(empty_ledger(spark), _outcomes(spark, sf, files), FOLDER, "2024-01-01 00:00:00")
 
 
 @query("collect_files", f"{WP} SELECT path, first_row, first_pos FROM FILES")
@@ -110,7 +115,8 @@ def q_ledger_merge(spark, sf):
 @query("pending_files", f"""{WP} SELECT path FROM FILES
 WHERE NOT EXISTS (SELECT 1 FROM OUTC WHERE OUTC.path = FILES.path AND OUTC.status = 'uploaded')""")
 def q_pending_files(spark, sf):
-    return L.pending_files(_files(spark, sf), _ledger(spark, sf)).select("path")
+    f = _files(spark, sf, materialized=True)
+    return L.pending_files(f, _ledger(spark, sf, f)).select("path")
 
 
 @query("upload_summary", f"""{WP}, U AS (SELECT
@@ -119,7 +125,8 @@ def q_pending_files(spark, sf):
   (SELECT CAST(count(*) AS BIGINT) FROM OUTC WHERE status = 'failed') AS n_failed)
 SELECT n_total, n_uploaded, n_failed, n_uploaded = n_total AND n_failed = 0 AS all_uploaded FROM U""")
 def q_upload_summary(spark, sf):
-    return L.upload_summary(_files(spark, sf), _ledger(spark, sf))
+    f = _files(spark, sf, materialized=True)
+    return L.upload_summary(f, _ledger(spark, sf, f))
 
 
 @query("failed_list", f"{WP} SELECT path FROM OUTC WHERE status = 'failed' ORDER BY path")

@@ -120,9 +120,20 @@ def dense_number(df: DataFrame, order_col: str | Sequence[str], name: str = "_ro
 
 
 def number_if_absent(df: DataFrame, name: str, order_col: str, start: int = 1) -> DataFrame:
-    """Add a dense 1..N number unless the column already exists."""
+    """Add a dense start..start+N-1 number in ``order_col`` order (a unique
+    column) unless ``name`` already exists.
+
+    One partial aggregate (min, max, count) decides the plan: when the order
+    column is already gap-free (e.g. ``_row`` straight from the reader) the
+    number is ``order - min + start``, with no further pass or shuffle;
+    otherwise the full ``dense_number``."""
     if name in df.columns:
         return df
+    st = df.agg(F.min(order_col).alias("lo"), F.max(order_col).alias("hi"),
+                F.count(F.lit(1)).alias("n")).first()
+    if st["n"] == 0 or (st["hi"] - st["lo"] + 1 == st["n"]):
+        lo = st["lo"] if st["n"] else 0
+        return df.withColumn(name, (F.col(order_col) - F.lit(lo) + F.lit(start)).cast("long"))
     return dense_number(df, order_col, name=name, start=start)
 
 

@@ -130,3 +130,19 @@ def test_streaming_normalize(spark):
     r = spark.sql("SELECT * FROM norm_test").first()
     assert (r.collection_date, r.geo_loc_name, r.lat_lon, r.library_layout) == \
         ("2017-07-24", "USA:", "36.9513 N 122.0733 W", "paired")
+
+
+def test_read_numbering_across_splits(spark):
+    """Line positions survive a file cut into many input splits."""
+    d = tempfile.mkdtemp()
+    lines = ["k\tv"] + [f"{i}\t{'x' * (i % 37)}" for i in range(20000)]
+    p = _write(d, "big.txt", "\n".join(lines) + "\n")
+    old = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", str(16 * 1024))
+    try:
+        df = read_manifest(spark, p)
+        assert df.rdd.getNumPartitions() > 10
+        bad = df.filter(F.col("k").cast("long") != F.col("_row")).count()
+        assert bad == 0 and df.count() == 20000
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", old)

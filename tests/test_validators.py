@@ -107,3 +107,11 @@ def test_dense_number_partition_independent(spark):
         n = dense_number(df, "k", name="n", start=1, n_buckets=parts + 2)
         bad = n.filter(F.col("n") != (F.col("k") - 3) / 7 + 1).count()
         assert bad == 0
+
+
+def test_validate_projects_idempotent(spark):
+    df = _numbered(spark, PROJECTS, PROJECT_COLS)
+    once, _ = validate_projects(df, CONFIG)
+    twice, _ = validate_projects(once, CONFIG)
+    cols = PROJECT_COLS + ["file_number", "_row"]
+    assert sorted(map(tuple, once.select(*cols).collect())) == sorted(map(tuple, twice.select(*cols).collect()))
