@@ -29,13 +29,22 @@ from manifestqc.functions.blank import not_blank
 BUCKET = "_nb_bucket"
 
 
+MAX_RANGES = 4096  # bounds stay literals in one codegen'd comparison tree
+
+
 def _default_buckets(df: DataFrame) -> int:
+    """About one range per shuffle partition or input split, whichever is
+    larger, capped at MAX_RANGES (the quantile sketch's error is 1/(4B))."""
     spark = df.sparkSession
     try:
         n = int(spark.conf.get("spark.sql.shuffle.partitions"))
     except Exception:  # pragma: no cover - conf always set in practice
         n = 8
-    return max(1, min(n, 4096))
+    try:
+        n = max(n, df.rdd.getNumPartitions())
+    except Exception:  # pragma: no cover
+        pass
+    return max(1, min(n, MAX_RANGES))
 
 
 def _bucket_expr(v: Column, bounds: Sequence[float]) -> Column:
@@ -104,18 +113,23 @@ def dense_number(df: DataFrame, order_col: str | Sequence[str], name: str = "_ro
     b = bucket if bucket is not None else range_buckets(df, order[0], n_buckets)
     tagged = df.withColumn(BUCKET, b)
     counts = tagged.groupBy(BUCKET).agg(F.count(F.lit(1)).alias("_nb_n"))
-    # Offsets over the small per-bucket table (<= B rows): an unpartitioned
-    # window here is over B rows only, and the result is broadcast.
+    # Start offset of each range: a running sum over the per-range counts, a
+    # table of one row per range (B rows), so this window's single partition
+    # holds B rows only.
     offsets = counts.select(
         BUCKET,
         (F.sum("_nb_n").over(Window.orderBy(BUCKET).rowsBetween(Window.unboundedPreceding, -1)))
         .alias("_nb_off"),
     ).fillna({"_nb_off": 0})
     w = Window.partitionBy(BUCKET).orderBy(*within)
+    # Number inside each range first (one shuffle of the data on the range
+    # id), then join the offsets on the same key: the big side is already
+    # partitioned by it, only the B-row side moves (AQE may broadcast it).
+    local = tagged.withColumn("_nb_i", F.row_number().over(w))
     return (
-        tagged.join(F.broadcast(offsets), BUCKET)
-        .withColumn(name, (F.row_number().over(w) + F.col("_nb_off") + F.lit(start - 1)).cast("long"))
-        .drop(BUCKET, "_nb_off")
+        local.join(offsets, BUCKET)
+        .withColumn(name, (F.col("_nb_i") + F.col("_nb_off") + F.lit(start - 1)).cast("long"))
+        .drop(BUCKET, "_nb_off", "_nb_i")
     )
 
 
@@ -137,6 +151,27 @@ def number_if_absent(df: DataFrame, name: str, order_col: str, start: int = 1) -
     return dense_number(df, order_col, name=name, start=start)
 
 
+def number_and_trim(df: DataFrame, key: str | None, name: str, order_col: str = "_row",
+                    start: int = 1) -> DataFrame:
+    """``number_if_absent`` then ``trim_tail`` with one statistics pass:
+    min/max/count of the order column and the last row with a valid key come
+    from a single partial aggregate; the number is given before the trim."""
+    aggs = [F.min(order_col).alias("lo"), F.max(order_col).alias("hi"), F.count(F.lit(1)).alias("n")]
+    if key:
+        aggs.append(F.max(F.when(not_blank(F.col(key)), F.col(order_col))).alias("last"))
+    st = df.agg(*aggs).first()
+    out = df
+    if name not in df.columns:
+        if st["n"] == 0 or st["hi"] - st["lo"] + 1 == st["n"]:
+            lo = st["lo"] if st["n"] else 0
+            out = out.withColumn(name, (F.col(order_col) - F.lit(lo) + F.lit(start)).cast("long"))
+        else:
+            out = dense_number(out, order_col, name=name, start=start)
+    if key and st["last"] is not None:
+        out = out.filter(F.col(order_col) <= F.lit(st["last"]))
+    return out
+
+
 def first_per_key(df: DataFrame, key: str, order_col: str = "_row") -> DataFrame:
     """First row (smallest ``order_col``) per non-null key.
 

@@ -21,7 +21,7 @@ from manifestqc.functions.vocab import (
 from manifestqc.operators import reconcile as R
 from manifestqc.operators import rules as U
 from manifestqc.operators.issues import driver_issues, empty_issues, issues, strict_gate, union_issues
-from manifestqc.operators.rows import number_if_absent, trim_tail
+from manifestqc.operators.rows import number_and_trim, trim_tail
 from manifestqc.session import materialize
 from manifestqc.sources.config import effective_defaults
 
@@ -63,9 +63,7 @@ def validate_projects(df: DataFrame, config: Mapping | None = None, key: str = "
     out = U.canonical_source(out)
     found.append(U.host_issues(out, tbl, key))
     if ROW in out.columns:
-        out = number_if_absent(out, "file_number", ROW, start=1)
-        if key in out.columns:
-            out = trim_tail(out, key)
+        out = number_and_trim(out, key if key in out.columns else None, "file_number", ROW, start=1)
     return out, union_issues(found)
 
 
