@@ -221,7 +221,7 @@ _COMMON = [c for c in D.sample_columns("duck") if c in D.project_columns("duck")
 
 
 @query("common_fields", f"""WITH {CTE}
-{' UNION ALL '.join(f"SELECT '{c}' AS col, (SELECT CAST(count(DISTINCT {c}) AS BIGINT) FROM S) AS n_distinct_a, (SELECT CAST(count(DISTINCT {c}) AS BIGINT) FROM P) AS n_distinct_b" for c in _COMMON)}""")
+{' UNION ALL '.join(f"SELECT '{c}' AS col, (SELECT CAST(count(DISTINCT sample_name) AS BIGINT) FROM S) AS n_keys_a, (SELECT CAST(count(DISTINCT sample_name) AS BIGINT) FROM P) AS n_keys_b" for c in _COMMON)}""")
 def q_common_fields(spark, sf):
     return R.common_fields(D.sample_manifest(spark, sf), D.project_manifest(spark, sf))
 

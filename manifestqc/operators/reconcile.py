@@ -294,19 +294,14 @@ def count_parity(a: DataFrame, b: DataFrame) -> DataFrame:
             .withColumn("equal", F.col("n_a") == F.col("n_b")))
 
 
-def common_fields(a: DataFrame, b: DataFrame, exclude: Sequence[str] = HELPER_COLUMNS) -> DataFrame:
-    """Columns present in both tables with their distinct non-null value
-    counts on each side: ``(col, n_distinct_a, n_distinct_b)``."""
+def common_fields(a: DataFrame, b: DataFrame, key_a: str = "sample_name", key_b: str = "sample_name",
+                  exclude: Sequence[str] = HELPER_COLUMNS) -> DataFrame:
+    """Columns present in both tables (from the schemas) with the number of
+    distinct non-null keys of each table: ``(col, n_keys_a, n_keys_b)``.
+    The two counts are distinct aggregates run once as scalar subqueries."""
     cols = [c for c in a.columns if c in b.columns and c not in exclude]
     spark = a.sparkSession
-    if not cols:
-        return spark.createDataFrame([], "col string, n_distinct_a long, n_distinct_b long")
-
-    def prof(df: DataFrame, name: str) -> DataFrame:
-        long = df.select(*[F.col(c).cast("string") for c in cols]).unpivot([], cols, "col", "v")
-        return long.filter(F.col("v").isNotNull()).distinct().groupBy("col") \
-                   .agg(F.count(F.lit(1)).cast("long").alias(name))
-
     names = spark.createDataFrame([(c,) for c in cols], "col string")
-    return (names.join(prof(a, "n_distinct_a"), "col", "left").join(prof(b, "n_distinct_b"), "col", "left")
-            .fillna(0, ["n_distinct_a", "n_distinct_b"]))
+    na = a.agg(F.countDistinct(F.col(key_a)).cast("long")).scalar()
+    nb = b.agg(F.countDistinct(F.col(key_b)).cast("long")).scalar()
+    return names.select("col", na.alias("n_keys_a"), nb.alias("n_keys_b"))
