@@ -13,6 +13,7 @@ from manifestqc.functions import (
     normalize_geo, normalize_latlon, resolve_path, safe_name, sample_name_from_file, transfer_ok,
 )
 from manifestqc.functions.blank import DEFAULT_NA_TOKENS
+from manifestqc.functions.paths import DEFAULT_FOLDER
 from manifestqc.functions.vocab import (
     DEFAULT_VALUES, PREPARE_FIELDS, SAMPLE_ESSENTIAL, SAMPLE_FILL_FIELDS, VALID_OPTIONS,
     extend_vocabulary,
@@ -111,7 +112,7 @@ _DEST = "'dest/' || c_mktsegment || repeat('/', CAST(c_custkey % 3 AS INTEGER))"
 
 
 def _duck_safe(x):
-    return rf"regexp_replace(CASE WHEN {Q.blank(x)} THEN 'sra_submission' ELSE {x} END, '[^A-Za-z0-9_.\-]', '_', 'g')"
+    return rf"regexp_replace(CASE WHEN {Q.blank(x)} THEN {Q.q(DEFAULT_FOLDER)} ELSE {x} END, '[^A-Za-z0-9_.\-]', '_', 'g')"
 
 
 @query("safe_name", f"SELECT c_custkey, {_FOLDER} AS raw, {_duck_safe(_FOLDER)} AS folder FROM customer")

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from manifestqc.functions._col import as_col, null_str
 from manifestqc.functions.blank import strip_ws
 
+# Accepted sequence-file suffixes and the default upload folder name.
 RE_SEQUENCE_FILE = r"\.(fastq|fq)(\.gz)?$"
 DEFAULT_FOLDER = "sra_submission"
 

@@ -9,9 +9,11 @@ order column.  ``dense_number`` gives 1..N (or 0..N-1) in that order without
    driver-side result, the only action);
 2. a row's range id is a pure function of its value (a balanced binary tree of
    comparisons against literal bounds, so re-evaluation is deterministic);
-3. count rows per range (partial + final aggregate, B rows), turn the counts
-   into start offsets over the B-row table, broadcast that (size bound B);
-4. ``row_number`` inside each range (one shuffle on the range id) + offset.
+3. count rows per range (partial + final aggregate, B rows) and turn the
+   counts into start offsets with a running sum over that B-row table;
+4. ``row_number`` inside each range (the one shuffle of the data, on the
+   range id), then join the offsets on the range id (the data side is already
+   partitioned by it; only the B-row side moves).
 
 The order column must be unique for a stable numbering (it is a row order).
 """
