@@ -146,3 +146,13 @@ def test_read_numbering_across_splits(spark):
         assert bad == 0 and df.count() == 20000
     finally:
         spark.conf.set("spark.sql.files.maxPartitionBytes", old)
+
+
+def test_write_list_sorted(spark):
+    out = os.path.join(tempfile.mkdtemp(), "list")
+    from manifestqc.sources.manifest import write_list
+    df = spark.createDataFrame([(p,) for p in ["/b", "/a", "/c", "/a2"]], "path string").repartition(3)
+    write_list(df, "path", out)
+    parts = sorted(f for f in os.listdir(out) if f.startswith("part-"))
+    lines = [line.rstrip("\n") for f in parts for line in open(os.path.join(out, f))]
+    assert lines == ["/a", "/a2", "/b", "/c"]
