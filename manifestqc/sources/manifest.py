@@ -11,11 +11,10 @@ from __future__ import annotations
 import os
 from collections.abc import Iterable, Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from manifestqc.functions.blank import DEFAULT_NA_TOKENS, apply_na_tokens
-from manifestqc.operators.rows import dense_number
 
 ROW = "_row"
 WIDTH = "_width"
@@ -59,7 +58,9 @@ def _header_names(cells: Sequence[str]) -> list[str]:
 
 
 def _lines(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.text(path).select(
+    """Non-empty lines with their file, split start and an id that counts the
+    kept lines of a split consecutively (ids are given after the filter)."""
+    return spark.read.text(path).filter(F.col("value") != "").select(
         "value",
         F.col("_metadata.file_path").alias("_file"),
         F.col("_metadata.file_block_start").alias("_block"),
@@ -80,38 +81,47 @@ def read_manifest(spark: SparkSession, path: str, sep: str = "\t",
     * ``na_tokens``: cells equal to one of them become null; ``"default"``
       selects the common reader token list.  Empty cells are always null.
     * With several files (e.g. a written directory) every file's first line is
-      its header.
+      its header (unless ``header`` names the columns).
+
+    ``_row`` needs no sort: inside one input split the ids given after empty
+    lines are dropped are consecutive, so a row's position is the split's
+    start offset plus its distance from the split's first data line.  One
+    aggregate per split (count, first id) and a running sum over that table
+    (one row per split) give the offsets; the header is the first line of each
+    file's first split.
     """
     if check:
         check_format(path)
-    lines = _lines(spark, path).filter(F.col("value") != "")
+    lines = _lines(spark, path)
     if header is None:
         first = spark.read.text(path).filter(F.col("value") != "").first()
         if first is None:
             raise ValueError(f"empty manifest: {path}")
         names = _header_names(first["value"].rstrip("\r").split(sep))
-        # Every file's first line is a header: min id of the first split per file.
-        heads = (lines.filter(F.col("_block") == 0)
-                 .groupBy("_file").agg(F.min("_mid").alias("_hdr")))
-        lines = (lines.join(heads, "_file", "left")
-                 .filter(F.col("_hdr").isNull() | (F.col("_mid") != F.col("_hdr")))
-                 .drop("_hdr"))
+        has_header = F.col("_block") == 0
     else:
         names = list(header)
+        has_header = F.lit(False)
+    splits = lines.groupBy("_file", "_block").agg(F.min("_mid").alias("_mn"), F.count(F.lit(1)).alias("_cnt"))
+    skip = has_header.cast("long")
+    splits = splits.select("_file", "_block", (F.col("_mn") + skip).alias("_first"),
+                           (F.col("_cnt") - skip).alias("_n"))
+    order = Window.orderBy("_file", "_block").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = splits.select("_file", "_block", "_first",
+                            F.coalesce(F.sum("_n").over(order), F.lit(0)).alias("_off"))
+    data = lines.join(offsets, ["_file", "_block"]).filter(F.col("_mid") >= F.col("_first"))
     ddl = ", ".join("`{}` STRING".format(n.replace("`", "``")) for n in names)
     options = {"sep": sep, "mode": "PERMISSIVE", "ignoreLeadingWhiteSpace": "false",
                "ignoreTrailingWhiteSpace": "false"}
-    parsed = lines.select(
-        "_file", "_block", "_mid",
+    parsed = data.select(
         F.from_csv(F.col("value"), ddl, options).alias("_r"),
         F.size(F.split(F.col("value"), _quote(sep), -1)).cast("long").alias(WIDTH),
+        (F.col("_off") + F.col("_mid") - F.col("_first")).cast("long").alias(ROW),
     )
-    numbered = dense_number(parsed, "_mid", name=ROW, start=0,
-                            bucket=F.struct("_file", "_block"), within="_mid")
     tokens = DEFAULT_NA_TOKENS if na_tokens == "default" else tuple(na_tokens)
     cols = [apply_na_tokens(F.col(f"_r.`{n}`"), tokens).alias(n) if tokens
             else F.col(f"_r.`{n}`").alias(n) for n in names]
-    return numbered.select(*cols, ROW, WIDTH)
+    return parsed.select(*cols, ROW, WIDTH)
 
 
 def _quote(sep: str) -> str:
