@@ -20,6 +20,7 @@ def local_session(cores: str | int = "*", shuffle_partitions: int = 8, app: str
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.ui.enabled", "false")
         .config("spark.driver.memory", "8g")
+        .config("spark.cleaner.referenceTracking.cleanCheckpoints", "true")
     )
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
@@ -33,13 +34,21 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     On a cluster this setting names a shared folder and is used as is.  Only
     when it is unset (local tests) a scratch folder is made and set.
     """
-    conf = spark.conf.get("spark.checkpoint.dir", None)
+    sc = spark.sparkContext
+    conf = sc.getConf().get("spark.checkpoint.dir", None)
     if not conf:
-        conf = spark.sparkContext.getConf().get("spark.checkpoint.dir", None)
+        try:
+            conf = spark.conf.get("spark.checkpoint.dir", None)
+        except Exception:  # pragma: no cover
+            conf = None
     if not conf:
         conf = tempfile.mkdtemp(prefix="manifestqc-ckpt-")
-        spark.conf.set("spark.checkpoint.dir", conf)
-    spark.sparkContext.setCheckpointDir(conf)
+        try:
+            spark.conf.set("spark.checkpoint.dir", conf)
+        except Exception:  # pragma: no cover - some deployments refuse runtime core confs
+            pass
+    if sc.getCheckpointDir() is None:
+        sc.setCheckpointDir(conf)
     return conf
 
 
