@@ -33,7 +33,12 @@ class MissingFiles(RuntimeError):
 
 
 def validate_samples(df: DataFrame, config: Mapping | None = None, key: str = "sample_name",
-                     options: Mapping[str, Iterable[str]] = VALID_OPTIONS, tbl: str = "sample"):
+                     options: Mapping[str, Iterable[str]] = VALID_OPTIONS, tbl: str = "sample",
+                     materialize_input: bool = False):
+    """Sample table: ``(validated, issues)``.  ``materialize_input`` checkpoints
+    the input once when both results will be used (each re-reads it)."""
+    if materialize_input:
+        df = materialize(df)
     defaults = effective_defaults(config)
     found = [R.duplicate_issues(df, tbl, key), R.alignment_issues(df, tbl, key)]
     out = U.fill_defaults(df, SAMPLE_FILL_FIELDS, defaults)
@@ -49,7 +54,11 @@ def validate_samples(df: DataFrame, config: Mapping | None = None, key: str = "s
 
 
 def validate_projects(df: DataFrame, config: Mapping | None = None, key: str = "sample_name",
-                      options: Mapping[str, Iterable[str]] = VALID_OPTIONS, tbl: str = "project"):
+                      options: Mapping[str, Iterable[str]] = VALID_OPTIONS, tbl: str = "project",
+                      materialize_input: bool = False):
+    """Project table: ``(validated, issues)``; see ``validate_samples``."""
+    if materialize_input:
+        df = materialize(df)
     defaults = effective_defaults(config)
     found = [R.duplicate_issues(df, tbl, key), R.alignment_issues(df, tbl, key),
              U.blank_date_issues(df, tbl, key)]
