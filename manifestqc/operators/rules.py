@@ -101,15 +101,23 @@ def enforce_vocab(df: DataFrame, options: Mapping[str, Iterable[str]] = VALID_OP
     """A non-blank value outside its field's vocabulary becomes the field
     default when there is one, else stays.  Case-sensitive."""
     defaults = defaults or {}
-    todo = {}
-    for field, vals in options.items():
-        if field in df.columns and field in defaults:
-            c = F.col(field)
-            bad = not_blank(c) & ~c.isin(*list(dict.fromkeys(vals)))
-            todo[field] = F.when(bad, F.lit(defaults[field])).otherwise(c)
+    todo = {field: enforced(F.col(field), options[field], defaults[field])
+            for field in options if field in df.columns and field in defaults}
     return df.withColumns(todo) if todo else df
 
 
+def vocab_bad(c: Column, vals: Iterable[str]) -> Column:
+    """A non-blank value outside the vocabulary."""
+    return not_blank(c) & ~c.isin(*list(dict.fromkeys(vals)))
+
+
+def enforced(c: Column, vals: Iterable[str], default: str | None) -> Column:
+    """The value after vocabulary enforcement (default replaces a bad value)."""
+    if default is None:
+        return c
+    return F.when(vocab_bad(c, vals), F.lit(default)).otherwise(c)
+
+
 def vocab_cells(df: DataFrame, options: Mapping[str, Iterable[str]], key: str | None = None) -> DataFrame:
     """Long form ``(key, _row, field, value)`` of the constrained columns."""
     fields = [f for f in options if f in df.columns]
@@ -136,19 +144,6 @@ def vocab_violations(df: DataFrame, options: Mapping[str, Iterable[str]] = VALID
             .groupBy("field", "value").agg(F.count(F.lit(1)).cast("long").alias("n_rows")))
 
 
-def vocab_issues(df: DataFrame, tbl: str, options: Mapping[str, Iterable[str]] = VALID_OPTIONS,
-                 defaults: Mapping[str, str] | None = None, key: str | None = "sample_name") -> DataFrame:
-    defaults = defaults or {}
-    cells = vocab_violation_cells(df, options, key)
-    repl = F.lit(None).cast("string")
-    for f, d in defaults.items():
-        repl = F.when(F.col("field") == f, F.lit(d)).otherwise(repl)
-    msg = F.when(repl.isNotNull(), F.concat(F.lit("not in vocabulary, replaced by "), repl)) \
-           .otherwise(F.lit("not in vocabulary, no default"))
-    return issues(cells, None, "vocabulary", tbl, col=F.col("field"), key=F.col("key"),
-                  row=F.col(ROW), value=F.col("value"), message=msg, severity="warning")
-
-
 # ----------------------------------------------------------------- synonyms --
 def canonical_layout(df: DataFrame, column: str = "library_layout",
                      synonyms: Mapping[str, Sequence[str]] = LAYOUT_SYNONYMS) -> DataFrame:
@@ -194,40 +189,108 @@ def latlon_column(df: DataFrame, column: str = "lat_lon") -> DataFrame:
 
 
 # ------------------------------------------------------------ report rules --
+# Row-level rules are specs (condition, column, value, message); any number of
+# them is evaluated in ONE pass: each row yields the array of issues that
+# fire (``array_compact`` drops the rest), which is exploded.  The input is
+# scanned once however many rules there are.
+class RuleSpec:
+    __slots__ = ("rule", "cond", "col", "value", "message", "severity")
+
+    def __init__(self, rule: str, cond: Column, col: str | None, value: Column, message,
+                 severity: str = "warning"):
+        self.rule, self.cond, self.col, self.value = rule, cond, col, value
+        self.message = message if isinstance(message, Column) else F.lit(message)
+        self.severity = severity
+
+
+def row_issues(df: DataFrame, specs: Sequence[RuleSpec], tbl: str, key: str | None = "sample_name") -> DataFrame:
+    """Issues of all ``specs`` over ``df`` in one scan (one ``explode``)."""
+    if not specs:
+        return empty_issues(df.sparkSession)
+    items = [F.when(s.cond, F.struct(
+        F.lit(s.rule).alias("rule"), F.lit(s.col).cast("string").alias("col"),
+        s.value.cast("string").alias("value"), s.message.cast("string").alias("message"),
+        F.lit(s.severity).alias("severity"))) for s in specs]
+    hits = df.select(_key_col(df, key).cast("string").alias("_k"), _row_col(df).alias("_r"),
+                     F.explode(F.array_compact(F.array(*items))).alias("_i"))
+    return hits.select(F.col("_i.rule").alias("rule"), F.lit(tbl).alias("tbl"), F.col("_i.col").alias("col"),
+                       F.col("_k").alias("key"), F.col("_r").alias("row"), F.col("_i.value").alias("value"),
+                       F.col("_i.message").alias("message"), F.col("_i.severity").alias("severity"))
+
+
+def vocab_specs(values: Mapping[str, Column], options: Mapping[str, Iterable[str]] = VALID_OPTIONS,
+                defaults: Mapping[str, str] | None = None) -> list[RuleSpec]:
+    """One spec per constrained field present in ``values`` (field -> Column)."""
+    defaults = defaults or {}
+    out = []
+    for field, vals in options.items():
+        if field in values:
+            d = defaults.get(field)
+            msg = f"not in vocabulary, replaced by {d}" if d is not None else "not in vocabulary, no default"
+            out.append(RuleSpec("vocabulary", vocab_bad(values[field], vals), field, values[field], msg))
+    return out
+
+
+def layout_mate_spec(layout: Column, mate: Column, layout_col: str = "library_layout") -> RuleSpec:
+    """``paired`` without a second file, ``single`` with one (warning)."""
+    paired_bad = (layout == "paired") & is_blank(mate)
+    single_bad = (layout == "single") & ~is_blank(mate)
+    msg = F.when(paired_bad, F.lit("paired layout without a second file")) \
+           .otherwise(F.lit("single layout with a second file"))
+    return RuleSpec("layout_mate", paired_bad | single_bad, layout_col, mate, msg)
+
+
+def host_spec(source: Column, host: Column, host_col: str = "host") -> RuleSpec:
+    """``host-associated`` with a blank host (warning)."""
+    return RuleSpec("host", (source == "host-associated") & is_blank(host), host_col, source,
+                    "host-associated sample without host")
+
+
+def blank_date_spec(date: Column, column: str = "collection_date") -> RuleSpec:
+    return RuleSpec("blank_date", is_blank(date), column, date, "empty collection date")
+
+
+def vocab_issues(df: DataFrame, tbl: str, options: Mapping[str, Iterable[str]] = VALID_OPTIONS,
+                 defaults: Mapping[str, str] | None = None, key: str | None = "sample_name") -> DataFrame:
+    values = {c: F.col(c) for c in df.columns}
+    return row_issues(df, vocab_specs(values, options, defaults), tbl, key)
+
+
 def layout_mate_issues(df: DataFrame, tbl: str = "sample", key: str = "sample_name",
                        layout: str = "library_layout", mate: str = "filename2",
                        first: str = "filename") -> DataFrame:
-    """``paired`` without a second file, ``single`` with one (warnings)."""
     if not {layout, mate, first} <= set(df.columns):
         return empty_issues(df.sparkSession)
-    lay = F.col(layout)
-    missing = lay == "paired"
-    extra = lay == "single"
-    paired_bad = missing & is_blank(F.col(mate))
-    single_bad = extra & ~is_blank(F.col(mate))
-    msg = F.when(paired_bad, F.lit("paired layout without a second file")) \
-           .otherwise(F.lit("single layout with a second file"))
-    return issues(df, paired_bad | single_bad, "layout_mate", tbl, col=layout, key=_key_col(df, key),
-                  row=_row_col(df), value=F.col(mate), message=msg, severity="warning")
+    return row_issues(df, [layout_mate_spec(F.col(layout), F.col(mate), layout)], tbl, key)
 
 
 def host_issues(df: DataFrame, tbl: str = "project", key: str = "sample_name",
                 source: str = "sample_source", host: str = "host") -> DataFrame:
-    """``host-associated`` rows with a blank host (only when ``host`` exists)."""
+    """Only when ``host`` exists."""
     if source not in df.columns or host not in df.columns:
         return empty_issues(df.sparkSession)
-    cond = (F.col(source) == "host-associated") & is_blank(F.col(host))
-    return issues(df, cond, "host", tbl, col=host, key=_key_col(df, key), row=_row_col(df),
-                  value=F.col(source), message="host-associated sample without host", severity="warning")
+    return row_issues(df, [host_spec(F.col(source), F.col(host), host)], tbl, key)
 
 
 def blank_date_issues(df: DataFrame, tbl: str = "project", key: str = "sample_name",
                       column: str = "collection_date") -> DataFrame:
     if column not in df.columns:
         return empty_issues(df.sparkSession)
-    return issues(df, is_blank(F.col(column)), "blank_date", tbl, col=column, key=_key_col(df, key),
-                  row=_row_col(df), value=F.col(column), message="empty collection date",
-                  severity="warning")
+    return row_issues(df, [blank_date_spec(F.col(column), column)], tbl, key)
+
+
+def staged_values(df: DataFrame, fill_fields: Sequence[str], essential: Sequence[str],
+                  defaults: Mapping[str, str]) -> dict[str, Column]:
+    """Column expressions (over ``df``) of every column after fill + ensure,
+    so rules on those values can run in the same scan as rules on raw values."""
+    vals = {c: F.col(c) for c in df.columns}
+    for f in fill_fields:
+        if f in df.columns and f in defaults:
+            vals[f] = F.when(is_blank(F.col(f)), F.lit(defaults[f])).otherwise(F.col(f))
+    for c in essential:
+        if c not in df.columns:
+            vals[c] = F.lit(defaults.get(c, ""))
+    return vals
 
 
 def row_width_issues(df: DataFrame, n_columns: int, tbl: str, key: str = "sample_name",

@@ -14,6 +14,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from manifestqc.functions.blank import not_blank
+from manifestqc.functions.text import LAYOUT_SYNONYMS, SOURCE_SYNONYMS, canonicalize
 from manifestqc.functions.vocab import (
     FILE_COLUMNS, PROJECT_ESSENTIAL, PROJECT_FILL_FIELDS, SAMPLE_ESSENTIAL, SAMPLE_FILL_FIELDS,
     VALID_OPTIONS,
@@ -40,13 +41,24 @@ def validate_samples(df: DataFrame, config: Mapping | None = None, key: str = "s
     if materialize_input:
         df = materialize(df)
     defaults = effective_defaults(config)
-    found = [R.duplicate_issues(df, tbl, key), R.alignment_issues(df, tbl, key)]
+    # Row-level rules, all in one scan of the input: vocabulary on the values
+    # after fill/ensure/synonyms, layout-vs-mate on the values after the
+    # vocabulary (the order of the rules is kept by staging the expressions).
+    vals = U.staged_values(df, SAMPLE_FILL_FIELDS, SAMPLE_ESSENTIAL, defaults)
+    if "library_layout" in vals:
+        vals["library_layout"] = canonicalize(vals["library_layout"], LAYOUT_SYNONYMS)
+    specs = U.vocab_specs(vals, options, defaults)
+    if {"library_layout", "filename", "filename2"} <= set(vals):
+        lay = vals["library_layout"]
+        if "library_layout" in options:
+            lay = U.enforced(lay, options["library_layout"], defaults.get("library_layout"))
+        specs.append(U.layout_mate_spec(lay, vals["filename2"]))
+    found = [R.duplicate_issues(df, tbl, key), R.alignment_issues(df, tbl, key),
+             U.row_issues(df, specs, tbl, key)]
     out = U.fill_defaults(df, SAMPLE_FILL_FIELDS, defaults)
     out = U.ensure_columns(out, SAMPLE_ESSENTIAL, defaults)
     out = U.canonical_layout(out)
-    found.append(U.vocab_issues(out, tbl, options, defaults, key))
     out = U.enforce_vocab(out, options, defaults)
-    found.append(U.layout_mate_issues(out, tbl, key))
     out = U.fill_from_column(out, "library_ID", key)
     if key in out.columns and ROW in out.columns:
         out = trim_tail(out, key)
@@ -60,17 +72,24 @@ def validate_projects(df: DataFrame, config: Mapping | None = None, key: str = "
     if materialize_input:
         df = materialize(df)
     defaults = effective_defaults(config)
+    # Row-level rules in one scan: blank dates on the raw values, vocabulary
+    # after fill/ensure, host after the source synonyms.
+    vals = U.staged_values(df, PROJECT_FILL_FIELDS, PROJECT_ESSENTIAL, defaults)
+    specs = []
+    if "collection_date" in df.columns:
+        specs.append(U.blank_date_spec(F.col("collection_date")))
+    specs += U.vocab_specs(vals, options, defaults)
+    if "sample_source" in vals and "host" in vals:
+        specs.append(U.host_spec(canonicalize(vals["sample_source"], SOURCE_SYNONYMS), vals["host"]))
     found = [R.duplicate_issues(df, tbl, key), R.alignment_issues(df, tbl, key),
-             U.blank_date_issues(df, tbl, key)]
+             U.row_issues(df, specs, tbl, key)]
     out = U.fill_defaults(df, PROJECT_FILL_FIELDS, defaults)
     out = U.ensure_columns(out, PROJECT_ESSENTIAL, defaults)
-    found.append(U.vocab_issues(out, tbl, options, defaults, key))
     out = U.enforce_vocab(out, options, defaults)
     out = U.date_column(out, "collection_date", defaults.get("collection_date"))
     out = U.geo_column(out)
     out = U.latlon_column(out)
     out = U.canonical_source(out)
-    found.append(U.host_issues(out, tbl, key))
     if ROW in out.columns:
         out = number_and_trim(out, key if key in out.columns else None, "file_number", ROW, start=1)
     return out, union_issues(found)
