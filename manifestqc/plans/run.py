@@ -26,7 +26,7 @@ def _out_name(path: str) -> str:
 
 def validate_files(spark: SparkSession, project_path: str, sample_path: str, config: Mapping | None = None,
                    file_dir: str | None = None, output_dir: str | None = None, strict: bool = False,
-                   on_missing: str = "report", na_tokens=()):
+                   on_missing: str = "report", na_tokens=(), options=None):
     """Read both manifests, validate and reconcile them, gate, then write.
 
     Returns ``(project, sample, issues, passed)``.  With ``strict`` nothing is
@@ -35,8 +35,9 @@ def validate_files(spark: SparkSession, project_path: str, sample_path: str, con
     project = read_manifest(spark, project_path, na_tokens=na_tokens)
     sample = read_manifest(spark, sample_path, na_tokens=na_tokens)
     inventory = list_files(spark, file_dir) if file_dir else None
+    from manifestqc.functions.vocab import VALID_OPTIONS
     p_out, s_out, found = validate_pair(project, sample, config, inventory=inventory, base=file_dir,
-                                        on_missing=on_missing)
+                                        on_missing=on_missing, options=options or VALID_OPTIONS)
     found = materialize(found)  # read by the gate, the summary and the caller
     passed = bool(strict_gate(found).first()["passed"])
     if output_dir and (passed or not strict):

@@ -62,3 +62,15 @@ def test_generate_templates(spark):
     assert samples["b"].filepath.endswith("/sub/b_1.fq") and samples["a"].platform == "ILLUMINA"
     proj = read_manifest(spark, p_out).collect()
     assert len(proj) == 1 and proj[0].collection_date == "2020" and proj[0].host is None
+
+
+def test_cli_validate_strict_exit(spark, capsys):
+    from manifestqc.cli import main
+    d = tempfile.mkdtemp()
+    p = os.path.join(d, "project.txt")
+    s = os.path.join(d, "sample.txt")
+    open(p, "w").write(PROJECT)
+    open(s, "w").write(SAMPLE)
+    code = main(["validate", "--project", p, "--sample", s, "--strict", "--instrument", "MyScope 1"])
+    assert code == 1
+    assert "blank_date" in capsys.readouterr().out
