@@ -45,7 +45,7 @@ def _header_names(cells: Sequence[str]) -> list[str]:
     out: list[str] = []
     seen: dict[str, int] = {}
     for i, raw in enumerate(cells):
-        name = raw.strip() if raw is not None else ""
+        name = raw.strip().lstrip("\ufeff") if raw is not None else ""
         if not name:
             name = f"_c{i}"
         if name in seen:

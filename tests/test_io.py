@@ -156,3 +156,19 @@ def test_write_list_sorted(spark):
     parts = sorted(f for f in os.listdir(out) if f.startswith("part-"))
     lines = [line.rstrip("\n") for f in parts for line in open(os.path.join(out, f))]
     assert lines == ["/a", "/a2", "/b", "/c"]
+
+
+def test_template_shapes(spark):
+    """Header-only file, a tail of separator-only rows without any key, CRLF
+    line ends and a byte-order mark before the header."""
+    from manifestqc.plans.validate import validate_samples
+    d = tempfile.mkdtemp()
+    empty = read_manifest(spark, _write(d, "h.txt", "sample_name\tfilename\n"))
+    assert empty.count() == 0 and empty.columns[:2] == ["sample_name", "filename"]
+    tmpl = read_manifest(spark, _write(d, "t.txt", "sample_name\tfilename\n" + "\t\n" * 285))
+    assert tmpl.count() == 285
+    out, iss = validate_samples(tmpl, {"default_values": {}})
+    assert out.count() == 285  # no valid key anywhere: nothing is trimmed
+    crlf = read_manifest(spark, _write(d, "c.txt", "\ufeffsample_name\tfilename\r\ns1\ta.fq\r\ns2\tb.fq\r\n"))
+    assert crlf.columns[:2] == ["sample_name", "filename"]
+    assert sorted((r.sample_name, r.filename) for r in crlf.collect()) == [("s1", "a.fq"), ("s2", "b.fq")]
