@@ -7,7 +7,6 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from driverq import derive as D
-from driverq import duck as Q
 from driverq.catalog_ops import FOLDER, WP, _ledger
 from driverq.registry import query
 from manifestqc.operators import rules as U
@@ -107,5 +106,3 @@ def q_ledger_write(spark, sf):
     back = spark.read.parquet(loc)
     return back.groupBy("folder", "status").agg(F.count(F.lit(1)).cast("long").alias("n"))
 
-
-__all__ = ["Q"]

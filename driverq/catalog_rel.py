@@ -4,7 +4,6 @@ project table P and inventory I."""
 
 from __future__ import annotations
 
-from pyspark.sql import functions as F
 
 from driverq import derive as D
 from driverq import duck as Q
