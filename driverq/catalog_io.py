@@ -106,3 +106,24 @@ def q_ledger_write(spark, sf):
     back = spark.read.parquet(loc)
     return back.groupBy("folder", "status").agg(F.count(F.lit(1)).cast("long").alias("n"))
 
+
+
+def _pair_sql() -> str:
+    from driverq.registry import ORACLES
+    return ORACLES["validate_pair"]
+
+
+@query("validate_files", _pair_sql())
+def q_validate_files(spark, sf):
+    """The file flow end to end: both derived tables are written as manifests,
+    read back, validated, reconciled with the inventory, gated and written."""
+    from manifestqc.plans.run import validate_files
+    from driverq.catalog_rel import BASE
+    p_dir = scratch_path(spark, "project-in")
+    s_dir = scratch_path(spark, "sample-in")
+    write_manifest(D.project_manifest(spark, sf), p_dir)
+    write_manifest(D.sample_manifest(spark, sf), s_dir)
+    inv = D.inventory(spark, sf)
+    _, _, found, _ = validate_files(spark, p_dir, s_dir, None, output_dir=scratch_path(spark, "validated"),
+                                    inventory=inv, base=BASE)
+    return found.groupBy("rule", "tbl", "severity").agg(F.count(F.lit(1)).cast("long").alias("n_issues"))

@@ -26,17 +26,22 @@ def _out_name(path: str) -> str:
 
 def validate_files(spark: SparkSession, project_path: str, sample_path: str, config: Mapping | None = None,
                    file_dir: str | None = None, output_dir: str | None = None, strict: bool = False,
-                   on_missing: str = "report", na_tokens=(), options=None):
+                   on_missing: str = "report", na_tokens=(), options=None,
+                   inventory: DataFrame | None = None, base: str | None = None):
     """Read both manifests, validate and reconcile them, gate, then write.
 
     Returns ``(project, sample, issues, passed)``.  With ``strict`` nothing is
     written unless the gate passes (the gate runs before any write).  Outputs
-    go to ``<output_dir>/validated-<name>`` as tab-delimited folders."""
+    go to ``<output_dir>/validated-<name>`` as tab-delimited folders.  The
+    existing files are listed from ``file_dir``, or given as any ``(path)``
+    table in ``inventory`` with ``base`` for relative names."""
     project = read_manifest(spark, project_path, na_tokens=na_tokens)
     sample = read_manifest(spark, sample_path, na_tokens=na_tokens)
-    inventory = list_files(spark, file_dir) if file_dir else None
+    if inventory is None and file_dir:
+        inventory = list_files(spark, file_dir)
+    base = base if base is not None else file_dir
     from manifestqc.functions.vocab import VALID_OPTIONS
-    p_out, s_out, found = validate_pair(project, sample, config, inventory=inventory, base=file_dir,
+    p_out, s_out, found = validate_pair(project, sample, config, inventory=inventory, base=base,
                                         on_missing=on_missing, options=options or VALID_OPTIONS)
     found = materialize(found)  # read by the gate, the summary and the caller
     passed = bool(strict_gate(found).first()["passed"])
