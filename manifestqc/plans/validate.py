@@ -33,6 +33,10 @@ class MissingFiles(RuntimeError):
     """Raised by ``validate_pair(on_missing='fail')``."""
 
 
+class FileNameMismatch(RuntimeError):
+    """Raised by ``validate_pair(on_mismatch='fail')``."""
+
+
 def validate_samples(df: DataFrame, config: Mapping | None = None, key: str = "sample_name",
                      options: Mapping[str, Iterable[str]] = VALID_OPTIONS, tbl: str = "sample",
                      materialize_input: bool = False):
@@ -101,18 +105,22 @@ def drop_blank_keys(df: DataFrame, key: str = "sample_name") -> DataFrame:
 
 def validate_pair(project: DataFrame, sample: DataFrame, config: Mapping | None = None,
                   inventory: DataFrame | None = None, base: str | None = None,
-                  key: str = "sample_name", on_missing: str = "report",
+                  key: str = "sample_name", on_missing: str = "report", on_mismatch: str = "report",
                   file_columns: Sequence[str] = FILE_COLUMNS,
                   options: Mapping[str, Iterable[str]] = VALID_OPTIONS):
     """Validate and reconcile both tables: ``(project, sample, issues)``.
 
     ``on_missing``: ``report`` keeps samples with missing files, ``drop``
     removes them from both tables, ``fail`` raises ``MissingFiles`` when any
-    referenced file is missing (one short existence job).  Strictness is
+    referenced file is missing (one short existence job).  ``on_mismatch``:
+    ``fail`` raises ``FileNameMismatch`` when the tables name different files
+    for a sample.  Strictness is
     applied by the caller with ``strict_gate(issues)`` before anything is
     written."""
     if on_missing not in ("report", "drop", "fail"):
         raise ValueError("on_missing must be 'report', 'drop' or 'fail'")
+    if on_mismatch not in ("report", "fail"):
+        raise ValueError("on_mismatch must be 'report' or 'fail'")
     found = []
     # Each table feeds about ten rule branches: checkpoint it once (reliable,
     # shared checkpoint folder) instead of recomputing its lineage per branch.
@@ -129,6 +137,8 @@ def validate_pair(project: DataFrame, sample: DataFrame, config: Mapping | None
             sample = R.remove_samples(sample, bad, key)
             project = R.remove_samples(project, bad, key)
     mm = R.filename_mismatch(sample, project, key, file_columns)
+    if on_mismatch == "fail" and not mm.isEmpty():
+        raise FileNameMismatch("file names differ between the tables; see filename_mismatch()")
     found.append(issues(mm, None, "filename_mismatch", "both", col=F.col("column"), key=F.col("key"),
                         value=F.concat_ws(" | ", "sample_file", "project_file"),
                         message="file names differ between the tables", severity="warning"))

@@ -88,3 +88,11 @@ def test_validate_pair_fail_policy(spark):
     s, p, inv = _f6(spark)
     with pytest.raises(MissingFiles):
         validate_pair(p, s, {"default_values": {}}, inventory=inv, base="/d", on_missing="fail")
+
+
+def test_validate_pair_mismatch_policy(spark):
+    import pytest
+    from manifestqc.plans.validate import FileNameMismatch
+    s, p, inv = _f6(spark)
+    with pytest.raises(FileNameMismatch):
+        validate_pair(p, s, {"default_values": {}}, on_mismatch="fail")
