@@ -270,7 +270,8 @@ def _project_issue_sql(src: str, tbl: str = "project") -> list[str]:
 @query("issue_summary", f"""WITH {CTE}, X AS ({' UNION ALL '.join(_sample_issue_sql('S'))})
 SELECT rule, severity, CAST(count(*) AS BIGINT) AS n_issues FROM X GROUP BY rule, severity""")
 def q_issue_summary(spark, sf):
-    _, iss = validate_samples(D.sample_manifest(spark, sf))
+    # the table feeds every rule branch: checkpoint it once
+    _, iss = validate_samples(D.sample_manifest(spark, sf), materialize_input=True)
     return ISS.issue_summary(iss)
 
 
