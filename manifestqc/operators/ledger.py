@@ -34,7 +34,7 @@ def pending_files(files: DataFrame, ledger: DataFrame, path_col: str = "path") -
 def plan_batches(pending: DataFrame, order_col: str, batch_size: int) -> DataFrame:
     """Pending files in order, cut into batches of ``batch_size``.  The
     pending set (an anti-join) is checkpointed once before numbering."""
-    return assign_batches(pending, order_col, batch_size, materialize_input=True)
+    return assign_batches(pending, order_col, batch_size, materialize_input=True, ranges="uniform")
 
 
 def attempt_members(attempts: DataFrame, batches: DataFrame) -> DataFrame:

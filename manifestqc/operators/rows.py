@@ -91,9 +91,32 @@ def _as_double(df: DataFrame, col: str) -> Column:
     return c.cast("double")
 
 
+ROWS_PER_RANGE = 1_000_000
+
+
+def uniform_buckets(df: DataFrame, order_col: str, rows_per_range: int = ROWS_PER_RANGE,
+                    stats=None) -> Column:
+    """Equal-width ranges over [min, max] of ``order_col``, about
+    ``rows_per_range`` rows each when the values are spread evenly (row
+    positions, sequence numbers, keys): one min/max/count pass, plain
+    arithmetic per row, and as many ranges as the data needs (no cap)."""
+    v = _as_double(df, order_col)
+    if stats is None:
+        stats = df.agg(F.min(v).alias("lo"), F.max(v).alias("hi"), F.count(F.lit(1)).alias("n")).first()
+        lo, hi, n = stats["lo"], stats["hi"], stats["n"]
+    else:
+        lo, hi, n = stats
+    if not n or lo is None:
+        return F.lit(0)
+    b = max(1, -(-int(n) // int(rows_per_range)))
+    width = (float(hi) - float(lo) + 1.0) / b
+    return F.least(F.floor((v - F.lit(float(lo))) / F.lit(width)), F.lit(b - 1)).cast("int")
+
+
 def dense_number(df: DataFrame, order_col: str | Sequence[str], name: str = "_row", start: int = 0,
                  n_buckets: int | None = None, bucket: Column | None = None,
-                 within: str | Sequence[str] | None = None, materialize_input: bool = False) -> DataFrame:
+                 within: str | Sequence[str] | None = None, materialize_input: bool = False,
+                 ranges: str = "quantile", rows_per_range: int = ROWS_PER_RANGE) -> DataFrame:
     """Add ``name`` = start, start+1, ... in ascending order of ``order_col``
     (one column or several; the columns together must be unique).
 
@@ -103,6 +126,10 @@ def dense_number(df: DataFrame, order_col: str | Sequence[str], name: str = "_ro
     the input split of a text file); ``within`` then names the order inside a
     bucket (default: the order columns).
 
+    ``ranges="uniform"`` cuts equal-width ranges instead of quantiles, for
+    order columns spread evenly over their range (positions, sequence
+    numbers): no sketch, and the number of ranges grows with the data.
+
     The input is evaluated three times (quantiles, range counts, numbering);
     ``materialize_input`` checkpoints an expensive input first (reliable
     checkpoint in the shared checkpoint folder)."""
@@ -112,7 +139,12 @@ def dense_number(df: DataFrame, order_col: str | Sequence[str], name: str = "_ro
     order = [order_col] if isinstance(order_col, str) else list(order_col)
     within = within or order
     within = [within] if isinstance(within, str) else list(within)
-    b = bucket if bucket is not None else range_buckets(df, order[0], n_buckets)
+    if bucket is not None:
+        b = bucket
+    elif ranges == "uniform":
+        b = uniform_buckets(df, order[0], rows_per_range)
+    else:
+        b = range_buckets(df, order[0], n_buckets)
     tagged = df.withColumn(BUCKET, b)
     counts = tagged.groupBy(BUCKET).agg(F.count(F.lit(1)).alias("_nb_n"))
     # Start offset of each range: a running sum over the per-range counts, a
@@ -150,7 +182,7 @@ def number_if_absent(df: DataFrame, name: str, order_col: str, start: int = 1) -
     if st["n"] == 0 or (st["hi"] - st["lo"] + 1 == st["n"]):
         lo = st["lo"] if st["n"] else 0
         return df.withColumn(name, (F.col(order_col) - F.lit(lo) + F.lit(start)).cast("long"))
-    return dense_number(df, order_col, name=name, start=start)
+    return dense_number(df, order_col, name=name, start=start, ranges="uniform")
 
 
 def number_and_trim(df: DataFrame, key: str | None, name: str, order_col: str = "_row",
@@ -167,8 +199,9 @@ def number_and_trim(df: DataFrame, key: str | None, name: str, order_col: str =
         if st["n"] == 0 or st["hi"] - st["lo"] + 1 == st["n"]:
             lo = st["lo"] if st["n"] else 0
             out = out.withColumn(name, (F.col(order_col) - F.lit(lo) + F.lit(start)).cast("long"))
-        else:
-            out = dense_number(out, order_col, name=name, start=start)
+        else:  # positions with gaps: evenly spread, so equal-width ranges
+            out = dense_number(out, order_col, name=name, start=start,
+                               bucket=uniform_buckets(out, order_col, stats=(st["lo"], st["hi"], st["n"])))
     if key and st["last"] is not None:
         out = out.filter(F.col(order_col) <= F.lit(st["last"]))
     return out
@@ -210,12 +243,14 @@ def tail_rows(df: DataFrame, key: str, order_col: str = "_row") -> DataFrame:
 
 
 def assign_batches(df: DataFrame, order_col: str, batch_size: int, name: str = "batch",
-                   seq_name: str = "seq", materialize_input: bool = False) -> DataFrame:
+                   seq_name: str = "seq", materialize_input: bool = False,
+                   ranges: str = "quantile") -> DataFrame:
     """Chunks of ``batch_size`` rows in ``order_col`` order: ``seq`` 1..N and
     ``batch`` = floor((seq-1)/size)+1, so there are ceil(N/size) batches."""
     if batch_size < 1:
         raise ValueError("batch_size must be >= 1")
-    numbered = dense_number(df, order_col, name=seq_name, start=1, materialize_input=materialize_input)
+    numbered = dense_number(df, order_col, name=seq_name, start=1, materialize_input=materialize_input,
+                            ranges=ranges)
     return numbered.withColumn(name, (F.floor((F.col(seq_name) - 1) / F.lit(batch_size)) + 1).cast("long"))
 
 

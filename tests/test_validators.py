@@ -115,3 +115,17 @@ def test_validate_projects_idempotent(spark):
     twice, _ = validate_projects(once, CONFIG)
     cols = PROJECT_COLS + ["file_number", "_row"]
     assert sorted(map(tuple, once.select(*cols).collect())) == sorted(map(tuple, twice.select(*cols).collect()))
+
+
+def test_dense_number_uniform_ranges(spark):
+    from manifestqc.operators.rows import dense_number, number_and_trim
+    # positions with gaps (as after dropping rows): equal-width ranges, many of them
+    base = spark.range(0, 20000).filter((F.col("id") % 7 != 3)).select((F.col("id") * 2).alias("_row"))
+    n = dense_number(base, "_row", name="k", start=1, ranges="uniform", rows_per_range=700)
+    rows = n.orderBy("_row").select("k").collect()
+    assert [r.k for r in rows] == list(range(1, len(rows) + 1))
+    keyed = base.withColumn("sample_name", F.when(F.col("_row") < 30000, F.lit("s")).otherwise(F.lit("")))
+    t = number_and_trim(keyed, "sample_name", "file_number", "_row")
+    got = t.orderBy("_row").select("file_number", "_row").collect()
+    assert got[0].file_number == 1 and got[-1]._row < 30000
+    assert [r.file_number for r in got] == list(range(1, len(got) + 1))
