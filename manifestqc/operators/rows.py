@@ -99,7 +99,8 @@ def uniform_buckets(df: DataFrame, order_col: str, rows_per_range: int = ROWS_PE
     """Equal-width ranges over [min, max] of ``order_col``, about
     ``rows_per_range`` rows each when the values are spread evenly (row
     positions, sequence numbers, keys): one min/max/count pass, plain
-    arithmetic per row, and as many ranges as the data needs (no cap)."""
+    arithmetic per row, and as many ranges as the data needs (no cap), but
+    never fewer than the shuffle partitions (small inputs stay parallel)."""
     v = _as_double(df, order_col)
     if stats is None:
         stats = df.agg(F.min(v).alias("lo"), F.max(v).alias("hi"), F.count(F.lit(1)).alias("n")).first()
@@ -108,7 +109,11 @@ def uniform_buckets(df: DataFrame, order_col: str, rows_per_range: int = ROWS_PE
         lo, hi, n = stats
     if not n or lo is None:
         return F.lit(0)
-    b = max(1, -(-int(n) // int(rows_per_range)))
+    try:
+        floor_b = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    except Exception:  # pragma: no cover
+        floor_b = 8
+    b = max(1, min(int(n), max(floor_b, -(-int(n) // int(rows_per_range)))))
     width = (float(hi) - float(lo) + 1.0) / b
     return F.least(F.floor((v - F.lit(float(lo))) / F.lit(width)), F.lit(b - 1)).cast("int")
 
