@@ -74,3 +74,16 @@ def test_cli_validate_strict_exit(spark, capsys):
     code = main(["validate", "--project", p, "--sample", s, "--strict", "--instrument", "MyScope 1"])
     assert code == 1
     assert "blank_date" in capsys.readouterr().out
+
+
+def test_cli_templates(spark, capsys):
+    import json
+    from manifestqc.cli import main
+    d = tempfile.mkdtemp()
+    data = os.path.join(d, "data")
+    os.makedirs(data)
+    _files(data, ["x_R1.fq", "x_R2.fq", "y.fastq"])
+    assert main(["templates", "--file-dir", data, "--output-dir", os.path.join(d, "out")]) == 0
+    paths = json.loads(capsys.readouterr().out.strip().splitlines()[-1])
+    names = sorted(r.sample_name for r in read_manifest(spark, paths["sample"]).collect())
+    assert names == ["x", "y.fastq"]
