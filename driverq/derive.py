@@ -208,9 +208,11 @@ def sample_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
 def inventory(spark: SparkSession, sf_dir: str) -> DataFrame:
     li = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber")
     r1, r2, ab = inventory_sql("spark")
-    return (li.selectExpr(f"{r1} AS path")
-            .unionByName(li.filter("l_linenumber = 2").selectExpr(f"{r2} AS path"))
-            .unionByName(li.filter("l_linenumber = 3").selectExpr(f"{ab} AS path")))
+    # one scan: each line item yields its R1 path, plus R2 / an absolute path
+    # for line numbers 2 / 3 (the same multiset as the union in the oracle)
+    paths = (f"array_compact(array({r1}, CASE WHEN l_linenumber = 2 THEN {r2} END, "
+             f"CASE WHEN l_linenumber = 3 THEN {ab} END))")
+    return li.selectExpr(f"explode({paths}) AS path")
 
 
 # ------------------------------------------------------------------ DuckDB --
