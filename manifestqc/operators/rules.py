@@ -190,9 +190,9 @@ def latlon_column(df: DataFrame, column: str = "lat_lon") -> DataFrame:
 
 # ------------------------------------------------------------ report rules --
 # Row-level rules are specs (condition, column, value, message); any number of
-# them is evaluated in ONE pass: each row yields the array of issues that
-# fire (``array_compact`` drops the rest), which is exploded.  The input is
-# scanned once however many rules there are.
+# them is evaluated in ONE pass: each row yields an array with one slot per
+# rule (null when the rule does not fire), exploded and filtered.  The input
+# is scanned once however many rules there are.
 class RuleSpec:
     __slots__ = ("rule", "cond", "col", "value", "message", "severity")
 
@@ -211,8 +211,10 @@ def row_issues(df: DataFrame, specs: Sequence[RuleSpec], tbl: str, key: str | No
         F.lit(s.rule).alias("rule"), F.lit(s.col).cast("string").alias("col"),
         s.value.cast("string").alias("value"), s.message.cast("string").alias("message"),
         F.lit(s.severity).alias("severity"))) for s in specs]
+    # explode the fixed-size array and drop the rules that did not fire: both
+    # stay inside whole-stage codegen (array_compact would add a lambda)
     hits = df.select(_key_col(df, key).cast("string").alias("_k"), _row_col(df).alias("_r"),
-                     F.explode(F.array_compact(F.array(*items))).alias("_i"))
+                     F.explode(F.array(*items)).alias("_i")).filter(F.col("_i").isNotNull())
     return hits.select(F.col("_i.rule").alias("rule"), F.lit(tbl).alias("tbl"), F.col("_i.col").alias("col"),
                        F.col("_k").alias("key"), F.col("_r").alias("row"), F.col("_i.value").alias("value"),
                        F.col("_i.message").alias("message"), F.col("_i.severity").alias("severity"))
