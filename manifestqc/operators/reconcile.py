@@ -62,8 +62,11 @@ def file_refs(df: DataFrame, key: str = "sample_name", file_columns: Sequence[st
                        resolve_path(F.col("file"), base, strip=False).alias("path"))
 
 
-def _inventory_paths(inventory: DataFrame, path_col: str = "path") -> DataFrame:
-    return inventory.select(F.col(path_col).alias("path")).distinct()
+def _inventory_paths(inventory: DataFrame, path_col: str = "path", distinct: bool = False) -> DataFrame:
+    """The inventory's paths; de-duplicated only where a join could multiply
+    rows (a semi/anti join never does, so no aggregate is paid there)."""
+    paths = inventory.select(F.col(path_col).alias("path"))
+    return paths.distinct() if distinct else paths
 
 
 def missing_files(refs: DataFrame, inventory: DataFrame, path_col: str = "path") -> DataFrame:
@@ -71,9 +74,14 @@ def missing_files(refs: DataFrame, inventory: DataFrame, path_col: str = "path")
     return refs.join(_inventory_paths(inventory, path_col), "path", "left_anti")
 
 
+def found_files(refs: DataFrame, inventory: DataFrame, path_col: str = "path") -> DataFrame:
+    """References whose path is in the inventory (a semi-join)."""
+    return refs.join(_inventory_paths(inventory, path_col), "path", "left_semi")
+
+
 def verify_files(refs: DataFrame, inventory: DataFrame, path_col: str = "path") -> DataFrame:
     """References with a ``found`` flag: one left join gives both partitions."""
-    inv = _inventory_paths(inventory, path_col).withColumn("found", F.lit(True))
+    inv = _inventory_paths(inventory, path_col, distinct=True).withColumn("found", F.lit(True))
     return refs.join(inv, "path", "left").withColumn("found", F.coalesce("found", F.lit(False)))
 
 

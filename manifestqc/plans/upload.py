@@ -17,8 +17,7 @@ def collect_files(sample: DataFrame, inventory: DataFrame, base: str | None = No
     """Files referenced by the sample table that exist, each once, with the
     position of its first reference: ``(path, first_row, first_pos)``."""
     refs = R.file_refs(sample, key, file_columns, base)
-    found = R.verify_files(refs, inventory).filter(F.col("found"))
-    return L.distinct_files(found)
+    return L.distinct_files(R.found_files(refs, inventory))
 
 
 def upload_list(sample: DataFrame, base: str, key: str = "sample_name",
