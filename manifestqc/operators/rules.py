@@ -4,7 +4,7 @@ places, coordinates, and the row rules that only report.
 Every transform is one ``select``/``withColumns`` over all touched columns so
 the plan stays a single projection inside whole-stage codegen.  Vocabulary
 membership uses ``isin`` with a literal list (an ``InSet`` hash lookup for
-lists over 10 values); the vocabulary is configuration of bounded size.
+lists over 10 values); the vocabulary is configuration and is never joined.
 """
 
 from __future__ import annotations
@@ -19,7 +19,7 @@ from manifestqc.functions.blank import is_blank, is_blank_trimmed, not_blank
 from manifestqc.functions.dates import normalize_date
 from manifestqc.functions.geo import normalize_geo, normalize_latlon
 from manifestqc.functions.text import LAYOUT_SYNONYMS, SOURCE_SYNONYMS, canonicalize
-from manifestqc.functions.vocab import VALID_OPTIONS, VOCAB_SCHEMA
+from manifestqc.functions.vocab import VALID_OPTIONS
 from manifestqc.operators.issues import driver_issues, empty_issues, issues
 
 ROW = "_row"
@@ -130,12 +130,19 @@ def vocab_cells(df: DataFrame, options: Mapping[str, Iterable[str]], key: str |
 
 def vocab_violation_cells(df: DataFrame, options: Mapping[str, Iterable[str]] = VALID_OPTIONS,
                           key: str | None = None) -> DataFrame:
-    """Cells with a non-blank value outside the vocabulary.  The vocabulary
-    table is configuration (tens to hundreds of rows) and is broadcast."""
-    spark = df.sparkSession
-    vocab = spark.createDataFrame(sorted({(f, v) for f, vs in options.items() for v in vs}), VOCAB_SCHEMA)
-    cells = vocab_cells(df, options, key).filter(not_blank(F.col("value")))
-    return cells.join(F.broadcast(vocab), ["field", "value"], "left_anti")
+    """Cells with a non-blank value outside the vocabulary:
+    ``(key, _row, field, value)``.  Membership is an ``isin`` per field (a
+    hash-set lookup inside codegen) and only offending cells are emitted, in
+    one scan: no unpivot of every cell, no join."""
+    fields = [f for f in options if f in df.columns]
+    if not fields:
+        return df.sparkSession.createDataFrame([], "key string, _row long, field string, value string")
+    items = [F.when(vocab_bad(F.col(f), options[f]),
+                    F.struct(F.lit(f).alias("field"), F.col(f).cast("string").alias("value")))
+             for f in fields]
+    hits = df.select(_key_col(df, key).cast("string").alias("key"), _row_col(df).alias(ROW),
+                     F.explode(F.array(*items)).alias("_c")).filter(F.col("_c").isNotNull())
+    return hits.select("key", ROW, F.col("_c.field").alias("field"), F.col("_c.value").alias("value"))
 
 
 def vocab_violations(df: DataFrame, options: Mapping[str, Iterable[str]] = VALID_OPTIONS) -> DataFrame:
