@@ -208,12 +208,21 @@ def duplicate_keys(df: DataFrame, key: str = "sample_name") -> DataFrame:
     ).filter(F.col("n_rows") > 1))
 
 
-def duplicate_rows(df: DataFrame, key: str = "sample_name") -> DataFrame:
+def duplicate_rows(df: DataFrame, key: str = "sample_name", salt_buckets: int = 1) -> DataFrame:
     """Every row of a duplicated key: ``(key, _row, n_rows)``.  The per-key
-    counts (one row per key) are joined back; AQE splits a hot key."""
+    counts (one row per key) are joined back; AQE splits a hot key.  With
+    ``salt_buckets > 1`` the join is salted explicitly (for plans without
+    AQE): the row side takes ``hash(_row) mod n`` (deterministic, so a retried
+    task gets the same salt) and the one-row-per-key side is replicated over
+    the n salts, so a hot key spreads over n tasks."""
     dups = duplicate_keys(df, key).select("key", "n_rows")
     rows = df.filter(F.col(key).isNotNull()).select(F.col(key).alias("key"), _row_col(df).alias(ROW))
-    return rows.join(dups, "key")
+    if salt_buckets <= 1:
+        return rows.join(dups, "key")
+    n = int(salt_buckets)
+    salted_rows = rows.withColumn("_salt", F.pmod(F.xxhash64(F.col(ROW)), F.lit(n)))
+    salted_dups = dups.withColumn("_salt", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(n - 1).cast("long"))))
+    return salted_rows.join(salted_dups, ["key", "_salt"]).drop("_salt")
 
 
 def duplicate_issues(df: DataFrame, tbl: str, key: str = "sample_name") -> DataFrame:

@@ -75,3 +75,12 @@ def test_hot_name_pairing(spark):
     assert [r.file1 for r in hot] == ["/d0/hot_R1.fq"]
     assert pairs.filter("file2 IS NOT NULL").count() == n // 3 + 1
     assert "partial_min" in _plan(pairs)
+
+
+def test_salted_duplicate_rows_equal(spark):
+    df = _skewed(spark)
+    plain = sorted(map(tuple, R.duplicate_rows(df).select("key", "_row", "n_rows").collect()))
+    salted_df = R.duplicate_rows(df, salt_buckets=8)
+    salted = sorted(map(tuple, salted_df.select("key", "_row", "n_rows").collect()))
+    assert plain == salted and len(plain) == N // 3
+    assert "_salt" in _plan(salted_df)
