@@ -62,9 +62,10 @@ def file_refs(df: DataFrame, key: str = "sample_name", file_columns: Sequence[st
                        resolve_path(F.col("file"), base, strip=False).alias("path"))
 
 
-def _inventory_paths(inventory: DataFrame, path_col: str = "path", distinct: bool = False) -> DataFrame:
-    """The inventory's paths; de-duplicated only where a join could multiply
-    rows (a semi/anti join never does, so no aggregate is paid there)."""
+def _inventory_paths(inventory: DataFrame, path_col: str = "path", distinct: bool = True) -> DataFrame:
+    """The inventory's distinct paths.  The partial (map-side) distinct shrinks
+    listings with repeats before the shuffle, and the join reuses its hash
+    partitioning on ``path``, so it adds no exchange."""
     paths = inventory.select(F.col(path_col).alias("path"))
     return paths.distinct() if distinct else paths
 
