@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from manifestqc.llm import packing
+from manifestqc.llm import near_dup, packing
 from manifestqc.llm.common import table
 
 QUERIES = {}
@@ -17,3 +17,8 @@ def query(fn):
 @query
 def op4_packing(spark, sf_dir):
     return packing.pack_documents(table(spark, sf_dir, "documents"))
+
+
+@query
+def op8_near_dup(spark, sf_dir):
+    return near_dup.near_duplicates(table(spark, sf_dir, "documents"), width=4)
