@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from manifestqc.llm import near_dup, packing
+from manifestqc.llm import decontaminate, near_dup, packing
 from manifestqc.llm.common import table
 
 QUERIES = {}
@@ -22,3 +22,8 @@ def op4_packing(spark, sf_dir):
 @query
 def op8_near_dup(spark, sf_dir):
     return near_dup.near_duplicates(table(spark, sf_dir, "documents"), width=4)
+
+
+@query
+def op7_decontaminate(spark, sf_dir):
+    return decontaminate.contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
