@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from manifestqc.llm import decontaminate, near_dup, packing
+from manifestqc.llm import decontaminate, near_dup, packing, toxicity
 from manifestqc.llm.common import table
 
 QUERIES = {}
@@ -27,3 +27,8 @@ def op8_near_dup(spark, sf_dir):
 @query
 def op7_decontaminate(spark, sf_dir):
     return decontaminate.contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+@query
+def op3_toxicity(spark, sf_dir):
+    return toxicity.toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")).drop("passages")
