@@ -71,24 +71,22 @@ def window_hashes(h: np.ndarray, width: int) -> np.ndarray:
     return mix(out + np.uint64(w))
 
 
-def bitmap(df: DataFrame, column: str, log2_bits: int = 23) -> np.ndarray:
-    """Bits set at the low bits of xxhash64(column): a filter of fixed size (1 MiB by default) for a later scan.
+def bitmap(df: DataFrame, bit, log2_bits: int = 23) -> np.ndarray:
+    """A filter of fixed size (1 MiB by default) of the bit numbers in a column, for a later scan.
 
-    It lets through every value of the column and some others, which an exact
-    join has to remove; what reaches the driver is bounded by the bitmap size.
+    It lets through every value that has a row and some others, which an exact
+    join has to remove; what reaches the driver is bounded by the filter's size.
     """
-    h = F.pmod(F.xxhash64(column), F.lit(1 << log2_bits))
-    words = (df.select(h.alias("h"))
-             .groupBy(F.shiftright("h", 5).cast("int").alias("w"))
+    words = (df.select(bit.alias("h")).groupBy(F.shiftright("h", 5).cast("int").alias("w"))
              .agg(F.bit_or(F.expr("shiftleft(1L, cast(h & 31 as int))")).alias("bits")).toPandas())
     out = np.zeros(1 << (log2_bits - 5), np.uint32)
-    out[words["w"].to_numpy()] = words["bits"].to_numpy().astype(np.uint32)
+    out[words["w"].to_numpy(np.int64)] = words["bits"].to_numpy(np.int64).astype(np.uint32)
     return out
 
 
-def hash_bits(column: str, log2_bits: int = 23):
-    """The bit number that ``bitmap`` sets for a value, as a column."""
-    return F.pmod(F.xxhash64(column), F.lit(1 << log2_bits)).cast("int")
+def bit_number(hash64, log2_bits: int = 23):
+    """The bit that a 64-bit hash column sets."""
+    return F.pmod(hash64, F.lit(1 << log2_bits)).cast("int")
 
 
 def in_bitmap(bits: np.ndarray, numbers: np.ndarray) -> np.ndarray:

@@ -38,7 +38,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from manifestqc.llm.common import WordHashes, bitmap, checkpoint, hash_bits, in_bitmap, text_slices, window_hashes
+from manifestqc.llm.common import WordHashes, bit_number, bitmap, checkpoint, in_bitmap, text_slices, window_hashes
 from manifestqc.llm.components import connected
 
 BANDS, ROWS, HASHES = 28, 4, 128
@@ -126,7 +126,7 @@ def verified(docs: DataFrame, pairs: DataFrame, width: int, percent: int) -> Dat
     """Pairs whose full shingle sets reach the similarity.  ``pairs`` has to be checkpointed."""
     ids = pairs.select(F.col("a").alias("id")).union(pairs.select("b")).distinct()
     ids = checkpoint(ids)
-    bits = docs.sparkSession.sparkContext.broadcast(bitmap(ids, "id"))
+    bits = docs.sparkSession.sparkContext.broadcast(bitmap(ids, bit_number(F.xxhash64("id"))))
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in frames:
@@ -135,7 +135,7 @@ def verified(docs: DataFrame, pairs: DataFrame, width: int, percent: int) -> Dat
                 sets = [shingle_set(t, width).view(np.int64) for t in texts]
                 yield pd.DataFrame({"id": part["doc_id"].to_numpy(), "shingles": sets})
 
-    rows = docs.where("doc_id is not null").select("doc_id", "text", hash_bits("doc_id").alias("bit")).mapInPandas(run, "id long, shingles array<long>")
+    rows = docs.where("doc_id is not null").select("doc_id", "text", bit_number(F.xxhash64("doc_id")).alias("bit")).mapInPandas(run, "id long, shingles array<long>")
     sets = rows.join(ids, "id", "left_semi")
     a, b = (sets.select(F.col("id").alias(c), F.col("shingles").alias(f"s{c}")) for c in "ab")
     both = F.size(F.array_intersect("sa", "sb"))

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from manifestqc.llm import decontaminate, near_dup, packing, toxicity
+from manifestqc.llm import decontaminate, line_dedup, near_dup, packing, toxicity
 from manifestqc.llm.common import table
 
 QUERIES = {}
@@ -32,3 +32,8 @@ def op7_decontaminate(spark, sf_dir):
 @query
 def op3_toxicity(spark, sf_dir):
     return toxicity.toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")).drop("passages")
+
+
+@query
+def op2_line_dedup(spark, sf_dir):
+    return line_dedup.line_report(table(spark, sf_dir, "documents"))
