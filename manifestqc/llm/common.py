@@ -92,3 +92,22 @@ def bit_number(hash64, log2_bits: int = 23):
 def in_bitmap(bits: np.ndarray, numbers: np.ndarray) -> np.ndarray:
     n = numbers.astype(np.int64)
     return (bits[n >> 5] >> (n & 31).astype(np.uint32)) & 1 == 1
+
+
+def split_by_ids(docs: DataFrame, ids: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """``docs`` in two: rows whose doc_id is surely not in ``ids`` (doc_id, checkpointed), and the rest.
+
+    Only the rest has to meet ``ids`` in a shuffle, so texts of documents that
+    a decision does not touch stay where they are.
+    """
+    held = docs.sparkSession.sparkContext.broadcast(bitmap(ids, bit_number(F.xxhash64("doc_id"))))
+
+    @F.pandas_udf("boolean")
+    def possible(bit: pd.Series) -> pd.Series:
+        return pd.Series(in_bitmap(held.value, bit.to_numpy()))
+
+    mark = "_possible"
+    while mark in docs.columns:
+        mark += "_"
+    marked = docs.withColumn(mark, F.col("doc_id").isNotNull() & possible(F.coalesce(bit_number(F.xxhash64("doc_id")), F.lit(0))))
+    return marked.where(~F.col(mark)).drop(mark), marked.where(F.col(mark)).drop(mark)

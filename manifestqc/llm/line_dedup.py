@@ -37,7 +37,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from manifestqc.llm.common import WordHashes, bit_number, bitmap, checkpoint, in_bitmap, mix, text_slices
+from manifestqc.llm.common import WordHashes, bit_number, bitmap, checkpoint, in_bitmap, mix, split_by_ids, text_slices
 
 WIDTH = 5
 PERCENT = 80
@@ -245,16 +245,8 @@ def dedup_lines(docs: DataFrame, width: int = WIDTH, percent: int = PERCENT) ->
     lines = "_lines"
     while lines in docs.columns:
         lines += "_"
-    held = docs.sparkSession.sparkContext.broadcast(bitmap(gone, bit_number(F.xxhash64("doc_id"))))
-
-    @F.pandas_udf("boolean")
-    def may_lose(bit: pd.Series) -> pd.Series:
-        return pd.Series(in_bitmap(held.value, bit.to_numpy()))
-
-    mark = lines + "mark"
-    marked = docs.withColumn(mark, F.coalesce(may_lose(F.coalesce(bit_number(F.xxhash64("doc_id")), F.lit(0))) & F.col("doc_id").isNotNull(), F.lit(False)))
-    same = marked.where(~F.col(mark)).drop(mark)
-    some = marked.where(F.col(mark)).drop(mark).join(gone.withColumnRenamed("lines", lines), "doc_id", "left")
+    same, some = split_by_ids(docs, gone)
+    some = some.join(gone.withColumnRenamed("lines", lines), "doc_id", "left")
     cut = some.withColumn("text", F.when(F.col(lines).isNull(), F.col("text")).otherwise(F.pandas_udf(_without, "string")("text", lines)))
     cut = cut.where(F.col(lines).isNull() | F.col("text").rlike(r"[^\x20\x09-\x0D]"))
     if "n_chars" in docs.columns:

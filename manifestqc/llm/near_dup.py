@@ -38,7 +38,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from manifestqc.llm.common import WordHashes, bit_number, bitmap, checkpoint, in_bitmap, text_slices, window_hashes
+from manifestqc.llm.common import WordHashes, bit_number, bitmap, checkpoint, in_bitmap, split_by_ids, text_slices, window_hashes
 from manifestqc.llm.components import connected
 
 BANDS, ROWS, HASHES = 28, 4, 128
@@ -199,3 +199,11 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80, miss: fl
     return (sketched.select("doc_id", "n_shingles").join(parts.withColumnRenamed("id", "doc_id"), "doc_id", "left")
             .select("doc_id", "n_shingles", F.coalesce("component", "doc_id").alias("component_id"))
             .withColumn("kept", F.col("doc_id").eqNullSafe(F.col("component_id"))))
+
+
+def deduplicated(docs: DataFrame, width: int = 5, percent: int = 80, miss: float = MISS) -> DataFrame:
+    """``docs`` with one document (the smallest doc_id) of each group; columns as they are."""
+    gone = checkpoint(near_duplicates(docs, width, percent, miss).where(~F.col("kept")).select("doc_id").distinct())
+    same, some = split_by_ids(docs, gone)
+    names = [F.col(f"`{c}`") for c in docs.columns]
+    return same.select(names).union(some.join(gone, "doc_id", "left_anti").select(names))
