@@ -37,7 +37,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from manifestqc.llm.common import WordHashes, bit_number, bitmap, checkpoint, in_bitmap, mix, split_by_ids, text_slices
+from manifestqc.llm.common import WordHashes, bit_number, bitmap, checkpoint, in_bitmap, mix, split_by_ids, summed_bins, text_slices
 
 WIDTH = 5
 PERCENT = 80
@@ -112,10 +112,7 @@ def line_sets(docs: DataFrame, width: int) -> DataFrame:
 
 def rarity_ranks(found: DataFrame) -> np.ndarray:
     """Rank of each bin by its count over all documents (BINS rows reach the driver)."""
-    counts = np.zeros(BINS, np.int64)
-    rows = (found.where("bins is not null").select(F.posexplode("bins").alias("bin", "n")).where("n > 0")
-            .groupBy("bin").agg(F.sum("n").alias("n")).toPandas())
-    counts[rows["bin"].to_numpy(np.int64)] = rows["n"].to_numpy(np.int64)
+    counts = summed_bins(found, "bins", BINS)
     ranks = np.empty(BINS, np.uint64)
     ranks[np.lexsort((np.arange(BINS), counts))] = np.arange(BINS, dtype=np.uint64)
     return ranks

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from manifestqc.llm import chat, decontaminate, line_dedup, near_dup, packing, toxicity, warc
+from manifestqc.llm import chat, decontaminate, line_dedup, near_dup, packing, quality, toxicity, warc
 from manifestqc.llm.common import table
 from manifestqc.session import scratch_path
 
@@ -57,3 +57,8 @@ def op10_warc(spark, sf_dir):
     base = scratch_path(spark, "warc")
     manifest = warc.converted(warc.arc_containers(table(spark, sf_dir, "pages")), base)
     return warc.read_warc(manifest, base).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to", "target_uri", "warc_date")
+
+
+@query
+def op6_quality(spark, sf_dir):
+    return quality.quality(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
