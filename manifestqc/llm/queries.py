@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from manifestqc.llm import chat, decontaminate, line_dedup, near_dup, packing, quality, toxicity, warc
+from manifestqc.llm import chat, decontaminate, line_dedup, near_dup, packing, pii, quality, toxicity, warc
 from manifestqc.llm.common import table
 from manifestqc.session import scratch_path
 
@@ -62,3 +62,8 @@ def op10_warc(spark, sf_dir):
 @query
 def op6_quality(spark, sf_dir):
     return quality.quality(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+@query
+def op5_pii(spark, sf_dir):
+    return pii.personal_data(table(spark, sf_dir, "documents"))
