@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from manifestqc.llm import chat, decontaminate, line_dedup, near_dup, packing, pii, quality, toxicity, warc
+from manifestqc.llm import chat, decontaminate, line_dedup, near_dup, packing, pii, quality, toxicity, training_order, warc
 from manifestqc.llm.common import table
 from manifestqc.session import scratch_path
 
@@ -67,3 +67,11 @@ def op6_quality(spark, sf_dir):
 @query
 def op5_pii(spark, sf_dir):
     return pii.personal_data(table(spark, sf_dir, "documents"))
+
+
+@query
+def op1_training_order(spark, sf_dir):
+    base = scratch_path(spark, "training-order")
+    manifest = training_order.write_shards(table(spark, sf_dir, "documents"), base)
+    kind = training_order.record_type(training_order.LENGTH, 1 << 16)
+    return training_order.read_shards(manifest, base, kind)
