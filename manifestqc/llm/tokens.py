@@ -2,8 +2,9 @@
 
 The tokenizer (word_bpe_49k.json) never merges across a space or a line break,
 so the ids of a text are the concatenated ids of its pieces.  New pieces of a
-slice are encoded in one call, set apart by a control character that has one id
-of its own; pieces that hold this character or a special token are encoded alone.
+slice are encoded many to a call.  Pieces of letters are told apart by the ids
+that end a word, other pieces by a control character that has one id of its own;
+pieces that hold this character or a special token are encoded alone.
 """
 
 from __future__ import annotations
@@ -14,8 +15,11 @@ from functools import lru_cache
 import numpy as np
 
 TOKENIZER = "word_bpe_49k.json"
-CACHED_PIECES = 600_000
+CACHED_PIECES = 500_000
 APART = "\x01"
+CACHED_TAILS = 20_000
+LATIN_END = "\u0250"
+MARKS = ".,;:!?|%$&*#)\""
 
 
 def tokenizer_path(name: str = TOKENIZER) -> str:
@@ -34,35 +38,70 @@ class PieceIds:
     """ids of texts as little-endian unsigned 32-bit bytes."""
 
     def __init__(self, path: str, end_id: int | None = None):
-        self.tokenizer, self.cache = load(path), {}
+        self.tokenizer = load(path)
+        self.cache: dict[str, bytes] = {}  # whole pieces
+        self.letters: dict[str, bytes] = {}
+        self.tails: dict[str, bytes] = {}
         self.end = b"" if end_id is None else np.array([end_id], "<u4").tobytes()
         apart = self.tokenizer.encode(APART, add_special_tokens=False).ids
         if len(apart) != 1:
             raise ValueError("the separator must be one id of its own")
-        self.apart = apart[0]
+        size = self.tokenizer.get_vocab_size(with_added_tokens=True)
+        self.is_apart, self.ends_word = np.zeros(size, bool), np.zeros(size, bool)
+        self.is_apart[apart[0]] = True
+        self.ends_word[[i for token, i in self.tokenizer.get_vocab(with_added_tokens=True).items() if token.endswith("</w>")]] = True
 
     def _alone(self, piece: str) -> bytes:
         return np.array(self.tokenizer.encode(piece, add_special_tokens=False).ids, "<u4").tobytes()
 
-    def _learn(self, pieces: list[str]) -> None:
-        plain = [p for p in pieces if APART not in p and "<|" not in p]
-        for p in set(pieces).difference(plain):
-            self.cache[p] = self._alone(p)
-        for i in range(0, len(plain), 500):
-            part = plain[i:i + 500]
-            ids = np.array(self.tokenizer.encode_batch_fast([f" {APART} ".join(part)], add_special_tokens=False)[0].ids, "<u4")
-            cuts, raw = np.flatnonzero(ids == self.apart), ids.tobytes()
-            if len(cuts) != len(part) - 1:
-                self.cache.update((p, self._alone(p)) for p in part)
+    def _encode(self, pieces: list[str], into: dict[str, bytes], between: str, is_last: np.ndarray, drop: int) -> None:
+        """Many pieces to a call; ``is_last`` marks the ids that end a piece, ``drop`` how many of these belong to no piece."""
+        for i in range(0, len(pieces), 1000):
+            part = pieces[i:i + 1000]
+            ids = np.array(self.tokenizer.encode_batch_fast([between.join(part) + between], add_special_tokens=False)[0].ids, "<u4")
+            cuts, raw = np.flatnonzero(is_last[ids]) + 1, ids.tobytes()
+            if len(cuts) != len(part):
+                into.update((p, self._alone(p)) for p in part)
                 continue
-            ends = [*(cuts * 4).tolist(), len(raw)]
-            starts = [0, *((cuts + 1) * 4).tolist()]
-            self.cache.update((p, raw[a:z]) for p, a, z in zip(part, starts, ends))
+            ends = (cuts * 4).tolist()
+            into.update((p, raw[a:z - 4 * drop]) for p, a, z in zip(part, [0, *ends], ends))
+
+    def _learn(self, pieces: list[str]) -> None:
+        """Letters with a tail of marks ("Word.,") are two words to the tokenizer: their lower-case letters are learnt once."""
+        try:
+            "".join(pieces).encode("latin-1")
+            other: list[str] = []
+        except UnicodeEncodeError:  # beyond Latin letters lower() may differ from the tokenizer's own
+            other = [p for p in pieces if max(p, default=" ") >= LATIN_END]
+            pieces = list(set(pieces).difference(other))
+        lows = [p.lower() for p in pieces]
+        cores = [low.rstrip(MARKS) for low in lows]
+        letters, tails, cache = self.letters, self.tails, self.cache
+        if len(letters) > CACHED_PIECES:
+            letters.clear()
+        words = [c for c in set(cores).difference(letters) if c.isalpha()]
+        self._encode(words, letters, " ", self.ends_word, 0)
+        for p, low, core in zip(pieces, lows, cores):
+            ids = letters.get(core)
+            if ids is None:
+                other.append(p)
+            elif len(core) == len(low):
+                cache[p] = ids
+            else:
+                tail = low[len(core):]
+                if tail not in tails:
+                    tails[tail] = self._alone(tail)
+                cache[p] = ids + tails[tail]
+        alone = [p for p in other if APART in p or "<|" in p]
+        cache.update((p, self._alone(p)) for p in alone)
+        self._encode(list(set(other).difference(alone)), cache, f" {APART} ", self.is_apart, 1)
 
     def encode(self, texts: list[str]) -> list[bytes]:
         split = [t.replace("\n", " ").split(" ") for t in texts]
         if len(self.cache) > CACHED_PIECES:
             self.cache.clear()
+        if len(self.tails) > CACHED_TAILS:
+            self.tails.clear()
         new = set().union(*split).difference(self.cache.keys())
         if new:
             self._learn(list(new))
