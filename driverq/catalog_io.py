@@ -11,6 +11,7 @@ from driverq.catalog_ops import FOLDER, WP, _ledger
 from driverq.registry import query
 from manifestqc.operators import rules as U
 from manifestqc.session import scratch_path
+from manifestqc.sources.files import existing_files
 from manifestqc.sources.ledger_store import read_ledger, write_ledger
 from manifestqc.sources.manifest import list_files, read_manifest, write_manifest
 
@@ -32,12 +33,23 @@ def q_read_manifest(spark, sf):
 _S_COLS = list(D.sample_columns("duck"))
 
 
-@query("write_roundtrip", f"""WITH {CTE} SELECT {', '.join(f"nullif({c}, '') AS {c}" for c in _S_COLS)}, _row,
+# quotes, doubled quotes, separators, backslashes and line breaks in one column
+_HARD = """CASE _row % 6 WHEN 0 THEN '"q" ' || {t} WHEN 1 THEN {t} || chr(9) || 'tab' WHEN 2 THEN 'back\\slash\\n ' || {t}
+  WHEN 3 THEN 'line' || chr(10) || 'break' || chr(13) || {t} WHEN 4 THEN ' say ""hi"" \\' ELSE {t} END"""
+_HARD_SPARK = _HARD.replace("\\", "\\\\")
+
+
+def _hard_cell(c):
+    return _HARD.format(t="title") + " AS title" if c == "title" else f"nullif({c}, '') AS {c}"
+
+
+@query("write_roundtrip", f"""WITH {CTE} SELECT {', '.join(map(_hard_cell, _S_COLS))}, _row,
   CAST({len(_S_COLS)} AS BIGINT) AS _width FROM S""")
 def q_write_roundtrip(spark, sf):
     out = scratch_path(spark, "sample-manifest")
-    write_manifest(D.sample_manifest(spark, sf), out)
-    return read_manifest(spark, out)
+    hard = D.sample_manifest(spark, sf).withColumn("title", F.expr(_HARD_SPARK.format(t="title")))
+    write_manifest(hard, out, breaks="encode")
+    return read_manifest(spark, out, breaks="encode")
 
 
 _RAGGED_HEADER = ["o_orderkey", "o_orderpriority", "o_orderstatus", "o_orderdate"]
@@ -81,13 +93,39 @@ def q_row_width(spark, sf):
         .select("row", "value")
 
 
-@query("list_files")
+_FILE_NAME = """'sup' || CAST(s_suppkey AS STRING) || CASE s_suppkey % 6 WHEN 0 THEN '_R1.fastq.gz' WHEN 1 THEN '_2.fq'
+  WHEN 2 THEN '.fastq' WHEN 3 THEN '.bam' WHEN 4 THEN '.FQ' ELSE '_1.fq.gz' END"""
+
+
+def _touch(spark, sf, name):
+    """A folder with one small file per supplier, some of them sequence files by name."""
+    out = scratch_path(spark, name).removeprefix("file://").removeprefix("file:")
+
+    def touch(frames):
+        import os
+        os.makedirs(out, exist_ok=True)
+        for pdf in frames:
+            for n in pdf["name"]:
+                with open(f"{out}/{n}", "wb") as f:
+                    f.write(b"@")
+            yield pdf
+
+    D.table(spark, sf, "supplier").selectExpr(f"{_FILE_NAME} AS name").mapInPandas(touch, "name string").write.format("noop").mode("overwrite").save()
+    return out
+
+
+@query("list_files", f"SELECT name FROM (SELECT {_FILE_NAME} AS name FROM supplier) WHERE regexp_matches(name, '\\.(fastq|fq)(\\.gz)?$')")
 def q_list_files(spark, sf):
-    """List a folder whose file count grows with the data (500 lines per file)."""
-    out = scratch_path(spark, "listing")
-    o = D.table(spark, sf, "orders").select(F.col("o_orderkey").cast("string").alias("value"))
-    o.write.option("maxRecordsPerFile", 500).mode("overwrite").text(out)
-    return list_files(spark, out, glob="*.txt")
+    return list_files(spark, _touch(spark, sf, "listing")).select("name")
+
+
+@query("existing_files", f"""SELECT {_FILE_NAME} AS name FROM supplier""")
+def q_existing_files(spark, sf):
+    """Probes of the file names of all suppliers, and of as many that are not there."""
+    out = _touch(spark, sf, "probes")
+    names = D.table(spark, sf, "supplier").selectExpr(f"concat('{out}/', {_FILE_NAME}) AS path")
+    probes = names.union(names.selectExpr("concat(path, '.absent')")).union(names)
+    return existing_files(probes).selectExpr("substring_index(path, '/', -1) AS name")
 
 
 @query("ledger_read", f"{WP} SELECT '{FOLDER}' AS folder, path, status FROM OUTC")
@@ -97,7 +135,9 @@ def q_ledger_read(spark, sf):
     return read_ledger(spark, loc, FOLDER).select("folder", "path", "status")
 
 
-@query("ledger_write")
+@query("ledger_write", f"""{WP}, L AS (SELECT '{FOLDER}' AS folder, status FROM OUTC
+  UNION ALL SELECT 'retry', status FROM OUTC WHERE status = 'failed')
+SELECT folder, status, CAST(count(*) AS BIGINT) AS n FROM L GROUP BY folder, status""")
 def q_ledger_write(spark, sf):
     loc = scratch_path(spark, "ledger")
     led = _ledger(spark, sf)

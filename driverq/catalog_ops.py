@@ -29,17 +29,17 @@ CONFIG = {"default_values": {"library_strategy": "WGS", "platform": "ILLUMINA",
           "contact": CONTACT}
 
 # ------------------------------------------------------------- upload plan --
-_PLAN = f"""FF AS (SELECT path, min(_row * 64 + col_pos) AS k FROM VER WHERE found GROUP BY path),
-FILES AS (SELECT path, k // 64 AS first_row, CAST(k % 64 AS INTEGER) AS first_pos FROM FF),
+_PLAN = f"""FF AS (SELECT path, _row, col_pos, row_number() OVER (PARTITION BY path ORDER BY _row, col_pos) AS rn FROM VER WHERE found),
+FILES AS (SELECT path, _row AS first_row, CAST(col_pos AS INTEGER) AS first_pos FROM FF WHERE rn = 1),
 B0 AS (SELECT path, first_row, first_pos, row_number() OVER (ORDER BY first_row, first_pos) AS seq FROM FILES),
 B AS (SELECT *, (seq - 1) // {BATCH} + 1 AS batch FROM B0),
 EV AS (SELECT event_id AS attempt_no, user_id + 1 AS batch,
        CASE WHEN event_type = 'purchase' THEN event_id % {BATCH} + 1 END AS slot, event_type <> 'error' AS ok FROM events),
-MEM AS (SELECT B.path, EV.attempt_no, EV.ok FROM EV JOIN B ON EV.batch = B.batch WHERE EV.slot IS NULL
-  UNION ALL SELECT B.path, EV.attempt_no, EV.ok FROM EV JOIN B
+MEM AS (SELECT B.path, EV.attempt_no, EV.ok, EV.attempt_no AS ord FROM EV JOIN B ON EV.batch = B.batch WHERE EV.slot IS NULL
+  UNION ALL SELECT B.path, EV.attempt_no, EV.ok, EV.attempt_no + 1000000000000 FROM EV JOIN B
   ON EV.batch = B.batch AND EV.slot = B.seq - (B.batch - 1) * {BATCH} WHERE EV.slot IS NOT NULL),
-OUTC AS (SELECT path, CASE WHEN arg_max(ok, attempt_no) THEN 'uploaded' ELSE 'failed' END AS status,
-  max(attempt_no) AS attempt_no FROM MEM GROUP BY path),
+OUTC AS (SELECT path, CASE WHEN arg_max(ok, ord) THEN 'uploaded' ELSE 'failed' END AS status,
+  arg_max(attempt_no, ord) AS attempt_no FROM MEM GROUP BY path),
 MID AS (SELECT max(event_id) // 2 AS m FROM events)"""
 WP = f"{W}, {_PLAN}"
 
@@ -54,8 +54,7 @@ def _files(spark, sf, materialized: bool = False):
 
 def _batches(spark, sf, files=None):
     f = (files if files is not None else _files(spark, sf, materialized=True))
-    f = f.withColumn("_ord", F.col("first_row") * 64 + F.col("first_pos"))
-    return assign_batches(f, "_ord", BATCH).drop("_ord")
+    return assign_batches(f, ["first_row", "first_pos"], BATCH, materialize_input=True)
 
 
 def _attempts(spark, sf, batches):
@@ -95,9 +94,9 @@ def q_reduce_attempts(spark, sf):
 
 
 @query("ledger_merge", f"""{WP},
-OLD AS (SELECT path, CASE WHEN arg_max(ok, attempt_no) THEN 'uploaded' ELSE 'failed' END AS status
+OLD AS (SELECT path, CASE WHEN arg_max(ok, ord) THEN 'uploaded' ELSE 'failed' END AS status
         FROM MEM, MID WHERE attempt_no < MID.m GROUP BY path),
-NEW AS (SELECT path, CASE WHEN arg_max(ok, attempt_no) THEN 'uploaded' ELSE 'failed' END AS status
+NEW AS (SELECT path, CASE WHEN arg_max(ok, ord) THEN 'uploaded' ELSE 'failed' END AS status
         FROM MEM, MID WHERE attempt_no >= MID.m GROUP BY path)
 SELECT '{FOLDER}' AS folder, coalesce(NEW.path, OLD.path) AS path, coalesce(NEW.status, OLD.status) AS status
 FROM OLD FULL OUTER JOIN NEW ON OLD.path = NEW.path""")
@@ -275,8 +274,8 @@ def q_issue_summary(spark, sf):
     return ISS.issue_summary(iss)
 
 
-_PAIR_MISS = f"""FRK0 AS (SELECT sample_name AS key, {Q.strip('filename')} AS file FROM SK
-  UNION ALL SELECT sample_name, {Q.strip('filename2')} FROM SK),
+_PAIR_MISS = f"""FRK0 AS (SELECT sample_name AS key, {Q.strip('filename')} AS file FROM SK0
+  UNION ALL SELECT sample_name, {Q.strip('filename2')} FROM SK0),
 FRK AS (SELECT key, {Q.resolve('file', BASE)} AS path FROM FRK0 WHERE file IS NOT NULL AND file <> '')"""
 
 
@@ -285,14 +284,22 @@ def _first(rel: str) -> str:
    row_number() OVER (PARTITION BY sample_name ORDER BY _row) AS rn FROM {rel}) WHERE rn = 1)"""
 
 
-_PAIR_ISSUES = f"""SK AS (SELECT * FROM S WHERE {Q.not_blank('sample_name')}),
-PK AS (SELECT * FROM P WHERE {Q.not_blank('sample_name')}),
+def _pair_issues(drop: bool = False) -> str:
+    """Issue rows of the pair; with ``drop`` samples with a missing file leave both tables first."""
+    keep = "AND sample_name NOT IN (SELECT key FROM GONE)" if drop else ""
+    missing = "'removed_sample' AS rule, 'sample' AS tbl, 'info'" if drop else "'missing_file' AS rule, 'sample' AS tbl, 'error'"
+    return f"""SK0 AS (SELECT * FROM S WHERE {Q.not_blank('sample_name')}),
 IV AS (SELECT DISTINCT path FROM I), {_PAIR_MISS},
+GONE AS (SELECT key, path FROM FRK WHERE path NOT IN (SELECT path FROM IV)),
+SK AS (SELECT * FROM SK0 WHERE true {keep}),
+PK AS (SELECT * FROM P WHERE {Q.not_blank('sample_name')} {keep}),
 FS AS (SELECT key, {Q.strip('filename')} AS a FROM {_first('SK')} WHERE NOT {Q.blank_t('filename')}),
 FP AS (SELECT key, {Q.strip('filename')} AS b FROM {_first('PK')} WHERE NOT {Q.blank_t('filename')}),
 KA AS (SELECT DISTINCT sample_name AS key FROM SK), KB AS (SELECT DISTINCT sample_name AS key FROM PK),
 X AS (
-  SELECT 'missing_file' AS rule, 'sample' AS tbl, 'error' AS severity FROM FRK WHERE path NOT IN (SELECT path FROM IV)
+  SELECT {missing} AS severity FROM GONE
+  UNION ALL SELECT 'blank_key', 'sample', 'info' FROM S WHERE NOT {Q.not_blank('sample_name')}
+  UNION ALL SELECT 'blank_key', 'project', 'info' FROM P WHERE NOT {Q.not_blank('sample_name')}
   UNION ALL SELECT 'filename_mismatch', 'both', 'warning' FROM FS JOIN FP ON FS.key = FP.key
     WHERE a <> b AND {Q.basename('a')} <> {Q.basename('b')}
   UNION ALL SELECT 'key_coverage', CASE WHEN KA.key IS NULL THEN 'project' ELSE 'sample' END, 'warning'
@@ -301,7 +308,10 @@ X AS (
   UNION ALL {' UNION ALL '.join(_sample_issue_sql('SK'))})"""
 
 
-@query("validate_pair", f"""WITH {CTE}, {_PAIR_ISSUES}
+_BLOCKING = f"rule IN ({', '.join(Q.q(r) for r in ISS.STRICT_RULES)}) OR severity = 'error'"
+
+
+@query("validate_pair", f"""WITH {CTE}, {_pair_issues()}
 SELECT rule, tbl, severity, CAST(count(*) AS BIGINT) AS n_issues FROM X GROUP BY rule, tbl, severity""")
 def q_validate_pair(spark, sf):
     _, _, iss = validate_pair(D.project_manifest(spark, sf), D.sample_manifest(spark, sf), None,
@@ -309,9 +319,16 @@ def q_validate_pair(spark, sf):
     return iss.groupBy("rule", "tbl", "severity").agg(F.count(F.lit(1)).cast("long").alias("n_issues"))
 
 
-@query("strict_gate", f"""WITH {CTE}, {_PAIR_ISSUES}
-SELECT CAST(count_if(rule IN ({', '.join(Q.q(r) for r in ISS.STRICT_RULES)}) OR severity = 'error') AS BIGINT) AS n_blocking,
-  count_if(rule IN ({', '.join(Q.q(r) for r in ISS.STRICT_RULES)}) OR severity = 'error') = 0 AS passed FROM X""")
+@query("strict_gate_drop", f"""WITH {CTE}, {_pair_issues(drop=True)}
+SELECT CAST(count_if({_BLOCKING}) AS BIGINT) AS n_blocking, count_if({_BLOCKING}) = 0 AS passed FROM X""")
+def q_strict_gate_drop(spark, sf):
+    _, _, iss = validate_pair(D.project_manifest(spark, sf), D.sample_manifest(spark, sf), None,
+                              inventory=D.inventory(spark, sf), base=BASE, file_columns=FILES, on_missing="drop")
+    return ISS.strict_gate(iss)
+
+
+@query("strict_gate", f"""WITH {CTE}, {_pair_issues()}
+SELECT CAST(count_if({_BLOCKING}) AS BIGINT) AS n_blocking, count_if({_BLOCKING}) = 0 AS passed FROM X""")
 def q_strict_gate(spark, sf):
     _, _, iss = validate_pair(D.project_manifest(spark, sf), D.sample_manifest(spark, sf), None,
                               inventory=D.inventory(spark, sf), base=BASE, file_columns=FILES)

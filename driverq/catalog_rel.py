@@ -253,8 +253,8 @@ def q_preview_per_group(spark, sf):
         .select("key", "path", "n_more")
 
 
-@query("distinct_files", f"""{W} SELECT path, min(_row * 64 + col_pos) // 64 AS first_row,
-  CAST(min(_row * 64 + col_pos) % 64 AS INTEGER) AS first_pos FROM FR GROUP BY path""")
+@query("distinct_files", f"""{W} SELECT path, _row AS first_row, CAST(col_pos AS INTEGER) AS first_pos
+FROM (SELECT *, row_number() OVER (PARTITION BY path ORDER BY _row, col_pos) AS rn FROM FR) WHERE rn = 1""")
 def q_distinct_files(spark, sf):
     from manifestqc.operators.ledger import distinct_files
     return distinct_files(_refs(spark, sf))

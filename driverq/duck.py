@@ -1,7 +1,8 @@
 """The manifest rules re-stated as DuckDB SQL text, for the oracle queries.
 
-Written independently of the Spark implementation from the rule statements
-(RE2 regexes, 1-based lists, ``regexp_replace`` with the ``g`` flag)."""
+Written from the rule statements (RE2 regexes, 1-based lists,
+``regexp_replace`` with the ``g`` flag); month names, keep-words and synonyms
+are the library's fixed values."""
 
 from __future__ import annotations
 
@@ -16,7 +17,8 @@ def q(v: str | None) -> str:
 
 
 def strip(x: str) -> str:
-    return rf"regexp_replace({x}, '^\s+|\s+$', '', 'g')"
+    white = r"[\s\x0B\x1C-\x1F\x{85}\p{Z}]"
+    return f"regexp_replace({x}, '^{white}+|{white}+$', '', 'g')"
 
 
 def blank(x: str) -> str:
@@ -98,7 +100,6 @@ def date(x: str, strict: bool = False) -> str:
 def geo(x: str) -> str:
     t = strip(x)
     return rf"""CASE WHEN {x} IS NULL OR {t} = '' THEN ''
-      WHEN regexp_matches({t}, '^[A-Za-z\s]+:[A-Za-z\s]+$') THEN {t}
       WHEN regexp_matches({t}, '^[A-Za-z\s]+$') THEN {t} || ':'
       ELSE {t} END"""
 
@@ -144,7 +145,7 @@ def resolve(p: str, base: str | None) -> str:
     if not base:
         return p
     joined = f"{q(base)} || {p}" if base.endswith("/") else f"{q(base + '/')} || {p}"
-    return f"CASE WHEN starts_with({p}, '/') THEN {p} ELSE {joined} END"
+    return f"CASE WHEN starts_with({p}, '/') OR regexp_matches({p}, '^[A-Za-z][A-Za-z0-9+.-]*://') THEN {p} ELSE {joined} END"
 
 
 def expected_mate(n: str) -> str:

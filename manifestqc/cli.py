@@ -15,8 +15,8 @@ def main(argv=None) -> int:
     ap = argparse.ArgumentParser(prog="manifestqc")
     sub = ap.add_subparsers(dest="cmd", required=True)
     v = sub.add_parser("validate", help="validate and reconcile a project + sample manifest pair")
-    v.add_argument("--project", required=True)
-    v.add_argument("--sample", required=True)
+    v.add_argument("--project", help="project table; it or --sample may be left out")
+    v.add_argument("--sample")
     v.add_argument("--config")
     v.add_argument("--file-dir", help="folder holding the referenced sequence files")
     v.add_argument("--output-dir")
@@ -29,9 +29,9 @@ def main(argv=None) -> int:
     t.add_argument("--config")
     args = ap.parse_args(argv)
 
-    from manifestqc.session import local_session
-    spark = local_session()
-    cfg = load_config(args.config)
+    from manifestqc.session import submitted_session
+    spark = submitted_session()
+    cfg = load_config(args.config, spark)
     if args.cmd == "templates":
         from manifestqc.plans.run import generate_templates
         print(json.dumps(dict(zip(("sample", "project"),

@@ -2,7 +2,9 @@
 
 Two strengths of "blank" exist in manifests: exact (null or the empty string)
 and trimmed (nothing but whitespace).  Spark's ``trim`` only removes spaces, so
-the trimmed form strips the regex class ``\\s`` (space, tab, CR, LF, FF, VT).
+the trimmed form strips every white-space character (``WHITE``): ASCII ones, the
+separators U+001C to U+001F and U+0085, and all Unicode spaces, such as the
+no-break space of cells pasted from a spreadsheet.
 """
 
 from __future__ import annotations
@@ -21,9 +23,12 @@ DEFAULT_NA_TOKENS = (
 )
 
 
+WHITE = r"[\s\x0B\x1C-\x1F\x85\p{Z}]"
+
+
 def strip_ws(c) -> Column:
     """Remove leading and trailing whitespace of any kind (not only spaces)."""
-    return F.regexp_replace(as_col(c), r"^\s+|\s+$", "")
+    return F.regexp_replace(as_col(c), f"^{WHITE}+|{WHITE}+$", "")
 
 
 def is_blank(c) -> Column:

@@ -16,7 +16,6 @@ from pyspark.sql import functions as F
 from manifestqc.functions._col import as_col
 from manifestqc.functions.blank import strip_ws
 
-RE_PLACE_WITH_REGION = r"^[A-Za-z\s]+:[A-Za-z\s]+$"
 RE_PLACE_COUNTRY_ONLY = r"^[A-Za-z\s]+$"
 RE_LATLON_READY = r"^\d+\.\d+ [NS] \d+\.\d+ [EW]$"
 RE_LATLON_DECIMAL = r"^(-?\d+\.\d+)[,\s]+(-?\d+\.\d+)$"
@@ -28,7 +27,6 @@ def normalize_geo(c) -> Column:
     t = strip_ws(c)
     return (
         F.when(c.isNull() | (t == ""), F.lit(""))
-        .when(t.rlike(RE_PLACE_WITH_REGION), t)
         .when(t.rlike(RE_PLACE_COUNTRY_ONLY), F.concat(t, F.lit(":")))
         .otherwise(t)
     )

@@ -12,6 +12,7 @@ from manifestqc.functions.blank import strip_ws
 # Accepted sequence-file suffixes and the default upload folder name.
 RE_SEQUENCE_FILE = r"\.(fastq|fq)(\.gz)?$"
 DEFAULT_FOLDER = "sra_submission"
+RE_URI = r"^[A-Za-z][A-Za-z0-9+.-]*://"
 
 
 def basename(c) -> Column:
@@ -21,8 +22,9 @@ def basename(c) -> Column:
 
 
 def resolve_path(c, base=None, strip: bool = True) -> Column:
-    """Absolute paths stay; relative ones are joined to ``base`` when a base is
-    given (a ``/`` is inserted unless ``base`` already ends with one)."""
+    """Absolute paths and URIs (``scheme://...``) stay; relative ones are joined
+    to ``base`` when a base is given (a ``/`` is inserted unless ``base`` already
+    ends with one)."""
     p = as_col(c)
     if strip:
         p = strip_ws(p)
@@ -31,7 +33,7 @@ def resolve_path(c, base=None, strip: bool = True) -> Column:
     b = F.lit(base) if isinstance(base, str) else base
     joined = F.when(b.endswith("/"), F.concat(b, p)).otherwise(F.concat(b, F.lit("/"), p))
     return (
-        F.when(p.startswith("/"), p)
+        F.when(p.startswith("/") | p.rlike(RE_URI), p)
         .when(b.isNull() | (b == ""), p)
         .otherwise(joined)
     )

@@ -51,7 +51,7 @@ VALID_OPTIONS: dict[str, list[str]] = {
         "Illumina NovaSeq X", "Illumina NovaSeq 6000", "Illumina HiSeq X", "Illumina HiSeq 2500",
         "Illumina HiSeq 2000", "Illumina HiSeq 1500", "Illumina HiSeq 1000", "Illumina MiSeq",
         "Illumina MiniSeq", "Illumina NextSeq 500", "Illumina NextSeq 550", "Illumina NextSeq 1000",
-        "Illumina NextSeq 2000", "Illumina iSeq 100", "NextSeq 500", "NextSeq 500",
+        "Illumina NextSeq 2000", "Illumina iSeq 100", "NextSeq 500",
         "MinION", "GridION", "PromethION",
         "PacBio RS", "PacBio RS II", "PacBio Sequel", "PacBio Sequel II", "PacBio Revio",
         "Ion Torrent PGM", "Ion Torrent S5", "Ion Torrent S5 XL", "Ion Torrent Genexus",

@@ -8,6 +8,8 @@ progress ledger, and the completion summary.
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -31,31 +33,29 @@ def pending_files(files: DataFrame, ledger: DataFrame, path_col: str = "path") -
     return files.join(done, path_col, "left_anti")
 
 
-def plan_batches(pending: DataFrame, order_col: str, batch_size: int) -> DataFrame:
+def plan_batches(pending: DataFrame, order_col: str | Sequence[str], batch_size: int) -> DataFrame:
     """Pending files in order, cut into batches of ``batch_size``.  The
     pending set (an anti-join) is checkpointed once before numbering."""
-    return assign_batches(pending, order_col, batch_size, materialize_input=True, ranges="uniform")
-
-
-def attempt_members(attempts: DataFrame, batches: DataFrame) -> DataFrame:
-    """Expand batch-level attempts (``path`` null) to every file of the batch;
-    per-file attempts keep their own path.  ``(path, attempt_no, ok)``."""
-    whole = attempts.filter(F.col("path").isNull()).drop("path") \
-        .join(batches.select("batch", "path"), "batch")
-    single = attempts.filter(F.col("path").isNotNull())
-    cols = ["path", "attempt_no", "ok"]
-    return whole.select(*cols).unionByName(single.select(*cols))
+    return assign_batches(pending, order_col, batch_size, materialize_input=True)
 
 
 def reduce_attempts(attempts: DataFrame, batches: DataFrame) -> DataFrame:
-    """Final status per file = outcome of its latest attempt (``max_by``, a
-    partial aggregate): ``(path, status, attempt_no)``."""
-    m = attempt_members(attempts, batches)
-    return m.groupBy("path").agg(
-        F.max_by("ok", "attempt_no").alias("_ok"),
-        F.max("attempt_no").alias("attempt_no"),
-    ).select("path", F.when(F.col("_ok"), F.lit(UPLOADED)).otherwise(F.lit(FAILED)).alias("status"),
-             "attempt_no")
+    """Final status per file = outcome of its deciding attempt:
+    ``(path, status, attempt_no)``.
+
+    A file's own attempts (``path`` given) come after those of its batch
+    (``path`` null), whatever their numbers, as the numbers start anew for each;
+    within either the highest number decides.  Batch attempts are reduced to one
+    row per batch before that row is given to the batch's files."""
+    def last(df: DataFrame, key: str) -> DataFrame:
+        return df.groupBy(key).agg(F.max(F.struct("attempt_no", "ok")).alias("_last"))
+
+    whole = last(attempts.filter(F.col("path").isNull()), "batch").join(batches.select("batch", "path"), "batch") \
+        .select("path", F.lit(0).alias("_own"), "_last")
+    own = last(attempts.filter(F.col("path").isNotNull()), "path").select("path", F.lit(1).alias("_own"), "_last")
+    return whole.unionByName(own).groupBy("path").agg(F.max(F.struct("_own", "_last")).alias("_d")).select(
+        "path", F.when(F.col("_d._last.ok"), F.lit(UPLOADED)).otherwise(F.lit(FAILED)).alias("status"),
+        F.col("_d._last.attempt_no").alias("attempt_no"))
 
 
 def merge_ledger(old: DataFrame, outcomes: DataFrame, folder: str, updated_at=None) -> DataFrame:

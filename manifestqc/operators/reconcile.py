@@ -2,8 +2,10 @@
 
 All of these are equi-joins or aggregates on a key; nothing emits pairs within
 a group.  Hot keys are handled by partial aggregation (aggregates) and by AQE
-skew-join splitting (joins of a big side with a one-row-per-key side).
-Broadcasts are left to the planner unless a side has a fixed size.
+skew-join splitting, which only matches a join whose sides are plain exchanges:
+semi- and anti-joins therefore take the other side with its repeats (no
+``distinct`` in between), and one-row-per-key aggregates are dealt out once
+(``_dealt``) before they are joined back.  Broadcasts are left to the planner.
 """
 
 from __future__ import annotations
@@ -62,12 +64,13 @@ def file_refs(df: DataFrame, key: str = "sample_name", file_columns: Sequence[st
                        resolve_path(F.col("file"), base, strip=False).alias("path"))
 
 
-def _inventory_paths(inventory: DataFrame, path_col: str = "path", distinct: bool = True) -> DataFrame:
-    """The inventory's distinct paths.  The partial (map-side) distinct shrinks
-    listings with repeats before the shuffle, and the join reuses its hash
-    partitioning on ``path``, so it adds no exchange."""
-    paths = inventory.select(F.col(path_col).alias("path"))
-    return paths.distinct() if distinct else paths
+def _dealt(per_key: DataFrame) -> DataFrame:
+    """A one-row-per-key table dealt out evenly, so that the join above it shuffles it anew and can split hot keys."""
+    return per_key.repartition(int(per_key.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+
+
+def _inventory_paths(inventory: DataFrame, path_col: str = "path") -> DataFrame:
+    return inventory.select(F.col(path_col).alias("path"))
 
 
 def missing_files(refs: DataFrame, inventory: DataFrame, path_col: str = "path") -> DataFrame:
@@ -82,7 +85,7 @@ def found_files(refs: DataFrame, inventory: DataFrame, path_col: str = "path") -
 
 def verify_files(refs: DataFrame, inventory: DataFrame, path_col: str = "path") -> DataFrame:
     """References with a ``found`` flag: one left join gives both partitions."""
-    inv = _inventory_paths(inventory, path_col, distinct=True).withColumn("found", F.lit(True))
+    inv = _dealt(_inventory_paths(inventory, path_col).distinct()).withColumn("found", F.lit(True))
     return refs.join(inv, "path", "left").withColumn("found", F.coalesce("found", F.lit(False)))
 
 
@@ -116,7 +119,7 @@ def remove_samples(df: DataFrame, bad_keys: DataFrame, key: str = "sample_name",
     """Drop rows whose key is in ``bad_keys`` (null keys are never removed)."""
     if df is None or key not in df.columns:
         return df
-    bad = bad_keys.select(F.col(bad_key_col).alias(key)).distinct()
+    bad = bad_keys.select(F.col(bad_key_col).alias(key))
     return df.join(bad, key, "left_anti")
 
 
@@ -146,7 +149,7 @@ def complete_pair_keys(df: DataFrame, key: str, inventory: DataFrame, **kw) -> D
     """Keys whose R1 and R2 both exist (semi-join, then a count per key)."""
     paths = derived_pair_paths(df, key, **kw).dropDuplicates(["key", "mate"])
     found = paths.join(_inventory_paths(inventory), "path", "left_semi")
-    return found.groupBy("key").agg(F.count(F.lit(1)).alias("_n")).filter(F.col("_n") == 2).select("key")
+    return _dealt(found.groupBy("key").agg(F.count(F.lit(1)).alias("_n")).filter(F.col("_n") == 2).select("key"))
 
 
 def keep_keys(df: DataFrame, keys: DataFrame, key: str = "sample_name", keys_col: str = "key") -> DataFrame:
@@ -211,7 +214,7 @@ def duplicate_keys(df: DataFrame, key: str = "sample_name") -> DataFrame:
 
 def duplicate_rows(df: DataFrame, key: str = "sample_name", salt_buckets: int = 1) -> DataFrame:
     """Every row of a duplicated key: ``(key, _row, n_rows)``.  The per-key
-    counts (one row per key) are joined back; AQE splits a hot key.  With
+    counts (one row per key) are dealt out and joined back, so AQE splits a hot key.  With
     ``salt_buckets > 1`` the join is salted explicitly (for plans without
     AQE): the row side takes ``hash(_row) mod n`` (deterministic, so a retried
     task gets the same salt) and the one-row-per-key side is replicated over
@@ -219,7 +222,7 @@ def duplicate_rows(df: DataFrame, key: str = "sample_name", salt_buckets: int =
     dups = duplicate_keys(df, key).select("key", "n_rows")
     rows = df.filter(F.col(key).isNotNull()).select(F.col(key).alias("key"), _row_col(df).alias(ROW))
     if salt_buckets <= 1:
-        return rows.join(dups, "key")
+        return rows.join(_dealt(dups), "key")
     n = int(salt_buckets)
     salted_rows = rows.withColumn("_salt", F.pmod(F.xxhash64(F.col(ROW)), F.lit(n)))
     salted_dups = dups.withColumn("_salt", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(n - 1).cast("long"))))

@@ -31,22 +31,9 @@ from manifestqc.functions.blank import not_blank
 BUCKET = "_nb_bucket"
 
 
-MAX_RANGES = 4096  # bounds stay literals in one codegen'd comparison tree
-
-
 def _default_buckets(df: DataFrame) -> int:
-    """About one range per shuffle partition or input split, whichever is
-    larger, capped at MAX_RANGES (the quantile sketch's error is 1/(4B))."""
-    spark = df.sparkSession
-    try:
-        n = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    except Exception:  # pragma: no cover - conf always set in practice
-        n = 8
-    try:
-        n = max(n, df.rdd.getNumPartitions())
-    except Exception:  # pragma: no cover
-        pass
-    return max(1, min(n, MAX_RANGES))
+    """One range per shuffle partition (the quantile sketch's error is 1/(4B))."""
+    return max(1, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
 
 
 def _bucket_expr(v: Column, bounds: Sequence[float]) -> Column:
@@ -176,37 +163,32 @@ def number_if_absent(df: DataFrame, name: str, order_col: str, start: int = 1) -
     """Add a dense start..start+N-1 number in ``order_col`` order (a unique
     column) unless ``name`` already exists.
 
-    One partial aggregate (min, max, count) decides the plan: when the order
-    column is already gap-free (e.g. ``_row`` straight from the reader) the
-    number is ``order - min + start``, with no further pass or shuffle;
-    otherwise the full ``dense_number``."""
-    if name in df.columns:
-        return df
-    st = df.agg(F.min(order_col).alias("lo"), F.max(order_col).alias("hi"),
-                F.count(F.lit(1)).alias("n")).first()
-    if st["n"] == 0 or (st["hi"] - st["lo"] + 1 == st["n"]):
-        lo = st["lo"] if st["n"] else 0
-        return df.withColumn(name, (F.col(order_col) - F.lit(lo) + F.lit(start)).cast("long"))
-    return dense_number(df, order_col, name=name, start=start, ranges="uniform")
+    One aggregate (min, max, count and distinct count) decides the plan: when
+    the order column is gap-free and free of repeats (e.g. ``_row`` straight from
+    the reader) the number is ``order - min + start``; otherwise the full
+    ``dense_number``."""
+    return number_and_trim(df, None, name, order_col, start)
 
 
 def number_and_trim(df: DataFrame, key: str | None, name: str, order_col: str = "_row",
                     start: int = 1) -> DataFrame:
     """``number_if_absent`` then ``trim_tail`` with one statistics pass:
-    min/max/count of the order column and the last row with a valid key come
-    from a single partial aggregate; the number is given before the trim."""
-    aggs = [F.min(order_col).alias("lo"), F.max(order_col).alias("hi"), F.count(F.lit(1)).alias("n")]
+    min, max, count and distinct count of the order column and the last row with
+    a valid key come from one aggregate; the number is given before the trim."""
+    if name in df.columns and not key:
+        return df
+    aggs = [F.min(order_col).alias("lo"), F.max(order_col).alias("hi"), F.count(F.lit(1)).alias("n"),
+            F.count_distinct(order_col).alias("distinct")]
     if key:
         aggs.append(F.max(F.when(not_blank(F.col(key)), F.col(order_col))).alias("last"))
     st = df.agg(*aggs).first()
     out = df
     if name not in df.columns:
-        if st["n"] == 0 or st["hi"] - st["lo"] + 1 == st["n"]:
+        if st["n"] == 0 or st["hi"] - st["lo"] + 1 == st["n"] == st["distinct"]:
             lo = st["lo"] if st["n"] else 0
             out = out.withColumn(name, (F.col(order_col) - F.lit(lo) + F.lit(start)).cast("long"))
-        else:  # positions with gaps: evenly spread, so equal-width ranges
-            out = dense_number(out, order_col, name=name, start=start,
-                               bucket=uniform_buckets(out, order_col, stats=(st["lo"], st["hi"], st["n"])))
+        else:  # positions with gaps or repeats
+            out = dense_number(out, order_col, name=name, start=start)
     if key and st["last"] is not None:
         out = out.filter(F.col(order_col) <= F.lit(st["last"]))
     return out
@@ -247,7 +229,7 @@ def tail_rows(df: DataFrame, key: str, order_col: str = "_row") -> DataFrame:
     return df.filter(last.isNotNull() & (F.col(order_col) > last))
 
 
-def assign_batches(df: DataFrame, order_col: str, batch_size: int, name: str = "batch",
+def assign_batches(df: DataFrame, order_col: str | Sequence[str], batch_size: int, name: str = "batch",
                    seq_name: str = "seq", materialize_input: bool = False,
                    ranges: str = "quantile") -> DataFrame:
     """Chunks of ``batch_size`` rows in ``order_col`` order: ``seq`` 1..N and

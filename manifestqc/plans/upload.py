@@ -5,7 +5,6 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
 from manifestqc.functions.vocab import FILE_COLUMNS
 from manifestqc.operators import ledger as L
@@ -27,9 +26,6 @@ def upload_list(sample: DataFrame, base: str, key: str = "sample_name",
 
 
 def plan_upload(files: DataFrame, ledger: DataFrame, batch_size: int = 50,
-                order_col: str = "first_row") -> DataFrame:
+                order: Sequence[str] = ("first_row", "first_pos")) -> DataFrame:
     """Pending files (not uploaded yet) in first-reference order, in batches."""
-    pending = L.pending_files(files, ledger)
-    ordered = pending.withColumn("_ord", F.col(order_col) * F.lit(64) + F.col("first_pos")) \
-        if "first_pos" in files.columns else pending.withColumn("_ord", F.col(order_col))
-    return L.plan_batches(ordered, "_ord", batch_size).drop("_ord")
+    return L.plan_batches(L.pending_files(files, ledger), [c for c in order if c in files.columns], batch_size)

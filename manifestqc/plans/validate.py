@@ -8,7 +8,7 @@ before the tail is trimmed.
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Mapping, Sequence
+from collections.abc import Callable, Iterable, Mapping, Sequence
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -104,7 +104,7 @@ def drop_blank_keys(df: DataFrame, key: str = "sample_name") -> DataFrame:
 
 
 def validate_pair(project: DataFrame, sample: DataFrame, config: Mapping | None = None,
-                  inventory: DataFrame | None = None, base: str | None = None,
+                  inventory: DataFrame | Callable[[DataFrame], DataFrame] | None = None, base: str | None = None,
                   key: str = "sample_name", on_missing: str = "report", on_mismatch: str = "report",
                   file_columns: Sequence[str] = FILE_COLUMNS,
                   options: Mapping[str, Iterable[str]] = VALID_OPTIONS):
@@ -116,24 +116,46 @@ def validate_pair(project: DataFrame, sample: DataFrame, config: Mapping | None
     ``fail`` raises ``FileNameMismatch`` when the tables name different files
     for a sample.  Strictness is
     applied by the caller with ``strict_gate(issues)`` before anything is
-    written."""
+    written.
+
+    ``inventory`` is a table of existing paths, or a function from the file
+    references to one.  Nothing goes silently: rows without a key are reported
+    (``blank_key``) and so are lines of another width than the header
+    (``row_width``), a table without the key column (``required_columns``; its
+    key rules are skipped) or without file columns (``file_columns``), and, with
+    ``drop``, each missing file of a removed sample (``removed_sample``)."""
     if on_missing not in ("report", "drop", "fail"):
         raise ValueError("on_missing must be 'report', 'drop' or 'fail'")
     if on_mismatch not in ("report", "fail"):
         raise ValueError("on_mismatch must be 'report' or 'fail'")
     found = []
+    for df, tbl in ((project, "project"), (sample, "sample")):
+        found.append(U.required_column_issues(df, [key], tbl))
+        found.append(U.row_width_issues(df, len([c for c in df.columns if c not in R.HELPER_COLUMNS]), tbl, key))
+        if key in df.columns:
+            found.append(issues(df, ~not_blank(F.col(key)), "blank_key", tbl, col=key,
+                                row=F.col(ROW) if ROW in df.columns else None,
+                                message="row without a key is left out", severity="info"))
+        if not any(c in df.columns for c in file_columns):
+            found.append(driver_issues(df.sparkSession, [("file_columns", tbl, None, None, None, None, "no file columns", "warning")]))
+    keyed = key in project.columns and key in sample.columns
     # Each table feeds about ten rule branches: checkpoint it once (reliable,
     # shared checkpoint folder) instead of recomputing its lineage per branch.
     project = materialize(drop_blank_keys(project, key))
     sample = materialize(drop_blank_keys(sample, key))
     if inventory is not None:
         refs = R.file_refs(sample, key, file_columns, base)
-        missing = R.missing_files(refs, inventory)
-        found.append(R.missing_file_issues(missing, "sample"))
+        missing = R.missing_files(refs, inventory(refs) if callable(inventory) else inventory)
+        if on_missing == "drop":
+            missing = materialize(missing)
+            found.append(issues(missing, None, "removed_sample", "sample", col=F.col("column"), key=F.col("key"), row=F.col(ROW),
+                                value=F.col("path"), message="sample removed: referenced file not found", severity="info"))
+        else:
+            found.append(R.missing_file_issues(missing, "sample"))
         if on_missing == "fail" and not missing.isEmpty():
             raise MissingFiles("referenced files are missing; see missing_files()")
         if on_missing == "drop":
-            bad = missing.select("key").distinct()
+            bad = missing.select("key")
             sample = R.remove_samples(sample, bad, key)
             project = R.remove_samples(project, bad, key)
     mm = R.filename_mismatch(sample, project, key, file_columns)
@@ -142,10 +164,11 @@ def validate_pair(project: DataFrame, sample: DataFrame, config: Mapping | None
     found.append(issues(mm, None, "filename_mismatch", "both", col=F.col("column"), key=F.col("key"),
                         value=F.concat_ws(" | ", "sample_file", "project_file"),
                         message="file names differ between the tables", severity="warning"))
-    cov = R.key_coverage(sample, project, key)
-    found.append(issues(cov, None, "key_coverage", F.col("only_in"), col=key, key=F.col("key"),
-                        message=F.concat(F.lit("key only in the "), F.col("only_in"), F.lit(" table")),
-                        severity="warning"))
+    if keyed:
+        cov = R.key_coverage(sample, project, key)
+        found.append(issues(cov, None, "key_coverage", F.col("only_in"), col=key, key=F.col("key"),
+                            message=F.concat(F.lit("key only in the "), F.col("only_in"), F.lit(" table")),
+                            severity="warning"))
     p_out, p_issues = validate_projects(project, config, key, options)
     s_out, s_issues = validate_samples(sample, config, key, options)
     return p_out, s_out, union_issues(found + [p_issues, s_issues])

@@ -27,11 +27,20 @@ def local_session(cores: str | int = "*", shuffle_partitions: int = 8, app: str
     return spark
 
 
+def submitted_session(app: str = "manifestqc") -> SparkSession:
+    """The session of ``spark-submit`` (or one that is running), a local one where no master is set."""
+    from pyspark import SparkConf
+    if SparkSession.getActiveSession() is None and SparkConf().get("spark.master") is None:
+        return local_session(app=app)
+    return SparkSession.builder.appName(app).getOrCreate()
+
+
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder named by ``spark.checkpoint.dir``.
 
     On a cluster this setting names a shared folder and is used as is.  Only
-    when it is unset (local tests) a scratch folder is made and set.
+    on a local master a scratch folder is made where it is unset; elsewhere a
+    folder of one machine would be another disk on every executor.
     """
     sc = spark.sparkContext
     conf = sc.getConf().get("spark.checkpoint.dir", None)
@@ -40,6 +49,8 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
             conf = spark.conf.get("spark.checkpoint.dir", None)
         except Exception:  # pragma: no cover
             conf = None
+    if not conf and not sc.master.startswith("local["):
+        raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
     if not conf:
         conf = tempfile.mkdtemp(prefix="manifestqc-ckpt-")
         try:

@@ -4,23 +4,32 @@ read on the driver) and the overlay of custom defaults over system ones."""
 from __future__ import annotations
 
 import json
-import os
-from collections.abc import Mapping
+from collections.abc import Iterable, Mapping
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from manifestqc.functions.vocab import DEFAULT_VALUES
+from manifestqc.functions.vocab import DEFAULT_VALUES, extend_vocabulary
 
 
-def load_config(path: str | None) -> dict:
-    """Parse a JSON config; a missing path gives ``{}``."""
-    if not path or not os.path.exists(path):
+def load_config(path: str | None, spark: SparkSession | None = None) -> dict:
+    """Parse a JSON config, ``{}`` when no path is named.  A named path that is
+    not there is an error.  With a session the file is read through Spark's file
+    systems, so it may be remote."""
+    if not path:
         return {}
+    if spark is not None:
+        return json.loads(spark.read.text(path, wholetext=True).first()["value"])
     with open(path, encoding="utf-8") as fh:
         return json.load(fh)
 
 
+def effective_options(config: Mapping | None, options: Mapping[str, Iterable[str]]) -> dict[str, list[str]]:
+    """The vocabulary extended by the config's own default instrument."""
+    value = ((config or {}).get("default_values") or {}).get("instrument_model")
+    return extend_vocabulary(options, "instrument_model", value)
+
+
 def overlay_defaults(system: Mapping[str, str] = DEFAULT_VALUES,
                      custom: Mapping[str, str] | None = None) -> dict[str, str]:
     """System defaults overlaid by custom ones (custom key wins)."""

@@ -4,17 +4,26 @@ Reading goes through the text source plus ``from_csv`` instead of the CSV
 source, because the CSV source drops lines made of tabs only and cannot report
 how many cells a line had.  Every data line keeps its 0-based position
 ``_row`` (file order, then line order) and its cell count ``_width``.
+
+Cells may be quoted with ``"`` and then hold separators and doubled quotes, in
+headers too.  A line is a row: line breaks inside cells cannot be read back, so
+the writer refuses them unless it encodes them (``breaks="encode"``, undone by
+the reader's option of the same name).
 """
 
 from __future__ import annotations
 
+import csv
 import os
+import re
 from collections.abc import Iterable, Sequence
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from manifestqc.functions.blank import DEFAULT_NA_TOKENS, apply_na_tokens
+from manifestqc.session import materialize
+from manifestqc.sources.files import is_folder
 
 ROW = "_row"
 WIDTH = "_width"
@@ -25,12 +34,12 @@ class UnsupportedFormat(ValueError):
     pass
 
 
-def check_format(path: str) -> None:
+def check_format(path: str, spark: SparkSession | None = None) -> None:
     """Tab-delimited text only: ``.txt``/``.tsv``/``.tab`` files or a directory
     of them.  ``.csv`` is refused (a comma table read as tab-delimited would be
     one column wide); spreadsheets must be converted first."""
     base = path.rstrip("/")
-    if os.path.isdir(base) or "*" in base:
+    if "*" in base or (is_folder(spark, base) if spark else os.path.isdir(base)):
         return
     ext = os.path.splitext(base.rsplit("/", 1)[-1])[1].lower()
     if ext in ACCEPTED_SUFFIXES or ext == "":
@@ -70,7 +79,7 @@ def _lines(spark: SparkSession, path: str) -> DataFrame:
 
 def read_manifest(spark: SparkSession, path: str, sep: str = "\t",
                   na_tokens: Iterable[str] | str = (), header: Sequence[str] | None = None,
-                  check: bool = True) -> DataFrame:
+                  check: bool = True, breaks: str = "none") -> DataFrame:
     """Read a tab-delimited manifest; all columns ``StringType``.
 
     * Fully empty lines are skipped; lines of separators only are kept as
@@ -81,9 +90,12 @@ def read_manifest(spark: SparkSession, path: str, sep: str = "\t",
     * ``na_tokens``: cells equal to one of them become null; ``"default"``
       selects the common reader token list.  Empty cells are always null.
     * With several files (e.g. a written directory) every file's first line is
-      its header (unless ``header`` names the columns).
+      its header (unless ``header`` names the columns); headers that differ are
+      an error, as the cells would land in the wrong columns.
+    * ``breaks="encode"`` undoes the writer's encoding of line breaks.
 
-    ``_row`` needs no sort: inside one input split the ids given after empty
+    The lines are checkpointed once, so that offsets and rows come from one cut
+    of the input.  ``_row`` needs no sort: inside one input split the ids given after empty
     lines are dropped are consecutive, so a row's position is the split's
     start offset plus its distance from the split's first data line.  One
     aggregate per split (count, first id) and a running sum over that table
@@ -91,13 +103,16 @@ def read_manifest(spark: SparkSession, path: str, sep: str = "\t",
     file's first split.
     """
     if check:
-        check_format(path)
-    lines = _lines(spark, path)
+        check_format(path, spark)
+    lines = materialize(_lines(spark, path))
     if header is None:
-        first = spark.read.text(path).filter(F.col("value") != "").first()
-        if first is None:
+        heads = [r["head"] for r in lines.where("_block = 0").groupBy("_file").agg(F.min_by("value", "_mid").alias("head"))
+                 .select(F.regexp_replace("head", "^\ufeff|\r$", "").alias("head")).distinct().take(2)]
+        if not heads:
             raise ValueError(f"empty manifest: {path}")
-        names = _header_names(first["value"].rstrip("\r").split(sep))
+        if len(heads) > 1:
+            raise ValueError(f"the files of {path} have different headers: {heads[0]!r} and {heads[1]!r}")
+        names = _header_names(next(csv.reader([heads[0]], delimiter=sep)))
         has_header = F.col("_block") == 0
     else:
         names = list(header)
@@ -111,35 +126,55 @@ def read_manifest(spark: SparkSession, path: str, sep: str = "\t",
                             F.coalesce(F.sum("_n").over(order), F.lit(0)).alias("_off"))
     data = lines.join(offsets, ["_file", "_block"]).filter(F.col("_mid") >= F.col("_first"))
     ddl = ", ".join("`{}` STRING".format(n.replace("`", "``")) for n in names)
-    options = {"sep": sep, "mode": "PERMISSIVE", "ignoreLeadingWhiteSpace": "false",
-               "ignoreTrailingWhiteSpace": "false"}
+    options = {"sep": sep, "mode": "PERMISSIVE", "quote": '"', "escape": '"',
+               "ignoreLeadingWhiteSpace": "false", "ignoreTrailingWhiteSpace": "false"}
+    s = re.escape(sep)
+    unquoted = F.regexp_replace("value", f'(^|{s})"(?:[^"]|"")*"(?={s}|\r?$)', "$1")
     parsed = data.select(
         F.from_csv(F.col("value"), ddl, options).alias("_r"),
-        F.size(F.split(F.col("value"), _quote(sep), -1)).cast("long").alias(WIDTH),
+        F.size(F.split(unquoted, s, -1)).cast("long").alias(WIDTH),
         (F.col("_off") + F.col("_mid") - F.col("_first")).cast("long").alias(ROW),
     )
     tokens = DEFAULT_NA_TOKENS if na_tokens == "default" else tuple(na_tokens)
-    cols = [apply_na_tokens(F.col(f"_r.`{n}`"), tokens).alias(n) if tokens
-            else F.col(f"_r.`{n}`").alias(n) for n in names]
+    cells = {n: F.col(f"_r.`{n}`") for n in names}
+    if breaks == "encode":
+        cells = {n: _decoded(c) for n, c in cells.items()}
+    cols = [(apply_na_tokens(c, tokens) if tokens else c).alias(n) for n, c in cells.items()]
     return parsed.select(*cols, ROW, WIDTH)
 
 
-def _quote(sep: str) -> str:
-    import re
-    return re.escape(sep)
+def _encoded(c: Column) -> Column:
+    """Backslashes doubled, then line feeds and carriage returns as ``\\n`` and ``\\r``."""
+    c = F.replace(c, F.lit("\\"), F.lit("\\\\"))
+    return F.replace(F.replace(c, F.lit("\n"), F.lit("\\n")), F.lit("\r"), F.lit("\\r"))
+
+
+def _decoded(c: Column) -> Column:
+    """Undoes ``_encoded``: cut at doubled backslashes, so that the text between holds escapes only."""
+    parts = F.transform(F.split(c, r"\\\\", -1), lambda p: F.replace(F.replace(p, F.lit("\\n"), F.lit("\n")), F.lit("\\r"), F.lit("\r")))
+    return F.array_join(parts, "\\")
 
 
 def write_manifest(df: DataFrame, out_dir: str, sep: str = "\t", order_col: str | None = ROW,
-                   mode: str = "overwrite", drop: Sequence[str] = (ROW, WIDTH)) -> None:
+                   mode: str = "overwrite", drop: Sequence[str] = (ROW, WIDTH), breaks: str = "refuse") -> None:
     """Write a manifest as tab-delimited text with a header, in row order.
 
     Range partitioning on the order column + per-partition sort keeps the
     global order across part files without a single-partition sort.  Empty
-    strings are written empty (not ``""``), whitespace is kept."""
+    strings are written empty (not ``""``), whitespace is kept.  A cell with a
+    line break is an error, or with ``breaks="encode"`` written in escapes."""
+    if breaks not in ("refuse", "encode"):
+        raise ValueError("breaks must be 'refuse' or 'encode'")
     out = df
     if order_col and order_col in df.columns:
         out = out.repartitionByRange(order_col).sortWithinPartitions(order_col)
     keep = [c for c in out.columns if c not in drop]
+    text = [c for c, t in out.select(*keep).dtypes if t == "string"]
+    if breaks == "encode":
+        out = out.withColumns({c: _encoded(F.col(f"`{c}`")) for c in text})
+    elif text:
+        broken = F.lit("a cell holds a line break; write it with breaks='encode'")
+        out = out.withColumns({c: F.when(F.col(f"`{c}`").rlike("[\\r\\n]"), F.raise_error(broken)).otherwise(F.col(f"`{c}`")) for c in text})
     (out.select(*keep).write.mode(mode)
         .option("sep", sep).option("header", True).option("emptyValue", "")
         .option("escape", '"').option("ignoreLeadingWhiteSpace", False)
@@ -159,10 +194,12 @@ SEQUENCE_GLOB = "*.{fastq,fq,fastq.gz,fq.gz}"
 
 def list_files(spark: SparkSession, directory: str, recursive: bool = True,
                glob: str = SEQUENCE_GLOB) -> DataFrame:
-    """Distributed listing of sequence files: ``(path, name, length)``.
+    """Listing of sequence files under a folder: ``(path, name, length)``.
 
-    ``binaryFile`` with the ``content`` column pruned reads no file bodies.
-    The ``file:`` scheme is removed so paths compare with manifest paths."""
+    ``binaryFile`` with the ``content`` column pruned reads no file bodies; its
+    file index is held by the driver and leaves out names that start with ``_``
+    or ``.``.  It serves to find new files to pair; whether a referenced file
+    exists is asked of the file itself (``sources.files``).  The ``file:`` scheme is removed so paths compare with manifest paths."""
     reader = (spark.read.format("binaryFile")
               .option("pathGlobFilter", glob)
               .option("recursiveFileLookup", str(recursive).lower()))

@@ -105,13 +105,15 @@ def test_ledger_store_and_accounting(spark):
     assert read_ledger(spark, os.path.join(loc, "missing"), "run1").count() == 0
 
 
-def test_config_overlay(tmp_path):
+def test_config_overlay(spark, tmp_path):
     p = tmp_path / "c.json"
     p.write_text('{"default_values": {"platform": "X"}, "contact": {"name": "n"}}')
     cfg = load_config(str(p))
     assert effective_defaults(cfg) == {"platform": "X"}
     assert overlay_defaults({"a": "1", "platform": "Y"}, cfg["default_values"]) == {"a": "1", "platform": "X"}
-    assert load_config(str(tmp_path / "none.json")) == {}
+    assert load_config(None) == {} and load_config(str(p), spark)["default_values"] == cfg["default_values"]
+    with pytest.raises(FileNotFoundError):
+        load_config(str(tmp_path / "none.json"))
     assert effective_defaults(None)["platform"] == "ILLUMINA"
 
 
