@@ -6,15 +6,19 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
-import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from manifestqc.session import ensure_checkpoint_dir, materialize
 
-CACHED_WORDS = 1_000_000
 _MUL = np.uint64(0x9E3779B97F4A7C15)
 _MIX = np.uint64(0xBF58476D1CE4E5B9)
+_STEP = np.uint64(0xD1342543DE82EF95)
+_LETTERS = np.random.default_rng(20240611).integers(1, 2**63, 256, np.uint64) * np.uint64(2) + np.uint64(1)
+_powers = np.cumprod(np.full(64, _STEP, np.uint64))
+#: Byte classes for ``hashed_runs``: 0 stands between words.
+WHITE_SPACE = np.ones(256, np.uint8)
+WHITE_SPACE[[9, 10, 11, 12, 13, 32]] = 0
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -27,7 +31,7 @@ def checkpoint(df: DataFrame) -> DataFrame:
     return materialize(df)
 
 
-def text_slices(frames: Iterator[pd.DataFrame], column: str = "text", max_chars: int = 1_000_000) -> Iterator[tuple[pd.DataFrame, list[str]]]:
+def text_slices(frames: Iterator[pd.DataFrame], column: str = "text", max_chars: int = 300_000) -> Iterator[tuple[pd.DataFrame, list[str]]]:
     """Slices of Arrow batches holding about ``max_chars`` characters each (one row at least), null texts as empty."""
     for pdf in frames:
         texts = [t if isinstance(t, str) else "" for t in pdf[column].tolist()]
@@ -41,25 +45,43 @@ def text_slices(frames: Iterator[pd.DataFrame], column: str = "text", max_chars:
             yield pdf.iloc[start:], texts[start:]
 
 
-class WordHashes(dict):
-    """Word (bytes) -> 64-bit hash, remembered for at most CACHED_WORDS words."""
-
-    def __missing__(self, word: bytes) -> int:
-        if len(self) >= CACHED_WORDS:
-            self.clear()
-        h = self[word] = xxhash.xxh3_64_intdigest(word)
-        return h
-
-    def of(self, words: list[bytes]) -> np.ndarray:
-        return np.fromiter(map(self.__getitem__, words), np.uint64, len(words))
-
-
 def mix(h: np.ndarray) -> np.ndarray:
     """Bit mixer on uint64 arrays."""
     h = (h ^ (h >> np.uint64(30))) * _MIX
     return h ^ (h >> np.uint64(29))
 
 
+def hashed_runs(raw: bytes, classes: np.ndarray = WHITE_SPACE, lead: int = 0) -> tuple[np.ndarray, ...]:
+    """64-bit hashes and first bytes of the words of a text, without a Python object per word.
+
+    A word is a longest run of bytes of one class other than 0.  Its hash is a
+    polynomial in its bytes, mixed.  With ``lead`` the hashes of the first
+    ``lead`` bytes follow, 0 for words that are no longer than that.
+    """
+    global _powers
+    b = np.frombuffer(raw, np.uint8)
+    kind = classes[b]
+    first = kind != 0
+    first[1:] &= kind[1:] != kind[:-1]
+    starts = np.flatnonzero(first)
+    if not len(starts):
+        none = np.zeros(0, np.uint64)
+        return (none, starts, none) if lead else (none, starts)
+    off = starts[0]
+    place = np.arange(len(b) - off, dtype=np.int32) - np.repeat((starts - off).astype(np.int32), np.diff(starts, append=len(b)))
+    longest = int(place.max()) + 1
+    if longest > len(_powers):
+        _powers = np.cumprod(np.full(2 * longest, _STEP, np.uint64))
+    letters = np.where(classes != 0, _LETTERS, np.uint64(0))
+    value = letters[b[off:]] * _powers[place]
+    hashes = mix(np.add.reduceat(value, starts - off))
+    if not lead:
+        return hashes, starts
+    size = np.add.reduceat((kind[off:] != 0).astype(np.int64), starts - off)
+    head = mix(np.add.reduceat(np.where(place < lead, value, np.uint64(0)), starts - off) + _STEP)
+    return hashes, starts, np.where(size > lead, head, np.uint64(0))
+
+
 def window_hashes(h: np.ndarray, width: int) -> np.ndarray:
     """Hash of every run of ``width`` consecutive words; the whole run when there are fewer; empty for no words."""
     if len(h) == 0:
@@ -94,22 +116,28 @@ def in_bitmap(bits: np.ndarray, numbers: np.ndarray) -> np.ndarray:
     return (bits[n >> 5] >> (n & 31).astype(np.uint32)) & 1 == 1
 
 
+def possible(wanted: DataFrame, bit):
+    """Column function: whether a row with this bit number may be among ``wanted`` (whose bit numbers are ``bit``)."""
+    held = wanted.sparkSession.sparkContext.broadcast(bitmap(wanted, bit))
+
+    @F.pandas_udf("boolean")
+    def run(numbers: pd.Series) -> pd.Series:
+        return pd.Series(in_bitmap(held.value, numbers.to_numpy()))
+
+    return run
+
+
 def split_by_ids(docs: DataFrame, ids: DataFrame) -> tuple[DataFrame, DataFrame]:
     """``docs`` in two: rows whose doc_id is surely not in ``ids`` (doc_id, checkpointed), and the rest.
 
     Only the rest has to meet ``ids`` in a shuffle, so texts of documents that
     a decision does not touch stay where they are.
     """
-    held = docs.sparkSession.sparkContext.broadcast(bitmap(ids, bit_number(F.xxhash64("doc_id"))))
-
-    @F.pandas_udf("boolean")
-    def possible(bit: pd.Series) -> pd.Series:
-        return pd.Series(in_bitmap(held.value, bit.to_numpy()))
-
+    bit = bit_number(F.xxhash64("doc_id"))
     mark = "_possible"
     while mark in docs.columns:
         mark += "_"
-    marked = docs.withColumn(mark, F.col("doc_id").isNotNull() & possible(F.coalesce(bit_number(F.xxhash64("doc_id")), F.lit(0))))
+    marked = docs.withColumn(mark, F.col("doc_id").isNotNull() & possible(ids, bit)(F.coalesce(bit, F.lit(0))))
     return marked.where(~F.col(mark)).drop(mark), marked.where(F.col(mark)).drop(mark)
 
 

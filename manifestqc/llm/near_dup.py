@@ -5,17 +5,19 @@
    collapsed first: one representative stands for all copies.
 2. Signatures are banded.  28 bands of 4 rows miss a pair at similarity 0.8
    with probability (1 - 0.8^4)^28 < 4e-7, and more similar pairs less often.
-3. In each bucket every member is paired with the bucket's hub only, the member
-   with the most bucket mates overall.  A group of n near copies gives about n
-   pairs, not n^2.
-4. Pairs are checked against batches of signature positions: after each batch
-   the posterior probability (uniform prior) that the similarity reaches the
-   threshold decides; a pair is pruned when it falls under ``miss``.
-5. Survivors are verified exactly on their full shingle sets.
-6. Whatever a bucket still holds in different components after that is paired
-   across components (members outside the largest one against the rest), checked
-   the same way, and merged, so that no link between components is lost to the
-   hubs.
+3. In each bucket every member is paired with the bucket's hub, the member
+   with the most bucket mates overall.  Two members of a bucket are both in the
+   group of its hub; n near copies make about n such rows, not n^2 pairs.
+4. Members that are similar to their hub are linked through it.  Only pairs
+   with a member that is not can hold another link; these are compared in blocks
+   of at most about ``BLOCK`` by ``BLOCK`` members, and a block returns no more links than
+   it has members, which connect what the found pairs connect.
+5. In both places candidates are checked against batches of signature
+   positions: after each batch the posterior probability (uniform prior) that the
+   similarity reaches the threshold decides, and a pair is pruned when it falls
+   under ``miss``.  Survivors are verified exactly: against the hub on the full shingle
+   sets, among members on their differences to the hub, which give the exact
+   intersection of the full sets as well.
 
 Signatures travel for pairs only, and shingle sets only for documents in pairs;
 the latter are found again in a narrow scan behind a bitmap of fixed size.
@@ -38,13 +40,13 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from manifestqc.llm.common import WordHashes, bit_number, bitmap, checkpoint, in_bitmap, split_by_ids, text_slices, window_hashes
+from manifestqc.llm.common import bit_number, bitmap, checkpoint, hashed_runs, in_bitmap, split_by_ids, text_slices, window_hashes
 from manifestqc.llm.components import connected
 
 BANDS, ROWS, HASHES = 28, 4, 128
 MISS = 1e-6
 BATCH = 16
-_words = WordHashes()
+BLOCK = 256
 
 
 def _coefficients() -> tuple[np.ndarray, np.ndarray]:
@@ -54,7 +56,7 @@ def _coefficients() -> tuple[np.ndarray, np.ndarray]:
 
 def shingle_set(text: str, width: int) -> np.ndarray:
     """Sorted distinct shingle hashes of the words between ASCII white space, A-Z lower-cased."""
-    return np.unique(window_hashes(_words.of(text.encode("utf-8", "surrogatepass").lower().split()), width))
+    return np.unique(window_hashes(hashed_runs(text.encode("utf-8", "surrogatepass").lower())[0], width))
 
 
 def signature(shingles: np.ndarray, block: int = 4096) -> np.ndarray:
@@ -100,32 +102,24 @@ def fewest_matches(threshold: float, miss: float, batch: int = BATCH, hashes: in
     return least
 
 
-def likely(pairs: DataFrame, signatures: DataFrame, percent: int, miss: float = MISS) -> DataFrame:
-    """Pairs (a, b) whose set sizes allow the similarity and that no batch of signature positions prunes."""
-    least = fewest_matches(percent / 100, miss)
+def survivors(left: np.ndarray, right: np.ndarray, least: list[int], alive: tuple[np.ndarray, np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+    """Index pairs into two signature arrays that no batch prunes; pairs pruned by one batch are not compared in the next."""
+    a, b = alive
+    agree = np.zeros(len(a), np.int64)
+    for k, m in enumerate(least):
+        part = slice(k * BATCH, (k + 1) * BATCH)
+        agree = agree + (left[a, part] == right[b, part]).sum(axis=1)
+        stay = agree >= m
+        a, b, agree = a[stay], b[stay], agree[stay]
+    return a, b
 
-    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for pdf in frames:
-            alive = np.arange(len(pdf))
-            if len(pdf):
-                left, right = (np.frombuffer(b"".join(map(bytes, pdf[c])), np.uint32).reshape(-1, HASHES) for c in ("sa", "sb"))
-                agree = np.zeros(len(pdf), np.int64)
-                for k, m in enumerate(least):  # pairs pruned by one batch are not compared in the next
-                    part = slice(k * BATCH, (k + 1) * BATCH)
-                    agree[alive] += (left[alive, part] == right[alive, part]).sum(axis=1)
-                    alive = alive[agree[alive] >= m]
-            yield pdf.iloc[alive][["a", "b"]]
-
-    a = signatures.select(F.col("doc_id").alias("a"), F.col("n_shingles").alias("na"), F.col("signature").alias("sa"))
-    b = signatures.select(F.col("doc_id").alias("b"), F.col("n_shingles").alias("nb"), F.col("signature").alias("sb"))
-    sized = pairs.join(a, "a").join(b, "b").where(100 * F.least("na", "nb") >= percent * F.greatest("na", "nb"))
-    return sized.select("a", "b", "sa", "sb").mapInPandas(run, "a long, b long")
-
-
-def verified(docs: DataFrame, pairs: DataFrame, width: int, percent: int) -> DataFrame:
-    """Pairs whose full shingle sets reach the similarity.  ``pairs`` has to be checkpointed."""
-    ids = pairs.select(F.col("a").alias("id")).union(pairs.select("b")).distinct()
-    ids = checkpoint(ids)
+
+def matrix(signatures: pd.Series) -> np.ndarray:
+    return np.frombuffer(b"".join(map(bytes, signatures)), np.uint32).reshape(-1, HASHES)
+
+
+def full_sets(docs: DataFrame, ids: DataFrame, width: int) -> DataFrame:
+    """(id, shingles) of the documents in ``ids``, found in a narrow scan behind a bitmap."""
     bits = docs.sparkSession.sparkContext.broadcast(bitmap(ids, bit_number(F.xxhash64("id"))))
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -136,11 +130,89 @@ def verified(docs: DataFrame, pairs: DataFrame, width: int, percent: int) -> Dat
                 yield pd.DataFrame({"id": part["doc_id"].to_numpy(), "shingles": sets})
 
     rows = docs.where("doc_id is not null").select("doc_id", "text", bit_number(F.xxhash64("doc_id")).alias("bit")).mapInPandas(run, "id long, shingles array<long>")
-    sets = rows.join(ids, "id", "left_semi")
-    a, b = (sets.select(F.col("id").alias(c), F.col("shingles").alias(f"s{c}")) for c in "ab")
-    both = F.size(F.array_intersect("sa", "sb"))
-    return (pairs.join(a, "a").join(b, "b")
-            .where(100 * both >= percent * (F.size("sa") + F.size("sb") - both)).select("a", "b"))
+    return rows.join(ids, "id", "left_semi")
+
+
+def against_hubs(docs: DataFrame, stars: DataFrame, signatures: DataFrame, width: int, percent: int, miss: float) -> DataFrame:
+    """Stars (hub, id) with the member's size, signature, differences to the hub, and whether they are linked."""
+    least = fewest_matches(percent / 100, miss)
+    plain = {c: signatures.select(F.col("doc_id").alias(c), F.col("signature").alias(f"{c}_signature")) for c in ("hub", "id")}
+    pairs = stars.join(plain["id"], "id").join(plain["hub"], "hub")
+
+    @F.pandas_udf("boolean")
+    def may_link(x: pd.Series, y: pd.Series) -> pd.Series:
+        out = np.zeros(len(x), bool)
+        every = np.arange(len(x))
+        out[survivors(matrix(x), matrix(y), least, (every, every))[0]] = True
+        return pd.Series(out)
+
+    pairs = pairs.withColumn("likely", may_link("id_signature", "hub_signature")).drop("hub_signature")
+    ids = checkpoint(stars.select("id").union(stars.select("hub")).distinct())
+    sets = full_sets(docs, ids, width)
+    x, h = sets.select("id", F.col("shingles").alias("xs")), sets.select(F.col("id").alias("hub"), F.col("shingles").alias("hs"))
+    both = F.size(F.array_intersect("xs", "hs"))
+    n, m = F.size("xs"), F.size("hs")
+    return checkpoint(pairs.join(x, "id").join(h, "hub").withColumn("both", both)
+                      .select("hub", "id", n.alias("n"), F.col("id_signature").alias("signature"),
+                              (F.col("likely") & (100 * F.col("both") >= percent * (n + m - F.col("both")))).alias("linked"),
+                              F.concat(F.array_except("xs", "hs"), F.array_except("hs", "xs")).alias("differs")))
+
+
+def block_links(rest: pd.DataFrame, every: pd.DataFrame, least: list[int], percent: int) -> list[tuple[int, int]]:
+    """Links between two blocks of members of one hub, at most one fewer than members."""
+    nx, ny = rest["n"].to_numpy(np.int64), every["n"].to_numpy(np.int64)
+    ids_x, ids_y = rest["id"].to_numpy(), every["id"].to_numpy()
+    small, large = np.minimum.outer(nx, ny), np.maximum.outer(nx, ny)
+    # pairs of two unlinked members would come up twice
+    once = (ids_x[:, None] != ids_y[None, :]) & (every["linked"].to_numpy()[None, :] | (ids_x[:, None] < ids_y[None, :]))
+    a, b = survivors(matrix(rest["signature"]), matrix(every["signature"]), least, np.nonzero(once & (100 * small >= percent * large)))
+    parent: dict[int, int] = {}
+
+    def find(v: int) -> int:
+        while parent.setdefault(v, v) != v:
+            v = parent[v]
+        return v
+
+    other = [np.asarray(d, np.int64) for d in every["differs"]]
+    owner = np.repeat(np.arange(len(other)), [len(d) for d in other])
+    value = np.concatenate(other) if other else np.zeros(0, np.int64)
+    order = np.argsort(value, kind="stable")
+    value, owner = value[order], owner[order]
+    links = []
+    for x in np.unique(a).tolist():
+        mine = np.asarray(rest["differs"].iloc[x], np.int64)
+        lo, hi = np.searchsorted(value, mine, "left"), np.searchsorted(value, mine, "right")
+        size = hi - lo
+        hits = np.repeat(lo - np.concatenate([[0], np.cumsum(size)[:-1]]), size) + np.arange(size.sum())
+        shared = np.bincount(owner[hits], minlength=len(other))
+        for y in b[a == x].tolist():
+            both = (nx[x] + ny[y] - (len(mine) + len(other[y]) - 2 * shared[y])) // 2
+            if 100 * both >= percent * (nx[x] + ny[y] - both):
+                u, v = find(int(ids_x[x])), find(int(ids_y[y]))
+                if u != v:
+                    parent[max(u, v)] = min(u, v)
+                    links.append((int(ids_x[x]), int(ids_y[y])))
+    return links
+
+
+def among_members(rows: DataFrame, percent: int, miss: float, block: int = BLOCK) -> DataFrame:
+    """Links (a, b) of members that are not linked to their hub with any other member of it."""
+    least = fewest_matches(percent / 100, miss)
+    sizes = rows.groupBy("hub").agg(F.count(F.lit(1)).alias("members"), F.sum(F.when(F.col("linked"), 0).otherwise(1)).alias("rest"))
+    sizes = checkpoint(sizes.where("rest > 0 and members > 1")
+                       .select("hub", F.ceil(F.col("members") / block).cast("int").alias("blocks"), F.ceil(F.col("rest") / block).cast("int").alias("rest_blocks")))
+    rows = rows.join(sizes, "hub")
+    h = F.xxhash64("id")
+    left = (rows.where(~F.col("linked")).withColumn("i", F.pmod(h, F.col("rest_blocks")).cast("int"))
+            .withColumn("j", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))).withColumn("side", F.lit(0)))
+    right = (rows.withColumn("j", F.pmod(h, F.col("blocks")).cast("int"))
+             .withColumn("i", F.explode(F.sequence(F.lit(0), F.col("rest_blocks") - 1))).withColumn("side", F.lit(1)))
+    columns = ["hub", "i", "j", "side", "id", "n", "signature", "linked", "differs"]
+
+    def run(pdf: pd.DataFrame) -> pd.DataFrame:
+        return pd.DataFrame(block_links(pdf[pdf["side"] == 0], pdf[pdf["side"] == 1], least, percent), columns=["a", "b"], dtype=np.int64)
+
+    return left.select(columns).union(right.select(columns)).groupBy("hub", "i", "j").applyInPandas(run, "a long, b long")
 
 
 def buckets(representatives: DataFrame) -> DataFrame:
@@ -175,21 +247,10 @@ def near_duplicate_links(docs: DataFrame, width: int = 5, percent: int = 80, mis
 
     shared = buckets(reps)
     hubs = shared.groupBy("key").agg(F.max(F.struct("weight", (-F.col("id")).alias("minus"))).alias("top")).select("key", (-F.col("top.minus")).alias("hub"))
-    stars = (shared.join(checkpoint(hubs), "key").where("id <> hub")
-             .select(F.least("id", "hub").alias("a"), F.greatest("id", "hub").alias("b")).distinct())
-    links = checkpoint(verified(docs, checkpoint(likely(stars, reps, percent, miss)), width, percent))
-
-    parts = connected(links)
-    placed = checkpoint(shared.select("key", "id").join(parts, "id", "left").select("key", "id", F.coalesce("component", "id").alias("part")))
-    per_part = placed.groupBy("key", "part").agg(F.count(F.lit(1)).alias("n"))
-    split = (per_part.groupBy("key").agg(F.max(F.struct("n", "part")).alias("top"), F.count(F.lit(1)).alias("parts")).where("parts > 1")
-             .select("key", F.col("top.part").alias("largest")))
-    open_ = checkpoint(placed.join(checkpoint(split), "key"))
-    small = open_.where("part <> largest").select("key", F.col("id").alias("x"), F.col("part").alias("xp"))
-    rest = open_.select("key", F.col("id").alias("y"), F.col("part").alias("yp"))
-    across = (small.join(rest, "key").where("xp <> yp").select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct())
-    more = verified(docs, checkpoint(likely(across, reps, percent, miss)), width, percent)
-    return sketched, checkpoint(copies.union(links).union(more))
+    stars = checkpoint(shared.join(checkpoint(hubs), "key").where("id <> hub").select("hub", "id").distinct())
+    rows = against_hubs(docs, stars, reps, width, percent, miss)
+    links = rows.where("linked").select(F.col("id").alias("a"), F.col("hub").alias("b"))
+    return sketched, checkpoint(copies.union(links).union(among_members(rows, percent, miss)))
 
 
 def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80, miss: float = MISS) -> DataFrame:
