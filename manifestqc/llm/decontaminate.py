@@ -177,8 +177,7 @@ def scanned(docs: DataFrame, benchmark: DataFrame, width: int, block_chars: int)
     def merge(words: pd.Series, items: pd.Series, runs: pd.Series) -> pd.DataFrame:
         rows = []
         for n, met, found in zip(words, items, runs):
-            joined = merged([(r["a"], r["z"], r["s"], r["e"]) for part in found for r in part])
-            rows.append(_result(n, {i for part in met for i in part}, joined))
+            rows.append(_result(n, set(met), merged([(r["a"], r["z"], r["s"], r["e"]) for r in found])))
         return pd.DataFrame(rows, columns=_names(RESULT))
 
     key = name + "row"
@@ -187,7 +186,7 @@ def scanned(docs: DataFrame, benchmark: DataFrame, width: int, block_chars: int)
     for block in blocks:
         one = numbered.select(F.col(key), scanner(block)(F.col("text")).alias("h")).select(key, "h.*")
         hits = one if hits is None else hits.union(one)
-    found = (hits.groupBy(key).agg(F.max("n").alias("n"), F.collect_list("items").alias("items"), F.collect_list("runs").alias("runs"))
+    found = (hits.groupBy(key).agg(F.max("n").alias("n"), F.flatten(F.collect_list("items")).alias("items"), F.flatten(F.collect_list("runs")).alias("runs"))
              .select(key, merge("n", "items", "runs").alias(name)))
     return numbered.join(found, key).drop(key), name
 
