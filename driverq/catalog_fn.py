@@ -207,10 +207,7 @@ def _blank_count_sql(rel: str, fields, defaults) -> str:
 SELECT col, n_blank_before, n_blank_after, n_blank_before - n_blank_after AS n_filled FROM B""")
 def q_fill_counts(spark, sf):
     s = D.sample_manifest(spark, sf)
-    before = U.blank_counts(s, SAMPLE_FILL_FIELDS).withColumnRenamed("n_blank", "n_blank_before")
-    after = U.blank_counts(U.fill_defaults(s, SAMPLE_FILL_FIELDS, DEFAULT_VALUES), SAMPLE_FILL_FIELDS) \
-        .withColumnRenamed("n_blank", "n_blank_after")
-    return before.join(after, "col").withColumn("n_filled", F.col("n_blank_before") - F.col("n_blank_after"))
+    return U.fill_counts(s, SAMPLE_FILL_FIELDS, DEFAULT_VALUES)
 
 
 _SUPPLIER_COLS = ["s_name AS sample_name", "CAST(s_suppkey AS STRING) AS library_ID",
@@ -398,13 +395,9 @@ UNION ALL SELECT 'filename2', true, CAST(count_if({Q.not_blank('filename2')}) AS
 UNION ALL SELECT 'filepath', false, CAST(0 AS BIGINT)""")
 def q_required_columns(spark, sf):
     s = D.sample_manifest(spark, sf)
-    missing = {c for c in REQUIRED if c not in s.columns}  # decided from the schema
-    present = [c for c in REQUIRED if c not in missing]
+    missing = U.required_column_issues(s, REQUIRED, "sample")
+    present = [c for c in REQUIRED if c in s.columns]
     counts = s.agg(*[F.count_if(F.col(c).isNotNull() & (F.col(c) != "")).cast("long").alias(c) for c in present])
     pairs = ", ".join(f"'{c}', true, `{c}`" for c in present)
     rows = counts.selectExpr(f"stack({len(present)}, {pairs}) as (col, present, n_nonblank)")
-    for c in REQUIRED:
-        if c in missing:
-            rows = rows.unionByName(s.sparkSession.range(1).selectExpr(
-                f"'{c}' AS col", "false AS present", "CAST(0 AS BIGINT) AS n_nonblank"))
-    return rows
+    return rows.unionByName(missing.selectExpr("col", "false AS present", "CAST(0 AS BIGINT) AS n_nonblank"))

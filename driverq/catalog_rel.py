@@ -146,6 +146,17 @@ def q_detect_pairs(spark, sf):
     return detect_pairs(_run_files(spark, sf))
 
 
+_PAIRS_DIR = _PAIRS.replace("GROUP BY expected", "GROUP BY dir, expected").replace("GROUP BY name", "GROUP BY dir, name") \
+    .replace("SELECT expected, min(path)", "SELECT dir, expected, min(path)").replace("SELECT name AS expected, min(path)", "SELECT dir, name AS expected, min(path)") \
+    .replace("R1.expected = R2.expected", "R1.expected = R2.expected AND R1.dir = R2.dir") \
+    .replace("FE AS (SELECT path, name,", "FE AS (SELECT path, name, regexp_extract(path, '^(.*/)', 1) AS dir,")
+
+
+@query("detect_pairs_same_dir", f"WITH {_PAIRS_DIR} SELECT file1, file2 FROM PAIRS")
+def q_detect_pairs_same_dir(spark, sf):
+    return detect_pairs(_run_files(spark, sf), same_dir=True)
+
+
 def _keys(rel: str) -> str:
     return f"(SELECT DISTINCT sample_name AS key FROM {rel} WHERE sample_name IS NOT NULL)"
 

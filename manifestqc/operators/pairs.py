@@ -22,9 +22,12 @@ from manifestqc.operators.rules import contact_columns
 PAIR_SCHEMA = "file1 string, file2 string"
 
 
-def detect_pairs(files: DataFrame, path_col: str = "path") -> DataFrame:
+def detect_pairs(files: DataFrame, path_col: str = "path", same_dir: bool = False) -> DataFrame:
     """``(file1, file2)``: pairs, then singles with ``file2`` null.
 
+    ``same_dir`` pairs files of one folder only, so equal names in several run
+    folders each find their own mate.
+
     One aggregate does the matching: a read-1 file is keyed by the mate name
     it expects, any other file by its own base name; per key the smallest
     read-1 path and the smallest other path form the pair.  Partial
@@ -33,7 +36,8 @@ def detect_pairs(files: DataFrame, path_col: str = "path") -> DataFrame:
     name = basename(F.col("path"))
     tagged = f.select("path", name.alias("name"), expected_mate(name).alias("expected"))
     is_r1 = F.col("expected").isNotNull()
-    groups = tagged.groupBy(F.coalesce("expected", "name").alias("_k")).agg(
+    folder = F.regexp_extract("path", r"^(.*/)", 1) if same_dir else F.lit("")
+    groups = tagged.groupBy(folder.alias("_d"), F.coalesce("expected", "name").alias("_k")).agg(
         F.min(F.when(is_r1, F.col("path"))).alias("file1"),
         F.min(F.when(~is_r1, F.col("path"))).alias("file2"))
     pairs = groups.filter(F.col("file1").isNotNull() & F.col("file2").isNotNull()).select("file1", "file2")

@@ -69,6 +69,20 @@ def blank_counts(df: DataFrame, fields: Sequence[str], trimmed: bool = False) ->
     return wide.selectExpr(f"stack({len(present)}, {pairs}) as (col, n_blank)")
 
 
+def fill_counts(df: DataFrame, fields: Sequence[str], defaults: Mapping[str, str]) -> DataFrame:
+    """``(col, n_blank_before, n_blank_after, n_filled)`` of filling the listed
+    existing fields from ``defaults``, in one aggregate pass."""
+    present = [f for f in fields if f in df.columns]
+    if not present:
+        return df.sparkSession.createDataFrame([], "col string, n_blank_before long, n_blank_after long, n_filled long")
+    blank = {f: is_blank(F.col(f)) for f in present}
+    still = {f: blank[f] & F.lit(not defaults.get(f)) for f in present}  # no default, or a blank one
+    wide = df.agg(*[F.count_if(c).cast("long").alias(f"{n}{i}") for n, cs in (("b", blank), ("a", still)) for i, c in enumerate(cs.values())])
+    rows = ", ".join(f"'{f}', b{i}, a{i}" for i, f in enumerate(present))
+    return wide.selectExpr(f"stack({len(present)}, {rows}) as (col, n_blank_before, n_blank_after)") \
+        .withColumn("n_filled", F.col("n_blank_before") - F.col("n_blank_after"))
+
+
 # ------------------------------------------------------------------- schema --
 def ensure_columns(df: DataFrame, columns: Sequence[str], defaults: Mapping[str, str]) -> DataFrame:
     """Append missing columns (in the given order) holding the default or ''."""
