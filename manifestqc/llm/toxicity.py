@@ -1,7 +1,7 @@
 """Toxicity as maximum-scoring segment search over token log-odds.
 
-Tokens are lower-cased words and, for words over four letters, their first four
-letters.  From labelled rows every token gets the log-odds of toxic against
+Tokens are lower-cased words and, for words over ``LEAD`` bytes, their first
+``LEAD`` bytes.  From labelled rows every token gets the log-odds of toxic against
 clean documents under a Dirichlet prior that splits ``PRIOR`` pseudo-counts
 as the classes are split, so that rare tokens stay near zero; tokens whose
 log-odds are not significant (``MIN_Z``) or small (``MIN_ODDS``) score zero.  A position scores the sum of its
@@ -39,7 +39,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from manifestqc.llm.common import WordHashes, checkpoint, mix
+from manifestqc.llm.common import checkpoint, hashed_runs
 
 MAX_LABELS = 200_000
 MAX_TOKENS = 1 << 18
@@ -51,36 +51,14 @@ MAX_E = 0.1
 REJECT = 0.7
 LEAD = 4
 BIN = 64  # position scores are counted in steps of 1 / BIN for the calibration
-_SPACED = bytes(c if 48 <= c <= 57 or 97 <= c <= 122 or c >= 128 else 32 for c in range(256))
-_words = WordHashes()
+# letters, digits and bytes of other characters make words
+_WORD = np.array([48 <= c <= 57 or 97 <= c <= 122 or c >= 128 for c in range(256)], np.uint8)
 
 
-def word_list(text: str | None) -> list[bytes]:
-    return text.lower().encode("utf-8", "replace").translate(_SPACED).split() if isinstance(text, str) else []
-
-
-def _lead(word: bytes) -> bytes:
-    if len(word) <= LEAD:
-        return b""
-    return word.decode("utf-8", "replace")[:LEAD].encode()
-
-
-class _Leads(dict):
-    """Word -> hash of its first letters, 0 for a short word."""
-
-    def __missing__(self, word: bytes) -> int:
-        if len(self) >= 1_000_000:
-            self.clear()
-        lead = _lead(word)
-        h = self[word] = _words[b"\x00" + lead] if lead else 0
-        return h
-
-
-_leads = _Leads()
-
-
-def token_hashes(words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
-    return mix(_words.of(words)), np.fromiter(map(_leads.__getitem__, words), np.uint64, len(words))
+def tokens(text: str | None) -> tuple[np.ndarray, np.ndarray]:
+    """Hashes of the lower-case words, and of their leads (0 for short words)."""
+    word, _, lead = hashed_runs(text.lower().encode("utf-8", "replace") if isinstance(text, str) else b"", _WORD, LEAD)
+    return word, lead
 
 
 @dataclass
@@ -93,10 +71,10 @@ class Model:
     slope: float = 0.0
     base: float = -30.0
 
-    def scores(self, words: list[bytes]) -> np.ndarray:
-        out = np.full(len(words), -self.drift)
-        if len(words) and len(self.tokens):
-            for h in token_hashes(words):
+    def scores(self, found: tuple[np.ndarray, np.ndarray]) -> np.ndarray:
+        out = np.full(len(found[0]), -self.drift)
+        if len(out) and len(self.tokens):
+            for h in found:
                 at = np.minimum(np.searchsorted(self.tokens, h), len(self.tokens) - 1)
                 out += np.where(self.tokens[at] == h, self.odds[at], 0.0)
         return out
@@ -154,9 +132,8 @@ def _token_counts(train: DataFrame) -> tuple[DataFrame, list[int]]:
         for pdf in frames:
             per_class: list[list[np.ndarray]] = [[], []]
             for text, y in zip(pdf["text"], pdf["toxic"]):
-                words = word_list(text)
-                if words:
-                    word, lead = token_hashes(words)
+                word, lead = tokens(text)
+                if len(word):
                     per_class[int(y > 0)].append(np.unique(np.concatenate([word, lead[lead != 0]])))
             for y, parts in enumerate(per_class):
                 if parts:
@@ -186,7 +163,7 @@ def _position_histogram(train: DataFrame, model: Model) -> dict[int, int]:
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in frames:
-            steps = [np.rint((held.value.scores(w) + held.value.drift) * BIN).astype(np.int64) for w in map(word_list, pdf["text"]) if w]
+            steps = [np.rint((held.value.scores(w) + held.value.drift) * BIN).astype(np.int64) for w in map(tokens, pdf["text"]) if len(w[0])]
             if steps:
                 step, n = np.unique(np.concatenate(steps), return_counts=True)
                 yield pd.DataFrame({"step": step, "n": n})
@@ -245,8 +222,8 @@ def fit(docs: DataFrame, labels: DataFrame, max_labels: int = MAX_LABELS, max_to
         for pdf in frames:
             rows = []
             for text, y in zip(pdf["text"], pdf["toxic"]):
-                words = word_list(text)
-                rows.append((int(y > 0), len(words), [s for _, _, s in segments(held.value.scores(words))]))
+                scores = held.value.scores(tokens(text))
+                rows.append((int(y > 0), len(scores), [s for _, _, s in segments(scores)]))
             yield pd.DataFrame(rows, columns=["y", "n", "best"])
 
     found = checkpoint(train.mapInPandas(best, "y int, n long, best array<double>"))
@@ -276,10 +253,10 @@ def scorer(spark, model: Model):
         for texts in batches:
             rows = []
             for text in texts:
-                words = word_list(text)
-                found = segments(m.scores(words))
-                score = m.score(m.evidence(len(words), [s for _, _, s in found]))
-                limit = log(max(m.k * len(words), 1e-300)) - log(MAX_E)
+                scores = m.scores(tokens(text))
+                found = segments(scores)
+                score = m.score(m.evidence(len(scores), [s for _, _, s in found]))
+                limit = log(max(m.k * len(scores), 1e-300)) - log(MAX_E)
                 rows.append((score, int(score >= REJECT), [{"first": a, "last": z, "log_odds": s} for a, z, s in found if m.lam * s > limit]))
             yield pd.DataFrame(rows, columns=["score", "predicted", "passages"])
 
