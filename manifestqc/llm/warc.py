@@ -99,11 +99,19 @@ def arc_containers(pages: DataFrame, container_bytes: int = CONTAINER_BYTES) ->
     return pages.select("page_id", "url", "html").mapInPandas(run, "content binary")
 
 
-def gunzip_members(data: bytes) -> Iterator[bytes]:
-    while data:
-        one = zlib.decompressobj(31)
-        yield one.decompress(data)
-        data = one.unused_data
+def gunzip_members(data: bytes, step: int = 1 << 15) -> Iterator[bytes]:
+    """Each gzip member, fed in small steps (what is left over is copied, so it must not be the rest of the file)."""
+    at = 0
+    while at < len(data):
+        one, parts = zlib.decompressobj(31), []
+        while not one.eof:
+            piece = data[at:at + step]
+            if not piece:
+                raise ValueError("the last gzip member is not complete")
+            parts.append(one.decompress(piece))
+            at += len(piece)
+        at -= len(one.unused_data)
+        yield b"".join(parts)
 
 
 def parse_arc(data: bytes) -> Iterator[tuple[dict[str, str], bytes]]:
