@@ -53,6 +53,7 @@ _SEED = re.compile(r"[0-9@]")
 _ATOM = re.compile(r"[0-9]+|[^\W\d_]+|\s+|.", re.S)
 _NOT_DIGIT = re.compile(r"[^0-9]+")
 _SPACE = " \t\n"
+_BREAK = re.compile(r"[ \t\n]")
 
 
 def luhn(digits: str) -> bool:
@@ -101,11 +102,10 @@ def clusters(text: str) -> Iterator[tuple[int, int]]:
     """Runs of neighbouring tokens, one space or tab apart, that each hold a digit or an at-sign."""
     done, m = 0, _SEED.search(text)
     while m:
-        start = max(done, *(text.rfind(c, done, m.start()) + 1 for c in _SPACE))
-        end = m.start()
+        start, end = max(done, *(text.rfind(c, done, m.start()) + 1 for c in _SPACE)), m.start()
         while True:
-            end = min((p for c in _SPACE if (p := text.find(c, end)) >= 0), default=len(text))
-            follow = min((p for c in _SPACE if (p := text.find(c, end + 1, end + 200)) >= 0), default=min(len(text), end + 200))
+            end = _next_space(text, end, len(text))
+            follow = _next_space(text, end + 1, min(len(text), end + 200))
             if end >= len(text) or text[end] == "\n" or not _SEED.search(text, end + 1, follow):
                 break
             end += 1
@@ -114,6 +114,11 @@ def clusters(text: str) -> Iterator[tuple[int, int]]:
         m = _SEED.search(text, end)
 
 
+def _next_space(text: str, at: int, end: int) -> int:
+    m = _BREAK.search(text, at, end)
+    return m.start() if m else end
+
+
 class Atoms:
     """Atoms of text[start:end] with prefix counts of digits and at-signs."""
 

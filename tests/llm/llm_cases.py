@@ -1,3 +1,5 @@
+"""Shared inputs of the tests in this folder (a module of its own name, as the folder above has the conftest)."""
+
 import os
 import random
 import sys
@@ -11,12 +13,6 @@ os.environ["PYTHONPATH"] = os.pathsep.join(p for p in (ROOT, os.environ.get("PYT
 DOCS = "doc_id long, text string, lang string, source string, n_chars long"
 
 
-@pytest.fixture(scope="session")
-def spark():
-    from manifestqc.session import local_session
-    yield local_session(cores="*", shuffle_partitions=8, app="manifestqc-tests")
-
-
 @pytest.fixture
 def docs_of(spark):
     """DataFrame of documents from (doc_id, text) pairs."""

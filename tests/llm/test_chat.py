@@ -4,6 +4,7 @@ import random
 import numpy as np
 import pytest
 
+import llm_cases  # noqa: F401
 from manifestqc.llm import chat
 
 ROWS = "conv_id long, turn long, role string, text string"

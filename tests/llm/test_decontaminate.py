@@ -4,7 +4,7 @@ import re
 
 import pytest
 
-from conftest import words
+from llm_cases import docs_of, words
 from manifestqc.llm import decontaminate
 
 ITEM = "item_id long, text string"

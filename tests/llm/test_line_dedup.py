@@ -3,7 +3,7 @@ from collections import defaultdict
 import numpy as np
 import pytest
 
-from conftest import corpus
+from llm_cases import corpus, docs_of
 from manifestqc.llm import line_dedup
 
 

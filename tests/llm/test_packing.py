@@ -5,7 +5,7 @@ from collections import defaultdict
 import numpy as np
 import pytest
 
-from conftest import corpus, words
+from llm_cases import corpus, docs_of, words
 from manifestqc.llm import packing
 from manifestqc.llm.tokens import PieceIds, load, tokenizer_path
 

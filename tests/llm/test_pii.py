@@ -2,6 +2,7 @@ import hashlib
 import random
 import re
 
+from llm_cases import docs_of
 from manifestqc.llm import pii
 
 PATTERNS = {

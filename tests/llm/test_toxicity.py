@@ -3,7 +3,7 @@ import zlib
 
 import numpy as np
 
-from conftest import words
+from llm_cases import docs_of, words
 from manifestqc.llm import toxicity
 
 

@@ -4,7 +4,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from conftest import corpus
+from llm_cases import corpus, docs_of
 from manifestqc.llm import training_order as order
 from manifestqc.llm.tokens import load, tokenizer_path
 from manifestqc.session import scratch_path

@@ -5,6 +5,7 @@ import hashlib
 import pandas as pd
 import pytest
 
+import llm_cases  # noqa: F401
 from manifestqc.llm import warc
 from manifestqc.session import scratch_path
 
