@@ -16,6 +16,8 @@ _MIX = np.uint64(0xBF58476D1CE4E5B9)
 _STEP = np.uint64(0xD1342543DE82EF95)
 _LETTERS = np.random.default_rng(20240611).integers(1, 2**63, 256, np.uint64) * np.uint64(2) + np.uint64(1)
 _powers = np.cumprod(np.full(64, _STEP, np.uint64))
+#: What an earlier operator left in this worker; workers are reused, and ``hashed_runs`` frees it.
+RELEASE: list = []
 #: Byte classes for ``hashed_runs``: 0 stands between words.
 WHITE_SPACE = np.ones(256, np.uint8)
 WHITE_SPACE[[9, 10, 11, 12, 13, 32]] = 0
@@ -59,6 +61,8 @@ def hashed_runs(raw: bytes, classes: np.ndarray = WHITE_SPACE, lead: int = 0) ->
     ``lead`` bytes follow, 0 for words that are no longer than that.
     """
     global _powers
+    if RELEASE:
+        RELEASE.pop()()
     b = np.frombuffer(raw, np.uint8)
     kind = classes[b]
     first = kind != 0

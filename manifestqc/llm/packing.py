@@ -44,7 +44,7 @@ def token_pieces(docs: DataFrame, path: str | None = None, capacity: int = CAPAC
 
     def cut(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         encode = piece_ids(path, end_id).encode
-        for pdf, texts in text_slices(frames):
+        for pdf, texts in text_slices(frames, max_chars=1_000_000):
             rows = []
             for doc_id, raw in zip(pdf["doc_id"].tolist(), encode(texts)):
                 n = len(raw) // 4

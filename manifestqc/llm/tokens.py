@@ -1,10 +1,11 @@
-"""Token ids of whole texts from a public tokenizer file, with a per-worker cache of white-space separated pieces.
+"""Token ids of whole texts from a public tokenizer file, with a per-worker cache of words.
 
 The tokenizer (word_bpe_49k.json) never merges across a space or a line break,
-so the ids of a text are the concatenated ids of its pieces.  New pieces of a
-slice are encoded many to a call.  Pieces of letters are told apart by the ids
-that end a word, other pieces by a control character that has one id of its own;
-pieces that hold this character or a special token are encoded alone.
+so the ids of a text are the concatenated ids of its pieces between these.  The
+distinct pieces of a slice are looked up once; unknown ones are encoded many to
+a call.  Words are told apart by the ids that end a word, other pieces by a
+control character that has one id of its own; pieces that hold this character or
+a special token are encoded alone.
 """
 
 from __future__ import annotations
@@ -14,10 +15,12 @@ from functools import lru_cache
 
 import numpy as np
 
+from manifestqc.llm.common import RELEASE
+
 TOKENIZER = "word_bpe_49k.json"
-CACHED_PIECES = 500_000
+CACHED_LETTERS = 200_000
+CACHED_PIECES = 50_000
 APART = "\x01"
-CACHED_TAILS = 20_000
 LATIN_END = "\u0250"
 MARKS = ".,;:!?|%$&*#)\""
 
@@ -39,9 +42,9 @@ class PieceIds:
 
     def __init__(self, path: str, end_id: int | None = None):
         self.tokenizer = load(path)
-        self.cache: dict[str, bytes] = {}  # whole pieces
-        self.letters: dict[str, bytes] = {}
-        self.tails: dict[str, bytes] = {}
+        self.letters: dict[str, bytes] = {}  # lower-case words
+        self.before: dict[str, bytes] = {}  # words of the time before ``letters`` was last full; those met again move up
+        self.whole: dict[str, bytes] = {}  # other pieces, and the marks behind a word
         self.end = b"" if end_id is None else np.array([end_id], "<u4").tobytes()
         apart = self.tokenizer.encode(APART, add_special_tokens=False).ids
         if len(apart) != 1:
@@ -51,6 +54,10 @@ class PieceIds:
         self.is_apart[apart[0]] = True
         self.ends_word[[i for token, i in self.tokenizer.get_vocab(with_added_tokens=True).items() if token.endswith("</w>")]] = True
 
+    def forget(self) -> None:
+        self.letters, self.before = {}, {}
+        self.whole.clear()
+
     def _alone(self, piece: str) -> bytes:
         return np.array(self.tokenizer.encode(piece, add_special_tokens=False).ids, "<u4").tobytes()
 
@@ -67,48 +74,74 @@ class PieceIds:
             into.update((p, raw[a:z - 4 * drop]) for p, a, z in zip(part, [0, *ends], ends))
 
     def _learn(self, pieces: list[str]) -> None:
-        """Letters with a tail of marks ("Word.,") are two words to the tokenizer: their lower-case letters are learnt once."""
-        try:
-            "".join(pieces).encode("latin-1")
-            other: list[str] = []
-        except UnicodeEncodeError:  # beyond Latin letters lower() may differ from the tokenizer's own
-            other = [p for p in pieces if max(p, default=" ") >= LATIN_END]
-            pieces = list(set(pieces).difference(other))
-        lows = [p.lower() for p in pieces]
-        cores = [low.rstrip(MARKS) for low in lows]
-        letters, tails, cache = self.letters, self.tails, self.cache
-        if len(letters) > CACHED_PIECES:
-            letters.clear()
-        words = [c for c in set(cores).difference(letters) if c.isalpha()]
-        self._encode(words, letters, " ", self.ends_word, 0)
-        for p, low, core in zip(pieces, lows, cores):
-            ids = letters.get(core)
-            if ids is None:
-                other.append(p)
-            elif len(core) == len(low):
-                cache[p] = ids
+        """Letters with a tail of marks ("word.,") are two words to the tokenizer: the letters are learnt without the marks."""
+        words, other = set(), []
+        for p in pieces:  # beyond Latin letters lower() may differ from the tokenizer's own
+            core = p.lower().rstrip(MARKS) if p.isascii() or max(p) < LATIN_END else ""
+            if core.isalpha():
+                words.add(core)
             else:
-                tail = low[len(core):]
-                if tail not in tails:
-                    tails[tail] = self._alone(tail)
-                cache[p] = ids + tails[tail]
+                other.append(p)
+        self._encode(list(words.difference(self.letters, self.before)), self.letters, " ", self.ends_word, 0)
         alone = [p for p in other if APART in p or "<|" in p]
-        cache.update((p, self._alone(p)) for p in alone)
-        self._encode(list(set(other).difference(alone)), cache, f" {APART} ", self.is_apart, 1)
+        self.whole.update((p, self._alone(p)) for p in alone)
+        self._encode(list(set(other).difference(alone)), self.whole, f" {APART} ", self.is_apart, 1)
+
+    def _known(self, pieces: list[str], table: dict[str, bytes]) -> list[str]:
+        """Fills ``table`` with the pieces whose ids are known; returns the others."""
+        new = []
+        letters, before, whole = self.letters, self.before, self.whole
+
+        def known(word: str) -> bytes | None:
+            ids = letters.get(word)
+            if ids is None and (ids := before.get(word)) is not None:
+                letters[word] = ids
+            return ids
+
+        for p in pieces:
+            ids = known(p)
+            if ids is None and (ids := whole.get(p)) is None:
+                low = p.lower()
+                core = low.rstrip(MARKS)
+                ids = known(core)
+                if ids is not None and len(core) < len(low):
+                    tail = low[len(core):]
+                    if tail not in whole:
+                        whole[tail] = self._alone(tail)
+                    ids = ids + whole[tail]
+                if ids is None:
+                    new.append(p)
+                    continue
+            table[p] = ids
+        return new
 
     def encode(self, texts: list[str]) -> list[bytes]:
-        split = [t.replace("\n", " ").split(" ") for t in texts]
-        if len(self.cache) > CACHED_PIECES:
-            self.cache.clear()
-        if len(self.tails) > CACHED_TAILS:
-            self.tails.clear()
-        new = set().union(*split).difference(self.cache.keys())
+        if not RELEASE:
+            RELEASE.append(self.forget)
+        if len(self.letters) > CACHED_LETTERS:
+            self.letters, self.before = {}, self.letters
+        if len(self.whole) > CACHED_PIECES:
+            self.whole.clear()
+        split = [_lowered(t).replace("\n", " ").split(" ") for t in texts]
+        table: dict[str, bytes] = {}
+        new = self._known(list(set().union(*split)), table)
         if new:
-            self._learn(list(new))
-        get = self.cache.__getitem__
+            self._learn(new)
+            self._known(new, table)
+        get = table.__getitem__
         return [b"".join(map(get, pieces)) + self.end for pieces in split]
 
 
+def _lowered(text: str) -> str:
+    """Latin text in lower case, which is all that the tokenizer sees of it; other text as it is."""
+    if not text.isascii():
+        try:
+            text.encode("latin-1")
+        except UnicodeEncodeError:
+            return text
+    return text if "<|" in text else text.lower()
+
+
 @lru_cache(maxsize=2)
 def piece_ids(path: str, end_id: int | None = None) -> PieceIds:
     """One cache per Python worker."""

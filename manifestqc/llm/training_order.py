@@ -1,23 +1,25 @@
 """Training-order materialisation: token sequences in a keyed global order, as fixed-stride binary shards.
 
-Documents become token ids with an end id and are cut into sequences of at most
-``length`` ids.  The sequences are stored once with their task and place in it;
-one count per task makes that a gapless number.  A keyed Feistel network over
+Documents become token ids with an end id; each task joins its documents to one
+stream and cuts it into sequences of ``length`` ids, so only the last sequence
+of a task is padded.  The sequences are stored once (compressed, with their task
+and place in it); one count per task makes that a gapless number.  A keyed Feistel network over
 the next even power of two, walked until it falls below the number of sequences,
 permutes the numbers into global slots.  Slot ranges are the shards: each range
 partition receives its rows, sorts them by slot and writes records of one fixed
 size, so that any slot is found by arithmetic and reading is sequential and
 resumable from any slot.
 
-A record is doc_id (8 bytes, the smallest value for null), start and length (4
-bytes each) and ``length`` ids padded with zeros, all little-endian; ids take two
-bytes where the vocabulary allows.  Shards are written under a name of their own
+A record is the doc_id of its first id (8 bytes, the smallest value for null),
+that id's place in the document and the number of ids (4 bytes each), and
+``length`` ids padded with zeros, all little-endian; ids take two bytes where the
+vocabulary allows.  Shards are written under a name of their own
 and moved into place, so a repeated attempt replaces a shard by the same bytes.
 The order depends on the key, the number of sequences and the input's task
 layout, and is the same for every attempt.
 
-Defined results: null and empty texts are one sequence with the end id; repeated
-rows are sequences of their own; a null doc_id comes back as null; an empty
+Defined results: null and empty texts are the end id alone; repeated rows are in
+the stream each on its own; a null doc_id comes back as null; an empty
 table gives no shards and no rows; other columns are not read.
 """
 
@@ -29,6 +31,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+import zstandard
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -37,13 +40,13 @@ from manifestqc.llm.common import checkpoint, mix, text_slices
 from manifestqc.llm.tokens import load, piece_ids, tokenizer_path
 from manifestqc.llm.warc import filesystem
 
-LENGTH = 256
+LENGTH = 2048
 END_ID = 49407
 SHARD_BYTES = 32 << 20
 ROUNDS = 6
 KEY = 0x5EED0F0DD5
 NO_DOC = -(1 << 63)
-SEQUENCES = "task int, place long, doc_id long, start int, ids binary"
+SEQUENCES = "task int, place long, doc_id long, start long, ids binary"
 MANIFEST = "shard long, first_slot long, n long, bytes long, crc32 long, path string"
 
 
@@ -82,17 +85,34 @@ def token_sequences(docs: DataFrame, path: str, length: int, end_id: int) -> Dat
     wide = load(path).get_vocab_size(with_added_tokens=True) > 1 << 16
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        encode, task, place = piece_ids(path, end_id).encode, TaskContext.get().partitionId(), 0
-        step = 4 if wide else 2
-        for pdf, texts in text_slices(frames):
-            rows = []
-            for doc_id, raw in zip(pdf["doc_id"].tolist(), encode(texts)):
-                raw = raw if wide else np.frombuffer(raw, "<u4").astype("<u2").tobytes()
-                for at in range(0, len(raw), step * length):
-                    rows.append((task, place, None if doc_id != doc_id else doc_id, at // step, raw[at:at + step * length]))
-                    place += 1
+        encode, task = piece_ids(path, end_id).encode, TaskContext.get().partitionId()
+        size, compress = 4 if wide else 2, zstandard.ZstdCompressor(level=3).compress
+        stream = bytearray()  # what is not cut yet
+        heads: list[tuple[int, int | None]] = []  # where in it each document starts; the first may start before it
+        place = 0
+
+        def cut(last: bool) -> pd.DataFrame:
+            nonlocal place, heads
+            rows, at, k = [], 0, 0
+            while len(stream) - at >= size * length or last and at < len(stream):
+                while k + 1 < len(heads) and heads[k + 1][0] <= at:
+                    k += 1
+                rows.append((task, place, heads[k][1], (at - heads[k][0]) // size, compress(bytes(stream[at:at + size * length]))))
+                place += 1
+                at += size * length
+            while k + 1 < len(heads) and heads[k + 1][0] <= at:
+                k += 1
+            heads = [(start - at, doc) for start, doc in heads[k:]]
+            del stream[:at]
             out = pd.DataFrame(rows, columns=["task", "place", "doc_id", "start", "ids"])
-            yield out.assign(doc_id=out["doc_id"].astype("Int64"))
+            return out.assign(doc_id=out["doc_id"].astype("Int64"))
+
+        for pdf, texts in text_slices(frames, max_chars=1_000_000):
+            for doc_id, raw in zip(pdf["doc_id"].tolist(), encode(texts)):
+                heads.append((len(stream), None if doc_id != doc_id else doc_id))
+                stream += raw if wide else np.frombuffer(raw, "<u4").astype("<u2").tobytes()
+            yield cut(False)
+        yield cut(True)
 
     return docs.select("doc_id", "text").mapInPandas(run, SEQUENCES)
 
@@ -102,7 +122,7 @@ def write_shards(docs: DataFrame, base: str, path: str | None = None, length: in
     spark, path = docs.sparkSession, path or tokenizer_path()
     kind = record_type(length, load(path).get_vocab_size(with_added_tokens=True))
     stored = f"{base}/sequences"
-    token_sequences(docs, path, length, end_id).write.option("compression", "zstd").option("parquet.compression.codec.zstd.level", "6").parquet(stored)
+    token_sequences(docs, path, length, end_id).write.option("compression", "uncompressed").parquet(stored)
     sequences = spark.read.parquet(stored)
     counts = {r["task"]: r["n"] for r in sequences.groupBy("task").agg((F.max("place") + 1).alias("n")).collect()}  # one number per task
     total = sum(counts.values())
@@ -126,6 +146,7 @@ def write_shards(docs: DataFrame, base: str, path: str | None = None, length: in
         where.create_dir(f"{root}/shards", recursive=True)
         sink = first = None
         n = crc = 0
+        size, expand = kind["ids"].base.itemsize, zstandard.ZstdDecompressor().decompress
         temporary = f"{root}/shards/.{uuid.uuid4().hex}"
         for pdf in frames:
             if not len(pdf):
@@ -139,9 +160,9 @@ def write_shards(docs: DataFrame, base: str, path: str | None = None, length: in
             block = np.zeros(len(pdf), kind)
             block["doc_id"] = pdf["doc_id"].astype("Int64").fillna(NO_DOC).to_numpy(np.int64)
             block["start"] = pdf["start"].to_numpy()
-            size = kind["ids"].base.itemsize
-            block["length"] = [len(x) // size for x in pdf["ids"]]
-            block["ids"] = np.frombuffer(b"".join(x.ljust(length * size, b"\0") for x in pdf["ids"]), kind["ids"].base).reshape(len(pdf), length)
+            raw = [expand(bytes(x)) for x in pdf["ids"]]
+            block["length"] = [len(x) // size for x in raw]
+            block["ids"] = np.frombuffer(b"".join(x.ljust(length * size, b"\0") for x in raw), kind["ids"].base).reshape(len(pdf), length)
             data = block.tobytes()
             sink.write(data)
             n, crc = n + len(pdf), zlib.crc32(data, crc)
@@ -163,7 +184,7 @@ def locate(slot: int, per_shard: int, stride: int) -> tuple[int, int]:
 READ = "slot long, doc_id long, start long, length long, ids_crc32 long, shard long, byte_offset long"
 
 
-def read_shards(manifest: DataFrame, base: str, kind: np.dtype, from_slot: int = 0, with_ids: bool = False, block: int = 8192) -> DataFrame:
+def read_shards(manifest: DataFrame, base: str, kind: np.dtype, from_slot: int = 0, with_ids: bool = False, block: int = 1024) -> DataFrame:
     """READ of every record from a slot on, shard by shard in slot order; the bytes have to match the manifest."""
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         where, _ = filesystem(base)
