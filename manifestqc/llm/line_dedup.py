@@ -11,14 +11,14 @@ of Jaccard similarity ``percent`` or more.
    order: a total order, so the filters below are exact whatever the counts.
 2. Lines of equal sets are collapsed to their first occurrence.
 3. A second scan puts each line's tokens in that order and emits its prefix: any
-   two sets that reach the similarity share a token in their prefixes.  Tokens
-   that only one set has are dropped.
+   two sets that reach the similarity share a token in their prefixes.  Prefixes
+   are dealt out by token in packed blocks; tokens of one set only are dropped.
 4. Candidates share a prefix token and pass the length and positional filters.
    Each set is first paired with the earliest set of the token only; the sets
    still without an earlier match are then paired with all earlier ones, so a
    group of near-equal lines costs about as many pairs as it has lines.
-5. Pairs are verified on their full sets, which a third scan finds behind a
-   bitmap of fixed size.
+5. Pairs are verified on the full sets of their lines, which are taken from
+   the few documents that hold them (behind a bitmap of fixed size).
 
 Defined results: lines under ``min_words`` words (headings, list marks, empty
 lines) are neither matched nor removed; null text has no lines; rows that repeat
@@ -37,32 +37,33 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from manifestqc.llm.common import WordHashes, bit_number, bitmap, checkpoint, in_bitmap, mix, split_by_ids, summed_bins, text_slices
+from manifestqc.llm.common import bit_number, checkpoint, hashed_runs, mix, possible, split_by_ids, summed_bins, text_slices
 
 WIDTH = 5
 PERCENT = 80
 BINS = 1 << 16
+RECORD = np.dtype([("token", "<i8"), ("s1", "<i8"), ("n", "<u4"), ("pos", "<u4")])
+RECORDS_PER_TASK = 2_000_000
 _MUL = np.uint64(0x9E3779B97F4A7C15)
-_words = WordHashes()
 
 
 class Lines:
     """The lines with ``width`` words or more of a slice of texts, and their distinct tokens (owner ascending)."""
 
     def __init__(self, texts: list[str], width: int):
-        words: list[bytes] = []
-        sizes, rows, numbers = [], [], []
-        for r, text in enumerate(texts):
-            for k, line in enumerate(text.encode("utf-8", "surrogatepass").lower().split(b"\n")):
-                found = line.split()
-                if len(found) >= width:
-                    words += found
-                    sizes.append(len(found))
-                    rows.append(r)
-                    numbers.append(k)
-        self.row, self.number = np.array(rows, np.int64), np.array(numbers, np.int64)
-        count = max(0, len(words) - width + 1)
-        h, owner = _words.of(words), np.repeat(np.arange(len(sizes)), sizes)
+        raw = "\n".join(texts).encode("utf-8", "surrogatepass").lower()
+        breaks = np.frombuffer(raw, np.uint8) == 10
+        h, first = hashed_runs(raw)
+        line = np.cumsum(breaks)[first] if len(first) else first  # of each word, over all texts
+        head = np.cumsum([0] + [t.count("\n") + 1 for t in texts])  # first line of each text
+        new = np.flatnonzero(np.diff(line, prepend=-1))  # first word of each line that has any
+        sizes = np.diff(new, append=len(line))
+        enough = sizes >= width
+        known = line[new[enough]]
+        self.row = np.searchsorted(head, known, "right") - 1
+        self.number = known - head[self.row]
+        h, owner = h[np.repeat(enough, sizes)], np.repeat(np.arange(len(known)), sizes[enough])
+        count = max(0, len(h) - width + 1)
         run = h[:count].copy()
         for k in range(1, width):
             run = run * _MUL + h[k:count + k]
@@ -70,12 +71,18 @@ class Lines:
         token, owner = mix(run[inside]), owner[:count][inside]
         own = token ^ (owner.astype(np.uint64) * _MUL)
         ordered = np.sort(own)
-        if (ordered[1:] == ordered[:-1]).any():  # a token twice in a line
-            _, first = np.unique(own, return_index=True)
-            first.sort()
-            token, owner = token[first], owner[first]
+        again = ordered[1:][ordered[1:] == ordered[:-1]]
+        if len(again):  # a token twice in a line: only what may be such a token is looked at again
+            some = np.zeros(1 << 16, bool)
+            some[(again >> np.uint64(48)).astype(np.int64)] = True
+            look = np.flatnonzero(some[(own >> np.uint64(48)).astype(np.int64)])
+            _, once = np.unique(own[look], return_index=True)
+            keep = np.ones(len(own), bool)
+            keep[look] = False
+            keep[look[once]] = True
+            token, owner = token[keep], owner[keep]
         self.token, self.owner = token, owner
-        self.start = np.searchsorted(owner, np.arange(len(sizes)))
+        self.start = np.searchsorted(owner, np.arange(len(self.row)))
         self.n = np.diff(np.append(self.start, len(owner)))
 
     def __len__(self) -> int:
@@ -90,6 +97,17 @@ class Lines:
         return mix(one + self.n.astype(np.uint64)).view(np.int64), mix(two).view(np.int64)
 
 
+def order_in_lines(owner: np.ndarray, token: np.ndarray) -> np.ndarray:
+    """np.lexsort((token, owner)) for ascending owners, by one sort of packed keys wherever these tell all tokens apart."""
+    if not len(owner):
+        return np.zeros(0, np.int64)
+    bits = np.uint64(int(owner[-1]).bit_length())
+    packed = (owner.astype(np.uint64) << (np.uint64(64) - bits) if bits else 0) | token >> bits
+    order = np.argsort(packed)
+    packed = packed[order]
+    return np.lexsort((token, owner)) if (packed[1:] == packed[:-1]).any() else order
+
+
 def _needed(n, percent: int):
     """Fewest tokens a set of n shares with a similar set that is no smaller than the similarity allows."""
     return -((-percent * n) // 100)
@@ -110,20 +128,24 @@ def line_sets(docs: DataFrame, width: int) -> DataFrame:
     return docs.select("doc_id", "text").mapInPandas(run, "doc_id long, line long, n long, s1 long, s2 long, bins array<long>")
 
 
-def rarity_ranks(found: DataFrame) -> np.ndarray:
-    """Rank of each bin by its count over all documents (BINS rows reach the driver)."""
+def rarity_ranks(found: DataFrame) -> tuple[np.ndarray, int]:
+    """Rank of each bin by its count over all documents (BINS numbers reach the driver), and the number of tokens."""
     counts = summed_bins(found, "bins", BINS)
     ranks = np.empty(BINS, np.uint64)
     ranks[np.lexsort((np.arange(BINS), counts))] = np.arange(BINS, dtype=np.uint64)
-    return ranks
+    return ranks, int(counts.sum())
+
 
+def prefixes(docs: DataFrame, ranks: np.ndarray, width: int, percent: int, parts: int) -> DataFrame:
+    """(part, records): the rarest tokens of each line, enough to share one with every similar line.
 
-def prefixes(docs: DataFrame, ranks: np.ndarray, width: int, percent: int) -> DataFrame:
-    """(token, s1, n, pos): the rarest tokens of each line, enough to share one with every similar line."""
+    Records (token, identity, set size, place in the order) leave in packed
+    blocks, one per slice of texts and target partition; the token decides the partition.
+    """
     held = docs.sparkSession.sparkContext.broadcast(ranks)
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for _, texts in text_slices(frames):
+        for _, texts in text_slices(frames, max_chars=1_000_000):
             lines = Lines(texts, width)
             if not len(lines):
                 continue
@@ -134,66 +156,112 @@ def prefixes(docs: DataFrame, ranks: np.ndarray, width: int, percent: int) -> Da
             kept = once[lines.owner]
             owner, token = lines.owner[kept], lines.token[kept]
             token = (held.value[(token >> np.uint64(48)).astype(np.int64)] << np.uint64(48)) | (token & np.uint64((1 << 48) - 1))
-            order = np.lexsort((token, owner))
+            order = order_in_lines(owner, token)
             owner, token = owner[order], token[order]
             n = lines.n[owner]
             pos = np.arange(len(owner)) - np.searchsorted(owner, owner)
             head = pos < n - _needed(n, percent) + 1
-            yield pd.DataFrame({"token": token[head].view(np.int64), "s1": s1[owner[head]], "n": n[head], "pos": pos[head]})
+            out = np.empty(int(head.sum()), RECORD)
+            out["token"], out["s1"], out["n"], out["pos"] = token[head].view(np.int64), s1[owner[head]], n[head], pos[head]
+            part = (token[head] & np.uint64(0xFFFFFFFF)).astype(np.int64) % parts
+            order = np.argsort(part, kind="stable")
+            out, part = out[order], part[order]
+            at = np.flatnonzero(np.diff(part, prepend=-1))
+            yield pd.DataFrame({"part": part[at], "records": [out[a:z].tobytes() for a, z in zip(at, [*at[1:], len(out)])]})
+
+    return docs.select("text").mapInPandas(run, "part int, records binary")
+
 
-    return docs.select("text").mapInPandas(run, "token long, s1 long, n long, pos long")
+def _distinct(blocks: list[np.ndarray]) -> np.ndarray:
+    rows = np.concatenate(blocks) if blocks else np.zeros(0, RECORD)
+    rows = rows[np.lexsort((rows["s1"], rows["token"]))]
+    new = np.ones(len(rows), bool)
+    new[1:] = (rows["token"][1:] != rows["token"][:-1]) | (rows["s1"][1:] != rows["s1"][:-1])
+    return rows[new]
 
 
-def full_sets(docs: DataFrame, wanted: DataFrame, width: int) -> DataFrame:
-    """(s1, s2, tokens) of the sets whose s1 is in ``wanted``."""
-    bits = docs.sparkSession.sparkContext.broadcast(bitmap(wanted, bit_number(F.col("s1"))))
+def shared_prefixes(blocks: DataFrame, parts: int, most: int = 64 << 20) -> DataFrame:
+    """The distinct (token, s1, n, pos) whose token more than one set has.
 
+    A task holds its distinct records: repeats, which a common line has many of,
+    are dropped whenever ``most`` bytes have come together.
+    """
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for _, texts in text_slices(frames):
-            lines = Lines(texts, width)
-            s1, s2 = lines.identities()
-            _, first = np.unique(s1, return_index=True)
-            rows = [(s1[k], s2[k], lines.token[lines.start[k]:lines.start[k] + lines.n[k]].view(np.int64))
-                    for k in first[in_bitmap(bits.value, s1[first] & ((1 << 23) - 1))].tolist()]
-            if rows:
-                yield pd.DataFrame(rows, columns=["s1", "s2", "tokens"])
-
-    found = docs.select("text").mapInPandas(run, "s1 long, s2 long, tokens array<long>")
-    return found.join(wanted, "s1", "left_semi").dropDuplicates(["s1", "s2"])
-
-
-def later_matches(docs: DataFrame, sets: DataFrame, ranks: np.ndarray, width: int, percent: int) -> DataFrame:
-    """(s1, s2) of the sets that match an earlier one.  ``sets``: s1, s2, n, doc_id, line of each first occurrence."""
-    spark = docs.sparkSession
-    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    records = prefixes(docs, ranks, width, percent).repartition(parts, "token")
-    several = records.groupBy("token").agg(F.min("s1").alias("lo"), F.max("s1").alias("hi")).where("lo <> hi").select("token")
-    shared = checkpoint(records.join(several.hint("shuffle_hash"), "token", "left_semi").distinct())
-    wanted = checkpoint(shared.select("s1").distinct())
-    full = checkpoint(full_sets(docs, wanted, width).join(sets.select("s1", "s2", F.struct("doc_id", "line").alias("at")), ["s1", "s2"]))
-    member = checkpoint(shared.join(full.select("s1", "s2", "at"), "s1"))
+        held, size, limit = [], 0, most
+        for pdf in frames:
+            for raw in pdf["records"]:
+                held.append(np.frombuffer(raw, RECORD))
+                size += len(raw)
+                if size >= limit:
+                    held = [_distinct(held)]
+                    size = held[0].nbytes
+                    limit = max(most, 2 * size)
+        rows = _distinct(held)
+        same = rows["token"][1:] == rows["token"][:-1]
+        keep = np.zeros(len(rows), bool)
+        keep[1:] |= same
+        keep[:-1] |= same
+        rows = rows[keep]
+        for i in range(0, len(rows), 100_000):
+            yield pd.DataFrame({c: rows[c][i:i + 100_000].astype(np.int64) for c in RECORD.names})
+
+    return blocks.repartitionById(parts, "part").mapInPandas(run, "token long, s1 long, n long, pos long")
+
+
+def lines_at(docs: DataFrame, places: DataFrame) -> DataFrame:
+    """(doc_id, line, content) of the places (doc_id, line); documents without any stay out of the shuffle."""
+    _, some = split_by_ids(docs.select("doc_id", "text"), places.select("doc_id"))
+    lines = some.select("doc_id", F.posexplode(F.split("text", "\n", -1)).alias("line", "content")).withColumn("line", F.col("line").cast("long"))
+    bit = bit_number(F.xxhash64("doc_id", "line"))
+    return lines.where(possible(places, bit)(bit)).join(places, ["doc_id", "line"])
+
+
+def similar_lines(width: int, percent: int):
+    """Column function of two lines: whether their sets reach the similarity."""
+    @F.pandas_udf("boolean")
+    def run(x: pd.Series, y: pd.Series) -> pd.Series:
+        out = []
+        for k in range(0, len(x), 512):
+            a, b = Lines(x.iloc[k:k + 512].tolist(), width), Lines(y.iloc[k:k + 512].tolist(), width)
+            n, m = np.zeros(min(512, len(x) - k), np.int64), np.zeros(min(512, len(x) - k), np.int64)
+            n[a.row], m[b.row] = a.n, b.n
+            own_a, own_b = (v.token ^ (v.row[v.owner].astype(np.uint64) * _MUL) for v in (a, b))
+            both = np.bincount(a.row[a.owner][np.isin(own_a, own_b)], minlength=len(n))
+            out.append(100 * both >= percent * (n + m - both))
+        return pd.Series(np.concatenate(out) if out else np.zeros(0, bool))
+
+    return run
+
+
+def later_matches(docs: DataFrame, sets: DataFrame, ranks: np.ndarray, tokens: int, width: int, percent: int) -> DataFrame:
+    """(s1, s2) of the sets that match an earlier one.  ``sets``: s1, s2, doc_id, line of each first occurrence."""
+    records = tokens * (100 - percent) // 100 + tokens // 16  # about the prefixes' share, and one more per line
+    parts = max(int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")), -(-records // RECORDS_PER_TASK))
+    shared = checkpoint(shared_prefixes(prefixes(docs, ranks, width, percent, parts), parts))
+    wanted = shared.select("s1").distinct()
+    bit = bit_number(F.col("s1"))
+    # sorted by place, so that the order of the ids is that of first occurrences
+    where = checkpoint(sets.where(possible(shared, bit)(bit)).join(wanted, "s1", "left_semi")
+                       .orderBy("doc_id", "line").withColumn("id", F.monotonically_increasing_id()))
+    member = checkpoint(shared.join(where.select("s1", "id"), "s1").select("token", "id", "n", "pos"))
+    content = checkpoint(lines_at(docs, where.select("doc_id", "line", "id")).select("id", "content"))
 
     def similar(pairs: DataFrame) -> DataFrame:
-        """Later sets of the pairs (x1, x2, y1, y2) that verify."""
-        x = full.select(F.col("s1").alias("x1"), F.col("s2").alias("x2"), F.col("tokens").alias("xt"))
-        y = full.select(F.col("s1").alias("y1"), F.col("s2").alias("y2"), F.col("tokens").alias("yt"))
-        both = F.size(F.array_intersect("xt", "yt"))
-        return (pairs.distinct().join(x, ["x1", "x2"]).join(y, ["y1", "y2"])
-                .where(100 * both >= percent * (F.size("xt") + F.size("yt") - both))
-                .select(F.col("x1").alias("s1"), F.col("x2").alias("s2")).distinct())
-
-    x = member.select("token", F.col("s1").alias("x1"), F.col("s2").alias("x2"), F.col("at").alias("xat"), F.col("n").alias("xn"), F.col("pos").alias("xp"))
-    y = member.select("token", F.col("s1").alias("y1"), F.col("s2").alias("y2"), F.col("at").alias("yat"), F.col("n").alias("yn"), F.col("pos").alias("yp"))
+        """Later sets of the pairs (x, y) that verify."""
+        x, y = (content.select(F.col("id").alias(c), F.col("content").alias(f"{c}_line")) for c in "xy")
+        return pairs.distinct().join(x, "x").join(y, "y").where(similar_lines(width, percent)("x_line", "y_line")).select("x").distinct()
+
+    x, y = (member.select("token", F.col("id").alias(c), F.col("n").alias(f"{c}n"), F.col("pos").alias(f"{c}p")) for c in "xy")
     overlap = F.ceil(percent * (F.col("xn") + F.col("yn")) / F.lit(100 + percent))
-    fits = ((100 * F.least("xn", "yn") >= percent * F.greatest("xn", "yn"))
-            & (1 + F.least(F.col("xn") - F.col("xp"), F.col("yn") - F.col("yp")) - 1 >= overlap))
-    first = checkpoint(member.groupBy("token").agg(F.min("at").alias("yat")))
-    earliest = checkpoint(y.join(first, ["token", "yat"]))
-    near = x.join(earliest, "token").where((F.col("yat") < F.col("xat")) & fits).select("x1", "x2", "y1", "y2")
+    fits = ((F.col("y") < F.col("x")) & (100 * F.least("xn", "yn") >= percent * F.greatest("xn", "yn"))
+            & (F.least(F.col("xn") - F.col("xp"), F.col("yn") - F.col("yp")) >= overlap))
+    first = member.groupBy("token").agg(F.min("id").alias("y"))
+    near = x.join(checkpoint(y.join(first, ["token", "y"])), "token").where(fits).select("x", "y")
     matched = checkpoint(similar(near))
-    left = checkpoint(x.join(matched.select(F.col("s1").alias("x1"), F.col("s2").alias("x2")), ["x1", "x2"], "left_anti"))
-    rest = left.join(y, "token").where((F.col("yat") < F.col("xat")) & fits).select("x1", "x2", "y1", "y2")
-    return checkpoint(matched.union(similar(rest)))
+    left = checkpoint(x.join(matched, "x", "left_anti"))
+    rest = left.join(y, "token").where(fits).select("x", "y")
+    later = matched.union(similar(rest)).withColumnRenamed("x", "id")
+    return checkpoint(where.join(later, "id").select("s1", "s2"))
 
 
 def removed_lines(docs: DataFrame, width: int = WIDTH, percent: int = PERCENT, min_words: int = WIDTH) -> DataFrame:
@@ -202,23 +270,26 @@ def removed_lines(docs: DataFrame, width: int = WIDTH, percent: int = PERCENT, m
         raise ValueError("a line needs one token at least: min_words >= width")
     known = docs.where("doc_id is not null")
     found = checkpoint(line_sets(known, width))
-    ranks = rarity_ranks(found)
+    ranks, tokens = rarity_ranks(found)
     lines = found.where("bins is null").drop("bins")
     if min_words > width:
         lines = lines.where(F.col("n") >= min_words - width + 1)
-    sets = checkpoint(lines.groupBy("s1", "s2").agg(F.min(F.struct("doc_id", "line")).alias("at"), F.first("n").alias("n"))
-                      .select("s1", "s2", "n", "at.doc_id", "at.line"))
-    later = later_matches(known, sets, ranks, width, percent).withColumn("goes", F.lit(True))
-    firsts = checkpoint(sets.select("s1", "s2", F.col("doc_id").alias("d"), F.col("line").alias("l")).join(later, ["s1", "s2"], "left"))
-    gone = (lines.join(firsts, ["s1", "s2"]).where("goes or doc_id <> d or line <> l").select("doc_id", "line").distinct())
+    sets = checkpoint(lines.groupBy("s1", "s2").agg(F.min(F.struct("doc_id", "line")).alias("at"), F.count(F.lit(1)).alias("copies"))
+                      .select("s1", "s2", "copies", "at.doc_id", "at.line"))
+    later = later_matches(known, sets.drop("copies"), ranks, tokens, width, percent).withColumn("goes", F.lit(True))
+    repeated = sets.where("copies > 1").select("s1", "s2", F.col("doc_id").alias("d"), F.col("line").alias("l"))
+    concerned = checkpoint(repeated.join(later, ["s1", "s2"], "full_outer"))  # sets that lose some line; most sets lose none
+    bit = bit_number(F.col("s1"))
+    gone = (lines.where(possible(concerned, bit)(bit)).join(concerned, ["s1", "s2"])
+            .where("goes or doc_id <> d or line <> l").select("doc_id", "line").distinct())
     return checkpoint(gone.groupBy("doc_id").agg(F.sort_array(F.collect_list("line")).alias("lines")))
 
 
 def line_report(docs: DataFrame, width: int = WIDTH, percent: int = PERCENT) -> DataFrame:
     """doc_id, n_lines, n_removed and removed_lines (numbers from 0, comma-joined) of every document."""
     gone = removed_lines(docs, width, percent)
-    n = F.coalesce(F.size(F.split("text", "\n", -1)), F.lit(0))
-    return (docs.select("doc_id", F.when(F.col("text").isNull(), 0).otherwise(n).cast("long").alias("n_lines")).join(gone, "doc_id", "left")
+    n = F.octet_length("text") - F.octet_length(F.replace("text", F.lit("\n"))) + 1
+    return (docs.select("doc_id", F.coalesce(n, F.lit(0)).cast("long").alias("n_lines")).join(gone, "doc_id", "left")
             .select("doc_id", "n_lines", F.when(F.col("lines").isNull(), 0).otherwise(F.size("lines")).cast("long").alias("n_removed"),
                     F.coalesce(F.array_join("lines", ","), F.lit("")).alias("removed_lines")))
 
