@@ -23,13 +23,24 @@ WHITE_SPACE = np.ones(256, np.uint8)
 WHITE_SPACE[[9, 10, 11, 12, 13, 32]] = 0
 
 
+BATCH_SETTING, BATCH_ROWS = "spark.sql.execution.arrow.maxRecordsPerBatch", "2000"
+
+
+def lighter_batches(spark: SparkSession) -> None:
+    """Arrow batches of fewer rows than Spark's default, as rows hold whole texts; a setting of the user's own stays."""
+    if spark.conf.get(BATCH_SETTING) == "10000":
+        spark.conf.set(BATCH_SETTING, BATCH_ROWS)
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    lighter_batches(spark)
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
 def checkpoint(df: DataFrame) -> DataFrame:
     """Reliable checkpoint in the shared folder the session names (see session.py)."""
     ensure_checkpoint_dir(df.sparkSession)
+    lighter_batches(df.sparkSession)
     return materialize(df)
 
 
