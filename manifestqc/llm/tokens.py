@@ -18,7 +18,7 @@ import numpy as np
 from manifestqc.llm.common import RELEASE
 
 TOKENIZER = "word_bpe_49k.json"
-CACHED_LETTERS = 200_000
+CACHED_LETTERS = 300_000
 CACHED_PIECES = 50_000
 APART = "\x01"
 LATIN_END = "\u0250"
