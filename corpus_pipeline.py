@@ -4,7 +4,7 @@ Every stage takes what the one before kept, as a Parquet table in the shared
 checkpoint folder, and works on all of it:
 
 1. toxicity         documents predicted toxic go
-2. line_dedup       later lines that match an earlier one go, and documents left without a word
+2. line_dedup       later lines that match an earlier one go (lines of 1 to 4 words: equal ones), and documents left without a word
 3. near_dup         one document of each near-duplicate group stays (five-word shingles, similarity 0.8)
 4. decontaminate    documents that hold a benchmark window go
 5. packing          token pieces with their sequence and offset
@@ -26,7 +26,7 @@ def remove_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 
 def remove_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return line_dedup.dedup_lines(docs)
+    return line_dedup.dedup_lines(docs, min_words=1)
 
 
 def remove_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -3,7 +3,8 @@
 A line is the set of its distinct tokens, which are runs of ``width``
 consecutive words (single words saturate: on a large corpus even the rarest word
 of a line is in many lines, so that candidates would grow with the square of the
-input).  A line goes if an earlier line (by doc_id, then line number) has a set
+input).  With ``min_words`` under ``width`` a shorter line has one token, its whole
+sequence of words, so that exact copies of it go.  A line goes if an earlier line (by doc_id, then line number) has a set
 of Jaccard similarity ``percent`` or more.
 
 1. One scan gives every line the 128-bit identity of its set, and counts tokens
@@ -20,8 +21,9 @@ of Jaccard similarity ``percent`` or more.
 5. Pairs are verified on the full sets of their lines, which are taken from
    the few documents that hold them (behind a bitmap of fixed size).
 
-Defined results: lines under ``min_words`` words (headings, list marks, empty
-lines) are neither matched nor removed; null text has no lines; rows that repeat
+Defined results: lines under ``min_words`` words are neither matched nor removed
+(with 1, as in the pipeline, these are the wordless lines only; the default, which
+the SQL of op2_line_dedup has, is ``width``); null text has no lines; rows that repeat
 a doc_id are one document at the same positions (their equal lines stay or go
 together); rows with a null doc_id take no part and stay as they are; an empty
 table gives no rows; other columns are kept by ``dedup_lines``, and n_chars,
@@ -48,9 +50,9 @@ _MUL = np.uint64(0x9E3779B97F4A7C15)
 
 
 class Lines:
-    """The lines with ``width`` words or more of a slice of texts, and their distinct tokens (owner ascending)."""
+    """The lines with ``least`` (or ``width``) words or more of a slice of texts, and their distinct tokens (owner ascending)."""
 
-    def __init__(self, texts: list[str], width: int):
+    def __init__(self, texts: list[str], width: int, least: int | None = None):
         raw = "\n".join(texts).encode("utf-8", "surrogatepass").lower()
         breaks = np.frombuffer(raw, np.uint8) == 10
         h, first = hashed_runs(raw)
@@ -58,7 +60,7 @@ class Lines:
         head = np.cumsum([0] + [t.count("\n") + 1 for t in texts])  # first line of each text
         new = np.flatnonzero(np.diff(line, prepend=-1))  # first word of each line that has any
         sizes = np.diff(new, append=len(line))
-        enough = sizes >= width
+        enough = sizes >= (width if least is None else min(least, width))
         known = line[new[enough]]
         self.row = np.searchsorted(head, known, "right") - 1
         self.number = known - head[self.row]
@@ -68,7 +70,18 @@ class Lines:
         for k in range(1, width):
             run = run * _MUL + h[k:count + k]
         inside = owner[:count] == owner[width - 1:width - 1 + count]
-        token, owner = mix(run[inside]), owner[:count][inside]
+        token, of_run = mix(run[inside]), owner[:count][inside]
+        sizes = sizes[enough]
+        short = np.flatnonzero(sizes < width)
+        if len(short):  # one token: the whole sequence
+            at, size = (np.cumsum(sizes) - sizes)[short], sizes[short]
+            whole = h[at]
+            for k in range(1, width - 1):
+                more = size > k
+                whole[more] = whole[more] * _MUL + h[at[more] + k]
+            place = np.searchsorted(of_run, short)
+            token, of_run = np.insert(token, place, mix(whole + size.astype(np.uint64))), np.insert(of_run, place, short)
+        owner = of_run
         own = token ^ (owner.astype(np.uint64) * _MUL)
         ordered = np.sort(own)
         again = ordered[1:][ordered[1:] == ordered[:-1]]
@@ -113,12 +126,12 @@ def _needed(n, percent: int):
     return -((-percent * n) // 100)
 
 
-def line_sets(docs: DataFrame, width: int) -> DataFrame:
+def line_sets(docs: DataFrame, width: int, least: int | None = None) -> DataFrame:
     """A row per line (doc_id, line, n, s1, s2), and per task one row that holds the token counts (bins)."""
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         bins = np.zeros(BINS, np.int64)
         for pdf, texts in text_slices(frames):
-            lines = Lines(texts, width)
+            lines = Lines(texts, width, least)
             bins += np.bincount((lines.token >> np.uint64(48)).astype(np.int64), minlength=BINS)
             s1, s2 = lines.identities()
             yield pd.DataFrame({"doc_id": pdf["doc_id"].to_numpy()[lines.row], "line": lines.number, "n": lines.n, "s1": s1, "s2": s2, "bins": None})
@@ -137,7 +150,9 @@ def rarity_ranks(found: DataFrame) -> tuple[np.ndarray, int]:
 
 
 def prefixes(docs: DataFrame, ranks: np.ndarray, width: int, percent: int, parts: int) -> DataFrame:
-    """(part, records): the rarest tokens of each line, enough to share one with every similar line.
+    """(part, records): the rarest tokens of each line of ``width`` words or more, enough to share one with every similar line.
+
+    Shorter lines are no candidates: their only token is in lines of equal sets, which are collapsed.
 
     Records (token, identity, set size, place in the order) leave in packed
     blocks, one per slice of texts and target partition; the token decides the partition.
@@ -266,10 +281,10 @@ def later_matches(docs: DataFrame, sets: DataFrame, ranks: np.ndarray, tokens: i
 
 def removed_lines(docs: DataFrame, width: int = WIDTH, percent: int = PERCENT, min_words: int = WIDTH) -> DataFrame:
     """(doc_id, lines): the sorted numbers of the lines that an earlier line matches, for documents that have any."""
-    if min_words < width:
-        raise ValueError("a line needs one token at least: min_words >= width")
+    if min_words < 1:
+        raise ValueError("a line needs one word at least: min_words >= 1")
     known = docs.where("doc_id is not null")
-    found = checkpoint(line_sets(known, width))
+    found = checkpoint(line_sets(known, width, min_words))
     ranks, tokens = rarity_ranks(found)
     lines = found.where("bins is null").drop("bins")
     if min_words > width:
@@ -285,9 +300,9 @@ def removed_lines(docs: DataFrame, width: int = WIDTH, percent: int = PERCENT, m
     return checkpoint(gone.groupBy("doc_id").agg(F.sort_array(F.collect_list("line")).alias("lines")))
 
 
-def line_report(docs: DataFrame, width: int = WIDTH, percent: int = PERCENT) -> DataFrame:
+def line_report(docs: DataFrame, width: int = WIDTH, percent: int = PERCENT, min_words: int = WIDTH) -> DataFrame:
     """doc_id, n_lines, n_removed and removed_lines (numbers from 0, comma-joined) of every document."""
-    gone = removed_lines(docs, width, percent)
+    gone = removed_lines(docs, width, percent, min_words)
     n = F.octet_length("text") - F.octet_length(F.replace("text", F.lit("\n"))) + 1
     return (docs.select("doc_id", F.coalesce(n, F.lit(0)).cast("long").alias("n_lines")).join(gone, "doc_id", "left")
             .select("doc_id", "n_lines", F.when(F.col("lines").isNull(), 0).otherwise(F.size("lines")).cast("long").alias("n_removed"),
@@ -304,12 +319,12 @@ def _without(text: pd.Series, lines: pd.Series) -> pd.Series:
     return pd.Series(out, dtype=object)
 
 
-def dedup_lines(docs: DataFrame, width: int = WIDTH, percent: int = PERCENT) -> DataFrame:
+def dedup_lines(docs: DataFrame, width: int = WIDTH, percent: int = PERCENT, min_words: int = WIDTH) -> DataFrame:
     """``docs`` without the removed lines; documents that lose their last word go.  Columns as they are.
 
     Only documents that may lose a line (by a bitmap) meet the list in a shuffle.
     """
-    gone = removed_lines(docs, width, percent)
+    gone = removed_lines(docs, width, percent, min_words)
     lines = "_lines"
     while lines in docs.columns:
         lines += "_"

@@ -69,3 +69,27 @@ def test_prefix_order_is_a_bijection():
     token = np.random.default_rng(1).integers(0, 2**63, 1000, np.uint64)
     moved = (ranks[(token >> np.uint64(48)).astype(int)] << np.uint64(48)) | (token & np.uint64((1 << 48) - 1))
     assert len(set(moved.tolist())) == len(set(token.tolist()))
+
+
+def test_short_lines_as_one_token(docs_of):
+    rows = corpus(3, 60) + [(100, "Home\nAbout us\n\n \nfig. 1 of\na b c d"), (101, "about  US\na b c d e\nd c b a\n\nhome"), (102, "HOME"), (103, "a a\na\na a a\na b c d")]
+    want, seen = brute_force(rows), set()
+    for i, text in rows:
+        for k, line in enumerate(text.split("\n")):
+            w = tuple(line.encode().lower().split())
+            if 0 < len(w) < 5:
+                if w in seen:
+                    want.setdefault(i, []).append(k)
+                seen.add(w)
+    assert want[101] == [0, 4] and want[102] == [0] and want[103] == [3] and 100 not in want
+    got = {r.doc_id: [int(x) for x in r.removed_lines.split(",")] for r in line_dedup.line_report(docs_of(rows), min_words=1).collect() if r.n_removed}
+    assert got == {i: sorted(v) for i, v in want.items()}
+    kept = {r.doc_id: r.text for r in line_dedup.dedup_lines(docs_of(rows), min_words=1).collect()}
+    assert kept[101] == "a b c d e\nd c b a\n" and 102 not in kept and kept[100] == rows[-4][1]
+
+
+def test_pipeline_stage_removes_short_lines(spark, docs_of):
+    import corpus_pipeline
+    stage = dict(corpus_pipeline.STAGES)["line_dedup"]
+    kept = {r.doc_id: r.text for r in stage(spark, docs_of([(1, "Home\nfirst text"), (2, "home\nsecond text")]), "").collect()}
+    assert kept == {1: "Home\nfirst text", 2: "second text"}
