@@ -12,12 +12,13 @@
    with a member that is not can hold another link; these are compared in blocks
    of at most about ``BLOCK`` by ``BLOCK`` members, and a block returns no more links than
    it has members, which connect what the found pairs connect.
-5. In both places candidates are checked against batches of signature
-   positions: after each batch the posterior probability (uniform prior) that the
-   similarity reaches the threshold decides, and a pair is pruned when it falls
-   under ``miss``.  Survivors are verified exactly: against the hub on the full shingle
-   sets, among members on their differences to the hub, which give the exact
-   intersection of the full sets as well.
+5. Against the hub every pair is verified exactly on the full shingle sets, as
+   the members' differences to it are needed anyhow.  Among members candidates are
+   first checked against batches of signature positions: after each batch the
+   posterior probability (uniform prior) that the similarity reaches the threshold
+   decides, and a pair is pruned when it falls under ``miss`` (see ``miss_rate``
+   for what that loses).  Survivors are verified on the differences to the hub, which
+   give the exact intersection of the full sets as well.
 
 Signatures travel for pairs only, and shingle sets only for documents in pairs;
 the latter are found again in a narrow scan behind a bitmap of fixed size.
@@ -102,6 +103,18 @@ def fewest_matches(threshold: float, miss: float, batch: int = BATCH, hashes: in
     return least
 
 
+def miss_rate(least: list[int], similarity: float, batch: int = BATCH) -> float:
+    """Probability that a pair of this similarity is pruned after some batch."""
+    alive = np.ones(1)
+    step = np.array([comb(batch, k) * similarity**k * (1 - similarity) ** (batch - k) for k in range(batch + 1)])
+    lost = 0.0
+    for m in least:
+        alive = np.convolve(alive, step)
+        lost += float(alive[:m].sum())
+        alive[:m] = 0.0
+    return lost
+
+
 def survivors(left: np.ndarray, right: np.ndarray, least: list[int], alive: tuple[np.ndarray, np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
     """Index pairs into two signature arrays that no batch prunes; pairs pruned by one batch are not compared in the next."""
     a, b = alive
@@ -133,28 +146,17 @@ def full_sets(docs: DataFrame, ids: DataFrame, width: int) -> DataFrame:
     return rows.join(ids, "id", "left_semi")
 
 
-def against_hubs(docs: DataFrame, stars: DataFrame, signatures: DataFrame, width: int, percent: int, miss: float) -> DataFrame:
-    """Stars (hub, id) with the member's size, signature, differences to the hub, and whether they are linked."""
-    least = fewest_matches(percent / 100, miss)
-    plain = {c: signatures.select(F.col("doc_id").alias(c), F.col("signature").alias(f"{c}_signature")) for c in ("hub", "id")}
-    pairs = stars.join(plain["id"], "id").join(plain["hub"], "hub")
-
-    @F.pandas_udf("boolean")
-    def may_link(x: pd.Series, y: pd.Series) -> pd.Series:
-        out = np.zeros(len(x), bool)
-        every = np.arange(len(x))
-        out[survivors(matrix(x), matrix(y), least, (every, every))[0]] = True
-        return pd.Series(out)
-
-    pairs = pairs.withColumn("likely", may_link("id_signature", "hub_signature")).drop("hub_signature")
+def against_hubs(docs: DataFrame, stars: DataFrame, signatures: DataFrame, width: int, percent: int) -> DataFrame:
+    """Stars (hub, id) with the member's size, signature, differences to the hub, and whether they are linked (exactly)."""
+    pairs = stars.join(signatures.select(F.col("doc_id").alias("id"), "signature"), "id")
     ids = checkpoint(stars.select("id").union(stars.select("hub")).distinct())
     sets = full_sets(docs, ids, width)
     x, h = sets.select("id", F.col("shingles").alias("xs")), sets.select(F.col("id").alias("hub"), F.col("shingles").alias("hs"))
     both = F.size(F.array_intersect("xs", "hs"))
     n, m = F.size("xs"), F.size("hs")
     return checkpoint(pairs.join(x, "id").join(h, "hub").withColumn("both", both)
-                      .select("hub", "id", n.alias("n"), F.col("id_signature").alias("signature"),
-                              (F.col("likely") & (100 * F.col("both") >= percent * (n + m - F.col("both")))).alias("linked"),
+                      .select("hub", "id", n.alias("n"), "signature",
+                              (100 * F.col("both") >= percent * (n + m - F.col("both"))).alias("linked"),
                               F.concat(F.array_except("xs", "hs"), F.array_except("hs", "xs")).alias("differs")))
 
 
@@ -248,7 +250,7 @@ def near_duplicate_links(docs: DataFrame, width: int = 5, percent: int = 80, mis
     shared = buckets(reps)
     hubs = shared.groupBy("key").agg(F.max(F.struct("weight", (-F.col("id")).alias("minus"))).alias("top")).select("key", (-F.col("top.minus")).alias("hub"))
     stars = checkpoint(shared.join(checkpoint(hubs), "key").where("id <> hub").select("hub", "id").distinct())
-    rows = against_hubs(docs, stars, reps, width, percent, miss)
+    rows = against_hubs(docs, stars, reps, width, percent)
     links = rows.where("linked").select(F.col("id").alias("a"), F.col("hub").alias("b"))
     return sketched, checkpoint(copies.union(links).union(among_members(rows, percent, miss)))
 

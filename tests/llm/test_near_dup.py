@@ -91,3 +91,22 @@ def test_connected_on_paths_and_stars(spark):
     for i, c in got.items():
         groups[c].add(i)
     assert groups == {0: set(range(51)), 100: set(range(100, 180))}
+
+
+def test_pruning_loses_no_link_that_is_known_exactly(docs_of):
+    rows = []
+    for i in range(30):  # pairs a little above the threshold: 14 of 118 shingles on each side
+        w = [f"p{i}w{k}" for k in range(120)]
+        rows += [(2 * i, " ".join(w)), (2 * i + 1, " ".join(w[:106] + [f"q{i}w{k}" for k in range(12)]))]
+    parts, _ = brute_force(rows, 3, 80)
+    assert all(parts[2 * i + 1] == 2 * i for i in range(30))
+    got = near_dup.near_duplicates(docs_of(rows), width=3, miss=0.9).collect()
+    assert {r.doc_id: r.component_id for r in got} == parts
+
+
+def test_miss_rate_at_the_threshold():
+    least = near_dup.fewest_matches(0.8, 1e-6)
+    r = np.random.default_rng(3)
+    agree = np.cumsum(r.binomial(near_dup.BATCH, 0.6, (200_000, len(least))), axis=1)
+    assert abs((agree < np.array(least)).any(axis=1).mean() - near_dup.miss_rate(least, 0.6)) < 0.005
+    assert 3e-6 < near_dup.miss_rate(least, 0.8) < 1e-5
