@@ -49,6 +49,21 @@ FROM D JOIN C ON C.a = D.doc_id LEFT JOIN N ON N.doc_id = D.doc_id
 """
 
 
+LEXICAL = rf"""
+WITH W AS (SELECT doc_id, row_number() OVER () AS r, regexp_extract_all({_LOW}, '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+') AS w FROM documents),
+S AS (SELECT count(*)::BIGINT AS n_docs, sum(len(w))::BIGINT AS n_words FROM W WHERE len(w) > 0),
+U AS (SELECT DISTINCT item_id, text FROM benchmark),
+I AS (SELECT item_id, term, count(*) AS asked FROM (SELECT item_id, unnest(regexp_extract_all({_LOW}, '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term FROM U) GROUP BY ALL),
+T AS (SELECT r, doc_id, n, term, count(*)::BIGINT AS tf FROM (SELECT r, doc_id, len(w)::BIGINT AS n, unnest(w) AS term FROM W)
+      WHERE term IN (SELECT term FROM I) GROUP BY ALL),
+F AS (SELECT term, floor(1000 * ln((2 * any_value(n_docs) + 2)::DOUBLE / (2 * count(*) + 1)))::BIGINT AS weight FROM T, S GROUP BY term),
+P AS (SELECT r, doc_id, term, (1000000000 * tf) // (1000 * tf + 12 * (100 - 25 + ((25 * n * n_docs) // n_words))) AS impact FROM T, S),
+X AS (SELECT item_id, r, any_value(doc_id) AS doc_id, sum(asked * weight * impact)::BIGINT AS score FROM I JOIN F USING (term) JOIN P USING (term) GROUP BY item_id, r),
+R AS (SELECT item_id, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id)::INTEGER AS rank, doc_id, score FROM X WHERE score > 0)
+SELECT item_id, rank, doc_id, score FROM R WHERE rank <= 20
+"""
+
+
 def chat_sql(control: list[str]) -> str:
     """Lengths of the template's marks: <s> 3, <|turn|> 8, <|text|> 8, </s> 4."""
     escaped = "".join("\\" + c if c in "<>[]|/()" else c for c in "\x00".join(sorted(control, key=len, reverse=True)))

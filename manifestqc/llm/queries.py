@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from manifestqc.llm import chat, decontaminate, line_dedup, near_dup, packing, pii, quality, toxicity, training_order, warc
+from manifestqc.llm import chat, decontaminate, lexical, line_dedup, near_dup, packing, pii, quality, toxicity, training_order, warc
 from manifestqc.llm import oracle
 from manifestqc.llm.common import table
 from manifestqc.session import scratch_path
@@ -80,3 +80,8 @@ def op1_training_order(spark, sf_dir):
     manifest = training_order.write_shards(table(spark, sf_dir, "documents"), base)
     kind = training_order.record_type(training_order.LENGTH, 1 << 16)
     return training_order.read_shards(manifest, base, kind)
+
+
+@query(sql=oracle.LEXICAL)
+def op13_lexical(spark, sf_dir):
+    return lexical.search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
