@@ -11,10 +11,11 @@
    the impact vectors, clusters are cut at ``BLOCK`` documents.  A block's summary is
    the largest impact of each term over its documents.  Blocks of a list are made
    when the first item opens it and serve all later ones.
-4. An item opens its lists by falling contribution.  A block is skipped only when
-   weights times summary stay below the item's 20th best score so far, a list and all
-   after it only when their largest impacts together do.  What is left is scored in full.  Equal
-   scores are never skipped, so the result is exact.
+4. An item scores the lists that fit one block as they are and opens the others by
+   falling contribution.  A block is skipped only when weights times summary stay below
+   the item's 20th best score so far, a list and all after it only when their largest
+   impacts together do.  What is left is scored in full.  Equal scores are never
+   skipped, so the result is exact.
 5. One shard in ``FIRST`` is searched first; its 20th best scores are lower bounds
    that the search of all others starts from.
 
@@ -213,9 +214,11 @@ class BlockedIndex:
         self.block = block
         self.terms, self.impacts, self.ends = terms, impacts, ends
         self.starts = np.concatenate([[0], ends[:-1]])
+        self.lengths = ends - self.starts
         order = np.argsort(terms, kind="stable")
-        self.list_docs = np.repeat(np.arange(len(ends)), ends - self.starts)[order]
-        self.present, self.list_starts = np.unique(terms[order], return_index=True)
+        self.list_docs = np.repeat(np.arange(len(ends)), self.lengths)[order]
+        self.present, self.list_of = np.unique(terms, return_inverse=True)
+        self.list_starts = np.searchsorted(terms[order], self.present)
         self.list_ends = np.append(self.list_starts[1:], len(order))
         self.largest = np.maximum.reduceat(impacts[order], self.list_starts) if len(order) else np.zeros(0, np.int64)
         self._projected: np.ndarray | None = None
@@ -235,7 +238,7 @@ class BlockedIndex:
             out = np.zeros((len(self.ends), PROJECTION), np.float32)
             for a in range(0, len(self.ends), 256):
                 some = slice(int(self.starts[a]), int(self.ends[min(a + 256, len(self.ends)) - 1]))
-                rows = np.repeat(np.arange(a, min(a + 256, len(self.ends))), (self.ends - self.starts)[a:a + 256])
+                rows = np.repeat(np.arange(a, min(a + 256, len(self.ends))), self.lengths[a:a + 256])
                 np.add.at(out, rows, signs[self.terms[some]] * self.impacts[some, None].astype(np.float32))
             self._projected = out / np.maximum(np.linalg.norm(out, axis=1, keepdims=True), np.float32(1e-9))
         return self._projected
@@ -257,10 +260,10 @@ class BlockedIndex:
         else:
             opens = np.zeros(1, np.int64)
         ends = np.append(opens[1:], len(docs))
-        lengths = (self.ends - self.starts)[docs]
+        lengths = self.lengths[docs]
         entries = spread(self.starts[docs], lengths)
         of = np.repeat(np.repeat(np.arange(len(ends)), ends - opens), lengths)
-        place = np.searchsorted(self.present, self.terms[entries])
+        place = self.list_of[entries]
         tops, numbers, values = [], [], []
         step = max(1, (1 << 21) // len(self.present))
         for a in range(0, len(ends), step):  # a bounded table at a time
@@ -277,14 +280,17 @@ class BlockedIndex:
         return made
 
     def scores(self, docs: np.ndarray, weights: np.ndarray) -> np.ndarray:
-        lengths = (self.ends - self.starts)[docs]
+        lengths = self.lengths[docs]
         entries = spread(self.starts[docs], lengths)
         return _sums(weights[self.terms[entries]] * self.impacts[entries], np.cumsum(lengths))
 
 
 def _sums(values: np.ndarray, ends: np.ndarray) -> np.ndarray:
-    total = np.concatenate([[0], np.cumsum(values)])
-    return np.diff(total[ends], prepend=0)
+    total = np.zeros(len(values) + 1, np.int64)
+    np.cumsum(values, out=total[1:])
+    out = total[ends]
+    out[1:] -= out[:-1].copy()
+    return out
 
 
 class Best:
@@ -313,12 +319,18 @@ def search_shard(index: BlockedIndex, ids: np.ndarray, terms: np.ndarray, weight
     if not held.any():
         return 0
     lists, weight = at[held], weights[held]
-    most = weight * index.largest[lists]
+    dense[terms] = weights
+    seen = np.zeros(len(index.ends), bool)
+    short = index.list_ends[lists] - index.list_starts[lists] <= index.block
+    if short.any():
+        one = lists[short]
+        seen[index.list_docs[spread(index.list_starts[one], (index.list_ends - index.list_starts)[one])]] = True
+        found = np.flatnonzero(seen)
+        best.add(index.scores(found, dense), ids[found])
+    lists, most = lists[~short], (weight * index.largest[lists])[~short]
     order = np.argsort(-most, kind="stable")
     lists, most = lists[order], most[order]
     rest = np.cumsum(most[::-1])[::-1]
-    dense[terms] = weights
-    seen = np.zeros(len(index.ends), bool)
     for k, i in enumerate(lists):
         if rest[k] < best.least:  # documents of these lists only cannot reach the least score
             break
