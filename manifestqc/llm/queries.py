@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from manifestqc.llm import chat, decontaminate, lexical, line_dedup, near_dup, packing, pii, quality, toxicity, training_order, warc
+from pyspark.sql import functions as F
+
+from manifestqc.llm import chat, decontaminate, lexical, line_dedup, near_dup, neighbours, packing, pii, quality, toxicity, training_order, warc, whitening
 from manifestqc.llm import oracle
 from manifestqc.llm.common import table
 from manifestqc.session import scratch_path
@@ -85,3 +87,13 @@ def op1_training_order(spark, sf_dir):
 @query(sql=oracle.LEXICAL)
 def op13_lexical(spark, sf_dir):
     return lexical.search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+@query
+def op12_neighbours(spark, sf_dir):
+    return neighbours.neighbours(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 100 == 0)
+
+
+@query
+def op11_whitening(spark, sf_dir):
+    return whitening.whitened(table(spark, sf_dir, "embeddings"))
