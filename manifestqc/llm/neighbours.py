@@ -42,7 +42,7 @@ TABLES = 3
 WIDTH = 3.0
 ROWS_PER_BUCKET = 16
 SAMPLE = 128
-RECALL = 0.95
+RECALL = 0.97
 AIMS = (0.9, 0.93, 0.95, 0.97, 0.98, 0.99, 0.995, 0.999)
 PROBES = 8192
 LOT = 2048

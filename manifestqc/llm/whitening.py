@@ -3,8 +3,8 @@
 1. Vectors become whole numbers, packed in blocks of one Arrow batch; counts, sums and
    extremes are exact.
 2. The only use of the covariance V is its product with a few columns: every task
-   centres its blocks, multiplies, and adds up; a product is one pass over the packed vectors, whose
-   partial sums are added on Spark.
+   centres its blocks, multiplies, and adds up; a product is one pass over the packed
+   vectors.  The sums of at most ``PARTIALS`` tasks are added on the driver, more of them on Spark.
 3. Jacobi-Davidson: Rayleigh-Ritz in a small subspace; for each wanted pair that has not
    converged the correction equation, projected off all wanted and locked vectors, is
    solved roughly by MINRES (all pairs step together, so that a step is one product);
@@ -43,6 +43,7 @@ INNER_TOLERANCE = 0.02
 ROUNDING = 16  # residuals may be so many times the rounding error of a product
 MOST_ROUNDS = 200
 TASK_BYTES = 64 << 20
+PARTIALS = 256  # so many tasks' sums are added on the driver, more of them on Spark
 
 PACKED = "d int, n long, ids array<long>, block binary, sums array<long>, least array<long>, most array<long>"
 
@@ -79,7 +80,7 @@ def packed(embeddings: DataFrame) -> DataFrame:
 class Fit:
     """The packed vectors of the usual length with their exact count and sums, and sums of functions of the centred vectors."""
 
-    def __init__(self, embeddings: DataFrame):
+    def __init__(self, embeddings: DataFrame, partials: int = PARTIALS):
         blocks = checkpoint(packed(embeddings))
         length = blocks.groupBy("d").agg(F.sum("n").alias("n")).orderBy(F.desc("n"), F.desc("d")).first()
         self.d, self.n = (length["d"], length["n"]) if length else (0, 0)
@@ -91,6 +92,7 @@ class Fit:
         self.centre = (np.array([s // self.n for s in self.sums], np.int64), np.array([s % self.n / self.n for s in self.sums]))
         tasks = max(embeddings.sparkSession.sparkContext.defaultParallelism, -(-self.n * self.d * 8 // TASK_BYTES))
         self.spread = self.blocks.select("block").coalesce(tasks)
+        self.tasks, self.partials = tasks, partials
 
     def total(self, size: int, of: Callable[[np.ndarray], np.ndarray]) -> np.ndarray:
         """Sum over blocks of ``of`` (centred block -> ``size`` numbers), added in tasks and then on Spark."""
@@ -103,7 +105,10 @@ class Fit:
                     out += of((np.frombuffer(raw.as_buffer(), "<i8").reshape(-1, d) - whole) - part)
             yield pa.RecordBatch.from_arrays([pa.array([out.tolist()], pa.list_(pa.float64()))], ["x"])
 
-        rows = self.spread.mapInArrow(run, "x array<double>").select(F.posexplode("x").alias("i", "x")).groupBy("i").agg(F.sum("x").alias("x")).toPandas()
+        sums = self.spread.mapInArrow(run, "x array<double>")
+        if self.tasks <= self.partials:
+            return np.sum([r["x"] for r in sums.collect()], axis=0)
+        rows = sums.select(F.posexplode("x").alias("i", "x")).groupBy("i").agg(F.sum("x").alias("x")).toPandas()
         out = np.zeros(size)
         out[rows["i"].to_numpy(np.int64)] = rows["x"].to_numpy()
         return out

@@ -71,6 +71,13 @@ def test_no_variance_and_empty(spark):
                                                      ("explained", "double"), ("identity_error", "double")]
 
 
+def test_sums_on_spark_and_on_the_driver_agree(spark):
+    rows = frame(spark, [(i, x.tolist()) for i, x in enumerate(np.random.default_rng(9).standard_normal((300, 6)))]).repartition(4)
+    few, many = wh.Fit(rows), wh.Fit(rows, partials=0)
+    columns = np.random.default_rng(10).standard_normal((6, 3))
+    assert np.allclose(few.product(columns), many.product(columns), rtol=1e-12) and few.trace() == pytest.approx(many.trace(), rel=1e-12)
+
+
 def test_exact_beyond_products_of_64_bits():
     x = np.array([[3, 10**9], [5, -(10**9)]])
     sums = [8, 0]
