@@ -13,9 +13,10 @@
    hash, whose true neighbours are found exactly among all rows.  Their recall has to
    reach ``RECALL``; where that takes more than ``PROBES`` buckets a table, ``m`` falls, and at
    last every bucket is visited.
-5. Buckets are dealt into lots of about ``LOT`` rows, larger buckets in parts, and queries
-   meet a lot in groups of at most about ``QUERIES``.  A task measures a query's candidates of a
-   lot in double precision and passes on the nearest; the tables' lists are merged.
+5. Buckets are dealt into lots of about ``LOT`` rows, larger buckets over several parts of
+   their lot, and a query travels once to each lot it visits, with the buckets it wants.
+   Queries meet a part in groups of at most about ``QUERIES``.  A task measures a query's
+   candidates in double precision and passes on the nearest; the tables' lists are merged.
    Queries with too few candidates are compared with every row.
 
 Defined results: rows whose vector is null, empty, zero or holds null or non-finite
@@ -35,7 +36,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from manifestqc.llm.common import checkpoint
+from manifestqc.llm.common import checkpoint, mix
 
 TOP = 10
 TABLES = 3
@@ -247,36 +248,48 @@ def fitted(reps: DataFrame, n: int, tables: int, top: int, sample: int, recall:
     return None
 
 
-def _in_lots(reps: DataFrame, hashes: Hashes, lot_rows: int) -> tuple[DataFrame, DataFrame, int]:
-    """Hashed rows (bucket, part, rep, first, vector) and bucket sizes in parts; the number of lots."""
+def lot_of(buckets: np.ndarray, lots: int) -> np.ndarray:
+    return (mix(buckets.view(np.uint64)) % np.uint64(lots)).astype(np.int64)
+
+
+def _in_lots(reps: DataFrame, hashes: Hashes, lots: int, lot_rows: int) -> tuple[DataFrame, DataFrame]:
+    """Hashed rows (lot, part, bucket, rep, first, vector), and the parts of each lot.
+
+    A bucket of more than a lot's rows is dealt over several parts of its lot, the others stand in part 0.
+    """
     held = reps.sparkSession.sparkContext.broadcast(hashes)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             if batch.num_rows:
                 for buckets in held.value.buckets(matrix(batch.column("vector"))):
-                    yield pa.RecordBatch.from_arrays([pa.array(buckets), *[batch.column(c) for c in ("rep", "first", "vector")]], ["bucket", "rep", "first", "vector"])
+                    yield pa.RecordBatch.from_arrays([pa.array(lot_of(buckets, lots)), pa.array(buckets), *[batch.column(c) for c in ("rep", "first", "vector")]],
+                                                     ["lot", "bucket", "rep", "first", "vector"])
 
-    rows = reps.select("rep", "first", "vector").mapInArrow(run, "bucket long, rep long, first long, vector array<double>")
-    sizes = checkpoint(rows.groupBy("bucket").agg(F.count(F.lit(1)).alias("size")).withColumn("parts", F.ceil(F.col("size") / F.lit(lot_rows)).cast("int")))
-    total = sizes.agg(F.sum("size")).first()[0] or 0
+    rows = reps.select("rep", "first", "vector").mapInArrow(run, "lot long, bucket long, rep long, first long, vector array<double>")
+    sizes = checkpoint(rows.groupBy("lot", "bucket").agg(F.ceil(F.count(F.lit(1)) / F.lit(lot_rows)).cast("int").alias("parts")))
     large = sizes.where("parts > 1").select("bucket", "parts")
     parted = rows.join(large, "bucket", "left").withColumn("part", F.when(F.col("parts").isNull(), 0).otherwise(F.pmod(F.xxhash64("rep"), F.col("parts"))).cast("int")).drop("parts")
-    return parted, sizes, max(1, -(-total // lot_rows))
+    return parted, sizes.groupBy("lot").agg(F.max("parts").alias("parts"))
 
 
-def _probed(queries: DataFrame, hashes: Hashes, radius: float, aim: float, most: int) -> DataFrame:
-    """(query, bucket): every bucket that a query visits."""
+def _probed(queries: DataFrame, hashes: Hashes, radius: float, aim: float, most: int, lots: int) -> DataFrame:
+    """(query, vector, lot, buckets): the buckets that a query visits, gathered by lot."""
     held = queries.sparkSession.sparkContext.broadcast((hashes, radius, aim, most))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         h, r, a, t = held.value
         for batch in batches:
             if batch.num_rows:
-                for rep, (buckets, _) in zip(batch.column("rep").to_pylist(), h.visited(matrix(batch.column("vector")), r, a, t)):
-                    yield pa.RecordBatch.from_arrays([pa.array(np.full(len(buckets), rep)), pa.array(buckets)], ["query", "bucket"])
+                for i, (buckets, _) in enumerate(h.visited(matrix(batch.column("vector")), r, a, t)):
+                    lot = lot_of(buckets, lots)
+                    order = np.argsort(lot, kind="stable")
+                    number, starts = np.unique(lot[order], return_index=True)
+                    same = pa.array(np.full(len(number), i))
+                    gathered = pa.ListArray.from_arrays(pa.array(np.append(starts, len(order)), pa.int32()), pa.array(buckets[order]))
+                    yield pa.RecordBatch.from_arrays([batch.column("rep").take(same), batch.column("vector").take(same), pa.array(number), gathered], ["query", "vector", "lot", "buckets"])
 
-    return queries.select("rep", "vector").mapInArrow(run, "query long, bucket long")
+    return queries.select("rep", "vector").mapInArrow(run, "query long, vector array<double>, lot long, buckets array<long>")
 
 
 def _searched(top: int):
@@ -301,18 +314,17 @@ def _searched(top: int):
     return run
 
 
-def candidates(reps: DataFrame, queries: DataFrame, hashes: Hashes, radius: float, aim: float, top: int, most: int, lot_rows: int, group: int) -> DataFrame:
+def candidates(reps: DataFrame, queries: DataFrame, n: int, hashes: Hashes, radius: float, aim: float, top: int, most: int, lot_rows: int, group: int) -> DataFrame:
     """(query, rep, first, distance): of each lot, the ``top`` nearest rows in the buckets that a query visits."""
-    rows, sizes, lots = _in_lots(reps, hashes, lot_rows)
-    lot = F.pmod(F.xxhash64("bucket", "part"), F.lit(lots)).cast("int")
-    probes = (_probed(queries, hashes, radius, aim, most).join(sizes.select("bucket", "parts"), "bucket")
-              .select("query", "bucket", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part")).withColumn("lot", lot))
-    asked = checkpoint(probes.groupBy("lot", "query").agg(F.collect_set("bucket").alias("buckets")))  # a lot's buckets bound the set
-    groups = asked.groupBy("lot").agg(F.ceil(F.count(F.lit(1)) / F.lit(group)).cast("int").alias("groups"))
-    asked = (asked.join(groups, "lot").withColumn("group", F.pmod(F.xxhash64("query"), F.col("groups")).cast("int")).drop("groups")
-             .join(queries.select(F.col("rep").alias("query"), "vector"), "query"))
-    met = rows.withColumn("lot", lot).join(groups, "lot").withColumn("group", F.explode(F.sequence(F.lit(0), F.col("groups") - 1))).drop("groups", "part")
-    return met.groupBy("lot", "group").cogroup(asked.groupBy("lot", "group")).applyInArrow(_searched(top), _near_schema())
+    lots = -(-n * hashes.tables // lot_rows)
+    rows, parts = _in_lots(reps, hashes, lots, lot_rows)
+    probed = checkpoint(_probed(queries, hashes, radius, aim, most, lots))
+    # A group is one part of a lot and a share of the queries that visit the lot.
+    shape = checkpoint(probed.groupBy("lot").agg(F.ceil(F.count(F.lit(1)) / F.lit(group)).cast("int").alias("groups")).join(parts, "lot"))
+    asked = (probed.join(shape, "lot").withColumn("group", F.pmod(F.xxhash64("query"), F.col("groups")).cast("int"))
+             .withColumn("part", F.explode(F.sequence(F.lit(0), F.col("parts") - 1))).drop("groups", "parts"))
+    met = rows.join(shape.drop("parts"), "lot").withColumn("group", F.explode(F.sequence(F.lit(0), F.col("groups") - 1))).drop("groups")
+    return met.groupBy("lot", "part", "group").cogroup(asked.groupBy("lot", "part", "group")).applyInArrow(_searched(top), _near_schema())
 
 
 def neighbours(embeddings: DataFrame, asks: Column | None = None, top: int = TOP, tables: int = TABLES, sample: int = SAMPLE, recall: float = RECALL,
@@ -332,7 +344,7 @@ def neighbours(embeddings: DataFrame, asks: Column | None = None, top: int = TOP
         short = queries
     else:
         hashes, radius, aim = fit
-        found = checkpoint(best_of(candidates(reps, queries, hashes, radius, aim, top + 1, most, lot_rows, group).dropDuplicates(["query", "rep"]), top + 1))
+        found = checkpoint(best_of(candidates(reps, queries, n, hashes, radius, aim, top + 1, most, lot_rows, group).dropDuplicates(["query", "rep"]), top + 1))
         whole = found.groupBy(F.col("query").alias("rep")).count().where(F.col("count") >= wanted)
         short = queries.join(whole, "rep", "left_anti")
         found = found.join(whole.select(F.col("rep").alias("query")), "query", "left_semi")
