@@ -52,6 +52,36 @@ def q_write_roundtrip(spark, sf):
     return read_manifest(spark, out, breaks="encode")
 
 
+@query("read_quoted", f"""WITH {CTE} SELECT {', '.join(map(_hard_cell, _S_COLS))}, _row,
+  CAST({len(_S_COLS)} AS BIGINT) AS _width FROM S""")
+def q_read_quoted(spark, sf):
+    """The same cells as they are: quoted cells over separators and lines."""
+    out = scratch_path(spark, "quoted-manifest")
+    hard = D.sample_manifest(spark, sf).withColumn("title", F.expr(_HARD_SPARK.format(t="title")))
+    write_manifest(hard, out, breaks="quote")
+    return read_manifest(spark, out)
+
+
+# by key: an unclosed quote, one that a later line seems to close, a quoted cell over two lines, plain text, a quote inside text
+_QUOTED_LINE = """CASE o_orderkey % 8 WHEN 0 THEN {k} || chr(9) || '"5 inch' || chr(9) || o_orderstatus
+  WHEN 1 THEN {k} || chr(9) || '"x' || chr(9) || 'y" z' WHEN 2 THEN {k} || chr(9) || '"over' || chr(10) || 'lines"' || chr(9) || o_orderstatus
+  WHEN 3 THEN {k} || chr(9) || '5" ' || o_orderpriority || chr(9) || '""' ELSE {k} || chr(9) || o_orderpriority || chr(9) || o_orderstatus END"""
+_K = "CAST(o_orderkey AS STRING)"
+
+
+@query("open_quotes", """WITH O AS (SELECT o_orderkey, row_number() OVER (ORDER BY o_orderkey) - 1 AS _row, o_orderkey % 8 AS m, o_orderpriority AS p, o_orderstatus AS s FROM orders)
+SELECT CAST(o_orderkey AS VARCHAR) AS o_orderkey, CASE m WHEN 0 THEN '"5 inch' WHEN 1 THEN '"x' WHEN 2 THEN 'over' || chr(10) || 'lines' WHEN 3 THEN '5" ' || p ELSE p END AS title,
+  CASE m WHEN 1 THEN 'y" z' WHEN 3 THEN NULL ELSE s END AS status, _row, m IN (0, 1) AS open_quote FROM O""")
+def q_open_quotes(spark, sf):
+    """Lines with open quotes beside quoted cells over two lines: cells, rows and the rows of the ``open_quote`` issue."""
+    out = scratch_path(spark, "open-quotes")
+    o = D.table(spark, sf, "orders").select("o_orderkey", F.expr(_QUOTED_LINE.format(k=_K)).alias("value"))
+    o.repartitionByRange("o_orderkey").sortWithinPartitions("o_orderkey").select("value").write.text(out)
+    rows = read_manifest(spark, out, header=["o_orderkey", "title", "status"], check=False, open_quotes=True)
+    marked = U.open_quote_issues(rows, "orders", "o_orderkey").select(F.col("row").alias("_row"), F.lit(True).alias("_issue"))
+    return rows.join(marked, "_row", "left").select("o_orderkey", "title", "status", "_row", F.coalesce("_issue", F.lit(False)).alias("open_quote"))
+
+
 _RAGGED_HEADER = ["o_orderkey", "o_orderpriority", "o_orderstatus", "o_orderdate"]
 _DAY = "date_format(o_orderdate, 'yyyy-MM-dd')"
 
@@ -153,6 +183,35 @@ def _pair_sql() -> str:
     return ORACLES["validate_pair"]
 
 
+def _one_sql() -> str:
+    """The sample table alone, samples with a missing file removed."""
+    from driverq.catalog_ops import one_table_sql
+    return one_table_sql()
+
+
+@query("one_table", _one_sql())
+def q_one_table(spark, sf):
+    """The one-table file flow: written, read back, validated, samples with missing files dropped, gated."""
+    from driverq.catalog_rel import BASE
+    from manifestqc.plans.run import validate_files
+    s_dir = scratch_path(spark, "sample-alone")
+    write_manifest(D.sample_manifest(spark, sf), s_dir)
+    _, _, found, _ = validate_files(spark, None, s_dir, None, inventory=D.inventory(spark, sf), base=BASE, on_missing="drop")
+    return found.groupBy("rule", "tbl", "severity").agg(F.count(F.lit(1)).cast("long").alias("n_issues"))
+
+
+@query("one_table_keyless", f"""WITH {CTE} SELECT 'required_columns' AS rule, 'sample' AS tbl, 'sample_name' AS col, CAST(NULL AS BIGINT) AS "row", 'error' AS severity
+  FROM S HAVING count(*) > 0
+UNION ALL SELECT 'row_width', 'sample', NULL, _row, 'warning' FROM S WHERE _row % 50 = 0""")
+def q_one_table_keyless(spark, sf):
+    """A table without its key column, and with some lines too wide."""
+    from manifestqc.plans.validate import validate_table
+    keyless = D.sample_manifest(spark, sf).drop("sample_name")
+    wide = keyless.withColumn("_width", F.when(F.col("_row") % 50 == 0, 99).otherwise(len(_S_COLS) - 1).cast("long"))
+    _, found = validate_table(wide, tbl="sample")
+    return found.where("rule in ('required_columns', 'row_width')").select("rule", "tbl", "col", "row", "severity")
+
+
 @query("validate_files", _pair_sql())
 def q_validate_files(spark, sf):
     """The file flow end to end: both derived tables are written as manifests,

@@ -308,6 +308,19 @@ X AS (
   UNION ALL {' UNION ALL '.join(_sample_issue_sql('SK'))})"""
 
 
+def one_table_sql() -> str:
+    """Issue counts of the sample table alone after samples with a missing file are removed."""
+    miss = _PAIR_MISS.replace("SK0", "S").replace("FRK0", "F1").replace("FRK", "F2")
+    miss = miss.replace("FROM S)", "FROM READ_S)").replace("FROM S\n", "FROM READ_S\n")
+    return f"""WITH {CTE}, IV AS (SELECT DISTINCT path FROM I), READ_S AS (SELECT * REPLACE (nullif(sample_name, '') AS sample_name) FROM S), {miss},
+GONE AS (SELECT key, path FROM F2 WHERE path NOT IN (SELECT path FROM IV)),
+LEFT_S AS (SELECT * FROM READ_S WHERE sample_name IS NULL OR sample_name NOT IN (SELECT key FROM GONE WHERE key IS NOT NULL)),
+X AS (SELECT 'removed_sample' AS rule, 'sample' AS tbl, 'info' AS severity FROM GONE
+  UNION ALL SELECT 'blank_key', 'sample', 'info' FROM S WHERE NOT {Q.not_blank('sample_name')}
+  UNION ALL {' UNION ALL '.join(_sample_issue_sql('LEFT_S'))})
+SELECT rule, tbl, severity, CAST(count(*) AS BIGINT) AS n_issues FROM X GROUP BY rule, tbl, severity"""
+
+
 _BLOCKING = f"rule IN ({', '.join(Q.q(r) for r in ISS.STRICT_RULES)}) OR severity = 'error'"
 
 

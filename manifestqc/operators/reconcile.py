@@ -22,7 +22,7 @@ from manifestqc.operators.issues import empty_issues, issues
 from manifestqc.operators.rows import first_per_key, tail_rows
 
 ROW = "_row"
-HELPER_COLUMNS = ("_row", "_width", "_fixed", "file_number")
+HELPER_COLUMNS = ("_row", "_width", "_open_quote", "_fixed", "file_number")
 
 
 def _existing(df: DataFrame, cols: Sequence[str]) -> list[str]:

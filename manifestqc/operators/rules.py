@@ -328,6 +328,14 @@ def row_width_issues(df: DataFrame, n_columns: int, tbl: str, key: str = "sample
                   row=_row_col(df), value=w.cast("string"), message=msg, severity="warning")
 
 
+def open_quote_issues(df: DataFrame, tbl: str, key: str = "sample_name", flag: str = "_open_quote") -> DataFrame:
+    """Rows with a cell whose opening quote nothing closes (read as text, see ``sources.records``)."""
+    if flag not in df.columns:
+        return empty_issues(df.sparkSession)
+    return issues(df, F.col(flag), "open_quote", tbl, key=_key_col(df, key), row=_row_col(df),
+                  message="a quote is opened and not closed; the cell is read as text", severity="error")
+
+
 def required_column_issues(df: DataFrame, required: Sequence[str], tbl: str) -> DataFrame:
     """Missing required columns: decided from the schema, no job."""
     rows = [("required_columns", tbl, c, None, None, None, "missing required column", "error")

@@ -9,11 +9,9 @@ from collections.abc import Mapping
 
 from pyspark.sql import DataFrame, SparkSession
 
-from manifestqc.operators.issues import issue_summary, strict_gate, union_issues
+from manifestqc.operators.issues import issue_summary, strict_gate
 from manifestqc.operators.pairs import build_samples, detect_pairs, project_template
-from manifestqc.operators.reconcile import file_refs, missing_file_issues, missing_files
-from manifestqc.operators.rules import row_width_issues
-from manifestqc.plans.validate import validate_pair, validate_projects, validate_samples
+from manifestqc.plans.validate import check_policy, validate_pair, validate_table
 from manifestqc.session import materialize
 from manifestqc.sources.config import effective_options
 from manifestqc.sources.files import existing_files, qualified
@@ -40,36 +38,30 @@ def validate_files(spark: SparkSession, project_path: str | None, sample_path: s
     ``file_dir`` every referenced file is probed where it is, relative names
     under that folder; ``inventory`` gives any ``(path)`` table instead, with
     ``base`` for relative names.  Without ``sample_path`` (or ``project_path``)
-    the one table is validated on its own.  The config's own default instrument
+    the one table is validated on its own, under the same ``on_missing`` policies and with the same
+    issues.  The config's own default instrument
     extends the vocabulary."""
     from manifestqc.functions.vocab import VALID_OPTIONS
     options = effective_options(config, options or VALID_OPTIONS)
+    check_policy(on_missing)
+    if file_dir and base is None:
+        base = qualified(spark, file_dir)
+    probed = inventory if inventory is not None or not file_dir else lambda refs: materialize(existing_files(refs))
     if not (project_path and sample_path):
         if not (project_path or sample_path):
             raise ValueError("name a project or a sample table")
-        table = materialize(read_manifest(spark, project_path or sample_path, na_tokens=na_tokens))
+        table = materialize(read_manifest(spark, project_path or sample_path, na_tokens=na_tokens, open_quotes=True))
         if table.isEmpty():
             raise ValueError(f"no rows in {project_path or sample_path}")
-        out, found = (validate_projects if project_path else validate_samples)(table, config, options=options)
-        found = union_issues([found, row_width_issues(table, len([c for c in table.columns if c not in ("_row", "_width")]),
-                                                      "project" if project_path else "sample")])
-        if sample_path and (inventory is not None or file_dir):
-            folder = base if base is not None else qualified(spark, file_dir)
-            refs = file_refs(table, base=folder)
-            missing = missing_files(refs, existing_files(refs) if inventory is None else inventory)
-            found = union_issues([found, missing_file_issues(missing)])
+        out, found = validate_table(table, config, "project" if project_path else "sample", probed, base, on_missing=on_missing, options=options)
         found = materialize(found)
         passed = bool(strict_gate(found).first()["passed"])
         if output_dir and (passed or not strict):
             write_manifest(out, os.path.join(output_dir, _out_name(project_path or sample_path)))
         return (out if project_path else None), (out if sample_path else None), found, passed
-    project = read_manifest(spark, project_path, na_tokens=na_tokens)
-    sample = read_manifest(spark, sample_path, na_tokens=na_tokens)
-    if file_dir and base is None:
-        base = qualified(spark, file_dir)
-    if inventory is None and file_dir:
-        inventory = lambda refs: materialize(existing_files(refs))
-    p_out, s_out, found = validate_pair(project, sample, config, inventory=inventory, base=base,
+    project = read_manifest(spark, project_path, na_tokens=na_tokens, open_quotes=True)
+    sample = read_manifest(spark, sample_path, na_tokens=na_tokens, open_quotes=True)
+    p_out, s_out, found = validate_pair(project, sample, config, inventory=probed, base=base,
                                         on_missing=on_missing, options=options)
     found = materialize(found)  # read by the gate, the summary and the caller
     passed = bool(strict_gate(found).first()["passed"])

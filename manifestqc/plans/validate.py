@@ -103,6 +103,57 @@ def drop_blank_keys(df: DataFrame, key: str = "sample_name") -> DataFrame:
     return df.filter(not_blank(F.col(key))) if key in df.columns else df
 
 
+def table_issues(df: DataFrame, tbl: str, key: str = "sample_name", file_columns: Sequence[str] = FILE_COLUMNS,
+                 blank_key_message: str = "row without a key is left out") -> list[DataFrame]:
+    """What is wrong with a table as it was read: key and file columns that are not there, lines of another width, open
+    quotes, rows without a key."""
+    found = [U.required_column_issues(df, [key], tbl),
+             U.row_width_issues(df, len([c for c in df.columns if c not in R.HELPER_COLUMNS]), tbl, key),
+             U.open_quote_issues(df, tbl, key)]
+    if key in df.columns:
+        found.append(issues(df, ~not_blank(F.col(key)), "blank_key", tbl, col=key, row=F.col(ROW) if ROW in df.columns else None,
+                            message=blank_key_message, severity="info"))
+    if not any(c in df.columns for c in file_columns):
+        found.append(driver_issues(df.sparkSession, [("file_columns", tbl, None, None, None, None, "no file columns", "warning")]))
+    return found
+
+
+def check_policy(on_missing: str) -> None:
+    if on_missing not in ("report", "drop", "fail"):
+        raise ValueError("on_missing must be 'report', 'drop' or 'fail'")
+
+
+def missing_under(missing: DataFrame, on_missing: str, tbl: str) -> tuple[DataFrame, DataFrame]:
+    """``(missing, issues)`` of missing references under a policy; ``fail`` raises ``MissingFiles`` if there are any."""
+    if on_missing == "drop":
+        missing = materialize(missing)
+        return missing, issues(missing, None, "removed_sample", tbl, col=F.col("column"), key=F.col("key"), row=F.col(ROW), value=F.col("path"),
+                               message="sample removed: referenced file not found", severity="info")
+    if on_missing == "fail" and not missing.isEmpty():
+        raise MissingFiles("referenced files are missing; see missing_files()")
+    return missing, R.missing_file_issues(missing, tbl)
+
+
+def validate_table(table: DataFrame, config: Mapping | None = None, tbl: str = "sample",
+                   inventory: DataFrame | Callable[[DataFrame], DataFrame] | None = None, base: str | None = None,
+                   key: str = "sample_name", on_missing: str = "report", file_columns: Sequence[str] = FILE_COLUMNS,
+                   options: Mapping[str, Iterable[str]] = VALID_OPTIONS):
+    """One table on its own: ``(validated, issues)``, with the issues and the ``on_missing`` policies of ``validate_pair``.
+
+    Rows without a key stay where later rows have one, as the table's own validator keeps them."""
+    check_policy(on_missing)
+    found = table_issues(table, tbl, key, file_columns, "row without a key")
+    table = materialize(table)
+    if inventory is not None:
+        refs = R.file_refs(table, key, file_columns, base)
+        missing, of_missing = missing_under(R.missing_files(refs, inventory(refs) if callable(inventory) else inventory), on_missing, tbl)
+        found.append(of_missing)
+        if on_missing == "drop" and key in table.columns:
+            table = materialize(R.remove_samples(table, missing.select("key"), key))
+    out, more = (validate_projects if tbl == "project" else validate_samples)(table, config, key, options)
+    return out, union_issues([*found, more])
+
+
 def validate_pair(project: DataFrame, sample: DataFrame, config: Mapping | None = None,
                   inventory: DataFrame | Callable[[DataFrame], DataFrame] | None = None, base: str | None = None,
                   key: str = "sample_name", on_missing: str = "report", on_mismatch: str = "report",
@@ -121,23 +172,15 @@ def validate_pair(project: DataFrame, sample: DataFrame, config: Mapping | None
     ``inventory`` is a table of existing paths, or a function from the file
     references to one.  Nothing goes silently: rows without a key are reported
     (``blank_key``) and so are lines of another width than the header
-    (``row_width``), a table without the key column (``required_columns``; its
+    (``row_width``), quotes that are not closed (``open_quote``), a table without the key column (``required_columns``; its
     key rules are skipped) or without file columns (``file_columns``), and, with
     ``drop``, each missing file of a removed sample (``removed_sample``)."""
-    if on_missing not in ("report", "drop", "fail"):
-        raise ValueError("on_missing must be 'report', 'drop' or 'fail'")
+    check_policy(on_missing)
     if on_mismatch not in ("report", "fail"):
         raise ValueError("on_mismatch must be 'report' or 'fail'")
     found = []
     for df, tbl in ((project, "project"), (sample, "sample")):
-        found.append(U.required_column_issues(df, [key], tbl))
-        found.append(U.row_width_issues(df, len([c for c in df.columns if c not in R.HELPER_COLUMNS]), tbl, key))
-        if key in df.columns:
-            found.append(issues(df, ~not_blank(F.col(key)), "blank_key", tbl, col=key,
-                                row=F.col(ROW) if ROW in df.columns else None,
-                                message="row without a key is left out", severity="info"))
-        if not any(c in df.columns for c in file_columns):
-            found.append(driver_issues(df.sparkSession, [("file_columns", tbl, None, None, None, None, "no file columns", "warning")]))
+        found += table_issues(df, tbl, key, file_columns)
     keyed = key in project.columns and key in sample.columns
     # Each table feeds about ten rule branches: checkpoint it once (reliable,
     # shared checkpoint folder) instead of recomputing its lineage per branch.
@@ -145,15 +188,8 @@ def validate_pair(project: DataFrame, sample: DataFrame, config: Mapping | None
     sample = materialize(drop_blank_keys(sample, key))
     if inventory is not None:
         refs = R.file_refs(sample, key, file_columns, base)
-        missing = R.missing_files(refs, inventory(refs) if callable(inventory) else inventory)
-        if on_missing == "drop":
-            missing = materialize(missing)
-            found.append(issues(missing, None, "removed_sample", "sample", col=F.col("column"), key=F.col("key"), row=F.col(ROW),
-                                value=F.col("path"), message="sample removed: referenced file not found", severity="info"))
-        else:
-            found.append(R.missing_file_issues(missing, "sample"))
-        if on_missing == "fail" and not missing.isEmpty():
-            raise MissingFiles("referenced files are missing; see missing_files()")
+        missing, of_missing = missing_under(R.missing_files(refs, inventory(refs) if callable(inventory) else inventory), on_missing, "sample")
+        found.append(of_missing)
         if on_missing == "drop":
             bad = missing.select("key")
             sample = R.remove_samples(sample, bad, key)
@@ -190,7 +226,7 @@ def clean_report(sample: DataFrame, project: DataFrame, inventory: DataFrame, ba
     parity (error).  ``(issues, verdict)``."""
     spark = sample.sparkSession
     found = [U.required_column_issues(sample, required, "sample")]
-    width_cols = [c for c in sample.columns if c not in ("_row", "_width")]
+    width_cols = [c for c in sample.columns if c not in R.HELPER_COLUMNS]
     n_cols = n_header or len(width_cols)
     if "_width" in sample.columns:
         short = F.col("_width") < n_cols
@@ -212,5 +248,5 @@ def clean_report(sample: DataFrame, project: DataFrame, inventory: DataFrame, ba
     return all_issues, verdict(all_issues)
 
 
-__all__ = ["validate_samples", "validate_projects", "validate_pair", "drop_blank_keys",
+__all__ = ["validate_samples", "validate_projects", "validate_pair", "validate_table", "table_issues", "drop_blank_keys",
            "strict_passes", "clean_report", "empty_issues", "driver_issues"]

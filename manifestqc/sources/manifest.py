@@ -5,28 +5,29 @@ source, because the CSV source drops lines made of tabs only and cannot report
 how many cells a line had.  Every data line keeps its 0-based position
 ``_row`` (file order, then line order) and its cell count ``_width``.
 
-Cells may be quoted with ``"`` and then hold separators and doubled quotes, in
-headers too.  A line is a row: line breaks inside cells cannot be read back, so
-the writer refuses them unless it encodes them (``breaks="encode"``, undone by
-the reader's option of the same name).
+Cells may be quoted with ``"`` and then hold separators, doubled quotes and line
+breaks, in headers too (without breaks).  Other readers of such tables often take every
+line as a row, so the writer refuses line breaks unless it is told to quote them
+(``breaks="quote"``) or to encode them (``breaks="encode"``, undone by the
+reader's option of the same name).
 """
 
 from __future__ import annotations
 
-import csv
 import os
-import re
 from collections.abc import Iterable, Sequence
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from manifestqc.functions.blank import DEFAULT_NA_TOKENS, apply_na_tokens
 from manifestqc.session import materialize
 from manifestqc.sources.files import is_folder
+from manifestqc.sources.records import QUOTE, cells_of, parsed, read_lines, records, split_table
 
 ROW = "_row"
 WIDTH = "_width"
+OPEN_QUOTE = "_open_quote"
 ACCEPTED_SUFFIXES = (".txt", ".tsv", ".tab")
 
 
@@ -66,20 +67,9 @@ def _header_names(cells: Sequence[str]) -> list[str]:
     return out
 
 
-def _lines(spark: SparkSession, path: str) -> DataFrame:
-    """Non-empty lines with their file, split start and an id that counts the
-    kept lines of a split consecutively (ids are given after the filter)."""
-    return spark.read.text(path).filter(F.col("value") != "").select(
-        "value",
-        F.col("_metadata.file_path").alias("_file"),
-        F.col("_metadata.file_block_start").alias("_block"),
-        F.monotonically_increasing_id().alias("_mid"),
-    )
-
-
 def read_manifest(spark: SparkSession, path: str, sep: str = "\t",
                   na_tokens: Iterable[str] | str = (), header: Sequence[str] | None = None,
-                  check: bool = True, breaks: str = "none") -> DataFrame:
+                  check: bool = True, breaks: str = "none", open_quotes: bool = False) -> DataFrame:
     """Read a tab-delimited manifest; all columns ``StringType``.
 
     * Fully empty lines are skipped; lines of separators only are kept as
@@ -92,55 +82,48 @@ def read_manifest(spark: SparkSession, path: str, sep: str = "\t",
     * With several files (e.g. a written directory) every file's first line is
       its header (unless ``header`` names the columns); headers that differ are
       an error, as the cells would land in the wrong columns.
+    * Quoted cells may hold separators, doubled quotes and line breaks, across
+      input splits too.  An opening quote that nothing closes is text and ends no
+      other cell or line (``sources.records``); ``open_quotes=True`` adds ``_open_quote``, which
+      marks such rows for the ``open_quote`` rule.
     * ``breaks="encode"`` undoes the writer's encoding of line breaks.
 
     The lines are checkpointed once, so that offsets and rows come from one cut
-    of the input.  ``_row`` needs no sort: inside one input split the ids given after empty
-    lines are dropped are consecutive, so a row's position is the split's
-    start offset plus its distance from the split's first data line.  One
-    aggregate per split (count, first id) and a running sum over that table
-    (one row per split) give the offsets; the header is the first line of each
-    file's first split.
+    of the input.  ``_row`` needs no sort: one row per input split says how many
+    records start in it, a running sum over that table gives each split's first number,
+    and inside a split lines are counted.  The header is the first record of each file.
     """
     if check:
         check_format(path, spark)
-    lines = materialize(_lines(spark, path))
+    lines = materialize(read_lines(spark, path))
+    splits = split_table(lines, sep)
+    quoted = not lines.where(F.contains("value", F.lit(QUOTE))).isEmpty()
     if header is None:
-        heads = [r["head"] for r in lines.where("_block = 0").groupBy("_file").agg(F.min_by("value", "_mid").alias("head"))
-                 .select(F.regexp_replace("head", "^\ufeff|\r$", "").alias("head")).distinct().take(2)]
+        firsts = splits.where("_block = 0").select("_file", "_block")
+        heads = [r["text"].removeprefix("\ufeff") for r in records(lines.join(firsts, ["_file", "_block"], "left_semi"), splits, sep)
+                 .where("record = file_first").select(F.regexp_replace("text", "^\ufeff", "").alias("text")).distinct().take(2)]
         if not heads:
             raise ValueError(f"empty manifest: {path}")
         if len(heads) > 1:
             raise ValueError(f"the files of {path} have different headers: {heads[0]!r} and {heads[1]!r}")
-        names = _header_names(next(csv.reader([heads[0]], delimiter=sep)))
-        has_header = F.col("_block") == 0
+        if "\r" in heads[0]:
+            raise ValueError(f"the lines of {path} end with carriage returns alone; convert them to line feeds")
+        cells, broken = cells_of(heads[0], sep)
+        if broken:
+            raise ValueError(f"the header of {path} has a quote that is not closed")
+        names = _header_names(cells)
+        data = records(lines, splits, sep).where("record <> file_first").withColumn(ROW, F.col("record") - F.col("heads"))
     else:
         names = list(header)
-        has_header = F.lit(False)
-    splits = lines.groupBy("_file", "_block").agg(F.min("_mid").alias("_mn"), F.count(F.lit(1)).alias("_cnt"))
-    skip = has_header.cast("long")
-    splits = splits.select("_file", "_block", (F.col("_mn") + skip).alias("_first"),
-                           (F.col("_cnt") - skip).alias("_n"))
-    order = Window.orderBy("_file", "_block").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = splits.select("_file", "_block", "_first",
-                            F.coalesce(F.sum("_n").over(order), F.lit(0)).alias("_off"))
-    data = lines.join(offsets, ["_file", "_block"]).filter(F.col("_mid") >= F.col("_first"))
-    ddl = ", ".join("`{}` STRING".format(n.replace("`", "``")) for n in names)
-    options = {"sep": sep, "mode": "PERMISSIVE", "quote": '"', "escape": '"',
-               "ignoreLeadingWhiteSpace": "false", "ignoreTrailingWhiteSpace": "false"}
-    s = re.escape(sep)
-    unquoted = F.regexp_replace("value", f'(^|{s})"(?:[^"]|"")*"(?={s}|\r?$)', "$1")
-    parsed = data.select(
-        F.from_csv(F.col("value"), ddl, options).alias("_r"),
-        F.size(F.split(unquoted, s, -1)).cast("long").alias(WIDTH),
-        (F.col("_off") + F.col("_mid") - F.col("_first")).cast("long").alias(ROW),
-    )
+        data = records(lines, splits, sep).withColumn(ROW, F.col("record"))
+    rows = data.select(parsed(F.col("text"), sep, quoted).alias("_p"), F.col(ROW).cast("long").alias(ROW))
     tokens = DEFAULT_NA_TOKENS if na_tokens == "default" else tuple(na_tokens)
-    cells = {n: F.col(f"_r.`{n}`") for n in names}
+    cells = {n: F.nullif(F.get("_p.cells", F.lit(i)), F.lit("")) for i, n in enumerate(names)}
     if breaks == "encode":
         cells = {n: _decoded(c) for n, c in cells.items()}
     cols = [(apply_na_tokens(c, tokens) if tokens else c).alias(n) for n, c in cells.items()]
-    return parsed.select(*cols, ROW, WIDTH)
+    extra = [F.col("_p.broken").alias(OPEN_QUOTE)] if open_quotes else []
+    return rows.select(*cols, ROW, F.size("_p.cells").cast("long").alias(WIDTH), *extra)
 
 
 def _encoded(c: Column) -> Column:
@@ -156,15 +139,16 @@ def _decoded(c: Column) -> Column:
 
 
 def write_manifest(df: DataFrame, out_dir: str, sep: str = "\t", order_col: str | None = ROW,
-                   mode: str = "overwrite", drop: Sequence[str] = (ROW, WIDTH), breaks: str = "refuse") -> None:
+                   mode: str = "overwrite", drop: Sequence[str] = (ROW, WIDTH, OPEN_QUOTE), breaks: str = "refuse") -> None:
     """Write a manifest as tab-delimited text with a header, in row order.
 
     Range partitioning on the order column + per-partition sort keeps the
     global order across part files without a single-partition sort.  Empty
     strings are written empty (not ``""``), whitespace is kept.  A cell with a
-    line break is an error, or with ``breaks="encode"`` written in escapes."""
-    if breaks not in ("refuse", "encode"):
-        raise ValueError("breaks must be 'refuse' or 'encode'")
+    line break is an error, or with ``breaks="encode"`` written in escapes, or
+    with ``breaks="quote"`` written as it is in a quoted cell."""
+    if breaks not in ("refuse", "encode", "quote"):
+        raise ValueError("breaks must be 'refuse', 'encode' or 'quote'")
     out = df
     if order_col and order_col in df.columns:
         out = out.repartitionByRange(order_col).sortWithinPartitions(order_col)
@@ -172,7 +156,7 @@ def write_manifest(df: DataFrame, out_dir: str, sep: str = "\t", order_col: str
     text = [c for c, t in out.select(*keep).dtypes if t == "string"]
     if breaks == "encode":
         out = out.withColumns({c: _encoded(F.col(f"`{c}`")) for c in text})
-    elif text:
+    elif text and breaks == "refuse":
         broken = F.lit("a cell holds a line break; write it with breaks='encode'")
         out = out.withColumns({c: F.when(F.col(f"`{c}`").rlike("[\\r\\n]"), F.raise_error(broken)).otherwise(F.col(f"`{c}`")) for c in text})
     (out.select(*keep).write.mode(mode)

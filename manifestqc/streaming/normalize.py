@@ -16,19 +16,21 @@ from pyspark.sql import functions as F
 
 from manifestqc.functions.vocab import VALID_OPTIONS
 from manifestqc.operators import rules as U
+from manifestqc.sources.records import parsed
 
 
 def read_manifest_stream(spark: SparkSession, directory: str, header: Sequence[str],
                          sep: str = "\t") -> DataFrame:
     """Stream of manifest rows from new files in ``directory`` (header given,
-    header lines equal to it are skipped)."""
-    ddl = ", ".join("`{}` STRING".format(n.replace("`", "``")) for n in header)
+    header lines equal to it are skipped).
+
+    Cells are parsed as in ``read_manifest``; a stream takes every line as a record, so
+    a quoted cell cannot go over lines here and its opening quote is text."""
     lines = spark.readStream.text(directory)
     head_line = sep.join(header)
     rows = lines.filter((F.col("value") != "") & (F.col("value") != F.lit(head_line)))
-    parsed = rows.select(F.from_csv("value", ddl, {"sep": sep}).alias("_r"),
-                         F.col("_metadata.file_path").alias("_file"))
-    return parsed.select(*[F.col(f"_r.`{n}`").alias(n) for n in header], "_file")
+    cut = rows.select(parsed(F.regexp_replace("value", "\r\\z", ""), sep).alias("_p"), F.col("_metadata.file_path").alias("_file"))
+    return cut.select(*[F.nullif(F.get("_p.cells", F.lit(i)), F.lit("")).alias(n) for i, n in enumerate(header)], "_file")
 
 
 def normalize_stream(df: DataFrame, defaults: Mapping[str, str],

@@ -87,3 +87,42 @@ def test_cli_templates(spark, capsys):
     paths = json.loads(capsys.readouterr().out.strip().splitlines()[-1])
     names = sorted(r.sample_name for r in read_manifest(spark, paths["sample"]).collect())
     assert names == ["x", "y.fastq"]
+
+
+def test_one_table_policies_and_schema(spark, tmp_path):
+    import pytest
+
+    from manifestqc.plans.validate import MissingFiles
+    data = tmp_path / "data"
+    data.mkdir()
+    _files(str(data), ["s1_R1.fq", "s1_R2.fq", "s3.fq"])  # s2 has a missing file
+    (tmp_path / "sample.txt").write_text(SAMPLE)
+    path = str(tmp_path / "sample.txt")
+
+    def run(**kw):
+        return validate_files(spark, None, path, None, file_dir=str(data), **kw)
+
+    _, out, found, passed = run()
+    assert not passed and {r.rule for r in found.collect()} >= {"missing_file"} and out.count() == 3
+    _, out, found, passed = run(on_missing="drop", strict=True, output_dir=str(tmp_path / "out"))
+    assert sorted(r.sample_name for r in out.collect()) == ["s1", "s3"]
+    assert [(r.rule, r.key) for r in found.where("rule in ('missing_file', 'removed_sample')").collect()] == [("removed_sample", "s2")]
+    assert passed and sorted(r.sample_name for r in read_manifest(spark, str(tmp_path / "out" / "validated-sample")).collect()) == ["s1", "s3"]
+    with pytest.raises(MissingFiles):
+        run(on_missing="fail")
+    with pytest.raises(ValueError):
+        run(on_missing="keep")
+    (tmp_path / "keyless.txt").write_text('title\thost\n"open\tx\nb\ty\tz\n')
+    _, _, found, passed = validate_files(spark, None, str(tmp_path / "keyless.txt"), None, strict=True, output_dir=str(tmp_path / "none"))
+    got = {(r.rule, r.row) for r in found.collect()}
+    assert not passed and not (tmp_path / "none").exists()
+    assert {("required_columns", None), ("file_columns", None), ("open_quote", 0), ("row_width", 1)} <= got
+
+
+def test_stream_parses_cells_as_the_reader_does(spark, tmp_path):
+    from manifestqc.streaming.normalize import read_manifest_stream
+    (tmp_path / "in").mkdir()
+    (tmp_path / "in" / "a.txt").write_text('k\tt\th\na\t"5 inch\tHomo\nb\t"x\ty ""z"""\t\n')
+    q = read_manifest_stream(spark, str(tmp_path / "in"), ["k", "t", "h"]).writeStream.format("memory").queryName("quoted_stream").trigger(availableNow=True).start()
+    q.awaitTermination(60)
+    assert sorted(tuple(r)[:3] for r in spark.sql("select * from quoted_stream").collect()) == [("a", '"5 inch', "Homo"), ("b", 'x\ty "z"', None)]
