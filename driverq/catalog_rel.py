@@ -12,7 +12,7 @@ from manifestqc.functions.vocab import DEFAULT_VALUES, VALID_OPTIONS
 from manifestqc.operators import reconcile as R
 from manifestqc.operators import rules as U
 from manifestqc.operators.pairs import detect_pairs
-from manifestqc.operators.rows import dense_number, first_per_key
+from manifestqc.operators.rows import assign_batches, dense_number, first_per_key
 from manifestqc.operators.sorts import preview, preview_per_group
 
 CTE = D.duck_ctes()
@@ -236,6 +236,34 @@ def q_common_fields(spark, sf):
     return R.common_fields(D.sample_manifest(spark, sf), D.project_manifest(spark, sf))
 
 
+@query("dense_number_text", """SELECT o_orderkey, row_number() OVER (ORDER BY o_clerk_group, o_orderpriority, o_orderkey) AS n
+FROM (SELECT o_orderkey, o_orderpriority, CASE WHEN o_custkey % 3 = 0 THEN 'same' WHEN o_custkey % 7 = 1 THEN 'Zü ' || o_orderstatus ELSE o_orderpriority || o_orderstatus END AS o_clerk_group FROM orders)""")
+def q_dense_number_text(spark, sf):
+    """Numbers in the order of two text columns and a key; a third of all rows tie on the first."""
+    o = D.table(spark, sf, "orders").selectExpr("o_orderkey", "o_orderpriority", """CASE WHEN o_custkey % 3 = 0 THEN 'same'
+      WHEN o_custkey % 7 = 1 THEN 'Zü ' || o_orderstatus ELSE o_orderpriority || o_orderstatus END AS o_clerk_group""")
+    return dense_number(o, ["o_clerk_group", "o_orderpriority", "o_orderkey"], name="n", start=1).select("o_orderkey", "n")
+
+
+_SIZED = "SELECT o_orderkey, o_orderdate, CAST(o_orderkey * 7919 % 50021 AS BIGINT) AS size FROM orders"
+
+
+@query("batch_bytes", f"""WITH Z AS (SELECT *, row_number() OVER w AS seq, sum(size) OVER w - size AS before FROM ({_SIZED}) WINDOW w AS (ORDER BY o_orderdate, o_orderkey ROWS UNBOUNDED PRECEDING))
+SELECT o_orderkey, size, CAST(seq AS BIGINT) AS seq, CAST(before // 300000 + 1 AS BIGINT) AS batch FROM Z""")
+def q_batch_bytes(spark, sf):
+    """Files in order, in batches of about 300,000 bytes."""
+    o = D.table(spark, sf, "orders").selectExpr("o_orderkey", "o_orderdate", "CAST(o_orderkey * 7919 % 50021 AS BIGINT) AS size")
+    return assign_batches(o, ["o_orderdate", "o_orderkey"], max_bytes=300_000).select("o_orderkey", "size", "seq", "batch")
+
+
+@query("batch_bytes_large", f"""WITH Z AS (SELECT *, row_number() OVER w AS seq, sum(size) OVER w - size AS before FROM ({_SIZED}) WINDOW w AS (ORDER BY o_orderdate, o_orderkey ROWS UNBOUNDED PRECEDING))
+SELECT o_orderkey, CAST(seq AS BIGINT) AS seq, CAST(dense_rank() OVER (ORDER BY before // 20000) AS BIGINT) AS batch FROM Z""")
+def q_batch_bytes_large(spark, sf):
+    """The same with files that are larger than a batch."""
+    o = D.table(spark, sf, "orders").selectExpr("o_orderkey", "o_orderdate", "CAST(o_orderkey * 7919 % 50021 AS BIGINT) AS size")
+    return assign_batches(o, ["o_orderdate", "o_orderkey"], max_bytes=20_000).select("o_orderkey", "seq", "batch")
+
+
 @query("dense_number", """SELECT o_orderkey, row_number() OVER (ORDER BY o_orderdate, o_orderkey) AS n FROM orders""")
 def q_dense_number(spark, sf):
     o = D.table(spark, sf, "orders").select("o_orderkey", "o_orderdate")
