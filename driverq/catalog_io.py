@@ -11,7 +11,7 @@ from driverq.catalog_ops import FOLDER, WP, _ledger
 from driverq.registry import query
 from manifestqc.operators import rules as U
 from manifestqc.session import scratch_path
-from manifestqc.sources.files import existing_files
+from manifestqc.sources.files import existing_files, file_system, qualified
 from manifestqc.sources.ledger_store import read_ledger, write_ledger
 from manifestqc.sources.manifest import list_files, read_manifest, write_manifest
 
@@ -127,20 +127,20 @@ _FILE_NAME = """'sup' || CAST(s_suppkey AS STRING) || CASE s_suppkey % 6 WHEN 0
   WHEN 2 THEN '.fastq' WHEN 3 THEN '.bam' WHEN 4 THEN '.FQ' ELSE '_1.fq.gz' END"""
 
 
-def _touch(spark, sf, name):
+def _touch(spark, sf, name, names=_FILE_NAME):
     """A folder with one small file per supplier, some of them sequence files by name."""
-    out = scratch_path(spark, name).removeprefix("file://").removeprefix("file:")
+    out = qualified(spark, scratch_path(spark, name))
 
     def touch(frames):
-        import os
-        os.makedirs(out, exist_ok=True)
+        where, root = file_system(out)
         for pdf in frames:
             for n in pdf["name"]:
-                with open(f"{out}/{n}", "wb") as f:
-                    f.write(b"@")
+                where.create_dir(f"{root}/{n}".rpartition("/")[0], recursive=True)
+                with where.open_output_stream(f"{root}/{n}", compression=None) as f:
+                    f.write(b"@" * (len(n) % 5))
             yield pdf
 
-    D.table(spark, sf, "supplier").selectExpr(f"{_FILE_NAME} AS name").mapInPandas(touch, "name string").write.format("noop").mode("overwrite").save()
+    D.table(spark, sf, "supplier").selectExpr(f"{names} AS name").mapInPandas(touch, "name string").write.format("noop").mode("overwrite").save()
     return out
 
 
@@ -149,6 +149,19 @@ def q_list_files(spark, sf):
     return list_files(spark, _touch(spark, sf, "listing")).select("name")
 
 
+# folders by nation and key, some hidden, and names that start with _ or .
+_NESTED = f"""'n' || CAST(s_nationkey AS STRING) || CASE s_suppkey % 3 WHEN 0 THEN '/.hidden/' WHEN 1 THEN '/_d' || CAST(s_suppkey % 7 AS STRING) || '/deep/' ELSE '/' END
+  || CASE s_suppkey % 4 WHEN 0 THEN '_' WHEN 1 THEN '.' ELSE '' END || {_FILE_NAME}"""
+
+
+@query("list_files_nested", f"""SELECT path, regexp_extract(path, '[^/]*$') AS name, CAST(length(path) % 5 AS BIGINT) AS length FROM (SELECT {_NESTED} AS path FROM supplier)
+WHERE regexp_matches(path, '\\.(fastq|fq)(\\.gz)?$')""")
+def q_list_files_nested(spark, sf):
+    """Folders in folders, hidden ones too, listed level by level."""
+    out = _touch(spark, sf, "nested", _NESTED)
+    return list_files(spark, out).select(F.expr(f"substring(path, {len(out) + 2})").alias("path"), "name", "length")
+
+
 @query("existing_files", f"""SELECT {_FILE_NAME} AS name FROM supplier""")
 def q_existing_files(spark, sf):
     """Probes of the file names of all suppliers, and of as many that are not there."""

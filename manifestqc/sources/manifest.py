@@ -15,6 +15,7 @@ reader's option of the same name).
 from __future__ import annotations
 
 import os
+import re
 from collections.abc import Iterable, Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -22,7 +23,7 @@ from pyspark.sql import functions as F
 
 from manifestqc.functions.blank import DEFAULT_NA_TOKENS, apply_na_tokens
 from manifestqc.session import materialize
-from manifestqc.sources.files import is_folder
+from manifestqc.sources.files import is_folder, listed
 from manifestqc.sources.records import QUOTE, cells_of, parsed, read_lines, records, split_table
 
 ROW = "_row"
@@ -178,16 +179,37 @@ SEQUENCE_GLOB = "*.{fastq,fq,fastq.gz,fq.gz}"
 
 def list_files(spark: SparkSession, directory: str, recursive: bool = True,
                glob: str = SEQUENCE_GLOB) -> DataFrame:
-    """Listing of sequence files under a folder: ``(path, name, length)``.
-
-    ``binaryFile`` with the ``content`` column pruned reads no file bodies; its
-    file index is held by the driver and leaves out names that start with ``_``
-    or ``.``.  It serves to find new files to pair; whether a referenced file
-    exists is asked of the file itself (``sources.files``).  The ``file:`` scheme is removed so paths compare with manifest paths."""
-    reader = (spark.read.format("binaryFile")
-              .option("pathGlobFilter", glob)
-              .option("recursiveFileLookup", str(recursive).lower()))
-    df = reader.load(directory).select("path", "length")
-    path = F.regexp_replace(F.col("path"), r"^file:(//)?", "")
-    return df.select(path.alias("path"), F.regexp_extract(path, r"([^/]*)$", 1).alias("name"),
-                     F.col("length"))
+    """Sequence files under a folder: ``(path, name, length)``.
+
+    The folders are expanded level by level in tasks (``sources.files.listed``): names that
+    start with ``_`` or ``.`` are found and no file index is held by the driver.  ``glob`` names files with
+    ``*``, ``?``, ``[...]`` and ``{a,b}``.  It serves to find new files to pair; whether a referenced file
+    exists is asked of the file itself (``existing_files``).  Local paths have no scheme, as in manifests."""
+    name = F.substring_index("path", "/", -1)
+    return listed(spark, directory, recursive).where(name.rlike(glob_pattern(glob))).select("path", name.alias("name"), "length")
+
+
+def glob_pattern(glob: str) -> str:
+    """A glob as a regular expression over a whole name."""
+    out, depth, i = "", 0, 0
+    while i < len(glob):
+        c = glob[i]
+        if c == "*":
+            out += ".*"
+        elif c == "?":
+            out += "."
+        elif c == "{":
+            out, depth = out + "(?:", depth + 1
+        elif c == "}" and depth:
+            out, depth = out + ")", depth - 1
+        elif c == "," and depth:
+            out += "|"
+        elif c == "[" and "]" in glob[i + 2:]:
+            end = glob.index("]", i + 2)
+            body = glob[i + 1:end].replace("\\", "\\\\").replace("[", "\\[")
+            out += "[" + ("^" + body[1:] if body[0] in "!^" else body) + "]"
+            i = end
+        else:
+            out += re.escape(c)
+        i += 1
+    return f"(?s)^{out}\\z"
