@@ -218,7 +218,7 @@ VP AS (SELECT VP0.* FROM VP0, VPL WHERE VPL.last IS NULL OR VP0._row <= VPL.last
 
 @query("validate_projects", f"WITH {CTE}, {_validated_projects_sql('P')} SELECT * FROM VP")
 def q_validate_projects(spark, sf):
-    out, _ = validate_projects(D.project_manifest(spark, sf))
+    out, _ = validate_projects(D.project_manifest(spark, sf), materialize_input=True)
     return out
 
 

@@ -5,21 +5,20 @@ order column.  ``dense_number`` gives 1..N (or 0..N-1) in that order without
 ``row_number()`` over an unpartitioned window (which plans
 ``Exchange SinglePartition``):
 
-1. draw a bounded sample of rows (smallest hash of the whole row, so it does not
-   depend on the partitions), sort it in Spark and take B-1 of its keys as bounds;
-2. a key is all order columns and a hash of the row, so rows that tie on the
-   first column, or on all, still fall into different ranges.  A row's range id is a pure function of its
-   key (a balanced binary tree of comparisons with literal bounds in the order
-   that Spark sorts by), so re-evaluation is deterministic;
+1. draw a bounded sample of keys (smallest hash, so it does not depend on the
+   partitions), sort it in Spark and take B-1 of its keys as bounds;
+2. a key is all order columns (and a hash of the row where they are not unique), so rows
+   that tie on the first column, or on all, still fall into different ranges.  A row's range
+   id is a pure function of its key (a balanced binary tree of comparisons with literal
+   bounds in the order that Spark sorts by), so re-evaluation is deterministic;
 3. count rows (or add up any sizes) per range and turn the B totals into start
    offsets with a running sum over that B-row table;
 4. ``row_number`` (or a running sum) inside each range (the one shuffle of the data,
    on the range id), then join the offsets on the range id (the data side is
    already partitioned by it; only the B-row side moves).
 
-Order columns may be of any type that Spark sorts.  Rows that tie on all of them
-are ordered by the hash of the row; only rows that are equal in every column share
-a range whatever their number.
+Order columns may be of any type that Spark sorts.  With ``unique=False`` only rows
+that are equal in every column share a range whatever their number.
 """
 
 from __future__ import annotations
@@ -60,26 +59,16 @@ def _literal(value, kind: T.DataType) -> Column:
     return F.lit(value).cast(kind)
 
 
-def _after(columns: Sequence[Column], bound: Sequence, kinds: Sequence[T.DataType]) -> Column:
-    """Whether a row's key sorts after a bound: column by column, nulls first."""
-    out = F.lit(False)
-    for c, v, kind in reversed(list(zip(columns, bound, kinds))):
-        if v is None:
-            out = c.isNotNull() | out
-        else:
-            at = _literal(v, kind)
-            out = c.isNotNull() & ((c > at) | ((c == at) & out))
-    return out
-
+def _bucket_expr(key: Column, bounds: Sequence[Column]) -> Column:
+    """Number of bounds that sort before the key, as a balanced CASE tree: O(log B) comparisons per row.
 
-def _bucket_expr(columns: Sequence[Column], bounds: Sequence[Sequence], kinds: Sequence[T.DataType]) -> Column:
-    """Number of bounds that sort before the key, as a balanced CASE tree: O(log B) comparisons per row."""
+    Structs compare field by field in Spark's sort order, nulls first."""
 
     def tree(lo: int, hi: int) -> Column:
         if lo == hi:
             return F.lit(lo)
         mid = (lo + hi) // 2
-        return F.when(_after(columns, bounds[mid], kinds), tree(mid + 1, hi)).otherwise(tree(lo, mid))
+        return F.when(key > bounds[mid], tree(mid + 1, hi)).otherwise(tree(lo, mid))
 
     return tree(0, len(bounds))
 
@@ -95,7 +84,7 @@ def _row_hash(df: DataFrame) -> Column:
     return F.xxhash64(*[F.col(f"`{f.name}`") for f in df.schema.fields if hashable(f.dataType) and f.name != TIE])
 
 
-def range_buckets(df: DataFrame, order: str | Sequence[str], n_buckets: int | None = None) -> Column:
+def range_buckets(df: DataFrame, order: str | Sequence[str], n_buckets: int | None = None, unique: bool = True) -> Column:
     """A Column giving a range id of the composite key ``order``, about equally many rows in each.
 
     Runs one job, which brings ``SAMPLE_PER_RANGE`` keys per range to the driver."""
@@ -105,14 +94,17 @@ def range_buckets(df: DataFrame, order: str | Sequence[str], n_buckets: int | No
         return F.lit(0)
     keys = [F.col(c) for c in order]
     exact = [F.unix_micros(c).alias(f"_nb_{i}") if isinstance(df.schema[o].dataType, T.TimestampType) else c.alias(f"_nb_{i}") for i, (o, c) in enumerate(zip(order, keys))]
-    sample = (df.select(*exact, _row_hash(df).alias("_nb_hash")).orderBy(F.xxhash64("_nb_hash"), "_nb_hash").limit(n * SAMPLE_PER_RANGE)
-              .orderBy(*[f"_nb_{i}" for i in range(len(order))], "_nb_hash").collect())
+    tie = [] if unique else [_row_hash(df).alias("_nb_hash")]
+    names = [f"_nb_{i}" for i in range(len(order))] + ["_nb_hash"] * len(tie)
+    sample = df.select(*exact, *tie).orderBy(F.xxhash64(*names), *names).limit(n * SAMPLE_PER_RANGE).orderBy(*names).collect()
     if len(sample) < 2:
         return F.lit(0)
     picked = [tuple(sample[len(sample) * i // n]) for i in range(1, n)]
     bounds = [b for i, b in enumerate(picked) if not i or b != picked[i - 1]]
-    kinds = [df.schema[c].dataType for c in order] + [T.LongType()]
-    return _bucket_expr([*keys, _row_hash(df)], bounds, kinds)
+    kinds = [df.schema[c].dataType for c in order] + [T.LongType()] * len(tie)
+    fields = [f"k{i}" for i in range(len(kinds))]
+    key = F.struct(*[c.alias(f) for c, f in zip([*keys, *tie], fields)])
+    return _bucket_expr(key, [F.struct(*[_literal(v, k).alias(f) for v, k, f in zip(b, kinds, fields)]) for b in bounds])
 
 
 def _as_double(df: DataFrame, col: str) -> Column:
@@ -149,10 +141,11 @@ def uniform_buckets(df: DataFrame, order_col: str, rows_per_range: int = ROWS_PE
 def dense_number(df: DataFrame, order_col: str | Sequence[str], name: str = "_row", start: int = 0,
                  n_buckets: int | None = None, bucket: Column | None = None,
                  within: str | Sequence[str] | None = None, materialize_input: bool = False,
-                 ranges: str = "quantile", rows_per_range: int = ROWS_PER_RANGE) -> DataFrame:
+                 ranges: str = "quantile", rows_per_range: int = ROWS_PER_RANGE, unique: bool = True) -> DataFrame:
     """Add ``name`` = start, start+1, ... in ascending order of ``order_col``
-    (one column or several, of any type that sorts; nulls first).  Rows that tie on
-    all of them are numbered in the order of their hash.
+    (one column or several, of any type that sorts; nulls first).  Where the columns together are
+    not unique, ``unique=False`` orders ties by a hash of the row and spreads them over
+    ranges too (that reads all columns in every pass).
 
     Ranges are cut on the whole key, so ties on the first column spread over
     ranges.  ``bucket`` may be given instead: any Column monotone in the order
@@ -166,19 +159,19 @@ def dense_number(df: DataFrame, order_col: str | Sequence[str], name: str = "_ro
     The input is evaluated three times (sample, range counts, numbering);
     ``materialize_input`` checkpoints an expensive input first (reliable
     checkpoint in the shared checkpoint folder)."""
-    numbered = _running(df, order_col, {name: F.lit(1)}, n_buckets, bucket, within, materialize_input, ranges, rows_per_range)
+    numbered = _running(df, order_col, {name: F.lit(1)}, n_buckets, bucket, within, materialize_input, ranges, rows_per_range, unique)
     return numbered.withColumn(name, (F.col(name) + F.lit(start)).cast("long"))
 
 
 def running_sums(df: DataFrame, order_col: str | Sequence[str], sums: Mapping[str, Column], n_buckets: int | None = None,
-                 materialize_input: bool = False, ranges: str = "quantile") -> DataFrame:
+                 materialize_input: bool = False, ranges: str = "quantile", unique: bool = True) -> DataFrame:
     """Add, for each entry of ``sums``, the sum of that Column over all rows before a row, in the order of
     ``order_col``, without a window over the whole table (nulls count as 0)."""
-    return _running(df, order_col, sums, n_buckets, None, None, materialize_input, ranges, ROWS_PER_RANGE)
+    return _running(df, order_col, sums, n_buckets, None, None, materialize_input, ranges, ROWS_PER_RANGE, unique)
 
 
 def _running(df: DataFrame, order_col: str | Sequence[str], sums: Mapping[str, Column], n_buckets: int | None, bucket: Column | None,
-             within: str | Sequence[str] | None, materialize_input: bool, ranges: str, rows_per_range: int) -> DataFrame:
+             within: str | Sequence[str] | None, materialize_input: bool, ranges: str, rows_per_range: int, unique: bool) -> DataFrame:
     if materialize_input:
         df = materialize(df)
     order = [order_col] if isinstance(order_col, str) else list(order_col)
@@ -189,9 +182,10 @@ def _running(df: DataFrame, order_col: str | Sequence[str], sums: Mapping[str, C
     elif ranges == "uniform":
         b = uniform_buckets(df, order[0], rows_per_range)
     else:
-        b = range_buckets(df, order, n_buckets)
-    parts = {f"_nb_v{i}": F.coalesce(c, F.lit(0)) for i, c in enumerate(sums.values())}
-    tagged = df.withColumns({BUCKET: b, TIE: _row_hash(df), **parts})
+        b = range_buckets(df, order, n_buckets, unique)
+    parts = {f"_nb_v{i}": c for i, c in enumerate(sums.values())}
+    tie = {} if unique else {TIE: _row_hash(df)}
+    tagged = df.withColumns({BUCKET: b, **tie, **parts})
     totals = tagged.groupBy(BUCKET).agg(*[F.sum(v).alias(v) for v in parts])
     # Start offsets of the ranges: running sums over a table of one row per
     # range, so this window's single partition holds B rows only.
@@ -200,8 +194,8 @@ def _running(df: DataFrame, order_col: str | Sequence[str], sums: Mapping[str, C
     # Sums inside each range first (one shuffle of the data on the range id),
     # then the offsets join on the same key: the big side is already
     # partitioned by it, only the B-row side moves (AQE may broadcast it).
-    w = Window.partitionBy(BUCKET).orderBy(*inside, TIE).rowsBetween(Window.unboundedPreceding, -1)
-    local = tagged.withColumns({f"{v}_in": F.coalesce(F.sum(v).over(w), F.lit(0)) for v in parts})
+    w = Window.partitionBy(BUCKET).orderBy(*inside, *tie).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    local = tagged.withColumns({f"{v}_in": F.coalesce(F.sum(v).over(w), F.lit(0)) - F.coalesce(v, F.lit(0)) for v in parts})
     out = local.join(offsets, BUCKET).withColumns({name: F.col(f"{v}_in") + F.col(f"{v}_off") for name, v in zip(sums, parts)})
     return out.drop(BUCKET, TIE, *[x for v in parts for x in (v, f"{v}_in", f"{v}_off")])
 
@@ -293,7 +287,7 @@ def tail_rows(df: DataFrame, key: str, order_col: str = "_row") -> DataFrame:
 
 def assign_batches(df: DataFrame, order_col: str | Sequence[str], batch_size: int | None = None, name: str = "batch",
                    seq_name: str = "seq", materialize_input: bool = False, ranges: str = "quantile",
-                   max_bytes: int | None = None, size_col: str = "size") -> DataFrame:
+                   max_bytes: int | None = None, size_col: str = "size", unique: bool = True) -> DataFrame:
     """Batches in ``order_col`` order, numbered from 1 without gaps, with ``seq`` 1..N.
 
     ``batch_size``: chunks of that many rows, ``batch`` = floor((seq-1)/size)+1.
@@ -306,11 +300,11 @@ def assign_batches(df: DataFrame, order_col: str | Sequence[str], batch_size: in
     if (batch_size or max_bytes) < 1:
         raise ValueError("batch_size and max_bytes must be >= 1")
     if batch_size is not None:
-        numbered = dense_number(df, order_col, name=seq_name, start=1, materialize_input=materialize_input, ranges=ranges)
+        numbered = dense_number(df, order_col, name=seq_name, start=1, materialize_input=materialize_input, ranges=ranges, unique=unique)
         return numbered.withColumn(name, (F.floor((F.col(seq_name) - 1) / F.lit(batch_size)) + 1).cast("long"))
     size = F.coalesce(F.col(size_col).cast("long"), F.lit(0))
     size = F.when(size < 0, F.raise_error(F.lit("a size is negative"))).otherwise(size).cast("long")
-    placed = running_sums(df, order_col, {seq_name: F.lit(1).cast("long"), "_nb_bytes": size}, materialize_input=materialize_input, ranges=ranges)
+    placed = running_sums(df, order_col, {seq_name: F.lit(1).cast("long"), "_nb_bytes": size}, materialize_input=materialize_input, ranges=ranges, unique=unique)
     placed = placed.withColumns({seq_name: F.col(seq_name) + 1, "_nb_slot": F.expr(f"_nb_bytes div {int(max_bytes)}L")})
     if (df.agg(F.max(size)).first()[0] or 0) <= max_bytes:  # no slot can stay empty
         return placed.withColumn(name, F.col("_nb_slot") + 1).drop("_nb_bytes", "_nb_slot")

@@ -87,15 +87,18 @@ def validate_projects(df: DataFrame, config: Mapping | None = None, key: str = "
         specs.append(U.host_spec(canonicalize(vals["sample_source"], SOURCE_SYNONYMS), vals["host"]))
     found = [R.duplicate_issues(df, tbl, key), R.alignment_issues(df, tbl, key),
              U.row_issues(df, specs, tbl, key)]
-    out = U.fill_defaults(df, PROJECT_FILL_FIELDS, defaults)
+    # The number and the trim depend on positions and keys as they came, so they come first and the rules run above them once.
+    numbered = ROW in df.columns and "file_number" not in df.columns
+    out = number_and_trim(df, key if key in df.columns else None, "file_number", ROW, start=1) if ROW in df.columns else df
+    out = U.fill_defaults(out, PROJECT_FILL_FIELDS, defaults)
     out = U.ensure_columns(out, PROJECT_ESSENTIAL, defaults)
     out = U.enforce_vocab(out, options, defaults)
     out = U.date_column(out, "collection_date", defaults.get("collection_date"))
     out = U.geo_column(out)
     out = U.latlon_column(out)
     out = U.canonical_source(out)
-    if ROW in out.columns:
-        out = number_and_trim(out, key if key in out.columns else None, "file_number", ROW, start=1)
+    if numbered:
+        out = out.select(*[c for c in out.columns if c != "file_number"], "file_number")
     return out, union_issues(found)
 
 

@@ -24,7 +24,7 @@ from pyspark.sql import functions as F
 from manifestqc.functions.blank import DEFAULT_NA_TOKENS, apply_na_tokens
 from manifestqc.session import materialize
 from manifestqc.sources.files import is_folder, listed
-from manifestqc.sources.records import QUOTE, cells_of, parsed, read_lines, records, split_table
+from manifestqc.sources.records import cells_of, counted_splits, parsed, plain_splits, read_lines, records, split_table
 
 ROW = "_row"
 WIDTH = "_width"
@@ -97,11 +97,11 @@ def read_manifest(spark: SparkSession, path: str, sep: str = "\t",
     if check:
         check_format(path, spark)
     lines = materialize(read_lines(spark, path))
-    splits = split_table(lines, sep)
-    quoted = not lines.where(F.contains("value", F.lit(QUOTE))).isEmpty()
+    plain, quoted, scanned = plain_splits(lines)
+    splits = split_table(lines, materialize(plain), quoted, sep) if scanned else counted_splits(plain)
     if header is None:
-        firsts = splits.where("_block = 0").select("_file", "_block")
-        heads = [r["text"].removeprefix("\ufeff") for r in records(lines.join(firsts, ["_file", "_block"], "left_semi"), splits, sep)
+        # A header is the first record of its file and ends in the file's first split.
+        heads = [r["text"] for r in records(lines.where("_block = 0"), splits, sep, scanned)
                  .where("record = file_first").select(F.regexp_replace("text", "^\ufeff", "").alias("text")).distinct().take(2)]
         if not heads:
             raise ValueError(f"empty manifest: {path}")
@@ -113,10 +113,10 @@ def read_manifest(spark: SparkSession, path: str, sep: str = "\t",
         if broken:
             raise ValueError(f"the header of {path} has a quote that is not closed")
         names = _header_names(cells)
-        data = records(lines, splits, sep).where("record <> file_first").withColumn(ROW, F.col("record") - F.col("heads"))
+        data = records(lines, splits, sep, scanned).where("record <> file_first").withColumn(ROW, F.col("record") - F.col("heads"))
     else:
         names = list(header)
-        data = records(lines, splits, sep).withColumn(ROW, F.col("record"))
+        data = records(lines, splits, sep, scanned).withColumn(ROW, F.col("record"))
     rows = data.select(parsed(F.col("text"), sep, quoted).alias("_p"), F.col(ROW).cast("long").alias(ROW))
     tokens = DEFAULT_NA_TOKENS if na_tokens == "default" else tuple(na_tokens)
     cells = {n: F.nullif(F.get("_p.cells", F.lit(i)), F.lit("")) for i, n in enumerate(names)}

@@ -188,17 +188,33 @@ def _mapped_splits(lines: DataFrame, sep: str) -> DataFrame:
     return lines.select("_file", "_block", "value").mapInArrow(run, _SPLITS)
 
 
-def split_table(lines: DataFrame, sep: str) -> DataFrame:
+def plain_splits(lines: DataFrame) -> tuple[DataFrame, bool, bool]:
+    """Per split its first line, its filled lines and whether it has to be scanned (quotes, blank lines); whether any split holds quotes, or has to be scanned."""
+    filled = ~F.col("value").isin("", "\r")
+    has_quote = F.contains("value", F.lit(QUOTE))
+    plain = lines.groupBy("_file", "_block").agg(F.min("_mid").alias("first_line"), F.count_if(filled).alias("filled"), F.max(has_quote).alias("quoted"),
+                                                 F.max(has_quote | ~filled).alias("scanned"))
+    quoted, scanned = plain.agg(F.max("quoted"), F.max("scanned")).first()
+    return plain, bool(quoted), bool(scanned)
+
+
+def counted_splits(plain: DataFrame) -> DataFrame:
+    """``split_table`` where no split has to be scanned: running sums over one row per split."""
+    before = Window.orderBy("_file", "_block").rowsBetween(Window.unboundedPreceding, -1)
+    file = Window.partitionBy("_file")
+    splits = plain.withColumn("first_record", F.coalesce(F.sum("filled").over(before), F.lit(0)))
+    splits = splits.withColumn("file_first", F.min("first_record").over(file)).withColumn("head", F.when(F.col("_block") == F.min("_block").over(file), 1).otherwise(0))
+    return splits.select("_file", "_block", "first_line", F.lit(False).alias("scanned"), F.lit(False).alias("inside"), "first_record", "file_first",
+                         F.sum("head").over(before.rowsBetween(Window.unboundedPreceding, Window.currentRow)).alias("heads"))
+
+
+def split_table(lines: DataFrame, plain: DataFrame, quoted: bool, sep: str) -> DataFrame:
     """One row per split: first state (``inside``), whether an open cell at its start and end closes, and the number of its first record.
 
     A prefix scan composes the splits' maps: with P the parity of swapping maps so far and
     c the value of the last constant map combined with the parity then, the state is P xor c.
     """
-    filled = ~F.col("value").isin("", "\r")
-    has_quote = F.contains("value", F.lit(QUOTE))
-    plain = materialize(lines.groupBy("_file", "_block").agg(F.min("_mid").alias("first_line"), F.count_if(filled).alias("filled"), F.max(has_quote).alias("quoted"),
-                                                             F.max(has_quote | ~filled).alias("scanned")))
-    if plain.where("quoted").isEmpty():
+    if not quoted:
         nothing = {"end_out": F.lit(False), "end_in": F.lit(True), "records_out": F.col("filled"), "waiting_out": F.lit(0), "records_in": F.lit(0),
                    "waiting_in": F.col("filled"), "meets": F.lit(PASSES)}
         maps = plain.withColumns(nothing)
@@ -234,15 +250,15 @@ def split_table(lines: DataFrame, sep: str) -> DataFrame:
 _CUT = "_file string, _block long, _mid long, value string, record long, shared boolean, file_first long, heads long"
 
 
-def records(lines: DataFrame, splits: DataFrame, sep: str) -> DataFrame:
+def records(lines: DataFrame, splits: DataFrame, sep: str, scanned: bool) -> DataFrame:
     """(record, text, file_first, heads): every record, numbered from 0 over all files in order.
 
-    In splits without quotes and blank lines the number of a line is plain arithmetic.
+    In splits without quotes and blank lines the number of a line is plain arithmetic; ``scanned``: there are others.
     """
     known = lines.join(splits, ["_file", "_block"])
     plain = known.where(~F.col("scanned") & ~F.col("inside")).select("value", (F.col("first_record") + F.col("_mid") - F.col("first_line")).alias("record"), "file_first", "heads")
     alone = plain.select("record", F.col("value").alias("text"), "file_first", "heads")
-    if not splits.where("scanned or inside").isEmpty():
+    if scanned:
         within = known.where(~F.col("scanned") & F.col("inside")).withColumns({"record": F.col("first_record") - 1, "shared": F.lit(True)})
 
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
