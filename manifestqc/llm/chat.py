@@ -35,6 +35,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from manifestqc.llm.common import exact_ids, id_array, id_list
 from manifestqc.llm.tokens import tokenizer_path
 
 TOKENIZER = "byte_bpe_50k.json"
@@ -96,15 +97,15 @@ def formatted(conversations: DataFrame, path: str | None = None) -> DataFrame:
                 part = pdf.iloc[i:i + 64]
                 made = [render([(x["role"] or "", x["text"] or "") for x in turns]) for turns in part["turns"]]
                 rows = []
-                for conv, (text, spans), enc in zip(part["conv_id"].tolist(), made, t.encode_batch([m[0] for m in made], add_special_tokens=False)):
+                for conv, (text, spans), enc in zip(id_list(part["conv_id"]), made, t.encode_batch([m[0] for m in made], add_special_tokens=False)):
                     offsets = np.array(enc.offsets, np.int32).reshape(-1, 2)
                     runs = mask_runs(offsets[:, 0], offsets[:, 1], spans)
-                    rows.append((None if conv != conv else conv, text, np.array(enc.ids, np.int32), offsets[:, 0], offsets[:, 1], [{"first": a, "last": z} for a, z in runs]))
+                    rows.append((conv, text, np.array(enc.ids, np.int32), offsets[:, 0], offsets[:, 1], [{"first": a, "last": z} for a, z in runs]))
                 out = pd.DataFrame(rows, columns=["conv_id", "formatted", "input_ids", "token_start", "token_end", "loss_runs"])
-                yield out.assign(conv_id=out["conv_id"].astype("Int64"))
+                yield out.assign(conv_id=id_array([r[0] for r in rows]))
 
     turns = (conversations.groupBy("conv_id").agg(F.sort_array(F.collect_list(F.struct("turn", "role", "text"))).alias("turns")))
-    return turns.select("conv_id", F.transform("turns", lambda t: F.struct(t["role"].alias("role"), t["text"].alias("text"))).alias("turns")).mapInPandas(run, FORMATTED)
+    return exact_ids(turns, "conv_id").select("conv_id", F.transform("turns", lambda t: F.struct(t["role"].alias("role"), t["text"].alias("text"))).alias("turns")).mapInPandas(run, FORMATTED)
 
 
 def turns_of(text: str) -> list[tuple[str, str]]:

@@ -58,6 +58,22 @@ def text_slices(frames: Iterator[pd.DataFrame], column: str = "text", max_chars:
             yield pdf.iloc[start:], texts[start:]
 
 
+def exact_ids(df: DataFrame, *columns: str) -> DataFrame:
+    """``df`` with nullable id columns as text, for pandas: beside a null it would take longs as doubles, which change beyond 2^53."""
+    return df.withColumns({c: F.col(c).cast("string") for c in columns})
+
+
+def id_list(column: pd.Series) -> list[int | None]:
+    """Ids of a column that ``exact_ids`` made."""
+    return [int(x) if isinstance(x, str) else None for x in column.tolist()]
+
+
+def id_array(ids: list) -> pd.arrays.IntegerArray:
+    """Ids, some of them None, as nullable longs without a step over doubles."""
+    missing = np.array([i is None for i in ids], bool)
+    return pd.arrays.IntegerArray(np.array([0 if i is None else i for i in ids], np.int64), missing)
+
+
 def mix(h: np.ndarray) -> np.ndarray:
     """Bit mixer on uint64 arrays."""
     h = (h ^ (h >> np.uint64(30))) * _MIX

@@ -3,8 +3,8 @@
 A line is the set of its distinct tokens, which are runs of ``width``
 consecutive words (single words saturate: on a large corpus even the rarest word
 of a line is in many lines, so that candidates would grow with the square of the
-input).  With ``min_words`` under ``width`` a shorter line has one token, its whole
-sequence of words, so that exact copies of it go.  A line goes if an earlier line (by doc_id, then line number) has a set
+input).  A line of fewer words has one token, its whole sequence of words, so that
+exact copies of it go.  A line goes if an earlier line (by doc_id, then line number) has a set
 of Jaccard similarity ``percent`` or more.
 
 1. One scan gives every line the 128-bit identity of its set, and counts tokens
@@ -21,9 +21,8 @@ of Jaccard similarity ``percent`` or more.
 5. Pairs are verified on the full sets of their lines, which are taken from
    the few documents that hold them (behind a bitmap of fixed size).
 
-Defined results: lines under ``min_words`` words are neither matched nor removed
-(with 1, as in the pipeline, these are the wordless lines only; the default, which
-the SQL of op2_line_dedup has, is ``width``); null text has no lines; rows that repeat
+Defined results: lines under ``min_words`` words (by default the wordless ones) are
+neither matched nor removed; null text has no lines; rows that repeat
 a doc_id are one document at the same positions (their equal lines stay or go
 together); rows with a null doc_id take no part and stay as they are; an empty
 table gives no rows; other columns are kept by ``dedup_lines``, and n_chars,
@@ -279,7 +278,7 @@ def later_matches(docs: DataFrame, sets: DataFrame, ranks: np.ndarray, tokens: i
     return checkpoint(where.join(later, "id").select("s1", "s2"))
 
 
-def removed_lines(docs: DataFrame, width: int = WIDTH, percent: int = PERCENT, min_words: int = WIDTH) -> DataFrame:
+def removed_lines(docs: DataFrame, width: int = WIDTH, percent: int = PERCENT, min_words: int = 1) -> DataFrame:
     """(doc_id, lines): the sorted numbers of the lines that an earlier line matches, for documents that have any."""
     if min_words < 1:
         raise ValueError("a line needs one word at least: min_words >= 1")
@@ -300,7 +299,7 @@ def removed_lines(docs: DataFrame, width: int = WIDTH, percent: int = PERCENT, m
     return checkpoint(gone.groupBy("doc_id").agg(F.sort_array(F.collect_list("line")).alias("lines")))
 
 
-def line_report(docs: DataFrame, width: int = WIDTH, percent: int = PERCENT, min_words: int = WIDTH) -> DataFrame:
+def line_report(docs: DataFrame, width: int = WIDTH, percent: int = PERCENT, min_words: int = 1) -> DataFrame:
     """doc_id, n_lines, n_removed and removed_lines (numbers from 0, comma-joined) of every document."""
     gone = removed_lines(docs, width, percent, min_words)
     n = F.octet_length("text") - F.octet_length(F.replace("text", F.lit("\n"))) + 1
@@ -319,7 +318,7 @@ def _without(text: pd.Series, lines: pd.Series) -> pd.Series:
     return pd.Series(out, dtype=object)
 
 
-def dedup_lines(docs: DataFrame, width: int = WIDTH, percent: int = PERCENT, min_words: int = WIDTH) -> DataFrame:
+def dedup_lines(docs: DataFrame, width: int = WIDTH, percent: int = PERCENT, min_words: int = 1) -> DataFrame:
     """``docs`` without the removed lines; documents that lose their last word go.  Columns as they are.
 
     Only documents that may lose a line (by a bitmap) meet the list in a shuffle.

@@ -41,7 +41,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from manifestqc.llm.common import bit_number, bitmap, checkpoint, hashed_runs, in_bitmap, split_by_ids, text_slices, window_hashes
+from manifestqc.llm.common import bit_number, bitmap, checkpoint, exact_ids, hashed_runs, id_array, id_list, in_bitmap, split_by_ids, text_slices, window_hashes
 from manifestqc.llm.components import connected
 
 BANDS, ROWS, HASHES = 28, 4, 128
@@ -79,10 +79,10 @@ def sketches(docs: DataFrame, width: int) -> DataFrame:
                 s = shingle_set(text, width)
                 rows.append((len(s), hashlib.blake2b(s.tobytes(), digest_size=16).digest(), signature(s).tobytes()) if len(s) else (0, None, None))
             out = pd.DataFrame(rows, columns=["n_shingles", "set_id", "signature"], index=pdf.index)
-            out["doc_id"] = pdf["doc_id"].astype("Int64")
+            out["doc_id"] = id_array(id_list(pdf["doc_id"]))
             yield out[["doc_id", "n_shingles", "set_id", "signature"]]
 
-    return docs.select("doc_id", "text").mapInPandas(run, "doc_id long, n_shingles long, set_id binary, signature binary")
+    return exact_ids(docs.select("doc_id", "text"), "doc_id").mapInPandas(run, "doc_id long, n_shingles long, set_id binary, signature binary")
 
 
 def fewest_matches(threshold: float, miss: float, batch: int = BATCH, hashes: int = HASHES) -> list[int]:

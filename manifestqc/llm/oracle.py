@@ -9,7 +9,7 @@ LINE_DEDUP = rf"""
 WITH L AS (SELECT doc_id, unnest(string_split(text, chr(10))) AS t, generate_subscripts(string_split(text, chr(10)), 1) - 1 AS line
            FROM documents WHERE text IS NOT NULL),
 W AS (SELECT doc_id, line, regexp_extract_all(translate(t, '{UPPER}', '{LOWER}'), '[^\x20\x09-\x0D]+') AS w FROM L),
-T AS (SELECT DISTINCT doc_id, line, unnest(list_transform(range(1, len(w) - 3), lambda i: array_to_string(w[i:i + 4], ' '))) AS token FROM W WHERE len(w) >= 5),
+T AS (SELECT DISTINCT doc_id, line, unnest(list_transform(range(1, greatest(len(w) - 4, 1) + 1), lambda i: array_to_string(w[i:i + 4], ' '))) AS token FROM W WHERE len(w) > 0),
 N AS (SELECT doc_id, line, count(*) AS n FROM T GROUP BY ALL),
 P AS (SELECT x.doc_id, x.line, y.doc_id AS d, y.line AS l, count(*) AS shared FROM T x JOIN T y ON x.token = y.token
       WHERE y.doc_id < x.doc_id OR y.doc_id = x.doc_id AND y.line < x.line GROUP BY ALL),

@@ -29,7 +29,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from manifestqc.llm.common import checkpoint, text_slices
+from manifestqc.llm.common import checkpoint, exact_ids, id_array, id_list, text_slices
 from manifestqc.llm.tokens import piece_ids, tokenizer_path
 
 CAPACITY = 4096
@@ -46,15 +46,15 @@ def token_pieces(docs: DataFrame, path: str | None = None, capacity: int = CAPAC
         encode = piece_ids(path, end_id).encode
         for pdf, texts in text_slices(frames, max_chars=1_000_000):
             rows = []
-            for doc_id, raw in zip(pdf["doc_id"].tolist(), encode(texts)):
+            for doc_id, raw in zip(id_list(pdf["doc_id"]), encode(texts)):
                 n = len(raw) // 4
                 for start in range(0, n, capacity):
                     part = raw[4 * start: 4 * (start + capacity)]
-                    rows.append((None if doc_id != doc_id else doc_id, start, len(part) // 4, zlib.crc32(part), n) + ((part,) if with_ids else ()))
+                    rows.append((doc_id, start, len(part) // 4, zlib.crc32(part), n) + ((part,) if with_ids else ()))
             out = pd.DataFrame(rows, columns=["doc_id", "start", "length", "ids_crc32", "doc_tokens"] + ["ids"] * with_ids)
-            yield out.assign(doc_id=out["doc_id"].astype("Int64"))
+            yield out.assign(doc_id=id_array([r[0] for r in rows]))
 
-    return docs.select("doc_id", "text").mapInPandas(cut, PIECES + (", ids binary" if with_ids else ""))
+    return exact_ids(docs.select("doc_id", "text"), "doc_id").mapInPandas(cut, PIECES + (", ids binary" if with_ids else ""))
 
 
 def pack_histogram(counts: dict[int, int], capacity: int = CAPACITY) -> list[tuple[int, tuple[int, ...]]]:

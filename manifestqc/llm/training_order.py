@@ -36,9 +36,9 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from manifestqc.llm.common import checkpoint, mix, text_slices
+from manifestqc.llm.common import checkpoint, exact_ids, id_array, id_list, mix, text_slices
 from manifestqc.llm.tokens import load, piece_ids, tokenizer_path
-from manifestqc.llm.warc import filesystem
+from manifestqc.sources.files import file_system
 
 LENGTH = 2048
 END_ID = 49407
@@ -105,16 +105,16 @@ def token_sequences(docs: DataFrame, path: str, length: int, end_id: int) -> Dat
             heads = [(start - at, doc) for start, doc in heads[k:]]
             del stream[:at]
             out = pd.DataFrame(rows, columns=["task", "place", "doc_id", "start", "ids"])
-            return out.assign(doc_id=out["doc_id"].astype("Int64"))
+            return out.assign(doc_id=id_array([r[2] for r in rows]))
 
         for pdf, texts in text_slices(frames, max_chars=1_000_000):
-            for doc_id, raw in zip(pdf["doc_id"].tolist(), encode(texts)):
-                heads.append((len(stream), None if doc_id != doc_id else doc_id))
+            for doc_id, raw in zip(id_list(pdf["doc_id"]), encode(texts)):
+                heads.append((len(stream), doc_id))
                 stream += raw if wide else np.frombuffer(raw, "<u4").astype("<u2").tobytes()
             yield cut(False)
         yield cut(True)
 
-    return docs.select("doc_id", "text").mapInPandas(run, SEQUENCES)
+    return exact_ids(docs.select("doc_id", "text"), "doc_id").mapInPandas(run, SEQUENCES)
 
 
 def write_shards(docs: DataFrame, base: str, path: str | None = None, length: int = LENGTH, end_id: int = END_ID, key: int = KEY, shard_bytes: int = SHARD_BYTES) -> DataFrame:
@@ -138,11 +138,11 @@ def write_shards(docs: DataFrame, base: str, path: str | None = None, length: in
     def slot_of(task: pd.Series, place: pd.Series) -> pd.Series:
         return pd.Series(permute(held.value[task.to_numpy()] + place.to_numpy(), total, key))
 
-    slotted = sequences.withColumn("slot", slot_of("task", "place")).select("slot", "doc_id", "start", "ids")
+    slotted = sequences.withColumn("slot", slot_of("task", "place")).select("slot", F.coalesce("doc_id", F.lit(NO_DOC)).alias("doc_id"), "start", "ids")
     ranges = slotted.repartitionById(shards, F.expr(f"cast(slot div {per_shard} as int)")).sortWithinPartitions("slot")
 
     def write(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        where, root = filesystem(base)
+        where, root = file_system(base)
         where.create_dir(f"{root}/shards", recursive=True)
         sink = first = None
         n = crc = 0
@@ -158,7 +158,7 @@ def write_shards(docs: DataFrame, base: str, path: str | None = None, length: in
             if slots[0] != first + n or (np.diff(slots) != 1).any():
                 raise ValueError(f"slots of the shard from {first} have a gap")
             block = np.zeros(len(pdf), kind)
-            block["doc_id"] = pdf["doc_id"].astype("Int64").fillna(NO_DOC).to_numpy(np.int64)
+            block["doc_id"] = pdf["doc_id"].to_numpy(np.int64)
             block["start"] = pdf["start"].to_numpy()
             raw = [expand(bytes(x)) for x in pdf["ids"]]
             block["length"] = [len(x) // size for x in raw]
@@ -187,7 +187,7 @@ READ = "slot long, doc_id long, start long, length long, ids_crc32 long, shard l
 def read_shards(manifest: DataFrame, base: str, kind: np.dtype, from_slot: int = 0, with_ids: bool = False, block: int = 1024) -> DataFrame:
     """READ of every record from a slot on, shard by shard in slot order; the bytes have to match the manifest."""
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        where, _ = filesystem(base)
+        where, _ = file_system(base)
         for pdf in frames:
             for shard, first, n, crc, path in zip(pdf["shard"], pdf["first_slot"], pdf["n"], pdf["crc32"], pdf["path"]):
                 skip = max(0, from_slot - first)

@@ -37,7 +37,8 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from manifestqc.llm.common import checkpoint, split_by_ids
+from manifestqc.llm.common import checkpoint, exact_ids, id_array, id_list, split_by_ids
+from manifestqc.sources.files import file_system
 
 DATE = "20080430204825"
 # Field names of the two ARC versions, as their version blocks state them.
@@ -81,11 +82,11 @@ def arc_containers(pages: DataFrame, container_bytes: int = CONTAINER_BYTES) ->
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         version, parts, size = 1, [], 0
         for pdf in frames:
-            for page, url, html in zip(pdf["page_id"].tolist(), pdf["url"], pdf["html"]):
+            for page, url, html in zip(id_list(pdf["page_id"]), pdf["url"], pdf["html"]):
                 name = f"pages-v{version}.arc"
                 if not parts:
                     parts, size = [arc_head(version, name)], 0
-                number = "" if page != page or page is None else f"{NUMBER_HEADER}: {int(page)}\r\n"
+                number = "" if page is None else f"{NUMBER_HEADER}: {page}\r\n"
                 payload = html.encode("utf-8", "surrogatepass") if isinstance(html, str) else b""
                 http = f"HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\n{number}\r\n".encode() + payload
                 parts += [arc_line(version, safe_url(url), "192.0.2.1", DATE, "text/html", len(http), name, offset=size), http, b"\n"]
@@ -96,7 +97,7 @@ def arc_containers(pages: DataFrame, container_bytes: int = CONTAINER_BYTES) ->
         if parts:
             yield pd.DataFrame({"content": [b"".join(parts)]})
 
-    return pages.select("page_id", "url", "html").mapInPandas(run, "content binary")
+    return exact_ids(pages.select("page_id", "url", "html"), "page_id").mapInPandas(run, "content binary")
 
 
 def gunzip_members(data: bytes, step: int = 1 << 15) -> Iterator[bytes]:
@@ -129,6 +130,8 @@ def parse_arc(data: bytes) -> Iterator[tuple[dict[str, str], bytes]]:
                 raise ValueError("not an ARC container of version 1 or 2")
             fields = version[1].rstrip(b"\r").decode().split(" ")
         else:
+            if len(line) > len(fields):  # blanks in the URL, which comes first
+                line = [" ".join(line[:len(line) - len(fields) + 1]), *line[len(line) - len(fields) + 1:]]
             if len(line) != len(fields):
                 raise ValueError(f"ARC header line with {len(line)} of {len(fields)} fields at byte {at}")
             header = dict(zip(fields, line))
@@ -159,8 +162,7 @@ def arc_records(containers: DataFrame, with_http: bool = True) -> DataFrame:
                     m = re.search(NUMBER_HEADER.encode() + rb": (-?[0-9]+)", head)
                     rows.append((int(m[1]) if m else None, h["URL"], h["IP-address"], h["Archive-date"], h["Content-type"],
                                  block if with_http else None, len(payload), sha1_base32(payload)))
-                out = pd.DataFrame(rows, columns=names)
-                yield out.assign(page_id=out["page_id"].astype("Int64"))
+                yield pd.DataFrame(rows, columns=names).assign(page_id=id_array([r[0] for r in rows]))
 
     return containers.select("content").mapInPandas(run, RECORDS)
 
@@ -215,16 +217,10 @@ def revisits(records: DataFrame, min_bytes: int = 0) -> DataFrame:
     return checkpoint(small.join(last, ["payload_digest", "payload_bytes"]).where("page_id <> refers_to").select(F.col("page_id").alias("doc_id"), "refers_to").distinct())
 
 
-def filesystem(base: str):
-    """File system and path of the shared folder, as a worker sees them."""
-    from pyarrow import fs
-    return fs.FileSystem.from_uri(base if "://" in base else base.replace("file:", "", 1))
-
-
 def write_warc(records: DataFrame, base: str, file_bytes: int = FILE_BYTES) -> DataFrame:
     """Writes RECORDS with ``refers_to`` as gzip WARC files under ``base``; checkpointed manifest (path, n, bytes)."""
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        where, root = filesystem(base)
+        where, root = file_system(base)
         where.create_dir(root, recursive=True)
         sink, rows = None, []
 
@@ -243,8 +239,8 @@ def write_warc(records: DataFrame, base: str, file_bytes: int = FILE_BYTES) -> D
                                         ("Content-Type", "application/warc-fields")], b"format: WARC File Format 1.1\r\n")
                     sink.write(info)
                     rows.append([path, 0, len(info)])
-                page = None if pd.isna(r.page_id) else int(r.page_id)
-                data = convert(page, r.url, r.ip, r.date, r.http, int(r.payload_bytes), r.payload_digest, None if pd.isna(r.refers_to) else int(r.refers_to))
+                page, refers_to = id_list(pd.Series([r.page_id, r.refers_to], dtype=object))
+                data = convert(page, r.url, r.ip, r.date, r.http, int(r.payload_bytes), r.payload_digest, refers_to)
                 sink.write(data)
                 rows[-1][1] += 1
                 rows[-1][2] += len(data)
@@ -253,7 +249,7 @@ def write_warc(records: DataFrame, base: str, file_bytes: int = FILE_BYTES) -> D
         close()
         yield pd.DataFrame(rows, columns=["path", "n", "bytes"])
 
-    return checkpoint(records.mapInPandas(run, "path string, n long, bytes long"))
+    return checkpoint(exact_ids(records, "page_id", "refers_to").mapInPandas(run, "path string, n long, bytes long"))
 
 
 def parse_warc(member: bytes) -> tuple[dict[str, str], bytes]:
@@ -266,7 +262,7 @@ def parse_warc(member: bytes) -> tuple[dict[str, str], bytes]:
 def read_warc(manifest: DataFrame, base: str) -> DataFrame:
     """BACK of every response and revisit in the manifest's files; payload digests are computed, and must agree."""
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        where, _ = filesystem(base)
+        where, _ = file_system(base)
         names = [c.split()[0] for c in BACK.split(", ")]
         for pdf in frames:
             for path, n in zip(pdf["path"], pdf["n"]):
@@ -289,8 +285,7 @@ def read_warc(manifest: DataFrame, base: str) -> DataFrame:
                                  h["WARC-Record-ID"], h["WARC-Target-URI"], h["WARC-Date"]))
                 if len(rows) != n:
                     raise ValueError(f"{path} holds {len(rows)} records, the manifest says {n}")
-                out = pd.DataFrame(rows, columns=names)
-                yield out.assign(page_id=out["page_id"].astype("Int64"), refers_to=out["refers_to"].astype("Int64"))
+                yield pd.DataFrame(rows, columns=names).assign(page_id=id_array([r[0] for r in rows]), refers_to=id_array([r[4] for r in rows]))
 
     parts = max(1, manifest.count())
     return manifest.select("path", "n").repartition(min(parts, 100_000), "path").mapInPandas(run, BACK)

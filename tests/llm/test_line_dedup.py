@@ -7,25 +7,25 @@ from llm_cases import corpus, docs_of
 from manifestqc.llm import line_dedup
 
 
-def brute_force(rows, width=5, percent=80):
+def brute_force(rows, width=5, percent=80, min_words=1):
     seen, gone = [], defaultdict(list)
     for i, text in sorted((r for r in rows if r[0] is not None and r[1] is not None), key=lambda r: r[0]):
         for k, line in enumerate(text.split("\n")):
             w = line.encode().lower().split()
-            if len(w) < width:
+            if len(w) < min_words or not w:
                 continue
-            s = {tuple(w[j:j + width]) for j in range(len(w) - width + 1)}
+            s = {tuple(w[j:j + width]) for j in range(max(1, len(w) - width + 1))}
             if any(100 * len(s & t) >= percent * len(s | t) for t in seen):
                 gone[i].append(k)
             seen.append(s)
     return dict(gone)
 
 
-@pytest.mark.parametrize("seed", [1, 2])
-def test_matches_brute_force(docs_of, seed):
+@pytest.mark.parametrize("seed,min_words", [(1, 1), (2, 1), (1, 5), (2, 3)])
+def test_matches_brute_force(docs_of, seed, min_words):
     rows = corpus(seed, 80)
-    want = brute_force(rows)
-    got = {r.doc_id: r for r in line_dedup.line_report(docs_of(rows)).collect()}
+    want = brute_force(rows, min_words=min_words)
+    got = {r.doc_id: r for r in line_dedup.line_report(docs_of(rows), min_words=min_words).collect()}
     assert len(got) == len(rows) and want
     for i, text in rows:
         assert got[i].removed_lines == ",".join(map(str, want.get(i, []))), i
@@ -56,7 +56,8 @@ def test_dedup_lines_texts_and_columns(spark):
     assert set(got) == {1, 2, 4, 5, None, 6}  # 3 lost its last word
     assert got[2].text == "\nSecond, with its own line of words" and got[2].n_chars == len(got[2].text)
     assert got[1].text == rows[0][1] and got[1].n_chars == 9
-    assert got[6].text == "the\nthe\nthe" and got[None].text == line
+    assert got[6].text == "the" and got[None].text == line
+    assert {r.doc_id: r.text for r in line_dedup.dedup_lines(df, min_words=5).collect()}[6] == "the\nthe\nthe"
 
 
 def test_empty_table_and_no_lines(docs_of):
@@ -73,7 +74,7 @@ def test_prefix_order_is_a_bijection():
 
 def test_short_lines_as_one_token(docs_of):
     rows = corpus(3, 60) + [(100, "Home\nAbout us\n\n \nfig. 1 of\na b c d"), (101, "about  US\na b c d e\nd c b a\n\nhome"), (102, "HOME"), (103, "a a\na\na a a\na b c d")]
-    want, seen = brute_force(rows), set()
+    want, seen = brute_force(rows, min_words=5), set()
     for i, text in rows:
         for k, line in enumerate(text.split("\n")):
             w = tuple(line.encode().lower().split())
@@ -82,9 +83,9 @@ def test_short_lines_as_one_token(docs_of):
                     want.setdefault(i, []).append(k)
                 seen.add(w)
     assert want[101] == [0, 4] and want[102] == [0] and want[103] == [3] and 100 not in want
-    got = {r.doc_id: [int(x) for x in r.removed_lines.split(",")] for r in line_dedup.line_report(docs_of(rows), min_words=1).collect() if r.n_removed}
+    got = {r.doc_id: [int(x) for x in r.removed_lines.split(",")] for r in line_dedup.line_report(docs_of(rows)).collect() if r.n_removed}
     assert got == {i: sorted(v) for i, v in want.items()}
-    kept = {r.doc_id: r.text for r in line_dedup.dedup_lines(docs_of(rows), min_words=1).collect()}
+    kept = {r.doc_id: r.text for r in line_dedup.dedup_lines(docs_of(rows)).collect()}
     assert kept[101] == "a b c d e\nd c b a\n" and 102 not in kept and kept[100] == rows[-4][1]
 
 
