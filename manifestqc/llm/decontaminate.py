@@ -63,7 +63,7 @@ def window_blocks(benchmark: DataFrame, width: int, block_chars: int) -> Iterato
     grouped = checkpoint(windows.groupBy("phrase").agg(F.collect_set("item").alias("items")).withColumn("size", size + 8 * F.size("items")))
     total = grouped.agg(F.sum("size")).first()[0] or 0
     n = -(-total // block_chars)
-    for k in range(n):  # half a block on average; each is checked again as it is gathered
+    for k in range(n):  # half a block on average, as the hash deals them out
         part = grouped.where(F.pmod(F.xxhash64("phrase"), F.lit(2 * n)).isin(2 * k, 2 * k + 1)) if n > 1 else grouped
         yield {r["phrase"]: (r["phrase"].count(" ") - 1, r["items"]) for r in part.select("phrase", "items").toLocalIterator()}
 
