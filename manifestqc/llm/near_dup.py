@@ -12,15 +12,16 @@
    with a member that is not can hold another link; these are compared in blocks
    of at most about ``BLOCK`` by ``BLOCK`` members, and a block returns no more links than
    it has members, which connect what the found pairs connect.
-5. Against the hub every pair is verified exactly on the full shingle sets, as
-   the members' differences to it are needed anyhow.  Among members candidates are
-   first checked against batches of signature positions: after each batch the
-   posterior probability (uniform prior) that the similarity reaches the threshold
-   decides, and a pair is pruned when it falls under ``miss`` (see ``miss_rate``
-   for what that loses).  Survivors are verified on the differences to the hub, which
-   give the exact intersection of the full sets as well.
-
-Signatures travel for pairs only, and shingle sets only for documents in pairs;
+5. Every candidate is first checked against batches of signature positions: after
+   each batch the posterior probability (uniform prior) that the similarity reaches
+   the threshold decides, and a pair is pruned when it falls under ``hub_miss`` (with
+   the hub) or ``miss`` (among members; see ``miss_rate`` for what that loses).  Only
+   then are shingle sets read: those of pairs with the hub that are left, and of members
+   that are left with a member pruned from the hub.  Survivors are verified on the
+   full sets: with the hub by their intersection, among members by the differences to
+   the hub, which give the exact intersection of the full sets as well.
+
+Signatures travel for pairs only, and shingle sets only for what pruning leaves;
 the latter are found again in a narrow scan behind a bitmap of fixed size.
 
 Defined results: null or wordless text is an empty set, linked with nothing;
@@ -33,7 +34,7 @@ empty table gives no rows; columns beside doc_id and the text are not read.
 from __future__ import annotations
 
 import hashlib
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from math import comb
 
 import numpy as np
@@ -46,6 +47,8 @@ from manifestqc.llm.components import connected
 
 BANDS, ROWS, HASHES = 28, 4, 128
 MISS = 1e-6
+#: A pair that is pruned from its hub has no second chance, so its bound is far lower.
+HUB_MISS = 1e-9
 BATCH = 16
 BLOCK = 256
 
@@ -146,28 +149,52 @@ def full_sets(docs: DataFrame, ids: DataFrame, width: int) -> DataFrame:
     return rows.join(ids, "id", "left_semi")
 
 
-def against_hubs(docs: DataFrame, stars: DataFrame, signatures: DataFrame, width: int, percent: int) -> DataFrame:
-    """Stars (hub, id) with the member's size, signature, differences to the hub, and whether they are linked (exactly)."""
-    pairs = stars.join(signatures.select(F.col("doc_id").alias("id"), "signature"), "id")
-    ids = checkpoint(stars.select("id").union(stars.select("hub")).distinct())
+def screened(stars: DataFrame, signatures: DataFrame, percent: int, miss: float) -> DataFrame:
+    """Stars (hub, id) with the member's size and signature, and whether the batches leave the pair ``likely``."""
+    least = fewest_matches(percent / 100, miss)
+    member = signatures.select(F.col("doc_id").alias("id"), F.col("n_shingles").alias("n"), "signature")
+    hub = signatures.select(F.col("doc_id").alias("hub"), F.col("n_shingles").alias("hub_n"), F.col("signature").alias("hub_signature"))
+
+    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for pdf in frames:
+            if len(pdf):
+                small, large = np.minimum(pdf["n"], pdf["hub_n"]), np.maximum(pdf["n"], pdf["hub_n"])
+                near = np.nonzero((100 * small >= percent * large).to_numpy())[0]
+                stay, _ = survivors(matrix(pdf["signature"]), matrix(pdf["hub_signature"]), least, (near, near))
+                likely = np.zeros(len(pdf), bool)
+                likely[stay] = True
+                yield pdf[["hub", "id", "n", "signature"]].assign(likely=likely)
+
+    return checkpoint(stars.join(member, "id").join(hub, "hub").mapInPandas(run, "hub long, id long, n long, signature binary, likely boolean"))
+
+
+def verified(docs: DataFrame, pairs: DataFrame, width: int, percent: int) -> DataFrame:
+    """Screened stars with the member's differences to the hub and whether they are linked (exactly, on the full sets)."""
+    ids = checkpoint(pairs.select("id").union(pairs.select("hub")).distinct())
     sets = full_sets(docs, ids, width)
     x, h = sets.select("id", F.col("shingles").alias("xs")), sets.select(F.col("id").alias("hub"), F.col("shingles").alias("hs"))
-    both = F.size(F.array_intersect("xs", "hs"))
     n, m = F.size("xs"), F.size("hs")
-    return checkpoint(pairs.join(x, "id").join(h, "hub").withColumn("both", both)
+    return checkpoint(pairs.select("hub", "id", "signature").join(x, "id").join(h, "hub").withColumn("both", F.size(F.array_intersect("xs", "hs")))
                       .select("hub", "id", n.alias("n"), "signature",
                               (100 * F.col("both") >= percent * (n + m - F.col("both"))).alias("linked"),
                               F.concat(F.array_except("xs", "hs"), F.array_except("hs", "xs")).alias("differs")))
 
 
-def block_links(rest: pd.DataFrame, every: pd.DataFrame, least: list[int], percent: int) -> list[tuple[int, int]]:
-    """Links between two blocks of members of one hub, at most one fewer than members."""
+def candidates(rest: pd.DataFrame, every: pd.DataFrame, least: list[int], percent: int) -> tuple[np.ndarray, np.ndarray]:
+    """Index pairs of two blocks of members of one hub that the length filter and the batches leave."""
     nx, ny = rest["n"].to_numpy(np.int64), every["n"].to_numpy(np.int64)
     ids_x, ids_y = rest["id"].to_numpy(), every["id"].to_numpy()
     small, large = np.minimum.outer(nx, ny), np.maximum.outer(nx, ny)
     # pairs of two unlinked members would come up twice
     once = (ids_x[:, None] != ids_y[None, :]) & (every["linked"].to_numpy()[None, :] | (ids_x[:, None] < ids_y[None, :]))
-    a, b = survivors(matrix(rest["signature"]), matrix(every["signature"]), least, np.nonzero(once & (100 * small >= percent * large)))
+    return survivors(matrix(rest["signature"]), matrix(every["signature"]), least, np.nonzero(once & (100 * small >= percent * large)))
+
+
+def block_links(rest: pd.DataFrame, every: pd.DataFrame, least: list[int], percent: int) -> list[tuple[int, int]]:
+    """Links between two blocks of members of one hub, at most one fewer than members."""
+    nx, ny = rest["n"].to_numpy(np.int64), every["n"].to_numpy(np.int64)
+    ids_x, ids_y = rest["id"].to_numpy(), every["id"].to_numpy()
+    a, b = candidates(rest, every, least, percent)
     parent: dict[int, int] = {}
 
     def find(v: int) -> int:
@@ -197,9 +224,8 @@ def block_links(rest: pd.DataFrame, every: pd.DataFrame, least: list[int], perce
     return links
 
 
-def among_members(rows: DataFrame, percent: int, miss: float, block: int = BLOCK) -> DataFrame:
-    """Links (a, b) of members that are not linked to their hub with any other member of it."""
-    least = fewest_matches(percent / 100, miss)
+def by_blocks(rows: DataFrame, payload: list[str], run: Callable[[pd.DataFrame, pd.DataFrame], pd.DataFrame], schema: str, block: int = BLOCK) -> DataFrame:
+    """``run`` on every block of unlinked members against every block of all members of the same hub."""
     sizes = rows.groupBy("hub").agg(F.count(F.lit(1)).alias("members"), F.sum(F.when(F.col("linked"), 0).otherwise(1)).alias("rest"))
     sizes = checkpoint(sizes.where("rest > 0 and members > 1")
                        .select("hub", F.ceil(F.col("members") / block).cast("int").alias("blocks"), F.ceil(F.col("rest") / block).cast("int").alias("rest_blocks")))
@@ -209,12 +235,35 @@ def among_members(rows: DataFrame, percent: int, miss: float, block: int = BLOCK
             .withColumn("j", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))).withColumn("side", F.lit(0)))
     right = (rows.withColumn("j", F.pmod(h, F.col("blocks")).cast("int"))
              .withColumn("i", F.explode(F.sequence(F.lit(0), F.col("rest_blocks") - 1))).withColumn("side", F.lit(1)))
-    columns = ["hub", "i", "j", "side", "id", "n", "signature", "linked", "differs"]
+    columns = ["hub", "i", "j", "side", "id", "n", "linked", *payload]
+
+    def both_sides(pdf: pd.DataFrame) -> pd.DataFrame:
+        return run(pdf[pdf["side"] == 0], pdf[pdf["side"] == 1])
+
+    return left.select(columns).union(right.select(columns)).groupBy("hub", "i", "j").applyInPandas(both_sides, schema)
+
+
+def open_members(pairs: DataFrame, percent: int, miss: float) -> DataFrame:
+    """(hub, id) of members that the batches leave with a member which is pruned from the hub."""
+    least = fewest_matches(percent / 100, miss)
+
+    def run(rest: pd.DataFrame, every: pd.DataFrame) -> pd.DataFrame:
+        a, b = candidates(rest, every, least, percent)
+        ids = np.unique(np.concatenate([rest["id"].to_numpy(np.int64)[a], every["id"].to_numpy(np.int64)[b]]))
+        return pd.DataFrame({"hub": np.full(len(ids), every["hub"].iloc[0] if len(every) else 0, np.int64), "id": ids})
+
+    rows = pairs.withColumnRenamed("likely", "linked")
+    return by_blocks(rows, ["signature"], run, "hub long, id long").distinct()
+
+
+def among_members(rows: DataFrame, percent: int, miss: float) -> DataFrame:
+    """Links (a, b) of members that are not linked to their hub with any other member of it."""
+    least = fewest_matches(percent / 100, miss)
 
-    def run(pdf: pd.DataFrame) -> pd.DataFrame:
-        return pd.DataFrame(block_links(pdf[pdf["side"] == 0], pdf[pdf["side"] == 1], least, percent), columns=["a", "b"], dtype=np.int64)
+    def run(rest: pd.DataFrame, every: pd.DataFrame) -> pd.DataFrame:
+        return pd.DataFrame(block_links(rest, every, least, percent), columns=["a", "b"], dtype=np.int64)
 
-    return left.select(columns).union(right.select(columns)).groupBy("hub", "i", "j").applyInPandas(run, "a long, b long")
+    return by_blocks(rows, ["signature", "differs"], run, "a long, b long")
 
 
 def buckets(representatives: DataFrame) -> DataFrame:
@@ -238,7 +287,7 @@ def buckets(representatives: DataFrame) -> DataFrame:
     return checkpoint(shared.select("key", "id").join(weights, "id"))
 
 
-def near_duplicate_links(docs: DataFrame, width: int = 5, percent: int = 80, miss: float = MISS) -> tuple[DataFrame, DataFrame]:
+def near_duplicate_links(docs: DataFrame, width: int = 5, percent: int = 80, miss: float = MISS, hub_miss: float = HUB_MISS) -> tuple[DataFrame, DataFrame]:
     """Sketches of all documents, and links (a, b) that connect every group of near-duplicates."""
     sketched = checkpoint(sketches(docs, width))
     named = sketched.where("doc_id is not null and n_shingles > 0")
@@ -250,23 +299,26 @@ def near_duplicate_links(docs: DataFrame, width: int = 5, percent: int = 80, mis
     shared = buckets(reps)
     hubs = shared.groupBy("key").agg(F.max(F.struct("weight", (-F.col("id")).alias("minus"))).alias("top")).select("key", (-F.col("top.minus")).alias("hub"))
     stars = checkpoint(shared.join(checkpoint(hubs), "key").where("id <> hub").select("hub", "id").distinct())
-    rows = against_hubs(docs, stars, reps, width, percent)
+    pairs = screened(stars, reps, percent, hub_miss)
+    # sets are read for pairs that are likely, and for members that may be similar to one that is not
+    alive = checkpoint(open_members(pairs, percent, miss))
+    rows = verified(docs, pairs.where("likely").union(pairs.where("not likely").join(alive, ["hub", "id"], "left_semi").select(pairs.columns)), width, percent)
     links = rows.where("linked").select(F.col("id").alias("a"), F.col("hub").alias("b"))
     return sketched, checkpoint(copies.union(links).union(among_members(rows, percent, miss)))
 
 
-def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80, miss: float = MISS) -> DataFrame:
+def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80, miss: float = MISS, hub_miss: float = HUB_MISS) -> DataFrame:
     """doc_id, n_shingles, component_id (smallest doc_id of the group) and kept, for every row of ``docs``."""
-    sketched, links = near_duplicate_links(docs, width, percent, miss)
+    sketched, links = near_duplicate_links(docs, width, percent, miss, hub_miss)
     parts = checkpoint(connected(links))
     return (sketched.select("doc_id", "n_shingles").join(parts.withColumnRenamed("id", "doc_id"), "doc_id", "left")
             .select("doc_id", "n_shingles", F.coalesce("component", "doc_id").alias("component_id"))
             .withColumn("kept", F.col("doc_id").eqNullSafe(F.col("component_id"))))
 
 
-def deduplicated(docs: DataFrame, width: int = 5, percent: int = 80, miss: float = MISS) -> DataFrame:
+def deduplicated(docs: DataFrame, width: int = 5, percent: int = 80, miss: float = MISS, hub_miss: float = HUB_MISS) -> DataFrame:
     """``docs`` with one document (the smallest doc_id) of each group; columns as they are."""
-    gone = checkpoint(near_duplicates(docs, width, percent, miss).where(~F.col("kept")).select("doc_id").distinct())
+    gone = checkpoint(near_duplicates(docs, width, percent, miss, hub_miss).where(~F.col("kept")).select("doc_id").distinct())
     same, some = split_by_ids(docs, gone)
     names = [F.col(f"`{c}`") for c in docs.columns]
     return same.select(names).union(some.join(gone, "doc_id", "left_anti").select(names))
