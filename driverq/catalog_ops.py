@@ -332,6 +332,65 @@ def q_validate_pair(spark, sf):
     return iss.groupBy("rule", "tbl", "severity").agg(F.count(F.lit(1)).cast("long").alias("n_issues"))
 
 
+def _whole_issues(src: str, tbl: str) -> list[str]:
+    """Issue rows of one table of the pair with every column: rule, tbl, col, key, row, value, message, severity."""
+    def text(x: str) -> str:
+        return f"CAST({x} AS VARCHAR)"
+
+    def rule(name: str, field: str, value: str, message: str, where: str) -> str:
+        return (f"SELECT '{name}' AS rule, '{tbl}' AS tbl, '{field}' AS col, sample_name AS key, _row AS row, {text(value)} AS value, "
+                f"{message} AS message, 'warning' AS severity FROM {src} WHERE {where}")
+
+    def off_list(field: str, value: str) -> str:
+        d = DEFAULT_VALUES.get(field)
+        said = Q.q("not in vocabulary, no default" if d is None else f"not in vocabulary, replaced by {d}")
+        return rule("vocabulary", field, value, said, Q.vocab_bad(value, VALID_OPTIONS[field]))
+
+    lay = Q.layout("library_layout")
+    count = "count(*) OVER (PARTITION BY sample_name)"
+    parts = [f"""SELECT 'duplicate_keys', '{tbl}', 'sample_name', sample_name, _row, {text('n')}, 'key occurs on ' || n || ' rows', 'warning'
+  FROM (SELECT sample_name, _row, {count} AS n FROM {src}) WHERE n > 1"""]
+    for c in _S_DATA if tbl == "sample" else _P_DATA:
+        parts.append(f"""SELECT 'missing_cells', '{tbl}', '{c}', NULL, NULL, {text('n')}, 'blank on ' || n || ' keyed rows', 'info'
+  FROM (SELECT count_if({Q.blank(c)}) AS n FROM {src}) WHERE n > 0""")
+    if tbl == "sample":
+        for f in _S_VOCAB:
+            parts.append(off_list(f, Q.fill(f, DEFAULT_VALUES.get(f)) if f in SAMPLE_FILL_FIELDS else (lay if f == "library_layout" else f)))
+        kept = _enf("library_layout", lay)
+        parts.append(rule("layout_mate", "library_layout", "filename2", "'paired layout without a second file'", f"{kept} = 'paired' AND {Q.blank('filename2')}"))
+        parts.append(rule("layout_mate", "library_layout", "filename2", "'single layout with a second file'", f"{kept} = 'single' AND NOT {Q.blank('filename2')}"))
+    else:
+        parts += [off_list(f, Q.fill(f, DEFAULT_VALUES.get(f))) for f in _P_VOCAB]
+        parts.append(rule("blank_date", "collection_date", "collection_date", "'empty collection date'", Q.blank("collection_date")))
+        parts.append(rule("host", "host", Q.source("sample_source"), "'host-associated sample without host'",
+                          f"{Q.source('sample_source')} = 'host-associated' AND {Q.blank('host')}"))
+    return parts
+
+
+def _whole_pair_issues() -> str:
+    ctes = _pair_issues().split("X AS (")[0].rstrip().rstrip(",")
+    refs = " UNION ALL ".join(f"SELECT sample_name AS key, _row, '{c}' AS col, {Q.strip(c)} AS file FROM SK0" for c in FILES)
+    blank = " UNION ALL ".join(
+        f"SELECT 'blank_key', '{tbl}', 'sample_name', NULL, _row, NULL, 'row without a key is left out', 'info' FROM {src} WHERE NOT {Q.not_blank('sample_name')}"
+        for src, tbl in (("S", "sample"), ("P", "project")))
+    return f"""{ctes}, REFS AS (SELECT key, _row, col, {Q.resolve('file', BASE)} AS path FROM ({refs}) WHERE file IS NOT NULL AND file <> ''),
+X AS (SELECT 'missing_file' AS rule, 'sample' AS tbl, col, key, _row AS row, path AS value, 'referenced file not found' AS message, 'error' AS severity
+    FROM REFS WHERE path NOT IN (SELECT path FROM IV)
+  UNION ALL {blank}
+  UNION ALL SELECT 'filename_mismatch', 'both', 'filename', FS.key, NULL, a || ' | ' || b, 'file names differ between the tables', 'warning'
+    FROM FS JOIN FP ON FS.key = FP.key WHERE a <> b AND {Q.basename('a')} <> {Q.basename('b')}
+  UNION ALL SELECT 'key_coverage', t, 'sample_name', key, NULL, NULL, 'key only in the ' || t || ' table', 'warning'
+    FROM (SELECT coalesce(KA.key, KB.key) AS key, CASE WHEN KA.key IS NULL THEN 'project' ELSE 'sample' END AS t
+          FROM KA FULL OUTER JOIN KB ON KA.key = KB.key WHERE KA.key IS NULL OR KB.key IS NULL)
+  UNION ALL {' UNION ALL '.join(_whole_issues('PK', 'project') + _whole_issues('SK', 'sample'))})"""
+
+
+@query("pair_issues", f"WITH {CTE}, {_whole_pair_issues()} SELECT rule, tbl, col, key, CAST(row AS BIGINT) AS row, value, message, severity FROM X")
+def q_pair_issues(spark, sf):
+    return validate_pair(D.project_manifest(spark, sf), D.sample_manifest(spark, sf), None,
+                         inventory=D.inventory(spark, sf), base=BASE, file_columns=FILES)[2]
+
+
 @query("strict_gate_drop", f"""WITH {CTE}, {_pair_issues(drop=True)}
 SELECT CAST(count_if({_BLOCKING}) AS BIGINT) AS n_blocking, count_if({_BLOCKING}) = 0 AS passed FROM X""")
 def q_strict_gate_drop(spark, sf):

@@ -179,6 +179,59 @@ def filename_mismatch(sample: DataFrame, project: DataFrame, key: str = "sample_
                          & (basename(F.col("sample_file")) != basename(F.col("project_file"))))
 
 
+def key_summary(sample: DataFrame, project: DataFrame, key: str = "sample_name",
+                file_columns: Sequence[str] = FILE_COLUMNS) -> DataFrame:
+    """One row per non-null key of either table: ``(key, n_sample, n_project,
+    sample_first, project_first)``, the last two holding the row position and
+    the file cells that both tables have, of the key's first row.
+
+    Both tables are stacked and aggregated once (partial aggregates before the
+    one shuffle, so a hot key costs a row per task); duplicates, coverage and
+    file-name mismatches are filters over the result."""
+    common = [c for c in _existing(sample, file_columns) if c in project.columns]
+
+    def side(df: DataFrame, of_sample: bool) -> DataFrame:
+        first = F.struct(_row_col(df).alias(ROW), *[F.col(c).cast("string").alias(f"f{i}") for i, c in enumerate(common)])
+        return df.filter(F.col(key).isNotNull()).select(F.col(key).alias("key"), F.lit(of_sample).alias("_s"), first.alias("_first"))
+
+    return side(sample, True).unionByName(side(project, False)).groupBy("key").agg(
+        F.count_if(F.col("_s")).cast("long").alias("n_sample"),
+        F.count_if(~F.col("_s")).cast("long").alias("n_project"),
+        F.min(F.when(F.col("_s"), F.col("_first"))).alias("sample_first"),
+        F.min(F.when(~F.col("_s"), F.col("_first"))).alias("project_first"))
+
+
+def summary_coverage_issues(summary: DataFrame, key: str = "sample_name") -> DataFrame:
+    """``key_coverage`` issues from ``key_summary``: keys of one table only."""
+    only = F.when(F.col("n_sample") == 0, F.lit("project")).otherwise(F.lit("sample"))
+    return issues(summary, (F.col("n_sample") == 0) | (F.col("n_project") == 0), "key_coverage", only, col=key, key=F.col("key"),
+                  message=F.concat(F.lit("key only in the "), only, F.lit(" table")), severity="warning")
+
+
+def summary_mismatches(summary: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """``filename_mismatch`` from ``key_summary``; ``columns`` are the file cells that both tables have, in its order."""
+    cells = [F.struct(F.lit(c).alias("column"), F.col(f"sample_first.f{i}").alias("a"), F.col(f"project_first.f{i}").alias("b"))
+             for i, c in enumerate(columns)]
+    if not cells:
+        return summary.sparkSession.createDataFrame([], "key string, column string, sample_file string, project_file string")
+    long = summary.filter((F.col("n_sample") > 0) & (F.col("n_project") > 0)).select("key", F.explode(F.array(*cells)).alias("c"))
+    long = long.filter(~is_blank_trimmed(F.col("c.a")) & ~is_blank_trimmed(F.col("c.b"))).select(
+        "key", "c.column", strip_ws(F.col("c.a")).alias("sample_file"), strip_ws(F.col("c.b")).alias("project_file"))
+    return long.filter((F.col("sample_file") != F.col("project_file")) & (basename(F.col("sample_file")) != basename(F.col("project_file"))))
+
+
+def summary_duplicate_issues(summary: DataFrame, sample: DataFrame, project: DataFrame, key: str = "sample_name") -> DataFrame:
+    """``duplicate_keys`` issues of both tables in one join: their rows with the counts from ``key_summary`` (plain
+    exchanges on both sides, so AQE splits a hot key)."""
+    def rows(df: DataFrame, tbl: str) -> DataFrame:
+        return df.filter(F.col(key).isNotNull()).select(F.col(key).alias("key"), _row_col(df).alias(ROW), F.lit(tbl).alias("tbl"))
+
+    counts = summary.filter((F.col("n_sample") > 1) | (F.col("n_project") > 1)).select("key", "n_sample", "n_project")
+    joined = rows(sample, "sample").unionByName(rows(project, "project")).join(counts, "key")
+    n = F.when(F.col("tbl") == "sample", F.col("n_sample")).otherwise(F.col("n_project"))
+    return _repeated(joined.withColumn("n_rows", n).filter(F.col("n_rows") > 1), F.col("tbl"), key)
+
+
 def distinct_keys(df: DataFrame, key: str) -> DataFrame:
     return df.select(F.col(key).alias("key")).filter(F.col("key").isNotNull()).distinct()
 
@@ -232,8 +285,11 @@ def duplicate_rows(df: DataFrame, key: str = "sample_name", salt_buckets: int =
 def duplicate_issues(df: DataFrame, tbl: str, key: str = "sample_name") -> DataFrame:
     if key not in df.columns:
         return empty_issues(df.sparkSession)
-    d = duplicate_rows(df, key)
-    return issues(d, None, "duplicate_keys", tbl, col=key, key=F.col("key"), row=F.col(ROW),
+    return _repeated(duplicate_rows(df, key), tbl, key)
+
+
+def _repeated(rows: DataFrame, tbl: str | Column, key: str) -> DataFrame:
+    return issues(rows, None, "duplicate_keys", tbl, col=key, key=F.col("key"), row=F.col(ROW),
                   value=F.col("n_rows").cast("string"),
                   message=F.concat(F.lit("key occurs on "), F.col("n_rows").cast("string"), F.lit(" rows")),
                   severity="warning")
@@ -287,11 +343,16 @@ def alignment_issues(df: DataFrame, tbl: str, key: str = "sample_name") -> DataF
     t = tail_cells(df, key)
     tail_i = issues(t, None, "tail_data", tbl, col=F.col("col"), row=F.col(ROW), value=F.col("value"),
                     message="data below the last valid key is ignored", severity="warning")
+    return tail_i.unionByName(missing_cell_issues(df, tbl, key))
+
+
+def missing_cell_issues(df: DataFrame, tbl: str, key: str = "sample_name") -> DataFrame:
+    if key not in df.columns:
+        return empty_issues(df.sparkSession)
     m = missing_cells(df, key)
-    miss_i = issues(m, None, "missing_cells", tbl, col=F.col("col"), value=F.col("n_missing").cast("string"),
-                    message=F.concat(F.lit("blank on "), F.col("n_missing").cast("string"), F.lit(" keyed rows")),
-                    severity="info")
-    return tail_i.unionByName(miss_i)
+    return issues(m, None, "missing_cells", tbl, col=F.col("col"), value=F.col("n_missing").cast("string"),
+                  message=F.concat(F.lit("blank on "), F.col("n_missing").cast("string"), F.lit(" keyed rows")),
+                  severity="info")
 
 
 def change_counts(before: DataFrame, after: DataFrame, columns: Sequence[str], row: str = ROW) -> DataFrame:

@@ -37,11 +37,18 @@ class FileNameMismatch(RuntimeError):
     """Raised by ``validate_pair(on_mismatch='fail')``."""
 
 
+def key_issues(df: DataFrame, tbl: str, key: str, keys_checked: bool) -> list[DataFrame]:
+    if keys_checked:
+        return [R.missing_cell_issues(df, tbl, key)]
+    return [R.duplicate_issues(df, tbl, key), R.alignment_issues(df, tbl, key)]
+
+
 def validate_samples(df: DataFrame, config: Mapping | None = None, key: str = "sample_name",
                      options: Mapping[str, Iterable[str]] = VALID_OPTIONS, tbl: str = "sample",
-                     materialize_input: bool = False):
+                     materialize_input: bool = False, keys_checked: bool = False):
     """Sample table: ``(validated, issues)``.  ``materialize_input`` checkpoints
-    the input once when both results will be used (each re-reads it)."""
+    the input once when both results will be used (each re-reads it).
+    ``keys_checked``: duplicates are reported by the caller and no row is without a key (so nothing lies below the last)."""
     if materialize_input:
         df = materialize(df)
     defaults = effective_defaults(config)
@@ -57,8 +64,7 @@ def validate_samples(df: DataFrame, config: Mapping | None = None, key: str = "s
         if "library_layout" in options:
             lay = U.enforced(lay, options["library_layout"], defaults.get("library_layout"))
         specs.append(U.layout_mate_spec(lay, vals["filename2"]))
-    found = [R.duplicate_issues(df, tbl, key), R.alignment_issues(df, tbl, key),
-             U.row_issues(df, specs, tbl, key)]
+    found = [*key_issues(df, tbl, key, keys_checked), U.row_issues(df, specs, tbl, key)]
     out = U.fill_defaults(df, SAMPLE_FILL_FIELDS, defaults)
     out = U.ensure_columns(out, SAMPLE_ESSENTIAL, defaults)
     out = U.canonical_layout(out)
@@ -71,7 +77,7 @@ def validate_samples(df: DataFrame, config: Mapping | None = None, key: str = "s
 
 def validate_projects(df: DataFrame, config: Mapping | None = None, key: str = "sample_name",
                       options: Mapping[str, Iterable[str]] = VALID_OPTIONS, tbl: str = "project",
-                      materialize_input: bool = False):
+                      materialize_input: bool = False, keys_checked: bool = False):
     """Project table: ``(validated, issues)``; see ``validate_samples``."""
     if materialize_input:
         df = materialize(df)
@@ -85,8 +91,7 @@ def validate_projects(df: DataFrame, config: Mapping | None = None, key: str = "
     specs += U.vocab_specs(vals, options, defaults)
     if "sample_source" in vals and "host" in vals:
         specs.append(U.host_spec(canonicalize(vals["sample_source"], SOURCE_SYNONYMS), vals["host"]))
-    found = [R.duplicate_issues(df, tbl, key), R.alignment_issues(df, tbl, key),
-             U.row_issues(df, specs, tbl, key)]
+    found = [*key_issues(df, tbl, key, keys_checked), U.row_issues(df, specs, tbl, key)]
     # The number and the trim depend on positions and keys as they came, so they come first and the rules run above them once.
     numbered = ROW in df.columns and "file_number" not in df.columns
     out = number_and_trim(df, key if key in df.columns else None, "file_number", ROW, start=1) if ROW in df.columns else df
@@ -181,35 +186,34 @@ def validate_pair(project: DataFrame, sample: DataFrame, config: Mapping | None
     check_policy(on_missing)
     if on_mismatch not in ("report", "fail"):
         raise ValueError("on_mismatch must be 'report' or 'fail'")
+    # Each table feeds several rule branches: checkpoint it once (reliable,
+    # shared checkpoint folder) instead of recomputing its lineage per branch.
+    project, sample = materialize(project), materialize(sample)
     found = []
     for df, tbl in ((project, "project"), (sample, "sample")):
         found += table_issues(df, tbl, key, file_columns)
     keyed = key in project.columns and key in sample.columns
-    # Each table feeds about ten rule branches: checkpoint it once (reliable,
-    # shared checkpoint folder) instead of recomputing its lineage per branch.
-    project = materialize(drop_blank_keys(project, key))
-    sample = materialize(drop_blank_keys(sample, key))
+    project, sample = drop_blank_keys(project, key), drop_blank_keys(sample, key)
     if inventory is not None:
         refs = R.file_refs(sample, key, file_columns, base)
         missing, of_missing = missing_under(R.missing_files(refs, inventory(refs) if callable(inventory) else inventory), on_missing, "sample")
         found.append(of_missing)
         if on_missing == "drop":
             bad = missing.select("key")
-            sample = R.remove_samples(sample, bad, key)
-            project = R.remove_samples(project, bad, key)
-    mm = R.filename_mismatch(sample, project, key, file_columns)
-    if on_mismatch == "fail" and not mm.isEmpty():
-        raise FileNameMismatch("file names differ between the tables; see filename_mismatch()")
-    found.append(issues(mm, None, "filename_mismatch", "both", col=F.col("column"), key=F.col("key"),
-                        value=F.concat_ws(" | ", "sample_file", "project_file"),
-                        message="file names differ between the tables", severity="warning"))
+            sample, project = (materialize(R.remove_samples(t, bad, key)) for t in (sample, project))
     if keyed:
-        cov = R.key_coverage(sample, project, key)
-        found.append(issues(cov, None, "key_coverage", F.col("only_in"), col=key, key=F.col("key"),
-                            message=F.concat(F.lit("key only in the "), F.col("only_in"), F.lit(" table")),
-                            severity="warning"))
-    p_out, p_issues = validate_projects(project, config, key, options)
-    s_out, s_issues = validate_samples(sample, config, key, options)
+        # Everything per key comes from one aggregate over both tables.
+        summary = materialize(R.key_summary(sample, project, key, file_columns))
+        mm = R.summary_mismatches(summary, [c for c in file_columns if c in sample.columns and c in project.columns])
+        if on_mismatch == "fail" and not mm.isEmpty():
+            raise FileNameMismatch("file names differ between the tables; see filename_mismatch()")
+        found += [issues(mm, None, "filename_mismatch", "both", col=F.col("column"), key=F.col("key"),
+                         value=F.concat_ws(" | ", "sample_file", "project_file"),
+                         message="file names differ between the tables", severity="warning"),
+                  R.summary_coverage_issues(summary, key),
+                  R.summary_duplicate_issues(summary, sample, project, key)]
+    p_out, p_issues = validate_projects(project, config, key, options, keys_checked=keyed)
+    s_out, s_issues = validate_samples(sample, config, key, options, keys_checked=keyed)
     return p_out, s_out, union_issues(found + [p_issues, s_issues])
 
 

@@ -96,3 +96,26 @@ def test_validate_pair_mismatch_policy(spark):
     s, p, inv = _f6(spark)
     with pytest.raises(FileNameMismatch):
         validate_pair(p, s, {"default_values": {}}, on_mismatch="fail")
+
+
+def test_key_summary_gives_what_the_single_operators_give(spark):
+    s, p, _ = _f6(spark)
+    summary = R.key_summary(s, p)
+    got = {r.key: (r.n_sample, r.n_project) for r in summary.collect()}
+    assert got == {"s1": (1, 1), "s2": (2, 1), "s3": (1, 0), "s4": (0, 1)}
+    assert sorted(map(tuple, R.summary_mismatches(summary, ["filename"]).collect())) == sorted(map(tuple, R.filename_mismatch(s, p).collect()))
+    cov = {(r.key, r.tbl) for r in R.summary_coverage_issues(summary).collect()}
+    assert cov == {(r.key, r.only_in) for r in R.key_coverage(s, p).collect()}
+    dup = sorted(map(tuple, R.summary_duplicate_issues(summary, s, p).collect()))
+    assert dup == sorted(map(tuple, R.duplicate_issues(s, "sample").unionByName(R.duplicate_issues(p, "project")).collect()))
+    none = R.key_summary(s.limit(0), p.limit(0))
+    assert none.count() == 0 and R.summary_mismatches(none, []).count() == 0
+
+
+def test_pair_checks_shuffle_each_table_once_per_question(spark):
+    s, p, inv = _f6(spark)
+    _, _, iss = validate_pair(p, s, {"default_values": {}}, inventory=inv, base="/d")
+    plan = iss._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange ") <= 8
+    tail = [r for r in iss.collect() if r.rule == "tail_data"]
+    assert tail == []
