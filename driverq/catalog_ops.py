@@ -69,7 +69,8 @@ def _attempts(spark, sf, batches):
 
 
 def _outcomes(spark, sf, files=None):
-    b = _batches(spark, sf, files)
+    from manifestqc.session import materialize
+    b = materialize(_batches(spark, sf, files))  # attempts and their outcomes both read it
     return L.reduce_attempts(_attempts(spark, sf, b), b)
 
 
@@ -101,7 +102,8 @@ NEW AS (SELECT path, CASE WHEN arg_max(ok, ord) THEN 'uploaded' ELSE 'failed' EN
 SELECT '{FOLDER}' AS folder, coalesce(NEW.path, OLD.path) AS path, coalesce(NEW.status, OLD.status) AS status
 FROM OLD FULL OUTER JOIN NEW ON OLD.path = NEW.path""")
 def q_ledger_merge(spark, sf):
-    b = _batches(spark, sf)
+    from manifestqc.session import materialize
+    b = materialize(_batches(spark, sf))  # read four times
     att = _attempts(spark, sf, b)
     mid = D.table(spark, sf, "events").agg((F.max("event_id") / 2).cast("long")).scalar()
     old = L.reduce_attempts(att.filter(F.col("attempt_no") < mid), b)

@@ -74,14 +74,16 @@ def merge_ledger(old: DataFrame, outcomes: DataFrame, folder: str, updated_at=No
 def upload_summary(files: DataFrame, ledger: DataFrame, path_col: str = "path") -> DataFrame:
     """One row: total, uploaded (of the files), failed, all_uploaded.
     All uploaded means every file is uploaded and nothing is failed."""
-    f = files.select(F.col(path_col).alias("path")).distinct()
-    status = ledger.select("path", "status").distinct()
-    j = f.join(status.filter(F.col("status") == UPLOADED).select("path", F.lit(True).alias("_u")), "path", "left")
-    n_failed = status.agg(F.count_if(F.col("status") == FAILED).cast("long")).scalar()
-    total = j.agg(F.count(F.lit(1)).cast("long").alias("n_total"),
-                  F.count_if(F.col("_u").isNotNull()).cast("long").alias("n_uploaded"))
-    return total.withColumn("n_failed", n_failed).withColumn(
-        "all_uploaded", (F.col("n_uploaded") == F.col("n_total")) & (F.col("n_failed") == 0))
+    def marks(df: DataFrame, path: str, is_file: bool, status) -> DataFrame:
+        return df.select(F.col(path).alias("path"), F.lit(is_file).alias("_f"), (status == UPLOADED).alias("_u"), (status == FAILED).alias("_x"))
+
+    # Files and ledger are stacked and meet in one aggregate by path, so either is evaluated once and moves once.
+    both = marks(files, path_col, True, F.lit(None).cast("string")).unionByName(marks(ledger, "path", False, F.col("status")))
+    per_path = both.groupBy("path").agg(*[F.coalesce(F.max(c), F.lit(False)).alias(c) for c in ("_f", "_u", "_x")])
+    total = per_path.agg(F.count_if("_f").cast("long").alias("n_total"),
+                         F.count_if(F.col("_f") & F.col("_u") & F.col("path").isNotNull()).cast("long").alias("n_uploaded"),
+                         F.count_if("_x").cast("long").alias("n_failed"))
+    return total.withColumn("all_uploaded", (F.col("n_uploaded") == F.col("n_total")) & (F.col("n_failed") == 0))
 
 
 def failed_list(ledger: DataFrame) -> DataFrame:

@@ -174,3 +174,14 @@ def test_template_shapes(spark):
     crlf = read_manifest(spark, _write(d, "c.txt", "\ufeffsample_name\tfilename\r\ns1\ta.fq\r\ns2\tb.fq\r\n"))
     assert crlf.columns[:2] == ["sample_name", "filename"]
     assert sorted((r.sample_name, r.filename) for r in crlf.collect()) == [("s1", "a.fq"), ("s2", "b.fq")]
+
+
+def test_upload_summary_counts_paths_once_and_only_files(spark):
+    files = spark.createDataFrame([("a",), ("a",), ("b",), ("c",), (None,)], "path string")
+    ledger = spark.createDataFrame([("f", "a", "uploaded"), ("g", "a", "failed"), ("f", "z", "uploaded"), ("f", "y", "failed"),
+                                    ("g", "y", "failed"), ("f", None, "uploaded"), ("f", "b", None)], "folder string, path string, status string")
+    got = L.upload_summary(files, ledger)
+    assert tuple(got.first()) == (4, 1, 2, False)
+    assert got._jdf.queryExecution().executedPlan().toString().count("Exchange ") == 2
+    assert tuple(L.upload_summary(files.limit(0), ledger.limit(0)).first()) == (0, 0, 0, True)
+    assert tuple(L.upload_summary(files.where("path = 'a'"), ledger.where("folder = 'f' and path = 'a'")).first()) == (1, 1, 0, True)
