@@ -7,10 +7,12 @@ is always on whole words.  A document is normalised the same way and scanned
 once; match ends are turned into word numbers, and word numbers into offsets of
 the original text (normalising keeps every byte's place, so words map back).
 
-The item table travels to the workers in blocks of bounded size
-(``BLOCK_CHARS`` of normalised windows); a table that needs several blocks is
-scanned block by block and the hits are merged per document, so the size of the
-benchmark does not limit the operator.
+The item table travels to the workers in blocks of at most ``BLOCK_CHARS`` of
+normalised windows and item ids.  A table that needs several blocks is scanned block
+by block: the driver gathers one block, the hits of its scan are checkpointed, and
+its broadcast is destroyed before the next one is gathered.  The hits are merged per
+document, so the size of the benchmark does not limit the operator.  The ids of a
+window that very many items have come in shards of about ``ITEMS`` ids.
 
 Defined results: null or wordless text has no words and no hits; null items and
 items without words give no window; repeated items count once per item_id; a
@@ -34,6 +36,7 @@ from manifestqc.llm.common import checkpoint, text_slices
 
 WIDTH = 10
 BLOCK_CHARS = 32_000_000
+ITEMS = 100_000
 # A-Z to a-z; other ASCII beside digits and letters to a space; bytes of other characters stay.
 NORMAL = bytes(c + 32 if 65 <= c <= 90 else c if 48 <= c <= 57 or 97 <= c <= 122 or c >= 128 else 32 for c in range(256))
 
@@ -51,21 +54,41 @@ def item_windows(text: str, width: int) -> list[str]:
     return [padded(words[i:i + width]) for i in range(max(1, len(words) - width + 1))] if words else []
 
 
-def window_blocks(benchmark: DataFrame, width: int, block_chars: int) -> Iterator[dict[str, tuple[int, list[str]]]]:
-    """Blocks of window -> (words, item ids).  Windows are gathered distinct and in order, one bounded block at a time."""
+def sized_windows(benchmark: DataFrame, width: int, shard_items: int) -> tuple[DataFrame, int]:
+    """(phrase, items, size): the distinct windows with shards of their item ids, checkpointed, and the sum of the sizes."""
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf, texts in text_slices(frames):
             rows = [(None if i != i else str(int(i)), w) for i, t in zip(pdf["item_id"].tolist(), texts) for w in dict.fromkeys(item_windows(t, width))]
             yield pd.DataFrame(rows, columns=["item", "phrase"])
 
+    shards = max(1, -(-benchmark.count() // shard_items))
     windows = benchmark.select("item_id", "text").mapInPandas(run, "item string, phrase string")
-    size = F.length("phrase") + 8
-    grouped = checkpoint(windows.groupBy("phrase").agg(F.collect_set("item").alias("items")).withColumn("size", size + 8 * F.size("items")))
-    total = grouped.agg(F.sum("size")).first()[0] or 0
-    n = -(-total // block_chars)
-    for k in range(n):  # half a block on average, as the hash deals them out
-        part = grouped.where(F.pmod(F.xxhash64("phrase"), F.lit(2 * n)).isin(2 * k, 2 * k + 1)) if n > 1 else grouped
-        yield {r["phrase"]: (r["phrase"].count(" ") - 1, r["items"]) for r in part.select("phrase", "items").toLocalIterator()}
+    size = F.length("phrase") + 8 + 8 * F.size("items")
+    found = checkpoint(windows.groupBy("phrase", F.pmod(F.xxhash64("item"), F.lit(shards)).alias("shard")).agg(F.collect_set("item").alias("items"))
+                       .select("phrase", "items", size.alias("size")))
+    return found, found.agg(F.sum("size")).first()[0] or 0
+
+
+def window_blocks(found: DataFrame, total: int, block_chars: int) -> Iterator[dict[str, tuple[int, list[str]]]]:
+    """Blocks of window -> (words, item ids), each of ``block_chars`` at most (or one row of ``sized_windows`` that is larger).
+
+    The rows are gathered by hash in parts of about half a block, one partition
+    of a part at a time; a block ends before the row that would exceed the bound.
+    """
+    parts = -(-2 * total // block_chars) if total > block_chars else 1
+    block: dict[str, tuple[int, list[str]]] = {}
+    size = 0
+    for k in range(parts):
+        part = found.where(F.pmod(F.xxhash64("phrase"), F.lit(parts)) == k) if parts > 1 else found
+        for r in part.toLocalIterator():
+            if block and size + r["size"] > block_chars:
+                yield block
+                block, size = {}, 0
+            n, items = block.get(r["phrase"], (r["phrase"].count(" ") - 1, []))
+            block[r["phrase"]] = n, items + r["items"]
+            size += r["size"]
+    if block:
+        yield block
 
 
 def automaton(phrases: dict[str, tuple[int, list[str]]]):
@@ -127,10 +150,6 @@ RESULT = "n_words long, n_hit long, n_items long, items_sha256 string, contamina
 FOUND = "n long, items array<string>, runs array<struct<a:long,z:long,s:long,e:long>>"
 
 
-def _held_blocks(spark, benchmark: DataFrame, width: int, block_chars: int) -> list[Broadcast]:
-    return [spark.sparkContext.broadcast(block) for block in window_blocks(benchmark, width, block_chars)] or [spark.sparkContext.broadcast({})]
-
-
 def _hits(texts: pd.Series, machine) -> Iterator[tuple]:
     for text in texts:
         text = text if isinstance(text, str) else ""
@@ -148,14 +167,16 @@ def _names(schema: str) -> list[str]:
     return [c.split()[0] for c in schema.replace("<start:long,end:long>", "").replace("<a:long,z:long,s:long,e:long>", "").split(", ")]
 
 
-def scanned(docs: DataFrame, benchmark: DataFrame, width: int, block_chars: int) -> tuple[DataFrame, str]:
+def scanned(docs: DataFrame, benchmark: DataFrame, width: int, block_chars: int, shard_items: int = ITEMS) -> tuple[DataFrame, str]:
     """``docs`` with a struct column of RESULT; its name, which no column of ``docs`` has."""
     name = "_found"
     while name in docs.columns:
         name += "_"
-    blocks = _held_blocks(docs.sparkSession, benchmark, width, block_chars)
-    if len(blocks) == 1:
-        block = blocks[0]
+    held = docs.sparkSession.sparkContext.broadcast
+    windows, total = sized_windows(benchmark, width, shard_items)
+    blocks = window_blocks(windows, total, block_chars)
+    if total <= block_chars:
+        block = held(next(blocks, {}))
 
         @F.pandas_udf(RESULT)
         def whole(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
@@ -183,9 +204,12 @@ def scanned(docs: DataFrame, benchmark: DataFrame, width: int, block_chars: int)
     key = name + "row"
     numbered = checkpoint(docs.withColumn(key, F.monotonically_increasing_id()))
     hits = None
-    for block in blocks:
+    for phrases in blocks:
+        block = held(phrases)
         one = numbered.select(F.col(key), scanner(block)(F.col("text")).alias("h")).select(key, "h.*")
+        one = checkpoint(one if hits is None else one.where(F.size("runs") > 0))  # the first one counts every row's words
         hits = one if hits is None else hits.union(one)
+        block.destroy()
     found = (hits.groupBy(key).agg(F.max("n").alias("n"), F.flatten(F.collect_list("items")).alias("items"), F.flatten(F.collect_list("runs")).alias("runs"))
              .select(key, merge("n", "items", "runs").alias(name)))
     return numbered.join(found, key).drop(key), name

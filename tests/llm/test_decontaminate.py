@@ -61,6 +61,36 @@ def test_matches_brute_force(spark, docs_of, block_chars):
     assert got[104].n_hit == 40_000 and len(got[104].spans) == 1
 
 
+def test_blocks_are_bounded_and_whole(spark):
+    items, _ = cases()
+    items += [(1000 + k, "one window that very many items have") for k in range(300)]
+    found, total = decontaminate.sized_windows(spark.createDataFrame(items, ITEM), 10, 50)
+    blocks = list(decontaminate.window_blocks(found, total, 2_000))
+    assert len(blocks) > 5
+    want, got = {}, {}
+    for i, t in items:
+        for w in decontaminate.item_windows(t or "", 10):
+            want.setdefault(w, set()).update([] if i is None else [str(i)])
+    for block in blocks:
+        assert sum(len(w) + 8 + 8 * len(ids) for w, (_, ids) in block.items()) <= 2_000
+        for w, (n, ids) in block.items():
+            assert n == len(w.split())
+            assert not got.setdefault(w, set()) & set(ids)
+            got[w].update(ids)
+    assert got == want
+    assert len(list(decontaminate.window_blocks(found, total, total))) == 1
+
+
+def test_items_in_shards(spark, docs_of):
+    benchmark = spark.createDataFrame([(k, "one window that many items have") for k in range(90)], ITEM)
+    docs = docs_of([(1, "so: One window that many items have."), (2, "none")])
+    for chars in (decontaminate.BLOCK_CHARS, 300):
+        found, name = decontaminate.scanned(docs, benchmark, 10, chars, shard_items=20)
+        got = {r.doc_id: r[name] for r in found.collect()}
+        assert (got[1].n_items, got[1].n_hit, got[2].n_items) == (90, 6, 0)
+        assert got[1].items_sha256 == hashlib.sha256(",".join(sorted(map(str, range(90)))).encode()).hexdigest()
+
+
 def test_filter_keeps_columns(spark):
     items = spark.createDataFrame([(1, "a b c d e f g h i j k")], ITEM)
     rows = [(1, "x a B c d e f g h i j y", 5), (2, "a b c d e f g h i", 6), (None, None, None), (2, "a b c d e f g h i", 6)]
