@@ -8,9 +8,12 @@ could be an entity is a candidate segment, with features of the whole span per
 kind: its shape, digit count, checksum, separators, and what stands before and
 after it.  Dynamic programming over the atoms chooses boundaries and kinds
 jointly; atoms outside a segment score zero.  The weights maximise the
-conditional likelihood of the base spans (the weak labels) over a bounded sample
-of clusters, ``SAMPLE`` with and ``SAMPLE`` without a base span, those of the
-smallest hash.  Features include no base pattern as such, so spans that look like the
+conditional likelihood of the base spans (the weak labels) over a bounded sample:
+for each kind the ``SAMPLE`` pieces of smallest hash that hold a base span of it, and
+as many without any, so that a rare kind is learnt beside a frequent one.  A
+cluster of up to ``PIECE`` characters is one piece; longer ones are cut outside base
+spans, at a space where there is one, and all their pieces can be drawn.  Base spans over
+``LONGEST`` characters are found by the patterns but not learnt from.  Features include no base pattern as such, so spans that look like the
 labelled ones in most respects are found too; those that touch no base span are added.
 
 Scoring takes time linear in the text: clusters are found by jumping from one
@@ -19,7 +22,7 @@ do not backtrack over long runs.
 
 Defined results: null or empty text has no spans; offsets are code points, end
 exclusive; equal starts cannot occur within a kind; repeated rows are each
-handled; without clusters of both sorts nothing is added; an empty table gives no
+handled; without a base span in any text nothing is added; an empty table gives no
 rows; columns other than doc_id and text are not read.
 """
 
@@ -27,11 +30,12 @@ from __future__ import annotations
 
 import hashlib
 import re
+from bisect import bisect_right
 from collections.abc import Iterator
 from math import exp, log1p
 
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from manifestqc.llm.common import text_slices
@@ -40,7 +44,8 @@ KINDS = ("email", "ip", "card", "phone")
 MAX_ATOMS = 24
 MAX_DIGITS = 19
 SAMPLE = 400
-SAMPLE_CHARS = 200
+PIECE = 200
+LONGEST = 2_000
 EPOCHS, RATE, PULL = 8, 0.3, 1e-3
 MARGIN = 2.0  # a segment has to beat leaving its atoms out by this much
 _LOCAL = re.compile(r"[A-Za-z0-9._%+-]")
@@ -217,14 +222,18 @@ def _log_add(a: float, b: float) -> float:
     return a + log1p(exp(b - a)) if b > a - 40 else a
 
 
-def train(samples: list[tuple[str, int, int]], epochs: int = EPOCHS) -> Model:
-    """Conditional maximum likelihood by AdaGrad; a sample is a piece of text and the bounds of its cluster."""
+def train(samples: list[tuple], epochs: int = EPOCHS) -> Model:
+    """Conditional maximum likelihood by AdaGrad.
+
+    A sample is a piece of text, the bounds of its cluster and, where the piece
+    is a part of one, the base spans in it; otherwise those of the piece are taken.
+    """
     model = Model()
     number: dict[tuple[str, str], int] = {}
     lattices = []
-    for text, start, end in samples:
+    for text, start, end, *known in samples:
         atoms = Atoms(text, start, end)
-        gold = {(a, z): kind for kind, a, z in reversed(base_spans(text))}
+        gold = {(a, z): kind for kind, a, z in reversed(known[0] if known else base_spans(text))}
         arcs = []
         for i, j in atoms.candidates():
             span = atoms.span(i, j)
@@ -264,24 +273,52 @@ def train(samples: list[tuple[str, int, int]], epochs: int = EPOCHS) -> Model:
     return model
 
 
-def training_clusters(docs: DataFrame, sample: int = SAMPLE) -> list[tuple[str, int, int]]:
-    """The clusters of smallest hash (with their surroundings), ``sample`` with and ``sample`` without a base span."""
+def pieces(text: str, start: int, end: int, base: list[tuple[str, int, int]], most: int = PIECE) -> Iterator[tuple[int, int]]:
+    """A cluster in pieces of about ``most`` characters, none of which cuts a base span."""
+    whole: list[list[int]] = []  # base spans of all kinds, overlapping ones as one
+    for a, z in sorted((a, z) for _, a, z in base):
+        if whole and a < whole[-1][1]:
+            whole[-1][1] = max(whole[-1][1], z)
+        else:
+            whole.append([a, z])
+    firsts = [a for a, _ in whole]
+    while end - start > most:
+        space = max(text.rfind(c, start + 1, start + most) for c in _SPACE)
+        cut = space if space > 0 else start + most
+        k = bisect_right(firsts, cut) - 1
+        if k >= 0 and whole[k][0] < cut < whole[k][1]:
+            cut = whole[k][1]
+        yield start, min(cut, end)
+        start = cut
+    if start < end:
+        yield start, end
+
+
+def training_pieces(docs: DataFrame, sample: int = SAMPLE) -> list[tuple[str, int, int, list[tuple[str, int, int]]]]:
+    """Per kind the ``sample`` pieces of smallest hash that hold a base span of it, and as many without one, each piece once."""
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for _, texts in text_slices(frames):
-            rows = []
+            rows = set()
             for text in texts:
-                for a, z in clusters(text):
-                    if z - a <= SAMPLE_CHARS:
-                        left = max(0, a - 1)
-                        piece = text[left:z + 1]
-                        rows.append((piece, a - left, z - left, bool(base_spans(text[a:z]))))
-            yield pd.DataFrame(rows, columns=["piece", "a", "z", "gold"])
-
-    found = docs.select("text").mapInPandas(run, "piece string, a int, z int, gold boolean").distinct()
-    out = []
-    for gold in (True, False):
-        out += found.where(F.col("gold") == gold).orderBy(F.xxhash64("piece"), "piece", "a").limit(sample).collect()
-    return [(r["piece"], r["a"], r["z"]) for r in sorted(out, key=lambda r: hashlib.md5(r["piece"].encode("utf-8", "surrogatepass")).digest())]
+                for start, end in clusters(text):
+                    base = [(kind, start + a, start + z) for kind, a, z in base_spans(text[start:end])]
+                    for a, z in pieces(text, start, end, base):
+                        inside = [x for x in base if a <= x[1] and x[2] <= z] if base else []
+                        if z - a <= LONGEST:
+                            left = max(0, a - 1)
+                            spans = joined([(kind, x - left, y - left) for kind, x, y in inside])
+                            rows.update((kind, text[left:z + 1], a - left, z - left, spans) for kind in {kind for kind, _, _ in inside} or {"none"})
+            yield pd.DataFrame(list(rows), columns=["kind", "piece", "a", "z", "spans"])
+
+    found = docs.select("text").mapInPandas(run, "kind string, piece string, a int, z int, spans string").distinct()
+    # a rank with a limit: every task passes on its first ``sample`` rows of each kind only
+    order = Window.partitionBy("kind").orderBy(F.xxhash64("piece"), "piece", "a", "z", "spans")
+    drawn = found.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= sample).drop("rank").collect()
+    once = {(r["piece"], r["a"], r["z"], r["spans"]) for r in drawn}
+    if not any(spans for *_, spans in once):
+        return []
+    ordered = sorted(once, key=lambda r: (hashlib.md5(r[0].encode("utf-8", "surrogatepass")).digest(), r))
+    return [(piece, a, z, [(kind, int(x), int(y)) for kind, x, y in (s.split(":") for s in spans.split(",") if s)]) for piece, a, z, spans in ordered]
 
 
 def added_spans(text: str, base: list[tuple[str, int, int]], model: Model) -> list[tuple[str, int, int]]:
@@ -308,7 +345,7 @@ FOUND = "n_email long, n_ip long, n_card long, n_phone long, base_sha256 string,
 
 def personal_data(docs: DataFrame, sample: int = SAMPLE) -> DataFrame:
     """doc_id and FOUND of every document; the counts and the digest are those of the base patterns."""
-    held = docs.sparkSession.sparkContext.broadcast(train(training_clusters(docs, sample)))
+    held = docs.sparkSession.sparkContext.broadcast(train(training_pieces(docs, sample)))
 
     @F.pandas_udf(FOUND)
     def run(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:

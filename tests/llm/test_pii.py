@@ -95,3 +95,30 @@ def test_joint_choice_is_the_best_of_all():
         for kind, a, z in model.segments(text, 0, len(text)):
             total += sum(model.weights.get((kind, f), 0.0) for f in pii.features(text, a, z)) - pii.MARGIN
         assert abs(total - best(text, 0, len(text))) < 1e-9
+
+
+def test_pieces_cut_no_span():
+    r = random.Random(12)
+    for _ in range(200):
+        text = " ".join(r.choice([number(r), f"u{r.randint(1, 9)}@m.example", "10.1.2.7", "1" * r.randint(1, 60), "7"]) for _ in range(r.randint(1, 40)))
+        for start, end in pii.clusters(text):
+            base = pii.base_spans(text[start:end])
+            base = [(k, start + a, start + z) for k, a, z in base]
+            cut = list(pii.pieces(text, start, end, base, 50))
+            assert cut[0][0] == start and cut[-1][1] == end and all(z == a for (_, z), (a, _) in zip(cut, cut[1:])) and all(a < z for a, z in cut)
+            assert all(any(a <= x and y <= z for a, z in cut) for _, x, y in base)
+    assert [z - a for a, z in pii.pieces("9" * 1000, 0, 1000, [], 200)] == [200] * 5
+
+
+def test_sample_is_drawn_per_kind(spark, docs_of):
+    r = random.Random(4)
+    rows = [(i, f"mail user{i}@mail.example.com now") for i in range(300)] + [(1000 + i, f"at 10.0.{i}.7 here") for i in range(3)]
+    rows += [(2000, "word " + "7 " * 400 + f"{number(r)}x"), (2001, "call +1 (555) 555-0199 today " + "x1 " * 200)]
+    drawn = pii.training_pieces(docs_of(rows), sample=20)
+    count = {k: sum(any(kind == k for kind, _, _ in spans) for *_, spans in drawn) for k in pii.KINDS}
+    assert count["email"] == 20 and count["ip"] == 3 and count["phone"] == 1
+    assert 0 < sum(not spans for *_, spans in drawn) <= 20
+    for piece, a, z, spans in drawn:
+        assert z - a <= pii.LONGEST and all(a <= x and y <= z for _, x, y in spans)
+        assert all((kind, x, y) in pii.base_spans(piece) for kind, x, y in spans)
+    assert pii.training_pieces(docs_of([(1, "only 12345 here")])) == []
