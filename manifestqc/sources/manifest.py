@@ -90,15 +90,15 @@ def read_manifest(spark: SparkSession, path: str, sep: str = "\t",
     * ``breaks="encode"`` undoes the writer's encoding of line breaks.
 
     The lines are checkpointed once, so that offsets and rows come from one cut
-    of the input.  ``_row`` needs no sort: one row per input split says how many
-    records start in it, a running sum over that table gives each split's first number,
-    and inside a split lines are counted.  The header is the first record of each file.
+    of the input.  ``_row`` needs no sort: one row per part of an input split says how many
+    records start in it, a running sum over that table gives each part's first number,
+    and inside a part lines are counted.  The header is the first record of each file.
     """
     if check:
         check_format(path, spark)
     lines = materialize(read_lines(spark, path))
     plain, quoted, scanned = plain_splits(lines)
-    splits = split_table(lines, materialize(plain), quoted, sep) if scanned else counted_splits(plain)
+    splits = split_table(lines, plain, quoted, sep) if scanned else counted_splits(plain)
     if header is None:
         # A header is the first record of its file and ends in the file's first split.
         heads = [r["text"] for r in records(lines.where("_block = 0"), splits, sep, scanned)

@@ -7,11 +7,14 @@ swallows what follows it.
 
 A line is a map of two states, outside and inside a quoted cell: lines without
 quotes map each to itself, and a line that is reached inside either closes the cell,
-passes it on, or shows that its opening quote was text.  Maps of lines compose to a map of their
-split, and maps of splits, one row each, are composed by a prefix scan over the
-table of splits.  Each split then knows its first state and record number, and its
+passes it on, or shows that its opening quote was text.  Input splits are read in parts of at most
+``2 ** PART_BITS`` lines, so that a worker never holds a whole split.  Maps of lines compose to a map of their
+part, and maps of parts, one row each, are composed by a prefix scan over the
+table of parts.  Each part then knows its first state and record number, and its
 lines are cut independently; only lines of records that span several are grouped.
-Splits without quotes that start outside are never passed to Python.
+Parts without quotes that start outside are never passed to Python.
+
+The lines themselves stay where they are, in the order they were numbered in: the table of parts is broadcast to them.
 """
 
 from __future__ import annotations
@@ -31,6 +34,8 @@ from manifestqc.session import materialize
 
 QUOTE = '"'
 CLOSES, BREAKS, PASSES = 1, -1, 0
+PART_BITS = 14
+PART = ["_file", "_block", "_part"]
 
 
 def _quoted_end(text: str, at: int, sep: str) -> tuple[int, bool]:
@@ -99,7 +104,7 @@ def line_map(text: str, sep: str = "\t") -> Line:
 
 
 class _Split:
-    """Lines of one split: which are blank, and what those with quotes do."""
+    """Lines of one part: which are blank, and what those with quotes do."""
 
     def __init__(self, values: pa.ChunkedArray, sep: str):
         trimmed = pc.replace_substring_regex(values, "\r$", "")
@@ -146,72 +151,84 @@ class _Split:
 
 
 def read_lines(spark: SparkSession, path: str) -> DataFrame:
-    """Lines with their file, split and a number that counts the lines of a split; a line ends with a line feed."""
+    """Lines with their file, split and a number that counts the lines of a task; a line ends with a line feed."""
     return spark.read.option("lineSep", "\n").text(path).select(
         "value", F.col("_metadata.file_path").alias("_file"), F.col("_metadata.file_block_start").alias("_block"), F.monotonically_increasing_id().alias("_mid"))
 
 
-def _by_split(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.Table]:
-    """Runs of rows of one split, each as one table (a split's text has to fit a task)."""
+def _parted(lines: DataFrame) -> DataFrame:
+    return lines.withColumn("_part", F.shiftright("_mid", PART_BITS))
+
+
+def _by_part(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.Table]:
+    """Runs of rows of one part (equal ``first_line``), each as one table; a part is bounded, a split need not be."""
     held: list[pa.RecordBatch] = []
-    last = None
+    part = line = -1
     for batch in batches:
-        keys = list(zip(batch.column("_file").to_pylist(), batch.column("_block").to_pylist()))
-        start = 0
-        for i in range(1, len(keys) + 1):
-            if i == len(keys) or keys[i] != keys[start]:
-                if keys[start] != last and held:
-                    yield pa.Table.from_batches(held)
-                    held = []
-                last = keys[start]
-                held.append(batch.slice(start, i - start))
-                start = i
+        if not batch.num_rows:
+            continue
+        firsts, lines = (batch.column(c).to_numpy() for c in ("first_line", "_mid"))
+        if lines[0] <= line or (np.diff(lines) <= 0).any():
+            raise RuntimeError("lines are not in the order they were numbered in")
+        line = int(lines[-1])
+        cuts = [0, *(np.flatnonzero(np.diff(firsts)) + 1).tolist(), len(firsts)]
+        for start, end in zip(cuts, cuts[1:]):
+            if firsts[start] != part and held:
+                yield pa.Table.from_batches(held)
+                held = []
+            part = int(firsts[start])
+            held.append(batch.slice(start, end - start))
     if held:
         yield pa.Table.from_batches(held)
 
 
-_SPLITS = "_file string, _block long, end_out boolean, records_out long, waiting_out long, end_in boolean, records_in long, waiting_in long, meets int"
+_SPLITS = "first_line long, end_out boolean, records_out long, waiting_out long, end_in boolean, records_in long, waiting_in long, meets int"
 
 
 def _names(schema: str) -> list[str]:
     return [c.split()[0] for c in schema.split(", ")]
 
 
-def _mapped_splits(lines: DataFrame, sep: str) -> DataFrame:
+def _mapped_splits(lines: DataFrame, quoted: DataFrame, sep: str) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for rows in _by_split(batches):
-            split = _Split(rows.column("value"), sep)
-            row = [rows.column("_file")[0].as_py(), rows.column("_block")[0].as_py(), *split.summary(False), *split.summary(True), split.first_meeting()]
-            kinds = [pa.string(), pa.int64(), pa.bool_(), pa.int64(), pa.int64(), pa.bool_(), pa.int64(), pa.int64(), pa.int32()]
+        for rows in _by_part(batches):
+            part = _Split(rows.column("value"), sep)
+            row = [rows.column("first_line")[0].as_py(), *part.summary(False), *part.summary(True), part.first_meeting()]
+            kinds = [pa.int64(), pa.bool_(), pa.int64(), pa.int64(), pa.bool_(), pa.int64(), pa.int64(), pa.int32()]
             yield pa.RecordBatch.from_arrays([pa.array([v], k) for v, k in zip(row, kinds)], _names(_SPLITS))
 
-    return lines.select("_file", "_block", "value").mapInArrow(run, _SPLITS)
+    of_part = _parted(lines).join(F.broadcast(quoted.select(*PART, "first_line")), PART)
+    return of_part.select("first_line", "_mid", "value").mapInArrow(run, _SPLITS)
 
 
 def plain_splits(lines: DataFrame) -> tuple[DataFrame, bool, bool]:
-    """Per split its first line, its filled lines and whether it has to be scanned (quotes, blank lines); whether any split holds quotes, or has to be scanned."""
+    """Per part its first line, its filled lines and whether it has to be scanned (quotes, blank lines); whether any part holds quotes, or has to be scanned."""
     filled = ~F.col("value").isin("", "\r")
     has_quote = F.contains("value", F.lit(QUOTE))
-    plain = lines.groupBy("_file", "_block").agg(F.min("_mid").alias("first_line"), F.count_if(filled).alias("filled"), F.max(has_quote).alias("quoted"),
-                                                 F.max(has_quote | ~filled).alias("scanned"))
+    plain = materialize(_parted(lines).groupBy(*PART).agg(F.min("_mid").alias("first_line"), F.count_if(filled).alias("filled"), F.max(has_quote).alias("quoted"),
+                                                          F.max(has_quote | ~filled).alias("scanned")))
     quoted, scanned = plain.agg(F.max("quoted"), F.max("scanned")).first()
     return plain, bool(quoted), bool(scanned)
 
 
+def _first_of_file() -> Column:
+    return F.row_number().over(Window.partitionBy("_file").orderBy("_block", "_part")) == 1
+
+
 def counted_splits(plain: DataFrame) -> DataFrame:
-    """``split_table`` where no split has to be scanned: running sums over one row per split."""
-    before = Window.orderBy("_file", "_block").rowsBetween(Window.unboundedPreceding, -1)
+    """``split_table`` where no part has to be scanned: running sums over one row per part."""
+    before = Window.orderBy(*PART).rowsBetween(Window.unboundedPreceding, -1)
     file = Window.partitionBy("_file")
     splits = plain.withColumn("first_record", F.coalesce(F.sum("filled").over(before), F.lit(0)))
-    splits = splits.withColumn("file_first", F.min("first_record").over(file)).withColumn("head", F.when(F.col("_block") == F.min("_block").over(file), 1).otherwise(0))
-    return splits.select("_file", "_block", "first_line", F.lit(False).alias("scanned"), F.lit(False).alias("inside"), "first_record", "file_first",
+    splits = splits.withColumn("file_first", F.min("first_record").over(file)).withColumn("head", _first_of_file().cast("int"))
+    return splits.select(*PART, "first_line", F.lit(False).alias("scanned"), F.lit(False).alias("inside"), "first_record", "file_first",
                          F.sum("head").over(before.rowsBetween(Window.unboundedPreceding, Window.currentRow)).alias("heads"))
 
 
 def split_table(lines: DataFrame, plain: DataFrame, quoted: bool, sep: str) -> DataFrame:
-    """One row per split: first state (``inside``), whether an open cell at its start and end closes, and the number of its first record.
+    """One row per part: first state (``inside``), whether an open cell at its start and end closes, and the number of its first record.
 
-    A prefix scan composes the splits' maps: with P the parity of swapping maps so far and
+    A prefix scan composes the parts' maps: with P the parity of swapping maps so far and
     c the value of the last constant map combined with the parity then, the state is P xor c.
     """
     if not quoted:
@@ -219,50 +236,50 @@ def split_table(lines: DataFrame, plain: DataFrame, quoted: bool, sep: str) -> D
                    "waiting_in": F.col("filled"), "meets": F.lit(PASSES)}
         maps = plain.withColumns(nothing)
     else:
-        found = _mapped_splits(lines.join(plain.where("quoted").select("_file", "_block"), ["_file", "_block"], "left_semi").sortWithinPartitions("_file", "_block", "_mid"), sep)
-        maps = plain.join(found, ["_file", "_block"], "left").select(
-            "_file", "_block", "first_line", "scanned", F.coalesce("end_out", F.lit(False)).alias("end_out"), F.coalesce("end_in", F.lit(True)).alias("end_in"),
+        maps = plain.join(_mapped_splits(lines, plain.where("quoted"), sep), "first_line", "left").select(
+            *PART, "first_line", "scanned", F.coalesce("end_out", F.lit(False)).alias("end_out"), F.coalesce("end_in", F.lit(True)).alias("end_in"),
             F.coalesce("records_out", "filled").alias("records_out"), F.coalesce("waiting_out", F.lit(0)).alias("waiting_out"),
             F.coalesce("records_in", F.lit(0)).alias("records_in"), F.coalesce("waiting_in", "filled").alias("waiting_in"), F.coalesce("meets", F.lit(0)).alias("meets"))
-    file = Window.partitionBy("_file").orderBy("_block")
+    file = Window.partitionBy("_file").orderBy("_block", "_part")
     so_far = file.rowsBetween(Window.unboundedPreceding, Window.currentRow)
     swaps = F.col("end_out") & ~F.col("end_in")
     parity = (F.sum(swaps.cast("int")).over(so_far) % 2).alias("parity")
     maps = maps.withColumn("parity", parity)
     constant = F.when(F.col("end_out") == F.col("end_in"), (F.col("end_out").cast("int") + F.col("parity")) % 2)
     after = (F.col("parity") + F.coalesce(F.last(constant, ignorenulls=True).over(so_far), F.lit(0))) % 2 == 1
-    coming = F.first(F.when(F.col("meets") != 0, F.col("meets")), ignorenulls=True).over(file.rowsBetween(Window.currentRow, Window.unboundedFollowing))
+    back = Window.partitionBy("_file").orderBy(F.desc("_block"), F.desc("_part")).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    coming = F.last(F.when(F.col("meets") != 0, F.col("meets")), ignorenulls=True).over(back)  # from here on; a frame that ends here is added to, row by row
     maps = maps.withColumn("after", after).withColumn("closes", F.coalesce(coming == CLOSES, F.lit(False)))
     maps = (maps.withColumn("raw", F.lag("after", 1, False).over(file)).withColumn("last_valid", F.lead("closes", 1, False).over(file)))
     open_end = F.when(F.col("raw"), F.col("end_in")).otherwise(F.col("end_out")) & ~F.col("last_valid")
     records = (F.when(F.col("raw"), F.col("records_in")).otherwise(F.col("records_out"))
                + F.when(open_end, F.when(F.col("raw"), F.col("waiting_in")).otherwise(F.col("waiting_out"))).otherwise(0))
     maps = maps.withColumn("records", records).withColumn("inside", F.col("raw") & F.col("closes"))
-    before = Window.orderBy("_file", "_block").rowsBetween(Window.unboundedPreceding, -1)  # one row per split
+    before = Window.orderBy(*PART).rowsBetween(Window.unboundedPreceding, -1)  # one row per part
     maps = maps.withColumn("first_record", F.coalesce(F.sum("records").over(before), F.lit(0)))
     whole = Window.partitionBy("_file")
     maps = maps.withColumn("file_first", F.min("first_record").over(whole)).withColumn("file_records", F.sum("records").over(whole))
-    heads = F.when((F.col("first_record") == F.col("file_first")) & (F.col("_block") == F.min("_block").over(whole)) & (F.col("file_records") > 0), 1).otherwise(0)
+    heads = F.when(_first_of_file() & (F.col("file_records") > 0), 1).otherwise(0)
     maps = maps.withColumn("head", heads).withColumn("heads", F.sum("head").over(before.rowsBetween(Window.unboundedPreceding, Window.currentRow)))
-    return materialize(maps.select("_file", "_block", "first_line", "scanned", "inside", "last_valid", "first_record", "file_first", "heads"))
+    return materialize(maps.select(*PART, "first_line", "scanned", "inside", "last_valid", "first_record", "file_first", "heads"))
 
 
-_CUT = "_file string, _block long, _mid long, value string, record long, shared boolean, file_first long, heads long"
+_CUT = "_block long, _mid long, value string, record long, shared boolean, file_first long, heads long"
 
 
 def records(lines: DataFrame, splits: DataFrame, sep: str, scanned: bool) -> DataFrame:
     """(record, text, file_first, heads): every record, numbered from 0 over all files in order.
 
-    In splits without quotes and blank lines the number of a line is plain arithmetic; ``scanned``: there are others.
+    In parts without quotes and blank lines the number of a line is plain arithmetic; ``scanned``: there are others.
     """
-    known = lines.join(splits, ["_file", "_block"])
+    known = _parted(lines).join(F.broadcast(splits), PART)
     plain = known.where(~F.col("scanned") & ~F.col("inside")).select("value", (F.col("first_record") + F.col("_mid") - F.col("first_line")).alias("record"), "file_first", "heads")
     alone = plain.select("record", F.col("value").alias("text"), "file_first", "heads")
     if scanned:
         within = known.where(~F.col("scanned") & F.col("inside")).withColumns({"record": F.col("first_record") - 1, "shared": F.lit(True)})
 
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            for rows in _by_split(batches):
+            for rows in _by_part(batches):
                 inside, valid, first = (rows.column(c)[0].as_py() for c in ("inside", "last_valid", "first_record"))
                 starts, more, goes_on = _Split(rows.column("value"), sep).cut(inside, valid)
                 keep = np.flatnonzero(starts | more)
@@ -271,8 +288,7 @@ def records(lines: DataFrame, splits: DataFrame, sep: str, scanned: bool) -> Dat
                 table = table.append_column("record", pa.array((first + np.cumsum(starts) - 1)[keep])).append_column("shared", pa.array(here | np.append(here[1:], goes_on)[:len(here)]))
                 yield from table.select(_names(_CUT)).combine_chunks().to_batches()
 
-        cut = (known.where("scanned").select("_file", "_block", "_mid", "value", "inside", "last_valid", "first_record", "file_first", "heads")
-               .sortWithinPartitions("_file", "_block", "_mid").mapInArrow(run, _CUT))
+        cut = known.where("scanned").select("first_line", "_block", "_mid", "value", "inside", "last_valid", "first_record", "file_first", "heads").mapInArrow(run, _CUT)
         every = within.select(_names(_CUT)).unionByName(cut)
         lines_of = F.transform(F.array_sort(F.collect_list(F.struct("_block", "_mid", "value"))), lambda x: x["value"])
         spread = every.where("shared").groupBy("record", "file_first").agg(F.array_join(lines_of, "\n").alias("text"), F.max("heads").alias("heads"))

@@ -115,3 +115,21 @@ def test_breaks_are_written_in_quotes_and_read_back(spark, tmp_path):
     out = str(tmp_path / "quoted")
     write_manifest(df, out, breaks="quote")
     assert rows(read_manifest(spark, out), "sample_name", "title", "_row", "_width") == sorted((f"s{i}", c, i, 2) for i, c in enumerate(cells))
+
+
+@pytest.mark.parametrize("bits", [0, 1, 3])
+def test_reader_over_parts_of_splits(spark, tmp_path, monkeypatch, bits):
+    """A worker holds a part of a split at a time, and what it reads does not depend on where a part ends."""
+    monkeypatch.setattr(rec, "PART_BITS", bits)
+    r = random.Random(bits)
+    lines = random_lines(r, 120) + ['"cell over', *["many"] * 9, 'lines"\tend', '"never closed', *["plain"] * 5]
+    (tmp_path / "m.txt").write_bytes(("h1\th2\n" + "\n".join(lines) + "\n").encode())
+    read = rec.read_lines(spark, str(tmp_path / "m.txt")).localCheckpoint()
+    plain, _, _ = rec.plain_splits(read)
+    assert plain.count() > 1 and plain.groupBy(rec.PART).count().where("count > 1").isEmpty()
+    got = [tuple(x) for x in read_manifest(spark, str(tmp_path / "m.txt"), open_quotes=True).orderBy("_row").collect()]
+    want = []
+    for i, t in enumerate(sequential(lines)):
+        cells, broken = rec.cells_of(t)
+        want.append((*[(c or None) for c in (cells + ["", ""])[:2]], i, len(cells), broken))
+    assert got == want
