@@ -14,7 +14,7 @@ order column.  ``dense_number`` gives 1..N (or 0..N-1) in that order without
 3. count rows (or add up any sizes) per range and turn the B totals into start
    offsets with a running sum over that B-row table;
 4. ``row_number`` (or a running sum) inside each range (the one shuffle of the data,
-   on the range id), then join the offsets on the range id (the data side is
+   each range to a task of its own: hashed ids would put several ranges into some tasks and none into others), then join the offsets on the range id (the data side is
    already partitioned by it; only the B-row side moves).
 
 Order columns may be of any type that Spark sorts.  With ``unique=False`` only rows
@@ -183,6 +183,7 @@ def _running(df: DataFrame, order_col: str | Sequence[str], sums: Mapping[str, C
         b = uniform_buckets(df, order[0], rows_per_range)
     else:
         b = range_buckets(df, order, n_buckets, unique)
+    tasks = n_buckets or _default_buckets(df) if bucket is None and ranges != "uniform" else None
     parts = {f"_nb_v{i}": c for i, c in enumerate(sums.values())}
     tie = {} if unique else {TIE: _row_hash(df)}
     tagged = df.withColumns({BUCKET: b, **tie, **parts})
@@ -195,7 +196,8 @@ def _running(df: DataFrame, order_col: str | Sequence[str], sums: Mapping[str, C
     # then the offsets join on the same key: the big side is already
     # partitioned by it, only the B-row side moves (AQE may broadcast it).
     w = Window.partitionBy(BUCKET).orderBy(*inside, *tie).rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    local = tagged.withColumns({f"{v}_in": F.coalesce(F.sum(v).over(w), F.lit(0)) - F.coalesce(v, F.lit(0)) for v in parts})
+    apart = tagged.repartitionById(tasks, BUCKET) if tasks else tagged
+    local = apart.withColumns({f"{v}_in": F.coalesce(F.sum(v).over(w), F.lit(0)) - F.coalesce(v, F.lit(0)) for v in parts})
     out = local.join(offsets, BUCKET).withColumns({name: F.col(f"{v}_in") + F.col(f"{v}_off") for name, v in zip(sums, parts)})
     return out.drop(BUCKET, TIE, *[x for v in parts for x in (v, f"{v}_in", f"{v}_off")])
 

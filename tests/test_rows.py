@@ -82,3 +82,10 @@ def test_byte_batches(spark, limit):
         R.assign_batches(df, "path")
     with pytest.raises(Exception, match="negative"):
         R.assign_batches(df.withColumn("size", F.lit(-1)), "path", max_bytes=5).collect()
+
+
+def test_each_range_is_a_task_of_its_own(spark):
+    """Hashed range ids left some tasks empty and gave others several ranges."""
+    df = spark.range(8000).select((F.col("id") * 7919 % 8000).alias("k"))
+    sizes = [r["count"] for r in R.dense_number(df, "k").groupBy(F.spark_partition_id()).count().collect()]
+    assert len(sizes) == 8 and max(sizes) < 2000
