@@ -28,14 +28,17 @@ SESSION_STOP = "Session Stop"
 
 def canonicalize(c, synonyms: Mapping[str, Sequence[str]]) -> Column:
     """Map a value to its canonical spelling when ``lower(trim(value))`` is a
-    listed synonym; other values (null included) pass through unchanged."""
+    listed synonym; other values (null included) pass through unchanged.  One
+    lookup in a literal map, so the value is trimmed once."""
     c = as_col(c)
-    key = F.lower(strip_ws(c))
-    out = None
+    spelling: dict[str, str] = {}
     for canon, words in synonyms.items():
-        cond = key.isin(*words)
-        out = F.when(cond, F.lit(canon)) if out is None else out.when(cond, F.lit(canon))
-    return c if out is None else out.otherwise(c)
+        for word in words:
+            spelling.setdefault(word, canon)
+    if not spelling:
+        return c
+    known = F.create_map(*[F.lit(x) for kv in spelling.items() for x in kv])
+    return F.coalesce(F.try_element_at(known, F.lower(strip_ws(c))), c)
 
 
 def infer_sample_source(title) -> Column:

@@ -27,6 +27,7 @@ from manifestqc.session import materialize
 from manifestqc.sources.config import effective_defaults
 
 ROW = "_row"
+LAYOUT = "_canonical_layout"
 
 
 class MissingFiles(RuntimeError):
@@ -56,15 +57,18 @@ def validate_samples(df: DataFrame, config: Mapping | None = None, key: str = "s
     # after fill/ensure/synonyms, layout-vs-mate on the values after the
     # vocabulary (the order of the rules is kept by staging the expressions).
     vals = U.staged_values(df, SAMPLE_FILL_FIELDS, SAMPLE_ESSENTIAL, defaults)
+    checked = df
     if "library_layout" in vals:
-        vals["library_layout"] = canonicalize(vals["library_layout"], LAYOUT_SYNONYMS)
+        # a column of its own below the rules: they name it many times over, and it is trimmed by a regular expression
+        checked = df.withColumn(LAYOUT, canonicalize(vals["library_layout"], LAYOUT_SYNONYMS))
+        vals["library_layout"] = F.col(LAYOUT)
     specs = U.vocab_specs(vals, options, defaults)
     if {"library_layout", "filename", "filename2"} <= set(vals):
         lay = vals["library_layout"]
         if "library_layout" in options:
             lay = U.enforced(lay, options["library_layout"], defaults.get("library_layout"))
         specs.append(U.layout_mate_spec(lay, vals["filename2"]))
-    found = [*key_issues(df, tbl, key, keys_checked), U.row_issues(df, specs, tbl, key)]
+    found = [*key_issues(df, tbl, key, keys_checked), U.row_issues(checked, specs, tbl, key)]
     out = U.fill_defaults(df, SAMPLE_FILL_FIELDS, defaults)
     out = U.ensure_columns(out, SAMPLE_ESSENTIAL, defaults)
     out = U.canonical_layout(out)

@@ -129,3 +129,19 @@ def test_dense_number_uniform_ranges(spark):
     got = t.orderBy("_row").select("file_number", "_row").collect()
     assert got[0].file_number == 1 and got[-1]._row < 30000
     assert [r.file_number for r in got] == list(range(1, len(got) + 1))
+
+
+def test_layout_is_canonicalized_once_a_row(spark):
+    """The rules name the layout many times; its trimming regular expression must not be repeated for each."""
+    import contextlib
+    import io
+
+    from manifestqc.plans.validate import validate_samples
+    df = spark.createDataFrame([("a", " PE ", "f1", None, 0), ("b", "se", "f1", "f2", 1), ("c", "odd", "f1", "f2", 2), ("d", None, "f1", "f2", 3)],
+                               "sample_name string, library_layout string, filename string, filename2 string, _row long")
+    found = validate_samples(df)[1].where("col = 'library_layout' and rule <> 'missing_cells'")
+    assert sorted((r["rule"], r["row"], r["value"]) for r in found.collect()) == [("layout_mate", 0, None), ("layout_mate", 1, "f2"), ("vocabulary", 2, "odd")]
+    said = io.StringIO()
+    with contextlib.redirect_stdout(said):
+        found.where("rule <> 'duplicate_keys'").explain()
+    assert 1 <= said.getvalue().count("regexp_replace") <= 2
