@@ -27,8 +27,12 @@ WHITE = r"[\s\x0B\x1C-\x1F\x85\p{Z}]"
 
 
 def strip_ws(c) -> Column:
-    """Remove leading and trailing whitespace of any kind (not only spaces)."""
-    return F.regexp_replace(as_col(c), f"^{WHITE}+|{WHITE}+$", "")
+    """Remove leading and trailing whitespace of any kind (not only spaces).
+
+    The expression tries every character of a value, so it only runs where the first or the last one is white."""
+    c = as_col(c).cast("string")
+    ends = F.concat(F.left(c, F.lit(1)), F.right(c, F.lit(1)))
+    return F.when(ends.rlike(WHITE), F.regexp_replace(c, f"^{WHITE}+|{WHITE}+$", "")).otherwise(c)
 
 
 def is_blank(c) -> Column:

@@ -74,9 +74,9 @@ def _textual_rules(t: Column, chain):
     )
 
 
-def _head(c: Column, strict: bool):
+def _head(c: Column, strict: bool, trimmed: Column | None = None):
     """Rules 1-3, returning (trimmed value, open when-chain)."""
-    t = strip_ws(c)
+    t = strip_ws(c) if trimmed is None else trimmed
     blank_out = F.lit(NOT_COLLECTED if strict else "")
     chain = (
         F.when(c.isNull() | (t == ""), blank_out)
@@ -86,9 +86,9 @@ def _head(c: Column, strict: bool):
     return t, chain
 
 
-def _atom(c: Column, strict: bool) -> Column:
-    """One side of a range: every rule except the two that need a slash."""
-    t, chain = _head(c, strict)
+def _atom(t: Column, strict: bool) -> Column:
+    """One trimmed side of a range: every rule except the two that need a slash."""
+    t, chain = _head(t, strict, t)
     fallback = F.lit(NOT_COLLECTED) if strict else t
     return _textual_rules(t, chain).otherwise(fallback)
 
@@ -107,14 +107,15 @@ def _numeric_date(t: Column) -> Column:
     return F.concat_ws("-", year, month, day)
 
 
-def normalize_date(c, strict: bool = False) -> Column:
+def normalize_date(c, strict: bool = False, trimmed: Column | None = None) -> Column:
     """Normalise a date cell (see module doc).  ``strict`` maps blanks and
-    unrecognised values to ``not collected``."""
+    unrecognised values to ``not collected``.  ``trimmed``: a column that holds ``strip_ws(c)``, which
+    the rules name many times over."""
     c = as_col(c)
-    t, chain = _head(c, strict)
+    t, chain = _head(c, strict, trimmed)
     parts = F.split(t, "/")
-    # Both halves go through one lambda so the atom rules are generated once.
-    halves = F.transform(parts, lambda p: _atom(p, strict))
+    # Both halves go through one lambda so the atom rules are generated once; they are trimmed before.
+    halves = F.transform(F.transform(parts, strip_ws), lambda p: _atom(p, strict))
     is_range = (
         t.contains("/")
         & ~t.rlike(RE_NUMERIC)

@@ -21,10 +21,10 @@ RE_LATLON_READY = r"^\d+\.\d+ [NS] \d+\.\d+ [EW]$"
 RE_LATLON_DECIMAL = r"^(-?\d+\.\d+)[,\s]+(-?\d+\.\d+)$"
 
 
-def normalize_geo(c) -> Column:
+def normalize_geo(c, trimmed: Column | None = None) -> Column:
     """Blank -> ''; letters and spaces only -> append ``:``; else trimmed input."""
     c = as_col(c)
-    t = strip_ws(c)
+    t = strip_ws(c) if trimmed is None else trimmed
     return (
         F.when(c.isNull() | (t == ""), F.lit(""))
         .when(t.rlike(RE_PLACE_COUNTRY_ONLY), F.concat(t, F.lit(":")))
@@ -44,10 +44,10 @@ def is_negative_text(num: Column) -> Column:
     return num.rlike(r"^-.*[1-9]")
 
 
-def normalize_latlon(c) -> Column:
+def normalize_latlon(c, trimmed: Column | None = None) -> Column:
     """Blank -> ''; ready form kept; ``lat[, ]lon`` decimals rewritten; else trimmed input."""
     c = as_col(c)
-    t = strip_ws(c)
+    t = strip_ws(c) if trimmed is None else trimmed
     lat = F.regexp_extract(t, RE_LATLON_DECIMAL, 1)
     lon = F.regexp_extract(t, RE_LATLON_DECIMAL, 2)
     rewritten = F.concat_ws(

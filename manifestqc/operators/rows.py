@@ -107,6 +107,14 @@ def range_buckets(df: DataFrame, order: str | Sequence[str], n_buckets: int | No
     return _bucket_expr(key, [F.struct(*[_literal(v, k).alias(f) for v, k, f in zip(b, kinds, fields)]) for b in bounds])
 
 
+def in_ranges(df: DataFrame, order_col: str) -> DataFrame:
+    """Rows in the order of a column: its ranges go one to a task and are sorted there.
+
+    ``repartitionByRange`` computes every column of every row for its sample, and again of the partitions that are larger than
+    others; the sample of ``range_buckets`` reads what the order column needs."""
+    return df.repartitionById(_default_buckets(df), range_buckets(df, order_col)).sortWithinPartitions(order_col)
+
+
 def _as_double(df: DataFrame, col: str) -> Column:
     """A monotone double image of an orderable column."""
     dtype = dict(df.dtypes)[col]

@@ -15,7 +15,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from manifestqc.functions.blank import is_blank, is_blank_trimmed, not_blank
+from manifestqc.functions.blank import is_blank, is_blank_trimmed, not_blank, strip_ws
 from manifestqc.functions.dates import normalize_date
 from manifestqc.functions.geo import normalize_geo, normalize_latlon
 from manifestqc.functions.text import LAYOUT_SYNONYMS, SOURCE_SYNONYMS, canonicalize
@@ -181,6 +181,14 @@ def canonical_source(df: DataFrame, column: str = "sample_source",
 
 
 # ------------------------------------------------------- dates, place, coords --
+def _trimmed(df: DataFrame, c: Column) -> tuple[DataFrame, str]:
+    """``df`` with the trimmed value in a column of its own: in the rules it would be trimmed again wherever they name it."""
+    name = "_trimmed"
+    while name in df.columns:
+        name += "_"
+    return df.withColumn(name, strip_ws(c)), name
+
+
 def date_column(df: DataFrame, column: str = "collection_date", default: str | None = None) -> DataFrame:
     """Fill exact blanks with the default (when given), then normalise every
     value that is neither the default nor whitespace-only."""
@@ -188,25 +196,34 @@ def date_column(df: DataFrame, column: str = "collection_date", default: str | N
         return df
     c = F.col(column)
     filled = F.when(is_blank(c), F.lit(default)).otherwise(c) if default is not None else c
-    guard = is_blank_trimmed(filled)
+    out, name = _trimmed(df, filled)
+    t = F.col(name)
+    guard = filled.isNull() | (t == "")
     if default is not None:
         guard = guard | (filled == F.lit(default))
-    return df.withColumn(column, F.when(guard, filled).otherwise(normalize_date(filled)))
+    return out.withColumn(column, F.when(guard, filled).otherwise(normalize_date(filled, trimmed=t))).drop(name)
 
 
 def date_column_strict(df: DataFrame, column: str = "collection_date") -> DataFrame:
     """Every value normalised; blank or unrecognised -> ``not collected``."""
     if column not in df.columns:
         return df
-    return df.withColumn(column, normalize_date(F.col(column), strict=True))
+    out, t = _trimmed(df, F.col(column))
+    return out.withColumn(column, normalize_date(F.col(column), strict=True, trimmed=F.col(t))).drop(t)
 
 
 def geo_column(df: DataFrame, column: str = "geo_loc_name") -> DataFrame:
-    return df.withColumn(column, normalize_geo(F.col(column))) if column in df.columns else df
+    if column not in df.columns:
+        return df
+    out, t = _trimmed(df, F.col(column))
+    return out.withColumn(column, normalize_geo(F.col(column), F.col(t))).drop(t)
 
 
 def latlon_column(df: DataFrame, column: str = "lat_lon") -> DataFrame:
-    return df.withColumn(column, normalize_latlon(F.col(column))) if column in df.columns else df
+    if column not in df.columns:
+        return df
+    out, t = _trimmed(df, F.col(column))
+    return out.withColumn(column, normalize_latlon(F.col(column), F.col(t))).drop(t)
 
 
 # ------------------------------------------------------------ report rules --

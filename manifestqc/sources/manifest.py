@@ -22,6 +22,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from manifestqc.functions.blank import DEFAULT_NA_TOKENS, apply_na_tokens
+from manifestqc.operators.rows import in_ranges
 from manifestqc.session import materialize
 from manifestqc.sources.files import is_folder, listed
 from manifestqc.sources.records import cells_of, counted_splits, parsed, plain_splits, read_lines, records, split_table
@@ -143,8 +144,8 @@ def write_manifest(df: DataFrame, out_dir: str, sep: str = "\t", order_col: str
                    mode: str = "overwrite", drop: Sequence[str] = (ROW, WIDTH, OPEN_QUOTE), breaks: str = "refuse") -> None:
     """Write a manifest as tab-delimited text with a header, in row order.
 
-    Range partitioning on the order column + per-partition sort keeps the
-    global order across part files without a single-partition sort.  Empty
+    Ranges of the order column + per-partition sort keep the
+    global order across part files without a single-partition sort; the bounds come from that column alone.  Empty
     strings are written empty (not ``""``), whitespace is kept.  A cell with a
     line break is an error, or with ``breaks="encode"`` written in escapes, or
     with ``breaks="quote"`` written as it is in a quoted cell."""
@@ -152,7 +153,7 @@ def write_manifest(df: DataFrame, out_dir: str, sep: str = "\t", order_col: str
         raise ValueError("breaks must be 'refuse', 'encode' or 'quote'")
     out = df
     if order_col and order_col in df.columns:
-        out = out.repartitionByRange(order_col).sortWithinPartitions(order_col)
+        out = in_ranges(out, order_col)
     keep = [c for c in out.columns if c not in drop]
     text = [c for c, t in out.select(*keep).dtypes if t == "string"]
     if breaks == "encode":

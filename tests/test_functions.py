@@ -138,3 +138,14 @@ def test_blank_and_na(spark):
     assert [r.b for r in o] == [True, True, False, False, False]
     assert [r.t for r in o] == [True, True, True, False, False]
     assert [r.n for r in o] == [None, "", " \t", None, "x"]
+
+
+def test_a_cell_is_trimmed_once(spark):
+    from manifestqc.operators import rules as U
+    df = spark.createDataFrame([("\u00a02017-7-4\t", " 1.50, -2.0\n", "\u2028usa "), ("a  b\n", "\x85", None), (None, "x y", ""), ("\n", None, "\U0001f600 ")],
+                               "collection_date string, lat_lon string, geo_loc_name string")
+    out = U.date_column(U.latlon_column(U.geo_column(df)))
+    assert out.columns == df.columns
+    assert [tuple(r) for r in out.collect()] == [("2017-07-04", "1.5 N 2.0 W", "usa:"), ("a  b", "", ""), (None, "x y", ""), ("\n", "", "\U0001f600")]
+    plan = U.date_column(df)._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("regexp_replace") <= 3  # the cell's own, and that of the halves of a range

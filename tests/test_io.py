@@ -65,6 +65,24 @@ def test_write_roundtrip_order_and_spaces(spark):
     assert got[0] == ("s0", " padded ") and got[1] == ("s1", None) and got[2997] == ("s2997", " padded ") and got[2999] == ("s2999", None)
 
 
+def test_written_cells_are_computed_once(spark):
+    """Also where the partitions are of different sizes and rows without a number or with equal ones are among them."""
+    seen = spark.sparkContext.accumulator(0)
+
+    def cell(n):
+        seen.add(1)
+        return f"s{n}"
+
+    rows = spark.createDataFrame([(i if i % 10 else i // 100, i) if i % 7 else (None, i) for i in range(2000)], "_row long, n long")
+    rows = rows.repartition(F.when(F.col("n") < 1500, 0).otherwise(F.col("n") % 5))
+    out = os.path.join(tempfile.mkdtemp(), "once")
+    write_manifest(rows.withColumn("cell", F.udf(cell, "string")("n")), out)
+    assert seen.value == 2000
+    number = {str(i): (i if i % 10 else i // 100) if i % 7 else -1 for i in range(2000)}
+    back = [number[r.n] for r in read_manifest(spark, out).orderBy("_row").collect()]
+    assert back == sorted(number.values())
+
+
 def test_list_files(spark):
     d = tempfile.mkdtemp()
     os.makedirs(os.path.join(d, "sub"))
