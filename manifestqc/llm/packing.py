@@ -29,7 +29,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from manifestqc.llm.common import checkpoint, exact_ids, id_array, id_list, text_slices
+from manifestqc.llm.common import checkpoint, exact_ids, give_back, id_array, id_list, text_slices
 from manifestqc.llm.tokens import piece_ids, tokenizer_path
 
 CAPACITY = 4096
@@ -43,6 +43,7 @@ def token_pieces(docs: DataFrame, path: str | None = None, capacity: int = CAPAC
     path = path or tokenizer_path()
 
     def cut(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        give_back()  # before the tokenizer and its cache of words take theirs
         encode = piece_ids(path, end_id).encode
         for pdf, texts in text_slices(frames, max_chars=1_000_000):
             rows = []
