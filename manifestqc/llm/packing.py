@@ -29,7 +29,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from manifestqc.llm.common import checkpoint, exact_ids, give_back, id_array, id_list, text_slices
+from manifestqc.llm.common import checkpoint, exact_ids, give_back, id_array, id_list, text_slices, trim
 from manifestqc.llm.tokens import piece_ids, tokenizer_path
 
 CAPACITY = 4096
@@ -45,7 +45,8 @@ def token_pieces(docs: DataFrame, path: str | None = None, capacity: int = CAPAC
     def cut(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         give_back()  # before the tokenizer and its cache of words take theirs
         encode = piece_ids(path, end_id).encode
-        for pdf, texts in text_slices(frames, max_chars=1_000_000):
+
+        def cut_slice(pdf: pd.DataFrame, texts: list[str]) -> pd.DataFrame:
             rows = []
             for doc_id, raw in zip(id_list(pdf["doc_id"]), encode(texts)):
                 n = len(raw) // 4
@@ -53,7 +54,15 @@ def token_pieces(docs: DataFrame, path: str | None = None, capacity: int = CAPAC
                     part = raw[4 * start: 4 * (start + capacity)]
                     rows.append((doc_id, start, len(part) // 4, zlib.crc32(part), n) + ((part,) if with_ids else ()))
             out = pd.DataFrame(rows, columns=["doc_id", "start", "length", "ids_crc32", "doc_tokens"] + ["ids"] * with_ids)
-            yield out.assign(doc_id=id_array([r[0] for r in rows]))
+            return out.assign(doc_id=id_array([r[0] for r in rows]))
+
+        try:
+            for pdf, texts in text_slices(frames, max_chars=1_000_000):
+                yield cut_slice(pdf, texts)
+                trim()
+        finally:
+            pdf = texts = None
+            give_back()  # workers take turns: while others pack, this one waits with its cache of words alone
 
     return exact_ids(docs.select("doc_id", "text"), "doc_id").mapInPandas(cut, PIECES + (", ids binary" if with_ids else ""))
 

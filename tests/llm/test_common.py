@@ -3,6 +3,7 @@
 import re
 
 import numpy as np
+import pandas as pd
 
 from manifestqc.llm import common, packing
 
@@ -51,3 +52,35 @@ def test_packing_gives_back_first(spark, monkeypatch):
     monkeypatch.setattr(packing, "give_back", lambda: held.setdefault("given", True))
     packing.token_pieces(spark.createDataFrame([(1, "a")], "doc_id long, text string"))
     assert list(held["run"](iter([]))) == [] and held["given"]
+
+
+def test_packing_gives_back_behind_it(spark, monkeypatch):
+    """Workers take turns, so an idle one should hold no more than its cache of words."""
+    held, given = {}, []
+
+    class Docs:
+        def mapInPandas(self, run, schema):
+            held["run"] = run
+
+    monkeypatch.setattr(packing, "exact_ids", lambda df, *c: Docs())
+    monkeypatch.setattr(packing, "give_back", lambda: given.append(1))
+    packing.token_pieces(spark.createDataFrame([(1, "a")], "doc_id long, text string"))
+    rows = [r for part in held["run"](iter([pd.DataFrame({"doc_id": ["1"], "text": ["a b"]})])) for r in part["doc_id"]]
+    assert rows == [1] and len(given) == 2
+
+
+def test_word_keys():
+    """A key is of the word's bytes alone, at any place and of any length."""
+    words = [b"a", b"a\0", b"abcdefgh", b"abcdefghi", b"abcdefgh\0", b"x" * 511, b"x" * 512, b"x" * 513, b"x" * 2000, b"x" * 1999 + b"y", "\u00e9\u4e00".encode()]
+    keys, starts = common.word_keys(b" \n".join(words * 2) + b" ")
+    assert keys[:len(words)].tolist() == keys[len(words):].tolist() and len(set(keys.tolist())) == len(words)
+    assert starts[:3].tolist() == [0, 3, 7]
+    assert [len(v) for v in common.word_keys(b"")] == [0, 0] and [len(v) for v in common.word_keys(b" \n")] == [0, 0]
+
+
+def test_what_an_earlier_operator_left_goes_back(monkeypatch):
+    done = []
+    monkeypatch.setattr(common, "give_back", lambda: done.append("back"))
+    monkeypatch.setattr(common, "RELEASE", [lambda: done.append("freed")])
+    common.word_keys(b"a")
+    assert done == ["freed", "back"]
