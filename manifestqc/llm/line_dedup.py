@@ -18,8 +18,8 @@ of Jaccard similarity ``percent`` or more.
    Each set is first paired with the earliest set of the token only; the sets
    still without an earlier match are then paired with all earlier ones, so a
    group of near-equal lines costs about as many pairs as it has lines.
-5. Pairs are verified on the full sets of their lines, which are taken from
-   the few documents that hold them (behind a bitmap of fixed size).
+5. Pairs are verified on the full sets of their lines; the lines of pairs, and no
+   others, are taken from the few documents that hold them (behind a bitmap of fixed size).
 
 Defined results: lines under ``min_words`` words (by default the wordless ones) are
 neither matched nor removed; null text has no lines; rows that repeat
@@ -38,7 +38,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from manifestqc.llm.common import bit_number, checkpoint, hashed_runs, mix, possible, split_by_ids, summed_bins, text_slices
+from manifestqc.llm.common import bit_number, bitmap, checkpoint, in_bitmap, mix, possible, split_by_ids, summed_bins, text_slices, word_keys
 
 WIDTH = 5
 PERCENT = 80
@@ -53,9 +53,9 @@ class Lines:
 
     def __init__(self, texts: list[str], width: int, least: int | None = None):
         raw = "\n".join(texts).encode("utf-8", "surrogatepass").lower()
-        breaks = np.frombuffer(raw, np.uint8) == 10
-        h, first = hashed_runs(raw)
-        line = np.cumsum(breaks)[first] if len(first) else first  # of each word, over all texts
+        breaks = np.flatnonzero(np.frombuffer(raw, np.uint8) == 10)
+        h, first = word_keys(raw)
+        line = np.cumsum(np.bincount(np.searchsorted(first, breaks), minlength=len(first) + 1))[:len(first)]  # of each word, over all texts
         head = np.cumsum([0] + [t.count("\n") + 1 for t in texts])  # first line of each text
         new = np.flatnonzero(np.diff(line, prepend=-1))  # first word of each line that has any
         sizes = np.diff(new, append=len(line))
@@ -148,6 +148,20 @@ def rarity_ranks(found: DataFrame) -> tuple[np.ndarray, int]:
     return ranks, int(counts.sum())
 
 
+def packed(columns: list[np.ndarray]) -> bytes:
+    """Records as bytes, one column after the other, which shuffles compress better than whole records."""
+    return b"".join(v.tobytes() for v in columns)
+
+
+def unpacked(raw: bytes) -> np.ndarray:
+    """The records of ``packed``."""
+    out, at = np.empty(len(raw) // RECORD.itemsize, RECORD), 0
+    for c in RECORD.names:
+        out[c] = np.frombuffer(raw, RECORD[c], len(out), at)
+        at += len(out) * RECORD[c].itemsize
+    return out
+
+
 def prefixes(docs: DataFrame, ranks: np.ndarray, width: int, percent: int, parts: int) -> DataFrame:
     """(part, records): the rarest tokens of each line of ``width`` words or more, enough to share one with every similar line.
 
@@ -173,15 +187,16 @@ def prefixes(docs: DataFrame, ranks: np.ndarray, width: int, percent: int, parts
             order = order_in_lines(owner, token)
             owner, token = owner[order], token[order]
             n = lines.n[owner]
-            pos = np.arange(len(owner)) - np.searchsorted(owner, owner)
+            size = np.bincount(owner)
+            pos = np.arange(len(owner)) - np.repeat(np.cumsum(size) - size, size)
             head = pos < n - _needed(n, percent) + 1
-            out = np.empty(int(head.sum()), RECORD)
-            out["token"], out["s1"], out["n"], out["pos"] = token[head].view(np.int64), s1[owner[head]], n[head], pos[head]
+            head = np.flatnonzero(head)
             part = (token[head] & np.uint64(0xFFFFFFFF)).astype(np.int64) % parts
             order = np.argsort(part, kind="stable")
-            out, part = out[order], part[order]
+            head, part = head[order], part[order]
+            out = [v.astype(RECORD[c]) for c, v in zip(RECORD.names, (token[head].view(np.int64), s1[owner[head]], n[head], pos[head]))]
             at = np.flatnonzero(np.diff(part, prepend=-1))
-            yield pd.DataFrame({"part": part[at], "records": [out[a:z].tobytes() for a, z in zip(at, [*at[1:], len(out)])]})
+            yield pd.DataFrame({"part": part[at], "records": [packed([v[a:z] for v in out]) for a, z in zip(at, [*at[1:], len(part)])]})
 
     return docs.select("text").mapInPandas(run, "part int, records binary")
 
@@ -194,6 +209,22 @@ def _distinct(blocks: list[np.ndarray]) -> np.ndarray:
     return rows[new]
 
 
+def _with_neighbour(tokens: np.ndarray) -> np.ndarray:
+    """Of sorted tokens, whether the one before or behind is equal."""
+    same = tokens[1:] == tokens[:-1]
+    out = np.zeros(len(tokens), bool)
+    out[1:] |= same
+    out[:-1] |= same
+    return out
+
+
+def _met_again(blocks: list[np.ndarray]) -> np.ndarray:
+    """The records whose token another record has too; most have a token of their own, and need no order."""
+    rows = np.concatenate(blocks) if blocks else np.zeros(0, RECORD)
+    order = np.argsort(rows["token"])
+    return rows[order[_with_neighbour(rows["token"][order])]]
+
+
 def shared_prefixes(blocks: DataFrame, parts: int, most: int = 64 << 20) -> DataFrame:
     """The distinct (token, s1, n, pos) whose token more than one set has.
 
@@ -204,18 +235,15 @@ def shared_prefixes(blocks: DataFrame, parts: int, most: int = 64 << 20) -> Data
         held, size, limit = [], 0, most
         for pdf in frames:
             for raw in pdf["records"]:
-                held.append(np.frombuffer(raw, RECORD))
+                held.append(unpacked(raw))
                 size += len(raw)
                 if size >= limit:
                     held = [_distinct(held)]
                     size = held[0].nbytes
                     limit = max(most, 2 * size)
+        held = [_met_again(held)]
         rows = _distinct(held)
-        same = rows["token"][1:] == rows["token"][:-1]
-        keep = np.zeros(len(rows), bool)
-        keep[1:] |= same
-        keep[:-1] |= same
-        rows = rows[keep]
+        rows = rows[_with_neighbour(rows["token"])]
         for i in range(0, len(rows), 100_000):
             yield pd.DataFrame({c: rows[c][i:i + 100_000].astype(np.int64) for c in RECORD.names})
 
@@ -223,11 +251,35 @@ def shared_prefixes(blocks: DataFrame, parts: int, most: int = 64 << 20) -> Data
 
 
 def lines_at(docs: DataFrame, places: DataFrame) -> DataFrame:
-    """(doc_id, line, content) of the places (doc_id, line); documents without any stay out of the shuffle."""
-    _, some = split_by_ids(docs.select("doc_id", "text"), places.select("doc_id"))
-    lines = some.select("doc_id", F.posexplode(F.split("text", "\n", -1)).alias("line", "content")).withColumn("line", F.col("line").cast("long"))
-    bit = bit_number(F.xxhash64("doc_id", "line"))
-    return lines.where(possible(places, bit)(bit)).join(places, ["doc_id", "line"])
+    """(doc_id, line, content) of the places (doc_id, line); documents without any stay out of the shuffle.
+
+    One step of Python a task, which sees numbers only: a second one would take another worker, whose memory stays.
+    """
+    doc_bit, bits = bit_number(F.xxhash64("doc_id")), 1 << 23
+    step = 40503
+    line_bit = doc_bit.bitwiseXOR((F.col("line") * step % bits).cast("int"))
+    held = docs.sparkSession.sparkContext.broadcast((bitmap(places, doc_bit), bitmap(places, line_bit)))
+
+    @F.pandas_udf("array<int>")
+    def possible_lines(doc: pd.Series, n_lines: pd.Series) -> pd.Series:
+        of_docs, of_lines = held.value
+        out = []
+        some = in_bitmap(of_docs, doc.to_numpy())
+        for number, n, look in zip(doc.tolist(), n_lines.tolist(), some.tolist()):
+            k = np.arange(n if look else 0)
+            out.append(k[in_bitmap(of_lines, number ^ k * step % bits)].astype(np.int32))
+        return pd.Series(out, dtype=object)
+
+    # not deterministic, so that the filter does not compute it a second time, beside the first
+    at = possible_lines.asNondeterministic()(doc_bit, _n_lines()).alias("at")
+    some = docs.where("doc_id is not null and text is not null").select("doc_id", "text", at).where(F.size("at") > 0)
+    lines = some.select("doc_id", "at", F.posexplode(F.split("text", "\n", -1)).alias("line", "content")).where(F.array_contains("at", F.col("line")))
+    return lines.select("doc_id", F.col("line").cast("long").alias("line"), "content").join(places, ["doc_id", "line"])
+
+
+def _n_lines():
+    """Lines of ``text``."""
+    return F.octet_length("text") - F.octet_length(F.replace("text", F.lit("\n"))) + 1
 
 
 def similar_lines(width: int, percent: int):
@@ -258,12 +310,15 @@ def later_matches(docs: DataFrame, sets: DataFrame, ranks: np.ndarray, tokens: i
     where = checkpoint(sets.where(possible(shared, bit)(bit)).join(wanted, "s1", "left_semi")
                        .orderBy("doc_id", "line").withColumn("id", F.monotonically_increasing_id()))
     member = checkpoint(shared.join(where.select("s1", "id"), "s1").select("token", "id", "n", "pos"))
-    content = checkpoint(lines_at(docs, where.select("doc_id", "line", "id")).select("id", "content"))
 
     def similar(pairs: DataFrame) -> DataFrame:
-        """Later sets of the pairs (x, y) that verify."""
+        """Later sets of the pairs (x, y) that verify.  Only the lines of pairs are taken from the documents."""
+        pairs = checkpoint(pairs.distinct())
+        paired = pairs.select(F.col("x").alias("id")).union(pairs.select("y")).distinct()
+        places = checkpoint(where.join(paired, "id", "left_semi").select("doc_id", "line", "id"))
+        content = checkpoint(lines_at(docs, places).select("id", "content"))
         x, y = (content.select(F.col("id").alias(c), F.col("content").alias(f"{c}_line")) for c in "xy")
-        return pairs.distinct().join(x, "x").join(y, "y").where(similar_lines(width, percent)("x_line", "y_line")).select("x").distinct()
+        return pairs.join(x, "x").join(y, "y").where(similar_lines(width, percent)("x_line", "y_line")).select("x").distinct()
 
     x, y = (member.select("token", F.col("id").alias(c), F.col("n").alias(f"{c}n"), F.col("pos").alias(f"{c}p")) for c in "xy")
     overlap = F.ceil(percent * (F.col("xn") + F.col("yn")) / F.lit(100 + percent))
@@ -302,8 +357,7 @@ def removed_lines(docs: DataFrame, width: int = WIDTH, percent: int = PERCENT, m
 def line_report(docs: DataFrame, width: int = WIDTH, percent: int = PERCENT, min_words: int = 1) -> DataFrame:
     """doc_id, n_lines, n_removed and removed_lines (numbers from 0, comma-joined) of every document."""
     gone = removed_lines(docs, width, percent, min_words)
-    n = F.octet_length("text") - F.octet_length(F.replace("text", F.lit("\n"))) + 1
-    return (docs.select("doc_id", F.coalesce(n, F.lit(0)).cast("long").alias("n_lines")).join(gone, "doc_id", "left")
+    return (docs.select("doc_id", F.coalesce(_n_lines(), F.lit(0)).cast("long").alias("n_lines")).join(gone, "doc_id", "left")
             .select("doc_id", "n_lines", F.when(F.col("lines").isNull(), 0).otherwise(F.size("lines")).cast("long").alias("n_removed"),
                     F.coalesce(F.array_join("lines", ","), F.lit("")).alias("removed_lines")))
 
@@ -329,7 +383,9 @@ def dedup_lines(docs: DataFrame, width: int = WIDTH, percent: int = PERCENT, min
         lines += "_"
     same, some = split_by_ids(docs, gone)
     some = some.join(gone.withColumnRenamed("lines", lines), "doc_id", "left")
-    cut = some.withColumn("text", F.when(F.col(lines).isNull(), F.col("text")).otherwise(F.pandas_udf(_without, "string")("text", lines)))
+    # not deterministic for the same reason as in lines_at
+    without = F.pandas_udf(_without, "string").asNondeterministic()
+    cut = some.withColumn("text", F.when(F.col(lines).isNull(), F.col("text")).otherwise(without("text", lines)))
     cut = cut.where(F.col(lines).isNull() | F.col("text").rlike(r"[^\x20\x09-\x0D]"))
     if "n_chars" in docs.columns:
         cut = cut.withColumn("n_chars", F.when(F.col(lines).isNull(), F.col("n_chars")).otherwise(F.char_length("text").cast(docs.schema["n_chars"].dataType)))

@@ -94,3 +94,39 @@ def test_pipeline_stage_removes_short_lines(spark, docs_of):
     stage = dict(corpus_pipeline.STAGES)["line_dedup"]
     kept = {r.doc_id: r.text for r in stage(spark, docs_of([(1, "Home\nfirst text"), (2, "home\nsecond text")]), "").collect()}
     assert kept == {1: "Home\nfirst text", 2: "second text"}
+
+
+def _plan(df) -> str:
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_one_python_step_a_task(spark, docs_of):
+    """Every step in a row takes a worker of its own, and idle workers keep their memory."""
+    docs = docs_of([(k, "a b c d e f g\nx y z w q") for k in range(3)])
+    places = spark.createDataFrame([(1, 1, 0), (2, 0, 1), (2, 5, 2)], "doc_id long, line long, id long")
+    found = line_dedup.lines_at(docs, places)
+    assert _plan(found).count("ArrowEvalPython") == 1
+    assert sorted((r.doc_id, r.line, r.content) for r in found.collect()) == [(1, 1, "x y z w q"), (2, 0, "a b c d e f g")]
+    assert _plan(line_dedup.dedup_lines(docs)).count("ArrowEvalPython [_without") == 1
+
+
+def test_only_lines_of_pairs_are_taken(docs_of, monkeypatch):
+    """Two lines share their rarest token but not the length that a similar set needs."""
+    taken = []
+    whole = line_dedup.lines_at
+    monkeypatch.setattr(line_dedup, "lines_at", lambda docs, places: taken.append(places.count()) or whole(docs, places))
+    short, words = "r1 r2 r3 r4 r5", [f"w{k}" for k in range(40)]
+    rows = [(1, short + " x"), (2, " ".join([short, *words]))] + [(k, " ".join(words[k % 30:k % 30 + 8])) for k in range(10, 40)]
+    line_dedup.line_report(docs_of(rows)).collect()
+    near = [(1, " ".join(words)), (2, " ".join(words) + " end")]
+    assert [r.n_removed for r in line_dedup.line_report(docs_of(near)).orderBy("doc_id").collect()] == [0, 1]
+    assert taken[:2] == [0, 0] and max(taken[2:]) == 2
+
+
+def test_records_come_back():
+    rows = np.zeros(3, line_dedup.RECORD)
+    rows["token"], rows["s1"], rows["n"], rows["pos"] = [-5, 7, 9], [1, -2, 3], [2**32 - 1, 5, 6], [0, 70_000, 2]
+    assert (line_dedup.unpacked(line_dedup.packed([rows[c] for c in rows.dtype.names])) == rows).all()
+    again = rows[[0, 1, 1, 2]]
+    again["s1"][2] = 8
+    assert sorted(line_dedup._met_again([again[:2], again[2:]])["s1"].tolist()) == [-2, 8]
