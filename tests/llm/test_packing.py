@@ -114,3 +114,35 @@ def test_sequences_hold_the_ids(docs_of):
         for i, offset, raw in zip(s.doc_ids, s.offsets, s.ids):
             p = where[s.sequence_id, offset]
             assert list(np.frombuffer(raw, "<u4")) == ids_of(texts[i])[p.start:p.start + p.length]
+
+
+def test_marks_behind_every_latin_letter():
+    """A mark is a piece of its own behind a letter or digit only, and İ does not end in one."""
+    latin = [chr(i) for i in [*range(0x30, 0x7F), *range(0xA0, 0x260)]]
+    texts = [" ".join(f"ab{c}{m} {c}{m} {c}" for c in latin) for m in (".", "...", "?!\"", "." * 9, "." * 40, "'.")]
+    texts += [" ".join("x" * n + m for n in range(60) for m in ("", ",")), "\x00a a \x00 a\x00. a\x00\x00", "é" * 12 + ". " + "é" * 13 + "."]
+    got = PieceIds(tokenizer_path(), END)
+    for _ in range(2):
+        assert got.encode(texts) == [np.array(ids_of(t), "<u4").tobytes() for t in texts]
+
+
+def test_pieces_of_one_key_stay_apart(monkeypatch):
+    from manifestqc.llm import tokens
+    monkeypatch.setattr(tokens, "mix", lambda h: np.zeros_like(h))  # keys of equal length are equal
+    texts = ["the cat sat on the mat", "a dog ate the pie, and the fox", "", "cat the dog"]
+    got = PieceIds(tokenizer_path(), END)
+    for part in (texts[:1], texts[1:], texts):
+        assert got.encode(part) == [np.array(ids_of(t), "<u4").tobytes() for t in part]
+
+
+def test_a_known_word_takes_few_bytes():
+    """What a worker keeps of 60,000 words: the dicts of before took about 200 bytes a word."""
+    import tracemalloc
+    text = " ".join("".join(chr(97 + k // 26 ** i % 26) for i in range(4)) + "ing" for k in range(60_000))
+    ids = PieceIds(tokenizer_path(), END)
+    ids.encode(["warm up"])
+    tracemalloc.start()
+    ids.encode([text])
+    kept = tracemalloc.get_traced_memory()[0]
+    tracemalloc.stop()
+    assert kept < 100 * 60_000
