@@ -16,7 +16,7 @@ of Jaccard similarity ``percent`` or more.
    are dealt out by token in packed blocks; tokens of one set only are dropped.
 4. Candidates share a prefix token and pass the length and positional filters.
    Each set is first paired with the earliest set of the token only; the sets
-   still without an earlier match are then paired with all earlier ones, so a
+   still without an earlier match are then paired with all other earlier ones, so a
    group of near-equal lines costs about as many pairs as it has lines.
 5. Pairs are verified on the full sets of their lines; the lines of pairs, and no
    others, are taken from the few documents that hold them (behind a bitmap of fixed size).
@@ -320,15 +320,17 @@ def later_matches(docs: DataFrame, sets: DataFrame, ranks: np.ndarray, tokens: i
         x, y = (content.select(F.col("id").alias(c), F.col("content").alias(f"{c}_line")) for c in "xy")
         return pairs.join(x, "x").join(y, "y").where(similar_lines(width, percent)("x_line", "y_line")).select("x").distinct()
 
-    x, y = (member.select("token", F.col("id").alias(c), F.col("n").alias(f"{c}n"), F.col("pos").alias(f"{c}p")) for c in "xy")
+    first = member.groupBy("token").agg(F.min("id").alias("first"), F.count(F.lit(1)).alias("sets"))
+    member = checkpoint(member.join(first, "token"))
+    x, y = (member.select("token", "first", "sets", F.col("id").alias(c), F.col("n").alias(f"{c}n"), F.col("pos").alias(f"{c}p")) for c in "xy")
     overlap = F.ceil(percent * (F.col("xn") + F.col("yn")) / F.lit(100 + percent))
     fits = ((F.col("y") < F.col("x")) & (100 * F.least("xn", "yn") >= percent * F.greatest("xn", "yn"))
             & (F.least(F.col("xn") - F.col("xp"), F.col("yn") - F.col("yp")) >= overlap))
-    first = member.groupBy("token").agg(F.min("id").alias("y"))
-    near = x.join(checkpoint(y.join(first, ["token", "y"])), "token").where(fits).select("x", "y")
+    near = x.where("x > first").drop("first", "sets").join(y.where("y = first").drop("first", "sets"), "token").where(fits).select("x", "y")
     matched = checkpoint(similar(near))
-    left = checkpoint(x.join(matched, "x", "left_anti"))
-    rest = left.join(y, "token").where(fits).select("x", "y")
+    # what is left did not match the earliest set of any of its tokens: only pairs of other sets are new
+    x, y = x.where("sets > 2 and x > first").drop("first", "sets"), y.where("sets > 2 and y > first").drop("first", "sets")
+    rest = x.join(matched, "x", "left_anti").join(y, "token").where(fits).select("x", "y")
     later = matched.union(similar(rest)).withColumnRenamed("x", "id")
     return checkpoint(where.join(later, "id").select("s1", "s2"))
 

@@ -84,3 +84,14 @@ def test_what_an_earlier_operator_left_goes_back(monkeypatch):
     monkeypatch.setattr(common, "RELEASE", [lambda: done.append("freed")])
     common.word_keys(b"a")
     assert done == ["freed", "back"]
+
+
+def test_summed_bins(spark):
+    """Sums of every stretch, also where some tasks get none."""
+    from manifestqc.llm.common import summed_bins
+    r = np.random.default_rng(3)
+    for size, stretch in [(10, 1024), (100, 7), (64, 8)]:
+        rows = [r.integers(0, 2**40, size) for _ in range(5)]
+        df = spark.createDataFrame([(k, [int(x) for x in v]) for k, v in enumerate(rows)] + [(9, None)], "k int, bins array<long>").repartition(3)
+        assert (summed_bins(df, "bins", size, stretch) == sum(rows)).all()
+        assert (summed_bins(df.where("k = 9"), "bins", size, stretch) == 0).all()

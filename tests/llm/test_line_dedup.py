@@ -131,3 +131,20 @@ def test_records_come_back():
     again = rows[[0, 1, 1, 2]]
     again["s1"][2] = 8
     assert sorted(line_dedup._met_again([again[:2], again[2:]])["s1"].tolist()) == [-2, 8]
+
+
+def test_second_pass_takes_new_pairs_only(docs_of, monkeypatch):
+    """A pair that did not verify with the earliest set of its tokens is not taken again; a match of a later set is still found."""
+    taken = []
+    whole = line_dedup.lines_at
+    monkeypatch.setattr(line_dedup, "lines_at", lambda docs, places: taken.append(places.count()) or whole(docs, places))
+    words = [f"w{k}" for k in range(40)]
+    apart = [(1, " ".join(words)), (2, " ".join([*words[:20], "x", *words[21:]])), (3, " ".join([*words[:13], "x", "y", *words[15:]]))]
+    for rows in (apart, apart[:2], [*apart, (4, " ".join([*words[:13], "x", "y", *words[15:38], "z", "q"]))]):
+        want = {i: len(v) for i, v in brute_force(rows).items()}
+        assert {r.doc_id: r.n_removed for r in line_dedup.line_report(docs_of(rows)).collect() if r.n_removed} == want
+    near = [f"s{k}" for k in range(12)]
+    del taken[:]
+    rows = [(1, " ".join(near)), (2, " ".join([*near[:5], "b", *near[6:]]))]  # a token in common, too few for the similarity
+    assert [r.n_removed for r in line_dedup.line_report(docs_of(rows)).collect()] == [0, 0]
+    assert len(taken) == 2 and taken[1] == 0
