@@ -4,6 +4,7 @@ import zlib
 from collections import Counter
 
 import numpy as np
+from pyspark.sql import functions as F
 
 from llm_cases import corpus, docs_of, words
 from manifestqc.llm import quality
@@ -77,3 +78,22 @@ def test_threshold_covers_all_held_out_labels(spark, docs_of):
     assert quality.threshold(df, labels, ratio, 0.05) == want
     got = quality.quality(df, labels, max_labels=40, reject_share=0.05).collect()
     assert all(r.kept == (not r.base_failed and r.log_ratio >= want) for r in got) and len({r.kept for r in got}) == 2
+
+
+def test_target_takes_every_label(spark, docs_of):
+    """More labels than any bound on their number, and documents only where the hash of the id comes last."""
+    labels = spark.range(260_000).selectExpr("id AS doc_id", "1 AS quality", "0 AS toxic")
+    ids = [r.id for r in spark.range(260_000).orderBy(F.xxhash64("id").desc()).limit(40).collect()]
+    texts = {i: f"word{i} and other{i % 7} words, " * (1 + i % 3) for i in ids}
+    rows = [*texts.items(), (ids[0], "once more"), (None, "no id"), (300_000, "no label"), (ids[1], None)]
+    raw, target = np.zeros(quality.BUCKETS), np.zeros(quality.BUCKETS)
+    for i, t in rows:
+        b = quality.buckets(t or "")
+        np.add.at(raw, b, 1)
+        if i is not None and i < 260_000 and zlib.crc32(str(i).encode()) % 3 != 1:
+            np.add.at(target, b, 1)
+    prior = quality.SMOOTHING * (raw + 1) / (raw.sum() + quality.BUCKETS) * quality.BUCKETS
+    want = np.log((target + prior) / (target.sum() + prior.sum())) - np.log((raw + prior) / (raw.sum() + prior.sum()))
+    got = sorted((r.n_words, r.log_ratio) for r in quality.quality(docs_of(rows), labels).collect())
+    means = sorted((len(WORD.findall(t or "")), float(want[quality.buckets(t)].mean()) if t else 0.0) for _, t in rows)
+    assert target.any() and len(got) == len(rows) and np.allclose(got, means, rtol=0, atol=1e-12)
