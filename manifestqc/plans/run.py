@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from manifestqc.operators.issues import issue_summary, strict_gate
 from manifestqc.operators.pairs import build_samples, detect_pairs, project_template
 from manifestqc.plans.validate import check_policy, validate_pair, validate_table
-from manifestqc.session import materialize
+from manifestqc.session import forget, kept, materialize
 from manifestqc.sources.config import effective_options
 from manifestqc.sources.files import existing_files, qualified
 from manifestqc.sources.manifest import list_files, read_manifest, write_manifest
@@ -50,11 +50,13 @@ def validate_files(spark: SparkSession, project_path: str | None, sample_path: s
     if not (project_path and sample_path):
         if not (project_path or sample_path):
             raise ValueError("name a project or a sample table")
-        table = materialize(read_manifest(spark, project_path or sample_path, na_tokens=na_tokens, open_quotes=True))
+        read = read_manifest(spark, project_path or sample_path, na_tokens=na_tokens, open_quotes=True)
+        table = kept(read)
+        forget(read)
         if table.isEmpty():
             raise ValueError(f"no rows in {project_path or sample_path}")
         out, found = validate_table(table, config, "project" if project_path else "sample", probed, base, on_missing=on_missing, options=options)
-        found = materialize(found)
+        found = kept(found)
         passed = bool(strict_gate(found).first()["passed"])
         if output_dir and (passed or not strict):
             write_manifest(out, os.path.join(output_dir, _out_name(project_path or sample_path)))
@@ -62,8 +64,10 @@ def validate_files(spark: SparkSession, project_path: str | None, sample_path: s
     project = read_manifest(spark, project_path, na_tokens=na_tokens, open_quotes=True)
     sample = read_manifest(spark, sample_path, na_tokens=na_tokens, open_quotes=True)
     p_out, s_out, found = validate_pair(project, sample, config, inventory=probed, base=base,
-                                        on_missing=on_missing, options=options)
-    found = materialize(found)  # read by the gate, the summary and the caller
+                                        on_missing=on_missing, options=options, cut=kept)
+    forget(project)
+    forget(sample)  # the lines as they were read; the tables are kept
+    found = kept(found)  # read by the gate, the summary and the caller
     passed = bool(strict_gate(found).first()["passed"])
     if output_dir and (passed or not strict):
         write_manifest(p_out, os.path.join(output_dir, _out_name(project_path)))

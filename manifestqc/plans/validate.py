@@ -170,7 +170,7 @@ def validate_pair(project: DataFrame, sample: DataFrame, config: Mapping | None
                   inventory: DataFrame | Callable[[DataFrame], DataFrame] | None = None, base: str | None = None,
                   key: str = "sample_name", on_missing: str = "report", on_mismatch: str = "report",
                   file_columns: Sequence[str] = FILE_COLUMNS,
-                  options: Mapping[str, Iterable[str]] = VALID_OPTIONS):
+                  options: Mapping[str, Iterable[str]] = VALID_OPTIONS, cut: Callable[[DataFrame], DataFrame] = materialize):
     """Validate and reconcile both tables: ``(project, sample, issues)``.
 
     ``on_missing``: ``report`` keeps samples with missing files, ``drop``
@@ -186,13 +186,13 @@ def validate_pair(project: DataFrame, sample: DataFrame, config: Mapping | None
     (``blank_key``) and so are lines of another width than the header
     (``row_width``), quotes that are not closed (``open_quote``), a table without the key column (``required_columns``; its
     key rules are skipped) or without file columns (``file_columns``), and, with
-    ``drop``, each missing file of a removed sample (``removed_sample``)."""
+    ``drop``, each missing file of a removed sample (``removed_sample``).  ``cut`` stores what several branches read."""
     check_policy(on_missing)
     if on_mismatch not in ("report", "fail"):
         raise ValueError("on_mismatch must be 'report' or 'fail'")
-    # Each table feeds several rule branches: checkpoint it once (reliable,
+    # Each table feeds several rule branches: store it once (reliable,
     # shared checkpoint folder) instead of recomputing its lineage per branch.
-    project, sample = materialize(project), materialize(sample)
+    project, sample = cut(project), cut(sample)
     found = []
     for df, tbl in ((project, "project"), (sample, "sample")):
         found += table_issues(df, tbl, key, file_columns)
@@ -204,10 +204,10 @@ def validate_pair(project: DataFrame, sample: DataFrame, config: Mapping | None
         found.append(of_missing)
         if on_missing == "drop":
             bad = missing.select("key")
-            sample, project = (materialize(R.remove_samples(t, bad, key)) for t in (sample, project))
+            sample, project = (cut(R.remove_samples(t, bad, key)) for t in (sample, project))
     if keyed:
         # Everything per key comes from one aggregate over both tables.
-        summary = materialize(R.key_summary(sample, project, key, file_columns))
+        summary = cut(R.key_summary(sample, project, key, file_columns))
         mm = R.summary_mismatches(summary, [c for c in file_columns if c in sample.columns and c in project.columns])
         if on_mismatch == "fail" and not mm.isEmpty():
             raise FileNameMismatch("file names differ between the tables; see filename_mismatch()")

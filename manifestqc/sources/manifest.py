@@ -23,7 +23,7 @@ from pyspark.sql import functions as F
 
 from manifestqc.functions.blank import DEFAULT_NA_TOKENS, apply_na_tokens
 from manifestqc.operators.rows import in_ranges
-from manifestqc.session import materialize
+from manifestqc.session import materialize, sparing_disk
 from manifestqc.sources.files import is_folder, listed
 from manifestqc.sources.records import cells_of, counted_splits, parsed, plain_splits, read_lines, records, split_table
 
@@ -151,6 +151,11 @@ def write_manifest(df: DataFrame, out_dir: str, sep: str = "\t", order_col: str
     with ``breaks="quote"`` written as it is in a quoted cell."""
     if breaks not in ("refuse", "encode", "quote"):
         raise ValueError("breaks must be 'refuse', 'encode' or 'quote'")
+    with sparing_disk(df.sparkSession):
+        _write_ordered(df, out_dir, sep, order_col, mode, drop, breaks)
+
+
+def _write_ordered(df: DataFrame, out_dir: str, sep: str, order_col: str | None, mode: str, drop: Sequence[str], breaks: str) -> None:
     out = df
     if order_col and order_col in df.columns:
         out = in_ranges(out, order_col)

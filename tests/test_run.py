@@ -126,3 +126,51 @@ def test_stream_parses_cells_as_the_reader_does(spark, tmp_path):
     q = read_manifest_stream(spark, str(tmp_path / "in"), ["k", "t", "h"]).writeStream.format("memory").queryName("quoted_stream").trigger(availableNow=True).start()
     q.awaitTermination(60)
     assert sorted(tuple(r)[:3] for r in spark.sql("select * from quoted_stream").collect()) == [("a", '"5 inch', "Homo"), ("b", 'x\ty "z"', None)]
+
+
+def _sizes(folder, name=""):
+    out = {}
+    for at, _, files in os.walk(folder):
+        for f in files:
+            if f.startswith(name):
+                out[os.path.join(at, f)] = os.path.getsize(os.path.join(at, f))
+    return out
+
+
+def test_validate_files_leaves_little_on_disk(spark, tmp_path):
+    """No lines, no rows of the tables and no shuffle files stay: what is kept is far smaller than the manifests."""
+    import time
+
+    from manifestqc.session import ensure_checkpoint_dir
+    n, changed = 20_000, ("spark.sql.classic.shuffleDependency.fileCleanup.enabled", "spark.sql.files.minPartitionNum")
+    with open(tmp_path / "project.txt", "w") as p, open(tmp_path / "sample.txt", "w") as s:
+        p.write("sample_name\tcollection_date\tplace\tno 1\thost a,b;{}\tplatform\tfilename\n")
+        s.write("sample_name\tlibrary_ID\tlibrary_layout\tplatform\tfilename\tfilename2\n")
+        for i in range(n):
+            name = "" if i % 100 == 7 else f"s{i}"
+            p.write(f"{name}\t24-Jul-2017\tUSA: Ohio, Cincinnati\t{i % 9}\tsome longer text that comes again\tillumina\ts{i}_R1.fq\n")
+            s.write(f"{name}\t\t{'PE' if i % 2 else 'single'}\tILLUMINA\ts{i}_R1.fq\ts{i}_R2.fq\n")
+    local = [str(d) for d in spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().localDirs()]
+    scratch = ensure_checkpoint_dir(spark)
+    before, settings = _sizes(scratch), [spark.conf.get(k, None) for k in changed]
+    shuffled = {f for d in local for f in _sizes(d, "shuffle_")}
+    inventory = spark.createDataFrame([(f"/d/s{i}_R{k}.fq",) for i in range(n) for k in (1, 2) if i % 500], "path string")
+    po, so, found, passed = validate_files(spark, str(tmp_path / "project.txt"), str(tmp_path / "sample.txt"), inventory=inventory, base="/d", output_dir=str(tmp_path / "out"))
+    text = sum(os.path.getsize(tmp_path / f"{t}.txt") for t in ("project", "sample"))
+    kept = sum(v for f, v in _sizes(scratch).items() if f not in before)
+    assert 0 < kept < 0.5 * text
+    for _ in range(40):  # files are removed in the background
+        left = sum(v for d in local for f, v in _sizes(d, "shuffle_").items() if f not in shuffled)
+        if left < 0.1 * text:
+            break
+        time.sleep(0.25)
+    assert left < 0.1 * text
+    assert [spark.conf.get(k, None) for k in changed] == settings
+    counts = {r.rule: r.n_issues for r in summary(found).collect()}
+    assert counts["missing_file"] == 2 * sum(1 for i in range(0, n, 500) if i % 100 != 7) and counts["blank_key"] == 2 * n // 100
+    for out, name in ((po, "project"), (so, "sample")):
+        rows, back = out.orderBy("_row").collect(), read_manifest(spark, str(tmp_path / "out" / f"validated-{name}")).orderBy("_row").collect()
+        assert [r.sample_name for r in back] == [r.sample_name for r in rows] == [f"s{i}" for i in range(n) if i % 100 != 7]
+        assert [r._row for r in rows] == [i for i in range(n) if i % 100 != 7]
+    assert [r.file_number for r in po.orderBy("_row").collect()] == list(range(1, po.count() + 1))
+    assert {"place", "host a,b;{}"} <= set(po.columns)
